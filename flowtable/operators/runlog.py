@@ -47,7 +47,9 @@ def run_health(
     )
     if registered is None:
         return stats
-    joined = registered.join(stats, key, "left")
+    # the run log is the source of truth for run statistics: its columns win over same-named ones
+    keep = [c for c in registered.columns if c == key or c not in stats.columns]
+    joined = registered.select(*keep).join(stats, key, "left")
     return joined.withColumn("total_runs", F.coalesce("total_runs", F.lit(0).cast("long"))).withColumn(
         "failures", F.coalesce("failures", F.lit(0).cast("long"))
     )

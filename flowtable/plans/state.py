@@ -117,6 +117,10 @@ class RunState:
     def _append(self, table: str, rows: list[tuple]) -> None:
         self.wh.append(table, self.spark.createDataFrame(rows, TABLES[table]))
 
+    @staticmethod
+    def tables() -> list[str]:
+        return list(TABLES)
+
     def table(self, name: str) -> DataFrame:
         return self.wh.read(name)
 

@@ -44,7 +44,9 @@ def stream_load(
         run_id = f"stream-{tag}-{batch_id}"
         if state.has_succeeded(run_id):
             return
-        res = run_load(batch.sparkSession, spec, warehouse, source=batch, state=state, run_id=run_id)
+        # publish through the caller's session: foreachBatch hands us a cloned session whose
+        # relation cache the caller would not see refreshed
+        res = run_load(spark, spec, warehouse, source=batch, state=state, run_id=run_id)
         results.append(res)
         if res["status"] != "success":
             raise RuntimeError(f"batch {batch_id} failed: {res['error_message']}")
@@ -60,4 +62,7 @@ def stream_load(
         .start()
     )
     query.awaitTermination()
+    for table in [spec.destination.physical, *state.tables()]:
+        if warehouse.exists(table):
+            spark.catalog.refreshTable(warehouse.qualified(table))
     return results
