@@ -33,28 +33,6 @@ def incremental_filter(df: DataFrame, key: str, mark: str | None) -> DataFrame:
     return df.where(keep)
 
 
-def mark_metrics(key: str) -> dict[str, Column]:
-    """Aggregates for a load: rows, new mark (max key), and rows with a NULL key."""
-    return {
-        "rows": F.count(F.lit(1)),
-        "mark": F.max(F.col(key)).cast("string"),
-        "null_keys": F.count_if(F.col(key).isNull()),
-    }
-
-
-def advance_mark(df: DataFrame, key: str, old: str | None, new: str | None) -> str | None:
-    """The later of two marks in the key's type (a mark never moves backwards)."""
-    if new is None:
-        return old
-    if old is None:
-        return new
-    dtype = df.schema[key].dataType
-    row = df.sparkSession.range(1).select(
-        F.greatest(F.lit(old).cast(dtype), F.lit(new).cast(dtype)).cast("string").alias("m")
-    ).first()
-    return row["m"]
-
-
 def marks_by(df: DataFrame, key: str, by: Sequence[str], mark_col: str = "high_water_mark", count_col: str = "n_rows") -> DataFrame:
     """Per group: the high-water mark of ``key`` and the row count."""
     return df.groupBy(*by).agg(F.max(key).alias(mark_col), F.count(F.lit(1)).alias(count_col))

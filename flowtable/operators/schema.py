@@ -24,11 +24,9 @@ def schema_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame(rows, SCHEMA_ROW)
 
 
-def schema_drift(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Compare two schema-row frames: ``removed``, ``added`` or ``type_changed`` per column.
-
-    An empty ``stored`` (first run) gives no drift.
-    """
+def schema_compare(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Full outer join of two schema-row frames on the column name; ``change`` is
+    ``removed``, ``added``, ``type_changed`` or NULL (unchanged)."""
     s = stored.select("column_name", F.col("column_type").alias("stored_type"))
     i = incoming.select("column_name", F.col("column_type").alias("incoming_type"))
     change = (
@@ -36,16 +34,26 @@ def schema_drift(stored: DataFrame, incoming: DataFrame) -> DataFrame:
         .when(F.col("stored_type").isNull(), "added")
         .when(F.col("stored_type") != F.col("incoming_type"), "type_changed")
     )
-    drift = s.join(i, "column_name", "full_outer").withColumn("change", change).where(F.col("change").isNotNull())
+    joined = s.join(i, "column_name", "full_outer").withColumn("change", change)
+    return joined.select("column_name", "change", "stored_type", "incoming_type")
+
+
+def schema_drift(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Only the drifted columns.  An empty ``stored`` (first run) gives no drift."""
+    drift = schema_compare(stored, incoming).where(F.col("change").isNotNull())
     if stored.isEmpty():  # first run: nothing stored, nothing to compare against
         drift = drift.limit(0)
-    return drift.select("column_name", "change", "stored_type", "incoming_type")
+    return drift
 
 
 def drift_messages(drift: DataFrame) -> list[str]:
     """Readable drift lines (the drift frame has at most one row per column)."""
+    return drift_lines(drift.collect())
+
+
+def drift_lines(rows) -> list[str]:
     out = []
-    for r in drift.orderBy("change", "column_name").collect():
+    for r in sorted(rows, key=lambda r: (r["change"], r["column_name"])):
         if r["change"] == "removed":
             out.append(f"Column '{r['column_name']}' was removed from source")
         elif r["change"] == "added":

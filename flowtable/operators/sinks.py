@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from flowtable.operators.changes import first_by_key, latest_by_key
 from flowtable.session import shared_root
@@ -112,6 +112,11 @@ def update_rows(
     return joined.select(*out)
 
 
+def nullable(schema: StructType) -> StructType:
+    """The schema as stored in parquet files: every top-level column nullable."""
+    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields])
+
+
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled in by whatever action runs next (no extra pass)."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
@@ -163,9 +168,10 @@ class Warehouse:
         """Create the table with ``schema`` if absent (zero rows).  True if it was created."""
         if self.exists(table):
             return False
-        path = self.snapshot_path(table)
-        self.spark.createDataFrame([], schema).write.parquet(path)
-        self.spark.catalog.createTable(f"{self.database}.{table}", path=path, source="parquet", schema=schema)
+        # no data is written: the snapshot folder appears with the first append
+        self.spark.catalog.createTable(
+            f"{self.database}.{table}", path=self.snapshot_path(table), source="parquet", schema=nullable(schema)
+        )
         return True
 
     def drop(self, table: str) -> None:
@@ -173,6 +179,7 @@ class Warehouse:
 
     def adopt(self, table: str, path: str, schema: StructType) -> None:
         """Publish an already written snapshot directory as the table's content (atomic)."""
+        schema = nullable(schema)
         if not self.exists(table):
             self.spark.catalog.createTable(f"{self.database}.{table}", path=path, source="parquet", schema=schema)
             return
@@ -206,7 +213,7 @@ class Warehouse:
         path = self.snapshot_path(table)
         out, obs = counted(df)
         out.write.mode("errorifexists").parquet(path)
-        self.adopt(table, path, self.spark.read.parquet(path).schema)
+        self.adopt(table, path, nullable(df.schema))
         return int(obs.get["rows"])
 
     def upsert(

@@ -21,10 +21,9 @@ from pyspark.sql import functions as F
 
 from flowtable.errors import SchemaDriftError
 from flowtable.operators.changes import key_conflicts
-from flowtable.operators.incremental import advance_mark, incremental_filter, mark_metrics, require_key
+from flowtable.operators.incremental import incremental_filter, require_key, typed_mark
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
 from flowtable.operators.runlog import format_alert
-from flowtable.operators.schema import drift_messages
 from flowtable.operators.sinks import Warehouse
 from flowtable.operators.transform import run_sql_transform
 from flowtable.plans.spec import LoadSpec
@@ -32,14 +31,22 @@ from flowtable.plans.state import RunState
 from flowtable.sources.files import read_source
 
 
-def stage_and_measure(spark: SparkSession, df: DataFrame, spec: LoadSpec, stage: str) -> tuple[DataFrame, dict]:
-    """Write the increment to ``stage`` while measuring it; returns (staged frame, metrics)."""
+def stage_and_measure(
+    spark: SparkSession, df: DataFrame, spec: LoadSpec, stage: str, mark: str | None = None
+) -> tuple[DataFrame, dict]:
+    """Write the increment to ``stage`` while measuring it; returns (staged frame, metrics).
+
+    The new mark is ``greatest(max(key), old mark)`` so it never moves backwards.
+    """
     key = spec.source.incremental_key
     checks = spec.quality.checks if spec.quality.enabled else []
     plain, _ = check_metrics(df, checks)
     measures = {"_rows": F.count(F.lit(1))}
     if key:
-        measures["_mark"] = mark_metrics(key)["mark"]
+        new = F.max(F.col(key))
+        if mark is not None:
+            new = F.greatest(new, typed_mark(df, key, mark))
+        measures["_mark"] = new.cast("string")
     measures.update(plain)
     obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
     df.observe(obs, *[e.alias(k) for k, e in measures.items()]).write.mode("errorifexists").parquet(stage)
@@ -80,33 +87,31 @@ def run_load(
             df = incremental_filter(df, key, mark)
 
         stage = warehouse.stage_path(table, run_id)
-        staged, metrics = stage_and_measure(spark, df, spec, stage)
+        staged, metrics = stage_and_measure(spark, df, spec, stage, mark)
         rows_extracted = int(metrics["_rows"])
 
         checks = spec.quality.checks if spec.quality.enabled else []
         raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
 
-        if not force:
-            drift = drift_messages(state.schema_drift(spec.name, staged.schema))
-            if drift:
-                raise SchemaDriftError("Schema drift detected:\n" + "\n".join(f"  - {d}" for d in drift))
+        drift, stored_before = state.drift_report(spec.name, staged.schema)
+        if drift and not force:
+            raise SchemaDriftError("Schema drift detected:\n" + "\n".join(f"  - {d}" for d in drift))
 
         rows_loaded = _publish(warehouse, table, spec, staged, stage, rows_extracted)
-        state.store_schema(spec.name, staged.schema)
+        if drift or not stored_before:  # the snapshot changes only when the column set does
+            state.store_schema(spec.name, staged.schema)
         if key and metrics.get("_mark") is not None:
-            state.set_mark(spec.name, key, advance_mark(staged, key, mark, metrics["_mark"]), run_id)
+            state.set_mark(spec.name, key, metrics["_mark"], run_id)
 
         if spec.transform and spec.transform.sql:
             run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
 
         duration = round(time.time() - start, 2)
         state.log_run(run_id, spec.name, "SUCCESS", rows_extracted, rows_loaded, duration, None)
-        state.set_status(spec.name, "SUCCESS")
         return _result("success", rows_extracted, rows_loaded, duration, None, run_id)
     except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
         duration = round(time.time() - start, 2)
         state.log_run(run_id, spec.name, "FAILED", rows_extracted, rows_loaded, duration, str(exc))
-        state.set_status(spec.name, "FAILED")
         if on_failure is not None:
             try:
                 on_failure(format_alert(spec.name, run_id, str(exc)))

@@ -8,6 +8,7 @@ few files when many small appends have piled up.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 from collections.abc import Sequence
@@ -26,9 +27,8 @@ from pyspark.sql.types import (
 )
 
 from flowtable.functions.columns import utc_now
-from flowtable.operators.changes import track_versions
 from flowtable.operators.runlog import run_health
-from flowtable.operators.schema import schema_drift, schema_rows
+from flowtable.operators.schema import drift_lines, schema_compare, schema_drift, schema_rows
 from flowtable.operators.sinks import Warehouse
 
 S, L, TS = StringType(), LongType(), TimestampNTZType()
@@ -48,7 +48,6 @@ RUNS = StructType(
 REGISTRY = StructType(
     [
         StructField("pipeline_name", S),
-        StructField("event", S),  # register | status
         StructField("owner", S),
         StructField("source_type", S),
         StructField("source_identifier", S),
@@ -57,8 +56,7 @@ REGISTRY = StructType(
         StructField("schedule", S),
         StructField("load_mode", S),
         StructField("is_active", BooleanType()),
-        StructField("status", S),
-        StructField("event_at", TS),
+        StructField("registered_at", TS),
         StructField("seq", L),
     ]
 )
@@ -115,7 +113,7 @@ class RunState:
             warehouse.ensure_table(name, schema)
 
     def _append(self, table: str, rows: list[tuple]) -> None:
-        self.wh.append(table, self.spark.createDataFrame(rows, TABLES[table]))
+        self.wh.append(table, self.spark.createDataFrame(rows, TABLES[table]).coalesce(1))
 
     @staticmethod
     def tables() -> list[str]:
@@ -147,36 +145,34 @@ class RunState:
 
     # -- registry
     def register(self, spec) -> None:
+        """Record the spec's current fields; the latest registration wins, the first sets created_at."""
         self._append(
             "meta_registry",
-            [(spec.name, "register", spec.owner, spec.source.type, spec.source.identifier,
-              spec.destination.schema, spec.destination.table, spec.schedule, spec.load_mode,
-              True, None, utc_now(), _seq())],
-        )
-
-    def set_status(self, pipeline_name: str, status: str) -> None:
-        self._append(
-            "meta_registry",
-            [(pipeline_name, "status", None, None, None, None, None, None, None, None, status, utc_now(), _seq())],
+            [(spec.name, spec.owner, spec.source.type, spec.source.identifier, spec.destination.schema,
+              spec.destination.table, spec.schedule, spec.load_mode, True, utc_now(), _seq())],
         )
 
     def pipelines(self) -> DataFrame:
-        """One row per registered name: latest registration fields, first creation time,
-        last run time and status (NULL if never run)."""
-        ev = self.table("meta_registry")
-        order = F.struct("event_at", "seq")
-        reg = F.col("event") == "register"
-        st = F.col("event") == "status"
-        latest_reg = F.when(reg, order)
+        """One row per registered name: latest registration fields, creation time, and the last
+        run's time and status from the run log (NULL if it never ran)."""
+        reg = self.table("meta_registry")
+        order = F.struct("registered_at", "seq")
         fields = ["owner", "source_type", "source_identifier", "destination_schema", "destination_table",
                   "schedule", "load_mode", "is_active"]
-        return ev.groupBy("pipeline_name").agg(
-            *[F.max_by(F.col(c), latest_reg).alias(c) for c in fields],
-            F.min(F.when(reg, F.col("event_at"))).alias("created_at"),
-            F.max("event_at").alias("updated_at"),
-            F.max(F.when(st, F.col("event_at"))).alias("last_run_at"),
-            F.max_by(F.col("status"), F.when(st, order)).alias("last_status"),
-        ).where(F.col("owner").isNotNull() | F.col("created_at").isNotNull())
+        latest = reg.groupBy("pipeline_name").agg(
+            *[F.max_by(F.col(c), order).alias(c) for c in fields],
+            F.min("registered_at").alias("created_at"),
+            F.max("registered_at").alias("_registered_at"),
+        )
+        last_run = self.runs().groupBy("pipeline_name").agg(
+            F.max("run_timestamp").alias("last_run_at"),
+            F.max_by("status", "run_timestamp").alias("last_status"),
+        )
+        return (
+            latest.join(last_run, "pipeline_name", "left")
+            .withColumn("updated_at", F.greatest("_registered_at", "last_run_at"))
+            .select("pipeline_name", *fields, "created_at", "updated_at", "last_run_at", "last_status")
+        )
 
     def health(self) -> DataFrame:
         """Health summary: every registered name joined with its run statistics."""
@@ -198,6 +194,14 @@ class RunState:
     def schema_drift(self, pipeline_name: str, schema: StructType) -> DataFrame:
         return schema_drift(self.stored_schema(pipeline_name), schema_rows(self.spark, schema))
 
+    def drift_report(self, pipeline_name: str, schema: StructType) -> tuple[list[str], bool]:
+        """(drift messages, whether a schema was stored before) in one small job."""
+        rows = schema_compare(self.stored_schema(pipeline_name), schema_rows(self.spark, schema)).collect()
+        stored_before = any(r["stored_type"] is not None for r in rows)
+        if not stored_before:
+            return [], False
+        return drift_lines([r for r in rows if r["change"] is not None]), True
+
     # -- high-water marks
     def get_mark(self, pipeline_name: str, key: str) -> str | None:
         row = (
@@ -218,16 +222,22 @@ class RunState:
 
     # -- spec versions
     def track_version(self, spec) -> bool:
-        """Append a version row when the spec's tracked fields changed.  True if recorded."""
+        """Append a version row when the spec's tracked fields changed.  True if recorded.
+
+        The fingerprint is the first 16 hex chars of SHA-256 over the sorted-key JSON of the
+        tracked fields (the same digest ``fingerprint(col, sep="")`` gives in Spark).
+        """
         snapshot = json.dumps(spec.tracked_fields(), sort_keys=True)
-        incoming = self.spark.createDataFrame([(spec.name, snapshot)], "pipeline_name string, config_snapshot string")
-        fresh = track_versions(self.table("meta_versions"), incoming, ["pipeline_name"], ["config_snapshot"],
-                               order_by=["recorded_at", "seq"], hash_col="version_hash", sep="")
-        rows = fresh.select("pipeline_name", "version_hash", "config_snapshot").collect()
-        if not rows:
+        digest = hashlib.sha256(snapshot.encode("utf-8")).hexdigest()[:16]
+        last = (
+            self.table("meta_versions")
+            .where(F.col("pipeline_name") == F.lit(spec.name))
+            .agg(F.max_by("version_hash", F.struct("recorded_at", "seq")).alias("h"))
+            .first()
+        )
+        if last is not None and last["h"] == digest:
             return False
-        now, seq = utc_now(), _seq()
-        self._append("meta_versions", [(r[0], r[1], r[2], now, seq) for r in rows])
+        self._append("meta_versions", [(spec.name, digest, snapshot, utc_now(), _seq())])
         return True
 
     def versions(self) -> DataFrame:

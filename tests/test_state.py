@@ -24,13 +24,14 @@ def test_register_upserts_and_keeps_created_at(spark, wh):
     assert rows[0].last_status is None and rows[0].source_identifier == "/x.csv"
 
 
-def test_status_updates_overwrite_previous(spark, wh):
+def test_last_status_follows_latest_run(spark, wh):
     st = RunState(wh)
     st.register(spec("p"))
-    st.set_status("p", "SUCCESS")
-    st.set_status("p", "FAILED")
+    st.log_run("1", "p", "SUCCESS", 1, 1, 0.1, None)
+    assert st.pipelines().first().last_status == "SUCCESS"
+    st.log_run("2", "p", "FAILED", 1, 0, 0.1, "x")
     row = st.pipelines().first()
-    assert row.last_status == "FAILED" and row.last_run_at is not None
+    assert row.last_status == "FAILED" and row.last_run_at is not None and row.updated_at >= row.created_at
 
 
 def test_registered_names_sorted(spark, wh):
