@@ -12,7 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
+
 from flowtable.functions.columns import fingerprint
+from flowtable.session import checkpoint
 
 
 def _order_struct(order_by: Sequence[str]):
@@ -41,20 +44,58 @@ def changed_rows(
     order_by: Sequence[str],
     value: str,
     previous_alias: str = "previous_value",
+    parts: int | None = None,
 ) -> DataFrame:
     """Rows whose ``value`` differs from the previous row of the same key, plus each key's first row.
 
     ``order_by`` must make the order within a key total (add a unique tie-break column).
+
+    A plain ``lag`` window sends every row of a key to one task, so a key holding a third of
+    the data would be one straggler task.  Instead the rows are range-partitioned on
+    ``keys + order_by`` (a hot key is cut into consecutive slices spread over several
+    tasks), the partition id is pinned with a reliable checkpoint, and ``lag`` runs per
+    (key, slice) -- groups no larger than one range partition.  Only the first row of a
+    slice can have its predecessor in an earlier partition; those at most ``parts - 1``
+    boundary rows are patched from a table of each partition's last row (one row per
+    partition: a size-proven broadcast).
     """
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_by])
-    prev = F.lag(F.col(value)).over(w)
-    first = F.row_number().over(w) == 1
-    return (
-        df.withColumn(previous_alias, prev)
-        .withColumn("_first", first)
-        .where(F.col("_first") | ~F.col(value).eqNullSafe(F.col(previous_alias)))
-        .drop("_first")
+    spark = df.sparkSession
+    keys, order_by = list(keys), list(order_by)
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + order_by]).withColumn("_slice", F.spark_partition_id())
+    tagged = checkpoint(ranged)
+
+    # last row of every non-empty partition (one row per partition)
+    tail_cols = [F.col(c) for c in keys] + [F.col(value)]
+    tails = (
+        tagged.groupBy("_slice")
+        .agg(F.max_by(F.struct(*tail_cols), F.struct(*[F.col(c) for c in keys + order_by])).alias("_t"))
+        .select("_slice", *[F.col(f"_t.{c}").alias(f"_pk_{c}") for c in keys], F.col(f"_t.{value}").alias("_pv"))
+        .collect()
     )
+    # predecessor of each partition = last row of the nearest earlier non-empty partition
+    bounds, last = [], None
+    for row in sorted(tails, key=lambda r: r["_slice"]):
+        if last is not None:
+            bounds.append((row["_slice"], True, *[last[f"_pk_{c}"] for c in keys], last["_pv"]))
+        last = row
+    fields = [StructField("_slice", IntegerType(), False), StructField("_has_pred", BooleanType(), False)]
+    fields += [StructField(f"_pk_{c}", df.schema[c].dataType, True) for c in keys]
+    fields += [StructField("_pv", df.schema[value].dataType, True)]
+    boundary = spark.createDataFrame(bounds, StructType(fields))
+
+    w = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c) for c in order_by])
+    local = tagged.withColumn("_prev", F.lag(F.col(value)).over(w)).withColumn("_slice_first", F.row_number().over(w) == 1)
+    joined = local.join(F.broadcast(boundary), "_slice", "left")
+    # a slice's first row continues its key when the previous partition ended with that key
+    continues = F.col("_slice_first") & F.coalesce(F.col("_has_pred"), F.lit(False))
+    for c in keys:
+        continues = continues & F.col(c).eqNullSafe(F.col(f"_pk_{c}"))
+    prev = F.when(continues, F.col("_pv")).otherwise(F.col("_prev"))
+    first = F.col("_slice_first") & ~continues
+    out = joined.withColumn(previous_alias, prev).withColumn("_first", first)
+    out = out.where(F.col("_first") | ~F.col(value).eqNullSafe(F.col(previous_alias)))
+    return out.select(*df.columns, previous_alias)
 
 
 def version_changes(
@@ -64,9 +105,15 @@ def version_changes(
     tracked: Sequence[str],
     sep: str | None = "|",
     hash_col: str = "version_hash",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Fingerprint the tracked columns of each row and keep the rows where it changed per key."""
-    hashed = df.withColumn(hash_col, fingerprint(*tracked, sep=sep))
+    """Fingerprint the tracked columns of each row and keep the rows where it changed per key.
+
+    ``keep`` lists extra columns to carry into the result (default: all); only keys, order
+    columns, ``keep`` and the fingerprint flow through the shuffles.
+    """
+    carry = [c for c in (df.columns if keep is None else keep) if c not in (*keys, *order_by)]
+    hashed = df.select(*keys, *order_by, *carry, fingerprint(*tracked, sep=sep).alias(hash_col))
     return changed_rows(hashed, keys, order_by, hash_col, previous_alias="previous_hash")
 
 

@@ -240,6 +240,15 @@ class Warehouse:
         """Set columns of existing keys; published as a new snapshot.  Returns the row count."""
         return self.overwrite(table, update_rows(self.read(table), updates, keys, set_cols))
 
+    def execute(self, sql: str, params=None) -> DataFrame:
+        """Run one statement with bound parameters in this database (values never enter the text)."""
+        previous = self.spark.catalog.currentDatabase()
+        self.spark.catalog.setCurrentDatabase(self.database)
+        try:
+            return self.spark.sql(sql, args=params) if params else self.spark.sql(sql)
+        finally:
+            self.spark.catalog.setCurrentDatabase(previous)
+
     def replace_from_sql(self, table: str, select_sql: str, params=None) -> int:
         """Rebuild a derived table from a SELECT (CTAS replace)."""
         df = self.spark.sql(select_sql, args=params) if params else self.spark.sql(select_sql)

@@ -26,7 +26,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from flowtable.functions.columns import utc_now
+from flowtable.functions.columns import status_symbol, utc_now
 from flowtable.operators.runlog import run_health
 from flowtable.operators.schema import drift_lines, schema_compare, schema_drift, schema_rows
 from flowtable.operators.sinks import Warehouse
@@ -176,7 +176,8 @@ class RunState:
 
     def health(self) -> DataFrame:
         """Health summary: every registered name joined with its run statistics."""
-        return run_health(self.runs(), registered=self.pipelines()).orderBy("pipeline_name")
+        report = run_health(self.runs(), registered=self.pipelines())
+        return report.withColumn("indicator", status_symbol("last_status")).orderBy("pipeline_name")
 
     # -- schema snapshots
     def store_schema(self, pipeline_name: str, schema: StructType) -> None:

@@ -122,7 +122,7 @@ def q_update_by_key(spark, sf):
 
 def q_version_changes(spark, sf):
     changed = version_changes(
-        _t(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderstatus", "o_orderpriority"], sep="|"
+        _t(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderstatus", "o_orderpriority"], sep="|", keep=[]
     )
     return changed.select("o_custkey", "o_orderkey", "o_orderdate", "version_hash", "previous_hash")
 

@@ -46,3 +46,23 @@ def test_duplicate_keys_and_conflicts(spark):
     assert [(r.o, r.l, r.n_rows) for r in duplicate_keys(df, ["o", "l"]).collect()] == [(1, 1, 2)]
     rows = key_conflicts(df, "o", "s").collect()
     assert [(r.o, r.n_owners, r.first_owner) for r in rows] == [(1, 2, 7)]
+
+
+def test_changed_rows_hot_key_split_across_partitions(spark):
+    """One key with most rows is cut into range slices; results equal the plain lag definition."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    hot = spark.range(0, 5000).select(F.lit(7).alias("k"), F.col("id").alias("t"), (F.col("id") / 3).cast("int").cast("string").alias("v"))
+    cold = spark.range(0, 300).select((F.col("id") % 13).alias("k"), F.col("id").alias("t"), (F.col("id") % 2).cast("string").alias("v"))
+    nulls = spark.range(0, 50).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("t"), F.lit(None).cast("string").alias("v"))
+    df = hot.unionByName(cold).unionByName(nulls)
+    got = changed_rows(df, ["k"], ["t"], "v", parts=16)
+    w = Window.partitionBy("k").orderBy("t")
+    want = (df.withColumn("previous_value", F.lag("v").over(w)).withColumn("rn", F.row_number().over(w))
+              .where((F.col("rn") == 1) | ~F.col("v").eqNullSafe(F.col("previous_value"))).drop("rn"))
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # the hot key really was spread over several slices
+    sliced = df.repartitionByRange(16, "k", "t").withColumn("s", F.spark_partition_id())
+    assert sliced.where("k = 7").select("s").distinct().count() > 4

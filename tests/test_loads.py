@@ -188,3 +188,21 @@ def test_parquet_source_filter_reaches_scan(spark, wh):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
     assert F is not None
+
+
+def test_run_all_checks_conflicts_then_runs_in_name_order(spark, wh, write_csv):
+    import pytest
+
+    from flowtable.plans.runner import run_all
+
+    path = write_csv("o.csv", ORDERS)
+    bad = write_csv("bad.csv", "order_id,amount\n1,-5\n")
+    with pytest.raises(ValueError, match="raw_dup"):
+        run_all(spark, [spec(path, name="dup"), LoadSpec("dup2", "x", SourceSpec("csv", path=path), DestinationSpec("raw", "dup"))], wh)
+    specs = [spec(path, name="c_last"), spec(bad, name="b_bad", checks=[Check("pos", "amount", "greater_than")]), spec(path, name="a_first")]
+    results = run_all(spark, specs, wh)
+    assert [r["pipeline_name"] for r in results] == ["a_first", "b_bad"]
+    assert results[-1]["status"] == "failed"
+    health = {r.pipeline_name: r for r in RunState(wh).health().collect()}
+    assert health["a_first"].indicator == "✓" and health["b_bad"].indicator == "✗"
+    assert "c_last" not in health

@@ -109,3 +109,10 @@ def test_sql_transform_from_file(spark, wh, tmp_path):
     assert wh.read("derived").count() == 2
     with pytest.raises(FileNotFoundError):
         run_sql_transform(wh, str(tmp_path / "missing.sql"))
+
+
+def test_parameterised_statement_is_quote_safe(spark, wh):
+    wh.ensure_table("owners", spark.createDataFrame([], "name string, owner string").schema)
+    wh.execute("INSERT INTO owners VALUES (?, ?)", ["o'brien pipe", "it's me"]).collect()
+    rows = wh.execute("SELECT owner FROM owners WHERE name = :n", {"n": "o'brien pipe"}).collect()
+    assert [r.owner for r in rows] == ["it's me"]
