@@ -1,13 +1,16 @@
 """One table load end to end, and many loads in name order.
 
-    source -> key > mark -> staged write (row count, new mark and quality metrics observed
-    in the same pass) -> quality gate -> drift gate -> publish -> schema snapshot -> mark
-    -> SQL transform -> run record
-
-The source is read exactly once: the staged parquet is the frozen increment that the
-gates judge and that gets published (zero-copy for an overwrite).  Only a ``unique`` check
-reads the stage again, column-pruned, because an observation cannot hold DISTINCT.
-Failures are caught, logged as FAILED and returned, never raised.
+    probe (last version, mark, stored schema vs incoming: one query)
+    -> key > mark -> [quality checks: staged write measuring rows, mark and rule
+    violations in the same pass -> quality gate] -> drift gate -> publish -> SQL transform
+    -> one journal append with every state event of the load
+
+The source is read exactly once.  With quality rules the staged parquet is the frozen
+increment that the gate judges and that gets published (zero-copy for an overwrite); only a
+``unique`` rule reads the stage again, column-pruned, because an observation cannot hold
+DISTINCT.  Without rules the data is written straight to the table, still measured while
+written.  The drift gate needs only schemas, so a drifted source fails before it is read.
+Failures are caught, recorded as FAILED and returned, never raised.
 """
 
 from __future__ import annotations
@@ -24,30 +27,31 @@ from flowtable.operators.changes import key_conflicts
 from flowtable.operators.incremental import incremental_filter, require_key, typed_mark
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
 from flowtable.operators.runlog import format_alert
-from flowtable.operators.sinks import Warehouse
+from flowtable.operators.sinks import Warehouse, align_by_name, nullable
 from flowtable.operators.transform import run_sql_transform
 from flowtable.plans.spec import LoadSpec
 from flowtable.plans.state import RunState
 from flowtable.sources.files import read_source
 
 
-def stage_and_measure(
-    spark: SparkSession, df: DataFrame, spec: LoadSpec, stage: str, mark: str | None = None
-) -> tuple[DataFrame, dict]:
-    """Write the increment to ``stage`` while measuring it; returns (staged frame, metrics).
-
-    The new mark is ``greatest(max(key), old mark)`` so it never moves backwards.
-    """
-    key = spec.source.incremental_key
-    checks = spec.quality.checks if spec.quality.enabled else []
-    plain, _ = check_metrics(df, checks)
+def _load_measures(df: DataFrame, key: str | None, mark: str | None) -> dict:
+    """Row count and the new mark (``greatest(max(key), old mark)``: it never moves backwards)."""
     measures = {"_rows": F.count(F.lit(1))}
     if key:
         new = F.max(F.col(key))
         if mark is not None:
             new = F.greatest(new, typed_mark(df, key, mark))
         measures["_mark"] = new.cast("string")
-    measures.update(plain)
+    return measures
+
+
+def stage_and_measure(
+    spark: SparkSession, df: DataFrame, spec: LoadSpec, stage: str, mark: str | None = None
+) -> tuple[DataFrame, dict]:
+    """Write the increment to ``stage`` while measuring it; returns (staged frame, metrics)."""
+    checks = spec.quality.checks if spec.quality.enabled else []
+    plain, _ = check_metrics(df, checks)
+    measures = {**_load_measures(df, spec.source.incremental_key, mark), **plain}
     obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
     df.observe(obs, *[e.alias(k) for k, e in measures.items()]).write.mode("errorifexists").parquet(stage)
     metrics = dict(obs.get)
@@ -68,65 +72,78 @@ def run_load(
     on_failure: Callable[[str], None] | None = None,
     run_id: str | None = None,
 ) -> dict:
-    """Run one load.  ``source`` overrides reading ``spec.source`` (e.g. a frame from a stream)."""
-    state = state or RunState(warehouse)
-    state.register(spec)
-    state.track_version(spec)
+    """Run one load.  ``source`` overrides reading ``spec.source`` (e.g. a frame from a stream).
 
+    Never raises for a failed load: the failure is recorded and returned.  All state events of
+    the load are appended in one write at the end.
+    """
+    state = state or RunState(warehouse)
     run_id = run_id or str(uuid.uuid4())
     start = time.time()
     rows_extracted = rows_loaded = 0
     table = spec.destination.physical
-    try:
-        df = source if source is not None else read_source(spark, spec.source)
-        key = spec.source.incremental_key
-        mark = None
-        if key:
-            require_key(df, key)
-            mark = state.get_mark(spec.name, key)
-            df = incremental_filter(df, key, mark)
-
-        stage = warehouse.stage_path(table, run_id)
-        staged, metrics = stage_and_measure(spark, df, spec, stage, mark)
-        rows_extracted = int(metrics["_rows"])
-
-        checks = spec.quality.checks if spec.quality.enabled else []
-        raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
-
-        drift, stored_before = state.drift_report(spec.name, staged.schema)
-        if drift and not force:
-            raise SchemaDriftError("Schema drift detected:\n" + "\n".join(f"  - {d}" for d in drift))
-
-        rows_loaded = _publish(warehouse, table, spec, staged, stage, rows_extracted)
-        if drift or not stored_before:  # the snapshot changes only when the column set does
-            state.store_schema(spec.name, staged.schema)
-        if key and metrics.get("_mark") is not None:
-            state.set_mark(spec.name, key, metrics["_mark"], run_id)
-
-        if spec.transform and spec.transform.sql:
-            run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
-
-        duration = round(time.time() - start, 2)
-        state.log_run(run_id, spec.name, "SUCCESS", rows_extracted, rows_loaded, duration, None)
-        return _result("success", rows_extracted, rows_loaded, duration, None, run_id)
-    except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
-        duration = round(time.time() - start, 2)
-        state.log_run(run_id, spec.name, "FAILED", rows_extracted, rows_loaded, duration, str(exc))
-        if on_failure is not None:
-            try:
-                on_failure(format_alert(spec.name, run_id, str(exc)))
-            except Exception:  # noqa: BLE001 - delivery problems never hide the load error
-                pass
-        return _result("failed", rows_extracted, rows_loaded, duration, str(exc), run_id)
+    checks = spec.quality.checks if spec.quality.enabled else []
+    with state.deferred():
+        state.register(spec)
+        try:
+            df = source if source is not None else read_source(spark, spec.source)
+            key = spec.source.incremental_key
+            if key:
+                require_key(df, key)
+            probe = state.probe(spec, df.schema)  # version, mark and schema comparison: one query
+            state.record_version(spec, probe.version_hash)
+            if key:
+                df = incremental_filter(df, key, probe.mark)
+            drift_error = (
+                SchemaDriftError("Schema drift detected:\n" + "\n".join(f"  - {d}" for d in probe.drift))
+                if probe.drift and not force
+                else None
+            )
+
+            if checks:
+                stage = warehouse.stage_path(table, run_id)
+                staged, metrics = stage_and_measure(spark, df, spec, stage, probe.mark)
+                rows_extracted = int(metrics["_rows"])
+                raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
+                if drift_error:
+                    raise drift_error
+                rows_loaded = _publish(warehouse, table, spec, staged, stage, rows_extracted)
+            else:
+                if drift_error:  # schema-only gate: fails before any data is read
+                    raise drift_error
+                rows_loaded, metrics = _publish_direct(warehouse, table, spec, df, probe.mark)
+                rows_extracted = rows_loaded
+
+            if probe.drift or not probe.stored_before:  # the snapshot changes only with the column set
+                state.store_schema(spec.name, df.schema)
+            if key and metrics.get("_mark") is not None:
+                state.set_mark(spec.name, key, metrics["_mark"], run_id)
+
+            if spec.transform and spec.transform.sql:
+                run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
+
+            duration = round(time.time() - start, 2)
+            state.log_run(run_id, spec.name, "SUCCESS", rows_extracted, rows_loaded, duration, None)
+            return _result("success", rows_extracted, rows_loaded, duration, None, run_id)
+        except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
+            duration = round(time.time() - start, 2)
+            state.log_run(run_id, spec.name, "FAILED", rows_extracted, rows_loaded, duration, str(exc))
+            if on_failure is not None:
+                try:
+                    on_failure(format_alert(spec.name, run_id, str(exc)))
+                except Exception:  # noqa: BLE001 - delivery problems never hide the load error
+                    pass
+            return _result("failed", rows_extracted, rows_loaded, duration, str(exc), run_id)
 
 
 def _publish(warehouse: Warehouse, table: str, spec: LoadSpec, staged: DataFrame, stage: str, rows: int) -> int:
+    """Publish a staged increment (zero-copy for an overwrite whose schema matches)."""
     if spec.load_mode == "overwrite":
         if spec.source.incremental_key and rows == 0:
             warehouse.ensure_table(table, staged.schema)
             return 0  # nothing new: keep the current snapshot instead of emptying the table
-        if not warehouse.exists(table) or warehouse.schema(table) == staged.schema:
-            warehouse.adopt(table, stage, staged.schema)  # zero-copy publish
+        if not warehouse.exists(table) or warehouse.schema(table) == nullable(staged.schema):
+            warehouse.adopt(table, stage, staged.schema)
             return rows
         return warehouse.overwrite(table, staged)
     if rows == 0:
@@ -135,6 +152,26 @@ def _publish(warehouse: Warehouse, table: str, spec: LoadSpec, staged: DataFrame
     return warehouse.append(table, staged)
 
 
+def _publish_direct(warehouse: Warehouse, table: str, spec: LoadSpec, df: DataFrame, mark: str | None) -> tuple[int, dict]:
+    """No gate needs the data: write it straight to the table, measuring while writing."""
+    obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+    measured = df.observe(obs, *[e.alias(k) for k, e in _load_measures(df, spec.source.incremental_key, mark).items()])
+    if spec.load_mode == "overwrite":
+        target = warehouse.schema(table) if warehouse.exists(table) else nullable(df.schema)
+        path = warehouse.snapshot_path(table)
+        align_by_name(measured, target).write.mode("errorifexists").parquet(path)
+        metrics = dict(obs.get)
+        if spec.source.incremental_key and int(metrics["_rows"]) == 0:
+            warehouse.ensure_table(table, target)
+            return 0, metrics  # keep the current snapshot
+        warehouse.adopt(table, path, target)
+        return int(metrics["_rows"]), metrics
+    warehouse.ensure_table(table, df.schema)
+    align_by_name(measured, warehouse.schema(table)).write.mode("append").insertInto(warehouse.qualified(table))
+    metrics = dict(obs.get)
+    return int(metrics["_rows"]), metrics
+
+
 def _result(status, extracted, loaded, duration, error, run_id) -> dict:
     return {
         "status": status,

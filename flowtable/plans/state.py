@@ -1,9 +1,16 @@
-"""Run state kept as append-only parquet tables in the warehouse.
-
-Every state change appends rows; reads take the latest row per key (``max_by`` over the
-record time and a sequence number).  Nothing is rewritten per run, so concurrent loads of
-different tables never contend for one snapshot.  ``compact`` rewrites a state table into
-few files when many small appends have piled up.
+"""Run state as one append-only journal table in the warehouse.
+
+Every state change is an event row: ``register`` (a spec's fields), ``run`` (one finished
+load), ``mark`` (a high-water mark), ``schema`` (one column of a schema snapshot) and
+``version`` (a changed spec fingerprint).  Nothing is ever rewritten, so concurrent loads of
+different tables never contend for a snapshot, and the usual tables -- registry, run log,
+marks, schemas, versions -- are views that take the latest event per key (``max_by`` over
+event time and a sequence number).
+
+A load buffers its events and appends them in one write when it finishes (success or
+failure), and reads everything it needs about its past (last version, mark, stored
+schema compared with the incoming one) in one small query.  ``compact`` rewrites the
+journal into few files when many small appends have piled up.
 """
 
 from __future__ import annotations
@@ -11,7 +18,8 @@ from __future__ import annotations
 import hashlib
 import json
 import time
-from collections.abc import Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,145 +41,158 @@ from flowtable.operators.sinks import Warehouse
 
 S, L, TS = StringType(), LongType(), TimestampNTZType()
 
-RUNS = StructType(
-    [
-        StructField("run_id", S),
-        StructField("pipeline_name", S),
-        StructField("run_timestamp", TS),
-        StructField("status", S),
-        StructField("rows_extracted", L),
-        StructField("rows_loaded", L),
-        StructField("execution_time_seconds", DoubleType()),
-        StructField("error_message", S),
-    ]
-)
-REGISTRY = StructType(
-    [
-        StructField("pipeline_name", S),
-        StructField("owner", S),
-        StructField("source_type", S),
-        StructField("source_identifier", S),
-        StructField("destination_schema", S),
-        StructField("destination_table", S),
-        StructField("schedule", S),
-        StructField("load_mode", S),
-        StructField("is_active", BooleanType()),
-        StructField("registered_at", TS),
-        StructField("seq", L),
-    ]
-)
-SCHEMAS = StructType(
-    [
-        StructField("pipeline_name", S),
-        StructField("snapshot_seq", L),
-        StructField("column_name", S),
-        StructField("column_type", S),
-        StructField("ordinal", IntegerType()),
-        StructField("stored_at", TS),
-    ]
-)
-MARKS = StructType(
-    [
-        StructField("pipeline_name", S),
-        StructField("incremental_key", S),
-        StructField("max_value", S),
-        StructField("recorded_at", TS),
-        StructField("seq", L),
-        StructField("run_id", S),
-    ]
-)
-VERSIONS = StructType(
-    [
-        StructField("pipeline_name", S),
-        StructField("version_hash", S),
-        StructField("config_snapshot", S),
-        StructField("recorded_at", TS),
-        StructField("seq", L),
-    ]
-)
-
-TABLES = {
-    "meta_runs": RUNS,
-    "meta_registry": REGISTRY,
-    "meta_schemas": SCHEMAS,
-    "meta_marks": MARKS,
-    "meta_versions": VERSIONS,
-}
+JOURNAL_TABLE = "meta_journal"
+_FIELDS = [
+    ("kind", S),
+    ("pipeline_name", S),
+    ("at", TS),
+    ("seq", L),
+    ("run_id", S),
+    # register
+    ("owner", S),
+    ("source_type", S),
+    ("source_identifier", S),
+    ("destination_schema", S),
+    ("destination_table", S),
+    ("schedule", S),
+    ("load_mode", S),
+    ("is_active", BooleanType()),
+    # run
+    ("status", S),
+    ("rows_extracted", L),
+    ("rows_loaded", L),
+    ("execution_time_seconds", DoubleType()),
+    ("error_message", S),
+    # mark
+    ("incremental_key", S),
+    ("max_value", S),
+    # schema
+    ("snapshot_seq", L),
+    ("column_name", S),
+    ("column_type", S),
+    ("ordinal", IntegerType()),
+    # version
+    ("version_hash", S),
+    ("config_snapshot", S),
+]
+JOURNAL = StructType([StructField(n, t) for n, t in _FIELDS])
+_INDEX = {n: i for i, (n, _) in enumerate(_FIELDS)}
+
+RUN_COLUMNS = ["run_id", "pipeline_name", "run_timestamp", "status", "rows_extracted", "rows_loaded",
+               "execution_time_seconds", "error_message"]
+REGISTRY_FIELDS = ["owner", "source_type", "source_identifier", "destination_schema", "destination_table",
+                   "schedule", "load_mode", "is_active"]
 
 
 def _seq() -> int:
     return time.time_ns()
 
 
+def _event(kind: str, pipeline_name: str, **values) -> tuple:
+    row = [None] * len(_FIELDS)
+    row[_INDEX["kind"]] = kind
+    row[_INDEX["pipeline_name"]] = pipeline_name
+    row[_INDEX["at"]] = values.pop("at", None) or utc_now()
+    row[_INDEX["seq"]] = values.pop("seq", None) or _seq()
+    for k, v in values.items():
+        row[_INDEX[k]] = v
+    return tuple(row)
+
+
+def spec_fingerprint(spec) -> tuple[str, str]:
+    """(16-hex SHA-256 of the sorted-key JSON of the tracked fields, that JSON)."""
+    snapshot = json.dumps(spec.tracked_fields(), sort_keys=True)
+    return hashlib.sha256(snapshot.encode("utf-8")).hexdigest()[:16], snapshot
+
+
+@dataclass
+class Probe:
+    """What a load needs to know about its past, read in one query."""
+
+    version_hash: str | None
+    mark: str | None
+    drift: list[str]
+    stored_before: bool
+
+
 class RunState:
     """Registry, run log, schema snapshots, high-water marks and spec versions."""
 
     def __init__(self, warehouse: Warehouse) -> None:
         self.wh = warehouse
         self.spark = warehouse.spark
-        for name, schema in TABLES.items():
-            warehouse.ensure_table(name, schema)
-
-    def _append(self, table: str, rows: list[tuple]) -> None:
-        self.wh.append(table, self.spark.createDataFrame(rows, TABLES[table]).coalesce(1))
+        warehouse.ensure_table(JOURNAL_TABLE, JOURNAL)
+        self._pending: list[tuple] | None = None
+
+    # -- writing
+    def _add(self, rows: list[tuple]) -> None:
+        if self._pending is not None:
+            self._pending.extend(rows)
+        else:
+            self._write(rows)
+
+    def _write(self, rows: list[tuple]) -> None:
+        if rows:
+            self.wh.append(JOURNAL_TABLE, self.spark.createDataFrame(rows, JOURNAL).coalesce(1))
+
+    @contextmanager
+    def deferred(self):
+        """Collect events and append them in one write on exit (also when the body raises)."""
+        outer = self._pending
+        self._pending = [] if outer is None else outer
+        try:
+            yield self
+        finally:
+            if outer is None:
+                rows, self._pending = self._pending, None
+                self._write(rows)
+
+    # -- reading
+    def journal(self) -> DataFrame:
+        return self.wh.read(JOURNAL_TABLE)
+
+    def _kind(self, kind: str) -> DataFrame:
+        return self.journal().where(F.col("kind") == F.lit(kind))
 
     @staticmethod
     def tables() -> list[str]:
-        return list(TABLES)
-
-    def table(self, name: str) -> DataFrame:
-        return self.wh.read(name)
+        return [JOURNAL_TABLE]
 
     # -- run log
-    def log_run(
-        self,
-        run_id: str,
-        pipeline_name: str,
-        status: str,
-        rows_extracted: int,
-        rows_loaded: int,
-        execution_time_seconds: float,
-        error_message: str | None,
-    ) -> None:
-        """Append one run record; an absent error is stored as NULL."""
-        self._append(
-            "meta_runs",
-            [(run_id, pipeline_name, utc_now(), status, int(rows_extracted), int(rows_loaded),
-              float(execution_time_seconds), error_message)],
-        )
+    def log_run(self, run_id, pipeline_name, status, rows_extracted, rows_loaded, execution_time_seconds, error_message) -> None:
+        """Record one finished load; an absent error is stored as NULL."""
+        self._add([_event("run", pipeline_name, run_id=run_id, status=status, rows_extracted=int(rows_extracted),
+                          rows_loaded=int(rows_loaded), execution_time_seconds=float(execution_time_seconds),
+                          error_message=error_message)])
 
     def runs(self) -> DataFrame:
-        return self.table("meta_runs")
+        return self._kind("run").withColumnRenamed("at", "run_timestamp").select(*RUN_COLUMNS)
 
     # -- registry
     def register(self, spec) -> None:
         """Record the spec's current fields; the latest registration wins, the first sets created_at."""
-        self._append(
-            "meta_registry",
-            [(spec.name, spec.owner, spec.source.type, spec.source.identifier, spec.destination.schema,
-              spec.destination.table, spec.schedule, spec.load_mode, True, utc_now(), _seq())],
-        )
+        self._add([_event("register", spec.name, owner=spec.owner, source_type=spec.source.type,
+                          source_identifier=spec.source.identifier, destination_schema=spec.destination.schema,
+                          destination_table=spec.destination.table, schedule=spec.schedule,
+                          load_mode=spec.load_mode, is_active=True)])
 
     def pipelines(self) -> DataFrame:
         """One row per registered name: latest registration fields, creation time, and the last
         run's time and status from the run log (NULL if it never ran)."""
-        reg = self.table("meta_registry")
-        order = F.struct("registered_at", "seq")
-        fields = ["owner", "source_type", "source_identifier", "destination_schema", "destination_table",
-                  "schedule", "load_mode", "is_active"]
-        latest = reg.groupBy("pipeline_name").agg(
-            *[F.max_by(F.col(c), order).alias(c) for c in fields],
-            F.min("registered_at").alias("created_at"),
-            F.max("registered_at").alias("_registered_at"),
+        order = F.struct("at", "seq")
+        latest = self._kind("register").groupBy("pipeline_name").agg(
+            *[F.max_by(F.col(c), order).alias(c) for c in REGISTRY_FIELDS],
+            F.min("at").alias("created_at"),
+            F.max("at").alias("_registered_at"),
         )
-        last_run = self.runs().groupBy("pipeline_name").agg(
-            F.max("run_timestamp").alias("last_run_at"),
-            F.max_by("status", "run_timestamp").alias("last_status"),
+        last_run = self._kind("run").groupBy("pipeline_name").agg(
+            F.max("at").alias("last_run_at"),
+            F.max_by("status", order).alias("last_status"),
         )
         return (
             latest.join(last_run, "pipeline_name", "left")
             .withColumn("updated_at", F.greatest("_registered_at", "last_run_at"))
-            .select("pipeline_name", *fields, "created_at", "updated_at", "last_run_at", "last_status")
+            .select("pipeline_name", *REGISTRY_FIELDS, "created_at", "updated_at", "last_run_at", "last_status")
         )
 
     def health(self) -> DataFrame:
@@ -183,68 +204,92 @@ class RunState:
     def store_schema(self, pipeline_name: str, schema: StructType) -> None:
         """Record the whole column set as a new snapshot (it replaces the previous one)."""
         seq, now = _seq(), utc_now()
-        rows = [(pipeline_name, seq, f.name, f.dataType.simpleString(), i + 1, now) for i, f in enumerate(schema.fields)]
-        self._append("meta_schemas", rows)
+        self._add([
+            _event("schema", pipeline_name, at=now, seq=seq + i, snapshot_seq=seq, column_name=f.name,
+                   column_type=f.dataType.simpleString(), ordinal=i + 1)
+            for i, f in enumerate(schema.fields)
+        ])
 
     def stored_schema(self, pipeline_name: str) -> DataFrame:
         """Column rows of the latest snapshot; empty before the first load."""
-        mine = self.table("meta_schemas").where(F.col("pipeline_name") == F.lit(pipeline_name))
+        mine = self._kind("schema").where(F.col("pipeline_name") == F.lit(pipeline_name))
         latest = mine.agg(F.max("snapshot_seq").alias("snapshot_seq"))
         return mine.join(latest, "snapshot_seq", "left_semi").select("column_name", "column_type", "ordinal")
 
     def schema_drift(self, pipeline_name: str, schema: StructType) -> DataFrame:
         return schema_drift(self.stored_schema(pipeline_name), schema_rows(self.spark, schema))
 
-    def drift_report(self, pipeline_name: str, schema: StructType) -> tuple[list[str], bool]:
-        """(drift messages, whether a schema was stored before) in one small job."""
-        rows = schema_compare(self.stored_schema(pipeline_name), schema_rows(self.spark, schema)).collect()
-        stored_before = any(r["stored_type"] is not None for r in rows)
-        if not stored_before:
-            return [], False
-        return drift_lines([r for r in rows if r["change"] is not None]), True
-
     # -- high-water marks
+    def _mark_of(self, pipeline_name: str, key: str) -> DataFrame:
+        mine = self._kind("mark").where((F.col("pipeline_name") == F.lit(pipeline_name)) & (F.col("incremental_key") == F.lit(key)))
+        return mine.agg(F.max_by("max_value", F.struct("at", "seq")).alias("value"))
+
     def get_mark(self, pipeline_name: str, key: str) -> str | None:
-        row = (
-            self.table("meta_marks")
-            .where((F.col("pipeline_name") == F.lit(pipeline_name)) & (F.col("incremental_key") == F.lit(key)))
-            .agg(F.max_by("max_value", F.struct("recorded_at", "seq")).alias("m"))
-            .first()
-        )
-        return row["m"] if row else None
+        return self._mark_of(pipeline_name, key).first()["value"]
 
     def set_mark(self, pipeline_name: str, key: str, value: str, run_id: str | None = None) -> None:
-        self._append("meta_marks", [(pipeline_name, key, value, utc_now(), _seq(), run_id)])
+        self._add([_event("mark", pipeline_name, incremental_key=key, max_value=value, run_id=run_id)])
 
-    def has_succeeded(self, run_id: str) -> bool:
-        """Whether a run with this id already completed (replay guard for streaming batches)."""
-        runs = self.runs().where((F.col("run_id") == F.lit(run_id)) & (F.col("status") == "SUCCESS"))
-        return not runs.isEmpty()
+    def marks(self) -> DataFrame:
+        return self._kind("mark").select("pipeline_name", "incremental_key", "max_value", F.col("at").alias("recorded_at"), "run_id")
 
     # -- spec versions
-    def track_version(self, spec) -> bool:
-        """Append a version row when the spec's tracked fields changed.  True if recorded.
-
-        The fingerprint is the first 16 hex chars of SHA-256 over the sorted-key JSON of the
-        tracked fields (the same digest ``fingerprint(col, sep="")`` gives in Spark).
-        """
-        snapshot = json.dumps(spec.tracked_fields(), sort_keys=True)
-        digest = hashlib.sha256(snapshot.encode("utf-8")).hexdigest()[:16]
-        last = (
-            self.table("meta_versions")
-            .where(F.col("pipeline_name") == F.lit(spec.name))
-            .agg(F.max_by("version_hash", F.struct("recorded_at", "seq")).alias("h"))
-            .first()
-        )
-        if last is not None and last["h"] == digest:
+    def _last_version(self, pipeline_name: str) -> DataFrame:
+        mine = self._kind("version").where(F.col("pipeline_name") == F.lit(pipeline_name))
+        return mine.agg(F.max_by("version_hash", F.struct("at", "seq")).alias("value"))
+
+    def record_version(self, spec, last_hash: str | None) -> bool:
+        digest, snapshot = spec_fingerprint(spec)
+        if last_hash == digest:
             return False
-        self._append("meta_versions", [(spec.name, digest, snapshot, utc_now(), _seq())])
+        self._add([_event("version", spec.name, version_hash=digest, config_snapshot=snapshot)])
         return True
 
+    def track_version(self, spec) -> bool:
+        """Record a version event when the spec's tracked fields changed.  True if recorded."""
+        return self.record_version(spec, self._last_version(spec.name).first()["value"])
+
     def versions(self) -> DataFrame:
-        return self.table("meta_versions")
+        return self._kind("version").select("pipeline_name", "version_hash", "config_snapshot",
+                                            F.col("at").alias("recorded_at"), "seq")
+
+    # -- one-query probe for a load
+    def probe(self, spec, incoming: StructType) -> Probe:
+        """Last version hash, current mark and the schema comparison, in one small job."""
+        name = spec.name
+        key = spec.source.incremental_key
+        parts = [self._last_version(name).select(F.lit("version").alias("part"), F.col("value").alias("a"),
+                                                 F.lit(None).cast("string").alias("b"), F.lit(None).cast("string").alias("c"),
+                                                 F.lit(None).cast("string").alias("d"))]
+        if key:
+            parts.append(self._mark_of(name, key).select(F.lit("mark"), F.col("value"), F.lit(None).cast("string"),
+                                                         F.lit(None).cast("string"), F.lit(None).cast("string")))
+        cmp = schema_compare(self.stored_schema(name), schema_rows(self.spark, incoming))
+        parts.append(cmp.select(F.lit("schema"), "column_name", "change", "stored_type", "incoming_type"))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.union(p)
+        rows = out.collect()  # one row each for version and mark, one per column for the schema
+        version = next((r["a"] for r in rows if r["part"] == "version"), None)
+        mark = next((r["a"] for r in rows if r["part"] == "mark"), None)
+        cols = [{"column_name": r["a"], "change": r["b"], "stored_type": r["c"], "incoming_type": r["d"]}
+                for r in rows if r["part"] == "schema"]
+        stored_before = any(c["stored_type"] is not None for c in cols)
+        drift = drift_lines([c for c in cols if c["change"] is not None]) if stored_before else []
+        return Probe(version, mark, drift, stored_before)
+
+    def drift_report(self, pipeline_name: str, schema: StructType) -> tuple[list[str], bool]:
+        rows = schema_compare(self.stored_schema(pipeline_name), schema_rows(self.spark, schema)).collect()
+        stored_before = any(r["stored_type"] is not None for r in rows)
+        if not stored_before:
+            return [], False
+        return drift_lines([r for r in rows if r["change"] is not None]), True
+
+    def has_succeeded(self, run_id: str) -> bool:
+        """Whether a run with this id already completed (replay guard for streaming batches)."""
+        done = self._kind("run").where((F.col("run_id") == F.lit(run_id)) & (F.col("status") == "SUCCESS"))
+        return not done.isEmpty()
 
     # -- maintenance
-    def compact(self, names: Sequence[str] = tuple(TABLES), files: int = 1) -> None:
-        for name in names:
-            self.wh.overwrite(name, self.wh.read(name).coalesce(files))
+    def compact(self, files: int = 1) -> None:
+        self.wh.overwrite(JOURNAL_TABLE, self.journal().coalesce(files))

@@ -313,7 +313,7 @@ def events_spec(sf: str, transform: bool = False, mode: str = "append") -> LoadS
 
 def _runs_with_marks(state: RunState, name: str) -> DataFrame:
     runs = state.runs().where(F.col("pipeline_name") == name)
-    marks = state.table("meta_marks").where(F.col("pipeline_name") == name)
+    marks = state.marks().where(F.col("pipeline_name") == name)
     return runs.join(marks.select("run_id", "max_value"), "run_id", "left").select(
         "status",
         "rows_extracted",
