@@ -13,9 +13,11 @@ The frame-level operators (``align_by_name``, ``upsert_rows``, ``rows_absent_fro
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -126,14 +128,32 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 # ----------------------------------------------------------------------------- warehouse
 
 
+@dataclass(frozen=True)
+class Bucketing:
+    """Hash bucketing of a table's files by its key columns."""
+
+    columns: tuple[str, ...]
+    buckets: int
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 class Warehouse:
-    """A catalog database whose tables live as parquet snapshots under a shared root."""
+    """A catalog database whose tables live as parquet snapshots under a shared root.
+
+    Keyed tables (the targets of upsert, insert-if-absent and update) are bucketed by their
+    key, so joining them with a keyed increment shuffles only the increment: the table side
+    is read bucket by bucket, already partitioned by the join key.
+    """
 
     def __init__(self, spark: SparkSession, database: str = "flowtable", root: str | None = None) -> None:
         self.spark = spark
         self.database = database
         self.root = (root or f"{shared_root(spark)}/flowtable-warehouse/{database}").rstrip("/")
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}/_db'")
+        self._bucketing: dict[str, Bucketing | None] = {}
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)} LOCATION '{self.root}/_db'")
 
     @classmethod
     def scratch(cls, spark: SparkSession, tag: str = "tmp") -> "Warehouse":
@@ -142,7 +162,7 @@ class Warehouse:
 
     # -- naming and lookup
     def qualified(self, table: str) -> str:
-        return f"`{self.database}`.`{table}`"
+        return f"{_q(self.database)}.{_q(table)}"
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(f"{self.database}.{table}")
@@ -153,9 +173,23 @@ class Warehouse:
     def schema(self, table: str) -> StructType:
         return self.read(table).schema
 
+    def _describe(self, table: str) -> dict[str, str]:
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(table)}").collect()
+        return {r["col_name"]: r["data_type"] for r in rows}
+
     def location(self, table: str) -> str:
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.qualified(table)}").where("col_name = 'Location'").collect()
-        return rows[0]["data_type"]
+        return self._describe(table)["Location"]
+
+    def bucketing(self, table: str) -> Bucketing | None:
+        if table not in self._bucketing:
+            info = self._describe(table)
+            n = info.get("Num Buckets")
+            cols = tuple(c.replace("``", "`") for c in re.findall(r"`((?:[^`]|``)+)`", info.get("Bucket Columns", "")))
+            self._bucketing[table] = Bucketing(cols, int(n)) if n and cols and int(n) > 0 else None
+        return self._bucketing[table]
+
+    def default_buckets(self) -> int:
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def snapshot_path(self, table: str) -> str:
         return f"{self.root}/{table}/snap-{time.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
@@ -164,29 +198,63 @@ class Warehouse:
         return f"{self.root}/{table}/stage-{run_id}"
 
     # -- DDL
-    def ensure_table(self, table: str, schema: StructType) -> bool:
+    def _create(self, table: str, schema: StructType, path: str, bucketing: Bucketing | None) -> None:
+        schema = nullable(schema)
+        if bucketing is None:
+            self.spark.catalog.createTable(f"{self.database}.{table}", path=path, source="parquet", schema=schema)
+        else:
+            cols = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+            keys = ", ".join(_q(c) for c in bucketing.columns)
+            self.spark.sql(
+                f"CREATE TABLE {self.qualified(table)} ({cols}) USING parquet "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {bucketing.buckets} BUCKETS LOCATION '{path}'"
+            )
+        self._bucketing[table] = bucketing
+
+    def _write_snapshot(self, df: DataFrame, path: str, bucketing: Bucketing | None) -> None:
+        if bucketing is None:
+            df.write.mode("errorifexists").parquet(path)
+            return
+        # bucketed files can only be written through a catalog table; use a throwaway external one
+        tmp = f"{self.database}.{_q('_write_' + uuid.uuid4().hex[:12])}"
+        try:
+            (
+                df.write.bucketBy(bucketing.buckets, *bucketing.columns)
+                .sortBy(*bucketing.columns)
+                .option("path", path)
+                .saveAsTable(tmp)
+            )
+        finally:
+            self.spark.sql(f"DROP TABLE IF EXISTS {tmp}")  # external: the files stay
+
+    def ensure_table(
+        self, table: str, schema: StructType, bucket_by: Sequence[str] | None = None, buckets: int | None = None
+    ) -> bool:
         """Create the table with ``schema`` if absent (zero rows).  True if it was created."""
         if self.exists(table):
             return False
+        bucketing = Bucketing(tuple(bucket_by), buckets or self.default_buckets()) if bucket_by else None
         # no data is written: the snapshot folder appears with the first append
-        self.spark.catalog.createTable(
-            f"{self.database}.{table}", path=self.snapshot_path(table), source="parquet", schema=nullable(schema)
-        )
+        self._create(table, schema, self.snapshot_path(table), bucketing)
         return True
 
     def drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(table)}")
+        self._bucketing.pop(table, None)
+
+    def adopt(self, table: str, path: str, schema: StructType, bucketing: Bucketing | None = None) -> None:
+        """Publish an already written snapshot directory as the table's content (atomic).
 
-    def adopt(self, table: str, path: str, schema: StructType) -> None:
-        """Publish an already written snapshot directory as the table's content (atomic)."""
+        The files at ``path`` must be laid out with ``bucketing`` (the table's, if it exists).
+        """
         schema = nullable(schema)
         if not self.exists(table):
-            self.spark.catalog.createTable(f"{self.database}.{table}", path=path, source="parquet", schema=schema)
+            self._create(table, schema, path, bucketing)
             return
         if self.schema(table) != schema:
             # a replace that changes the schema: the catalog entry itself must be recreated
             self.drop(table)
-            self.spark.catalog.createTable(f"{self.database}.{table}", path=path, source="parquet", schema=schema)
+            self._create(table, schema, path, bucketing)
             return
         self.spark.sql(f"ALTER TABLE {self.qualified(table)} SET LOCATION '{path}'")
         self.spark.sql(f"REFRESH TABLE {self.qualified(table)}")
@@ -199,21 +267,34 @@ class Warehouse:
         aligned.write.mode("append").insertInto(self.qualified(table))
         return int(obs.get["rows"])
 
-    def overwrite(self, table: str, df: DataFrame) -> int:
-        """Replace all rows atomically (new snapshot + location swap).  Returns rows written."""
-        schema = self.schema(table) if self.exists(table) else df.schema
+    def overwrite(
+        self, table: str, df: DataFrame, bucket_by: Sequence[str] | None = None, buckets: int | None = None
+    ) -> int:
+        """Replace all rows atomically (new snapshot + location swap).  Returns rows written.
+
+        An existing table keeps its schema (rows are aligned by name) and bucketing; a new one
+        is bucketed by ``bucket_by`` when given.
+        """
+        if self.exists(table):
+            schema, bucketing = self.schema(table), self.bucketing(table)
+        else:
+            schema = df.schema
+            bucketing = Bucketing(tuple(bucket_by), buckets or self.default_buckets()) if bucket_by else None
         aligned, obs = counted(align_by_name(df, schema))
         path = self.snapshot_path(table)
-        aligned.write.mode("errorifexists").parquet(path)
-        self.adopt(table, path, schema)
+        self._write_snapshot(aligned, path, bucketing)
+        self.adopt(table, path, schema, bucketing)
         return int(obs.get["rows"])
 
     def replace(self, table: str, df: DataFrame) -> int:
         """CREATE OR REPLACE TABLE ... AS: publish ``df`` with its own schema."""
+        bucketing = self.bucketing(table) if self.exists(table) else None
+        if bucketing is not None and not set(bucketing.columns) <= set(df.columns):
+            bucketing = None
         path = self.snapshot_path(table)
         out, obs = counted(df)
-        out.write.mode("errorifexists").parquet(path)
-        self.adopt(table, path, nullable(df.schema))
+        self._write_snapshot(out, path, bucketing)
+        self.adopt(table, path, nullable(df.schema), bucketing)
         return int(obs.get["rows"])
 
     def upsert(
@@ -223,16 +304,21 @@ class Warehouse:
         keys: Sequence[str],
         update_cols: Sequence[str] | None = None,
         order_by: Sequence[str] | None = None,
+        buckets: int | None = None,
     ) -> int:
-        """Key upsert published as a new snapshot.  Returns the table's new row count."""
-        if not self.exists(table):
-            self.ensure_table(table, updates.schema)
+        """Key upsert published as a new snapshot.  Returns the table's new row count.
+
+        A table created here is bucketed by ``keys``.
+        """
+        self.ensure_table(table, updates.schema, bucket_by=keys, buckets=buckets)
         merged = upsert_rows(self.read(table), updates, keys, update_cols, order_by)
         return self.overwrite(table, merged)
 
-    def insert_if_absent(self, table: str, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> int:
+    def insert_if_absent(
+        self, table: str, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str], buckets: int | None = None
+    ) -> int:
         """Append the first incoming row of each key not yet in the table.  Returns rows added."""
-        self.ensure_table(table, incoming.schema)
+        self.ensure_table(table, incoming.schema, bucket_by=keys, buckets=buckets)
         fresh = rows_absent_from(self.read(table), incoming, keys, order_by)
         return self.append(table, fresh)
 

@@ -142,8 +142,10 @@ def _publish(warehouse: Warehouse, table: str, spec: LoadSpec, staged: DataFrame
         if spec.source.incremental_key and rows == 0:
             warehouse.ensure_table(table, staged.schema)
             return 0  # nothing new: keep the current snapshot instead of emptying the table
-        if not warehouse.exists(table) or warehouse.schema(table) == nullable(staged.schema):
-            warehouse.adopt(table, stage, staged.schema)
+        if not warehouse.exists(table) or (
+            warehouse.schema(table) == nullable(staged.schema) and warehouse.bucketing(table) is None
+        ):
+            warehouse.adopt(table, stage, staged.schema)  # the stage becomes the snapshot
             return rows
         return warehouse.overwrite(table, staged)
     if rows == 0:
@@ -157,14 +159,16 @@ def _publish_direct(warehouse: Warehouse, table: str, spec: LoadSpec, df: DataFr
     obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
     measured = df.observe(obs, *[e.alias(k) for k, e in _load_measures(df, spec.source.incremental_key, mark).items()])
     if spec.load_mode == "overwrite":
-        target = warehouse.schema(table) if warehouse.exists(table) else nullable(df.schema)
+        exists = warehouse.exists(table)
+        target = warehouse.schema(table) if exists else nullable(df.schema)
+        bucketing = warehouse.bucketing(table) if exists else None
         path = warehouse.snapshot_path(table)
-        align_by_name(measured, target).write.mode("errorifexists").parquet(path)
+        warehouse._write_snapshot(align_by_name(measured, target), path, bucketing)
         metrics = dict(obs.get)
         if spec.source.incremental_key and int(metrics["_rows"]) == 0:
             warehouse.ensure_table(table, target)
             return 0, metrics  # keep the current snapshot
-        warehouse.adopt(table, path, target)
+        warehouse.adopt(table, path, target, bucketing)
         return int(metrics["_rows"]), metrics
     warehouse.ensure_table(table, df.schema)
     align_by_name(measured, warehouse.schema(table)).write.mode("append").insertInto(warehouse.qualified(table))

@@ -111,7 +111,7 @@ def q_insert_if_absent(spark, sf):
 def q_update_by_key(spark, sf):
     wh = Warehouse.scratch(spark, "update")
     customer = _t(spark, sf, "customer")
-    wh.overwrite("customer_status", customer.withColumn("last_order_status", F.lit("NONE")))
+    wh.overwrite("customer_status", customer.withColumn("last_order_status", F.lit("NONE")), bucket_by=["c_custkey"])
     orders = _t(spark, sf, "orders").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderstatus", "o_orderdate", "o_orderkey"
     )

@@ -116,3 +116,20 @@ def test_parameterised_statement_is_quote_safe(spark, wh):
     wh.execute("INSERT INTO owners VALUES (?, ?)", ["o'brien pipe", "it's me"]).collect()
     rows = wh.execute("SELECT owner FROM owners WHERE name = :n", {"n": "o'brien pipe"}).collect()
     assert [r.owner for r in rows] == ["it's me"]
+
+
+def test_keyed_tables_are_bucketed_and_join_without_shuffling_the_table(spark, wh):
+    from flowtable.operators.sinks import upsert_rows
+
+    ups = spark.range(0, 2000).select((F.col("id") % 500).alias("k"), F.col("id").alias("ts"), F.lit("x").alias("v"))
+    wh.upsert("keyed", ups, ["k"], order_by=["ts"], buckets=8)
+    b = wh.bucketing("keyed")
+    assert b is not None and b.columns == ("k",) and b.buckets == 8
+    assert wh.read("keyed").count() == 500
+    plan = upsert_rows(wh.read("keyed"), ups, ["k"], order_by=["ts"])._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # only the incoming side moves
+    # a second upsert keeps the bucketing and the values
+    wh.upsert("keyed", ups.withColumn("v", F.lit("y")), ["k"], order_by=["ts"])
+    assert wh.bucketing("keyed") == b
+    assert {r.v for r in wh.read("keyed").collect()} == {"y"}
