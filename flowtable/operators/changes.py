@@ -38,45 +38,42 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
-def changed_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-    value: str,
-    previous_alias: str = "previous_value",
-    parts: int | None = None,
-) -> DataFrame:
-    """Rows whose ``value`` differs from the previous row of the same key, plus each key's first row.
+HOT_KEY_MIN_ROWS = 100_000  # below this a key fits comfortably in one task, whatever the total
+
+
+def _changed(rows: DataFrame, value: str, prev: str, first: str) -> DataFrame:
+    return rows.where(F.col(first) | ~F.col(value).eqNullSafe(F.col(prev)))
+
+
+def _lag_plain(df: DataFrame, keys: list[str], order_by: list[str], value: str, prev: str) -> DataFrame:
+    """``lag`` over (key ordered by order_by): one shuffle by key."""
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_by])
+    out = df.withColumn(prev, F.lag(F.col(value)).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    return _changed(out, value, prev, "_first").drop("_first")
 
-    ``order_by`` must make the order within a key total (add a unique tie-break column).
 
-    A plain ``lag`` window sends every row of a key to one task, so a key holding a third of
-    the data would be one straggler task.  Instead the rows are range-partitioned on
-    ``keys + order_by`` (a hot key is cut into consecutive slices spread over several
-    tasks), the partition id is pinned with a reliable checkpoint, and ``lag`` runs per
-    (key, slice) -- groups no larger than one range partition.  Only the first row of a
-    slice can have its predecessor in an earlier partition; those at most ``parts - 1``
-    boundary rows are patched from a table of each partition's last row (one row per
-    partition: a size-proven broadcast).
+def _lag_sliced(df: DataFrame, keys: list[str], order_by: list[str], value: str, prev: str, n: int) -> DataFrame:
+    """``lag`` for keys too big for one task: range slices over (key, order) + boundary patch.
+
+    The rows are range-partitioned on ``keys + order_by`` (a big key is cut into consecutive
+    slices over several tasks), the slice id is pinned with a reliable checkpoint, and
+    ``lag`` runs per (key, slice).  Only a slice's first row can have its predecessor in an
+    earlier partition; those at most ``n - 1`` rows are patched from a table holding each
+    partition's last row (one row per partition: a size-proven broadcast).
     """
     spark = df.sparkSession
-    keys, order_by = list(keys), list(order_by)
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + order_by]).withColumn("_slice", F.spark_partition_id())
     tagged = checkpoint(ranged)
 
-    # last row of every non-empty partition (one row per partition)
-    tail_cols = [F.col(c) for c in keys] + [F.col(value)]
     tails = (
         tagged.groupBy("_slice")
-        .agg(F.max_by(F.struct(*tail_cols), F.struct(*[F.col(c) for c in keys + order_by])).alias("_t"))
+        .agg(F.max_by(F.struct(*[F.col(c) for c in keys + [value]]), F.struct(*[F.col(c) for c in keys + order_by])).alias("_t"))
         .select("_slice", *[F.col(f"_t.{c}").alias(f"_pk_{c}") for c in keys], F.col(f"_t.{value}").alias("_pv"))
-        .collect()
+        .collect()  # one row per non-empty partition
     )
-    # predecessor of each partition = last row of the nearest earlier non-empty partition
     bounds, last = [], None
     for row in sorted(tails, key=lambda r: r["_slice"]):
-        if last is not None:
+        if last is not None:  # predecessor = last row of the nearest earlier non-empty partition
             bounds.append((row["_slice"], True, *[last[f"_pk_{c}"] for c in keys], last["_pv"]))
         last = row
     fields = [StructField("_slice", IntegerType(), False), StructField("_has_pred", BooleanType(), False)]
@@ -91,11 +88,51 @@ def changed_rows(
     continues = F.col("_slice_first") & F.coalesce(F.col("_has_pred"), F.lit(False))
     for c in keys:
         continues = continues & F.col(c).eqNullSafe(F.col(f"_pk_{c}"))
-    prev = F.when(continues, F.col("_pv")).otherwise(F.col("_prev"))
-    first = F.col("_slice_first") & ~continues
-    out = joined.withColumn(previous_alias, prev).withColumn("_first", first)
-    out = out.where(F.col("_first") | ~F.col(value).eqNullSafe(F.col(previous_alias)))
-    return out.select(*df.columns, previous_alias)
+    out = joined.withColumn(prev, F.when(continues, F.col("_pv")).otherwise(F.col("_prev")))
+    out = out.withColumn("_first", F.col("_slice_first") & ~continues)
+    return _changed(out, value, prev, "_first").select(*df.columns, prev)
+
+
+def changed_rows(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    value: str,
+    previous_alias: str = "previous_value",
+    parts: int | None = None,
+    hot_threshold: int | None = None,
+) -> DataFrame:
+    """Rows whose ``value`` differs from the previous row of the same key, plus each key's first row.
+
+    ``order_by`` must make the order within a key total (add a unique tie-break column).
+
+    A ``lag`` window sends every row of a key to one task, so a key holding a third of the
+    data would be one straggler task.  One keys-only aggregate (partial, map-side) counts
+    rows per key; keys above ``hot_threshold`` rows (default: one task's fair share,
+    total / parts, and at least 100k) -- at most ``parts`` of them, so their list is a
+    size-bounded broadcast -- go through range slicing (``_lag_sliced``); all other keys take
+    the plain one-shuffle window.  The result is the same either way.
+    """
+    spark = df.sparkSession
+    keys, order_by = list(keys), list(order_by)
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    stats = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("biggest")).first()
+    total, biggest = int(stats["total"] or 0), int(stats["biggest"] or 0)
+    limit = hot_threshold if hot_threshold is not None else max(total // n, HOT_KEY_MIN_ROWS)
+    if biggest <= limit:
+        return _lag_plain(df, keys, order_by, value, previous_alias)
+
+    hot = F.broadcast(counts.where(F.col("_n") > limit).select(*[F.col(c).alias(f"_h_{c}") for c in keys]))
+    match = None
+    for c in keys:
+        cond = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+        match = cond if match is None else match & cond
+    hot_rows = df.join(hot, match, "left_semi")
+    cold_rows = df.join(hot, match, "left_anti")
+    cold = _lag_plain(cold_rows, keys, order_by, value, previous_alias)
+    sliced = _lag_sliced(hot_rows, keys, order_by, value, previous_alias, n)
+    return cold.unionByName(sliced)
 
 
 def version_changes(

@@ -57,12 +57,29 @@ def test_changed_rows_hot_key_split_across_partitions(spark):
     cold = spark.range(0, 300).select((F.col("id") % 13).alias("k"), F.col("id").alias("t"), (F.col("id") % 2).cast("string").alias("v"))
     nulls = spark.range(0, 50).select(F.lit(None).cast("long").alias("k"), F.col("id").alias("t"), F.lit(None).cast("string").alias("v"))
     df = hot.unionByName(cold).unionByName(nulls)
-    got = changed_rows(df, ["k"], ["t"], "v", parts=16)
+    got = changed_rows(df, ["k"], ["t"], "v", parts=16, hot_threshold=1000)
     w = Window.partitionBy("k").orderBy("t")
     want = (df.withColumn("previous_value", F.lag("v").over(w)).withColumn("rn", F.row_number().over(w))
               .where((F.col("rn") == 1) | ~F.col("v").eqNullSafe(F.col("previous_value"))).drop("rn"))
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # same answer on the plain path (no key counts as hot)
+    plain = changed_rows(df, ["k"], ["t"], "v", parts=16)
+    assert plain.exceptAll(want).count() == 0 and plain.count() == want.count()
     # the hot key really was spread over several slices
     sliced = df.repartitionByRange(16, "k", "t").withColumn("s", F.spark_partition_id())
     assert sliced.where("k = 7").select("s").distinct().count() > 4
+
+
+def test_changed_rows_hot_null_key(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 300).select(
+        F.when(F.col("id") < 200, F.lit(None)).otherwise(F.col("id") % 3).cast("long").alias("k"),
+        F.col("id").alias("t"),
+        (F.col("id") / 7).cast("int").cast("string").alias("v"),
+    )
+    sliced = changed_rows(df, ["k"], ["t"], "v", parts=8, hot_threshold=50)
+    plain = changed_rows(df, ["k"], ["t"], "v", parts=8)
+    assert sliced.count() == plain.count()
+    assert sliced.exceptAll(plain).count() == 0
