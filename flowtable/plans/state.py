@@ -42,6 +42,7 @@ from flowtable.operators.sinks import Warehouse
 S, L, TS = StringType(), LongType(), TimestampNTZType()
 
 JOURNAL_TABLE = "meta_journal"
+NEVER_RUN = "NEVER RUN"  # fixed value: status shown for a registered name without runs
 _FIELDS = [
     ("kind", S),
     ("pipeline_name", S),
@@ -198,7 +199,11 @@ class RunState:
     def health(self) -> DataFrame:
         """Health summary: every registered name joined with its run statistics."""
         report = run_health(self.runs(), registered=self.pipelines())
-        return report.withColumn("indicator", status_symbol("last_status")).orderBy("pipeline_name")
+        return (
+            report.withColumn("status", F.coalesce(F.col("last_status"), F.lit(NEVER_RUN)))
+            .withColumn("indicator", status_symbol("last_status"))
+            .orderBy("pipeline_name")
+        )
 
     # -- schema snapshots
     def store_schema(self, pipeline_name: str, schema: StructType) -> None:

@@ -206,3 +206,14 @@ def test_run_all_checks_conflicts_then_runs_in_name_order(spark, wh, write_csv):
     health = {r.pipeline_name: r for r in RunState(wh).health().collect()}
     assert health["a_first"].indicator == "✓" and health["b_bad"].indicator == "✗"
     assert "c_last" not in health
+
+
+def test_empty_increment_with_quality_rules(spark, wh, write_csv):
+    path = write_csv("m.csv", "order_id,created_at\n1,2026-03-01\n2,2026-03-02\n")
+    checks = [Check("id", "order_id", "not_null"), Check("u", "order_id", "unique")]
+    for mode in ("append", "overwrite"):
+        s = spec(path, name=f"empty_{mode}", mode=mode, key="created_at", checks=checks)
+        assert run_load(spark, s, wh)["rows_loaded"] == 2
+        res = run_load(spark, s, wh)
+        assert res["status"] == "success" and res["rows_loaded"] == 0
+        assert wh.read(f"raw_empty_{mode}").count() == 2

@@ -99,3 +99,11 @@ def test_latest_failure(spark):
     rows = latest_failure(runs).collect()
     assert [(r.pipeline_name, r.last_error) for r in rows] == [("p", "new")]
     assert run_health(runs).where("pipeline_name = 'q'").first().last_error is None
+
+
+def test_register_with_quotes_and_never_run_status(spark, wh):
+    st = RunState(wh)
+    st.register(spec("it's a pipe", owner="o'brien"))
+    row = st.health().first()
+    assert row.pipeline_name == "it's a pipe" and row.owner == "o'brien"
+    assert row.status == "NEVER RUN" and row.indicator == "—" and row.total_runs == 0
