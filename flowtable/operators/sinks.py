@@ -211,10 +211,15 @@ class Warehouse:
             )
         self._bucketing[table] = bucketing
 
-    def _write_snapshot(self, df: DataFrame, path: str, bucketing: Bucketing | None) -> None:
+    def _write_snapshot(self, df: DataFrame, path: str, bucketing: Bucketing | None, clustered: bool = False) -> None:
+        """Write files for a snapshot.  For a bucketed layout, rows are first hash-partitioned
+        by the bucket columns (so each task writes one file per bucket) unless ``clustered``
+        says they already are (a join with the bucketed table itself)."""
         if bucketing is None:
             df.write.mode("errorifexists").parquet(path)
             return
+        if not clustered:
+            df = df.repartition(bucketing.buckets, *bucketing.columns)
         # bucketed files can only be written through a catalog table; use a throwaway external one
         tmp = f"{self.database}.{_q('_write_' + uuid.uuid4().hex[:12])}"
         try:
@@ -268,7 +273,12 @@ class Warehouse:
         return int(obs.get["rows"])
 
     def overwrite(
-        self, table: str, df: DataFrame, bucket_by: Sequence[str] | None = None, buckets: int | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        bucket_by: Sequence[str] | None = None,
+        buckets: int | None = None,
+        clustered: bool = False,
     ) -> int:
         """Replace all rows atomically (new snapshot + location swap).  Returns rows written.
 
@@ -282,10 +292,21 @@ class Warehouse:
             bucketing = Bucketing(tuple(bucket_by), buckets or self.default_buckets()) if bucket_by else None
         aligned, obs = counted(align_by_name(df, schema))
         path = self.snapshot_path(table)
-        self._write_snapshot(aligned, path, bucketing)
+        self._write_snapshot(aligned, path, bucketing, clustered)
         self.adopt(table, path, schema, bucketing)
         return int(obs.get["rows"])
 
+    def compact(self, table: str, files: int | None = None) -> int:
+        """Rewrite the table into fewer, larger files (after many small appends).
+
+        A bucketed table gets one file per bucket; otherwise ``files`` files, or whatever the
+        read splits (``spark.sql.files.maxPartitionBytes``) give when ``files`` is None.
+        """
+        df = self.read(table)
+        if files is not None and self.bucketing(table) is None:
+            df = df.repartition(files)
+        return self.overwrite(table, df)
+
     def replace(self, table: str, df: DataFrame) -> int:
         """CREATE OR REPLACE TABLE ... AS: publish ``df`` with its own schema."""
         bucketing = self.bucketing(table) if self.exists(table) else None
@@ -312,7 +333,7 @@ class Warehouse:
         """
         self.ensure_table(table, updates.schema, bucket_by=keys, buckets=buckets)
         merged = upsert_rows(self.read(table), updates, keys, update_cols, order_by)
-        return self.overwrite(table, merged)
+        return self.overwrite(table, merged, clustered=self._bucketed_on(table, keys))
 
     def insert_if_absent(
         self, table: str, incoming: DataFrame, keys: Sequence[str], order_by: Sequence[str], buckets: int | None = None
@@ -324,7 +345,13 @@ class Warehouse:
 
     def update_by_key(self, table: str, updates: DataFrame, keys: Sequence[str], set_cols: Mapping[str, str]) -> int:
         """Set columns of existing keys; published as a new snapshot.  Returns the row count."""
-        return self.overwrite(table, update_rows(self.read(table), updates, keys, set_cols))
+        merged = update_rows(self.read(table), updates, keys, set_cols)
+        return self.overwrite(table, merged, clustered=self._bucketed_on(table, keys))
+
+    def _bucketed_on(self, table: str, keys: Sequence[str]) -> bool:
+        """True when the table is bucketed exactly by ``keys`` (a join on them keeps the layout)."""
+        b = self.bucketing(table)
+        return b is not None and tuple(b.columns) == tuple(keys)
 
     def execute(self, sql: str, params=None) -> DataFrame:
         """Run one statement with bound parameters in this database (values never enter the text)."""

@@ -297,4 +297,4 @@ class RunState:
 
     # -- maintenance
     def compact(self, files: int = 1) -> None:
-        self.wh.overwrite(JOURNAL_TABLE, self.journal().coalesce(files))
+        self.wh.compact(JOURNAL_TABLE, files)

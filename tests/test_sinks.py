@@ -133,3 +133,24 @@ def test_keyed_tables_are_bucketed_and_join_without_shuffling_the_table(spark, w
     wh.upsert("keyed", ups.withColumn("v", F.lit("y")), ["k"], order_by=["ts"])
     assert wh.bucketing("keyed") == b
     assert {r.v for r in wh.read("keyed").collect()} == {"y"}
+
+
+def test_compact_rewrites_into_fewer_files(spark, wh):
+    import glob
+
+    for i in range(5):
+        wh.append("small", spark.range(i * 10, i * 10 + 10).repartition(3))
+    before = len(glob.glob(wh.location("small").replace("file:", "") + "/*.parquet"))
+    assert wh.compact("small", files=1) == 50
+    after = glob.glob(wh.location("small").replace("file:", "") + "/*.parquet")
+    assert before > 1 and len(after) == 1
+    assert wh.read("small").count() == 50
+
+
+def test_bucketed_overwrite_writes_one_file_per_bucket(spark, wh):
+    import glob
+
+    df = spark.range(0, 1000, numPartitions=6).withColumn("k", F.col("id") % 37)
+    wh.overwrite("b", df, bucket_by=["k"], buckets=4)
+    files = glob.glob(wh.location("b").replace("file:", "") + "/*.parquet")
+    assert len(files) == 4
