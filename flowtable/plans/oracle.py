@@ -101,10 +101,13 @@ l AS (
 SELECT o_custkey, o_orderkey, o_orderdate, version_hash, previous_hash
 FROM l WHERE rn = 1 OR version_hash IS DISTINCT FROM previous_hash""",
     "failure_alerts": f"SELECT event_id, user_id, {_ALERT} AS message FROM events WHERE event_type = 'error'",
-    "csv_roundtrip": "SELECT * FROM nation",
+    "csv_roundtrip": "SELECT * FROM orders",
     "json_records": "SELECT * FROM customer",
-    "append_twice": "SELECT * FROM nation UNION ALL SELECT * FROM nation",
-    "by_name_load": "SELECT * FROM nation UNION ALL SELECT n_nationkey, n_name, CAST(NULL AS INTEGER) AS n_regionkey FROM nation",
+    "append_twice": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
+    "by_name_load": """
+SELECT * FROM customer
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment FROM customer""",
     "insert_if_absent": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders
@@ -145,7 +148,7 @@ SELECT r_name, CAST(rk AS BIGINT) AS rk, c_custkey, c_acctbal FROM ranked WHERE
 UNION ALL
 SELECT r_name, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE) FROM region""",
     "incremental_two_runs": _TWO_RUNS,
-    "overwrite_twice": "SELECT * FROM nation",
+    "overwrite_twice": "SELECT * FROM customer",
     "sql_transform": _CLEAN_ORDERS,
     "stream_available_now": _TWO_RUNS,
     "end_to_end_load": _CLEAN_EVENTS,

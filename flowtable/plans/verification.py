@@ -160,9 +160,12 @@ def q_failure_alerts(spark, sf):
 
 
 def q_csv_roundtrip(spark, sf):
-    path = scratch_path(spark, "nation_csv")
-    _t(spark, sf, "nation").write.option("header", "true").csv(path)
-    return read_csv(spark, path)
+    """Write ``orders`` as CSV, read it back with type inference, cast to the source types."""
+    path = scratch_path(spark, "orders_csv")
+    orders = _t(spark, sf, "orders")
+    orders.write.option("header", "true").csv(path)
+    back = read_csv(spark, path)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema.fields])
 
 
 def q_json_records(spark, sf):
@@ -181,41 +184,57 @@ def q_json_records(spark, sf):
 
 def q_append_twice(spark, sf):
     wh = Warehouse.scratch(spark, "append")
-    nation = _t(spark, sf, "nation")
-    wh.append("nation_twice", nation)
-    wh.append("nation_twice", nation)
-    return wh.read("nation_twice")
+    customer = _t(spark, sf, "customer")
+    wh.append("customer_twice", customer)
+    wh.append("customer_twice", customer)
+    return wh.read("customer_twice")
 
 
 def q_by_name_load(spark, sf):
     wh = Warehouse.scratch(spark, "byname")
-    nation = _t(spark, sf, "nation")
-    wh.append("nation_by_name", nation)
-    wh.append("nation_by_name", nation.select("n_name", "n_nationkey"))  # by name, region absent
-    return wh.read("nation_by_name")
+    customer = _t(spark, sf, "customer")
+    wh.append("customer_by_name", customer)
+    # by name, in another order, with the segment absent
+    wh.append("customer_by_name", customer.select("c_acctbal", "c_name", "c_nationkey", "c_custkey"))
+    return wh.read("customer_by_name")
 
 
 def q_overwrite_twice(spark, sf):
     wh = Warehouse.scratch(spark, "overwrite")
-    nation = _t(spark, sf, "nation")
-    wh.overwrite("nation_once", nation)
-    wh.overwrite("nation_once", nation)
-    return wh.read("nation_once")
+    customer = _t(spark, sf, "customer")
+    wh.overwrite("customer_once", customer)
+    wh.overwrite("customer_once", customer)
+    return wh.read("customer_once")
 
 
 # ----------------------------------------------------------------------------- schema
 
 
+def _orders_spec(sf: str) -> LoadSpec:
+    return LoadSpec(
+        name="orders_feed",
+        owner="analytics",
+        source=SourceSpec(type="parquet", path=f"{sf.rstrip('/')}/orders.parquet", incremental_key="o_orderkey"),
+        destination=DestinationSpec("raw", "orders"),
+        quality=QualitySpec(True, [Check("orderkey_unique", "o_orderkey", "unique")]),
+    )
+
+
 def q_schema_report(spark, sf):
-    state = RunState(Warehouse.scratch(spark, "schema"))
-    state.store_schema("orders_feed", _t(spark, sf, "orders").schema)
+    """Load ``orders``; the first load stores the schema snapshot that is reported."""
+    wh = Warehouse.scratch(spark, "schema")
+    state = RunState(wh)
+    _require(run_load(spark, _orders_spec(sf), wh, state=state))
     return state.stored_schema("orders_feed")
 
 
 def q_schema_drift(spark, sf):
-    state = RunState(Warehouse.scratch(spark, "drift"))
+    """Load ``orders``, then compare a reshaped feed (priority dropped, region added, customer
+    key as text) with the stored snapshot."""
+    wh = Warehouse.scratch(spark, "drift")
+    state = RunState(wh)
+    _require(run_load(spark, _orders_spec(sf), wh, state=state))
     orders = _t(spark, sf, "orders")
-    state.store_schema("orders_feed", orders.schema)
     customer, nation, region = (_t(spark, sf, n) for n in ("customer", "nation", "region"))
     regions = (
         customer.join(nation, customer.c_nationkey == nation.n_nationkey)
