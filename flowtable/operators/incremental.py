@@ -24,12 +24,22 @@ def typed_mark(df: DataFrame, key: str, mark: str) -> Column:
     return F.lit(mark).cast(df.schema[key].dataType)
 
 
-def incremental_filter(df: DataFrame, key: str, mark: str | None) -> DataFrame:
-    """Rows with ``key > mark``; with no mark, every row with a non-NULL key."""
+def incremental_filter(df: DataFrame, key: str, mark: str | None, partition_column: str | None = None) -> DataFrame:
+    """Rows with ``key > mark``; with no mark, every row with a non-NULL key.
+
+    ``partition_column`` names a partition column whose value is ``CAST(key AS <its type>)``
+    -- a monotone floor of the key such as ``dt = to_date(ts)``.  The filter then also holds
+    ``partition_column >= CAST(mark AS <its type>)``, which prunes whole partitions at
+    planning time; the exact ``key > mark`` test still decides row by row.
+    """
     require_key(df, key)
     keep = F.col(key).isNotNull()
     if mark is not None:
-        keep = keep & (F.col(key) > typed_mark(df, key, mark))
+        typed = typed_mark(df, key, mark)
+        keep = keep & (F.col(key) > typed)
+        if partition_column is not None:
+            require_key(df, partition_column)
+            keep = keep & (F.col(partition_column) >= typed.cast(df.schema[partition_column].dataType))
     return df.where(keep)
 
 

@@ -93,7 +93,7 @@ def run_load(
             probe = state.probe(spec, df.schema)  # version, mark and schema comparison: one query
             state.record_version(spec, probe.version_hash)
             if key:
-                df = incremental_filter(df, key, probe.mark)
+                df = incremental_filter(df, key, probe.mark, spec.source.partition_column)
             drift_error = (
                 SchemaDriftError("Schema drift detected:\n" + "\n".join(f"  - {d}" for d in probe.drift))
                 if probe.drift and not force

@@ -16,6 +16,7 @@ class SourceSpec:
     path: str | None = None
     endpoint: str | None = None
     incremental_key: str | None = None
+    partition_column: str | None = None  # partition column holding CAST(incremental_key AS its type)
     options: dict[str, str] = field(default_factory=dict)
     schema: Any = None  # StructType or DDL string; None infers
 
@@ -90,6 +91,7 @@ class LoadSpec:
                 path=src.get("path"),
                 endpoint=src.get("endpoint"),
                 incremental_key=src.get("incremental_key"),
+                partition_column=src.get("partition_column"),
                 options=src.get("options") or {},
             ),
             destination=DestinationSpec(d["destination"]["schema"], d["destination"]["table"]),

@@ -217,3 +217,25 @@ def test_empty_increment_with_quality_rules(spark, wh, write_csv):
         res = run_load(spark, s, wh)
         assert res["status"] == "success" and res["rows_loaded"] == 0
         assert wh.read(f"raw_empty_{mode}").count() == 2
+
+
+def test_partitioned_source_prunes_partitions_below_the_mark(spark, wh):
+    from flowtable.operators.incremental import incremental_filter
+    from flowtable.session import scratch_path
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    path = scratch_path(spark, "events_by_day")
+    events.withColumn("dt", F.to_date("ts")).write.partitionBy("dt").parquet(path)
+    landed = spark.read.parquet(path)
+    mark = "2024-01-20 12:00:00"
+    pruned = incremental_filter(landed, "ts", mark, partition_column="dt")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "dt#" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert pruned.count() == events.where(F.col("ts") > F.lit(mark).cast("timestamp_ntz")).count()
+    # the same through a whole load
+    state = RunState(wh)
+    s = LoadSpec("by_day", "o", SourceSpec("parquet", path=path, incremental_key="ts", partition_column="dt"),
+                 DestinationSpec("raw", "by_day"))
+    first = run_load(spark, s, wh, source=landed.where(F.col("ts") <= F.lit(mark).cast("timestamp_ntz")), state=state)
+    second = run_load(spark, s, wh, state=state)
+    assert first["rows_loaded"] + second["rows_loaded"] == events.count()
