@@ -19,6 +19,18 @@ from flowtable.errors import DataQualityError
 
 RULES = ("not_null", "unique", "greater_than", "min_rows", "timestamp_format")
 
+# Failure texts, kept word for word as the original tool prints them.
+MESSAGES = {
+    "not_null": "{name}: '{column}' has {n} null value(s)",
+    "unique": "{name}: '{column}' has {n} duplicate value(s)",
+    "greater_than": "{name}: '{column}' has {n} value(s) not greater than {threshold}",
+    "min_rows": "{name}: expected at least {threshold} rows, got {n}",
+    "timestamp_format": "{name}: '{column}' has {n} invalid timestamp(s)",
+    "missing_column": "{name}: column '{column}' not found in data",
+}
+FAILURE_HEADER = "Data quality checks failed:"
+FAILURE_BULLET = "  ✗ "
+
 
 @dataclass(frozen=True)
 class Check:
@@ -79,25 +91,17 @@ def check_metrics(df: DataFrame, checks: Sequence[Check]) -> tuple[dict[str, Col
 
 
 def _message(check: Check, measured):
-    """Failure text for one check (Python for driver-side values, Column for lazy reports)."""
-    t = _threshold(check)
-    if check.rule == "not_null":
-        parts = (f"{check.name}: '{check.column}' has ", measured, " null value(s)")
-    elif check.rule == "unique":
-        parts = (f"{check.name}: '{check.column}' has ", measured, " duplicate value(s)")
-    elif check.rule == "greater_than":
-        parts = (f"{check.name}: '{check.column}' has ", measured, f" value(s) not greater than {t}")
-    elif check.rule == "min_rows":
-        parts = (f"{check.name}: expected at least {t} rows, got ", measured, "")
-    else:
-        parts = (f"{check.name}: '{check.column}' has ", measured, " invalid timestamp(s)")
+    """Failure text for one check: a str for a driver-side count, a Column for a lazy one."""
+    head, tail = MESSAGES[check.rule].split("{n}")
+    fill = {"name": check.name, "column": check.column, "threshold": _threshold(check)}
+    head, tail = head.format(**fill), tail.format(**fill)
     if isinstance(measured, Column):
-        return F.concat(F.lit(parts[0]), measured.cast("string"), F.lit(parts[2]))
-    return f"{parts[0]}{measured}{parts[2]}"
+        return F.concat(F.lit(head), measured.cast("string"), F.lit(tail))
+    return f"{head}{measured}{tail}"
 
 
 def _missing(check: Check) -> str:
-    return f"{check.name}: column '{check.column}' not found in data"
+    return MESSAGES["missing_column"].format(name=check.name, column=check.column)
 
 
 def quality_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -156,7 +160,7 @@ def failures_from_metrics(checks: Sequence[Check], metrics: Mapping[str, int], c
 
 def raise_on_failures(failures: Sequence[str]) -> None:
     if failures:
-        raise DataQualityError("Data quality checks failed:\n" + "\n".join(f"  ✗ {f}" for f in failures))
+        raise DataQualityError(FAILURE_HEADER + "\n" + "\n".join(FAILURE_BULLET + f for f in failures))
 
 
 def assert_quality(df: DataFrame, checks: Sequence[Check] | None, enabled: bool = True) -> None:

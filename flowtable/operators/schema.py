@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+# Drift texts, kept word for word as the original tool prints them.
+DRIFT_MESSAGES = {
+    "removed": "Column '{column}' was removed from source",
+    "added": "New column '{column}' not in stored schema",
+    "type_changed": "Column '{column}' type changed: {stored} → {incoming}",
+}
+DRIFT_HEADER = "Schema drift detected:"
+DRIFT_BULLET = "  - "
+
 SCHEMA_ROW = StructType(
     [
         StructField("column_name", StringType()),
@@ -52,12 +61,11 @@ def drift_messages(drift: DataFrame) -> list[str]:
 
 
 def drift_lines(rows) -> list[str]:
-    out = []
-    for r in sorted(rows, key=lambda r: (r["change"], r["column_name"])):
-        if r["change"] == "removed":
-            out.append(f"Column '{r['column_name']}' was removed from source")
-        elif r["change"] == "added":
-            out.append(f"New column '{r['column_name']}' not in stored schema")
-        else:
-            out.append(f"Column '{r['column_name']}' type changed: {r['stored_type']} → {r['incoming_type']}")
-    return out
+    return [
+        DRIFT_MESSAGES[r["change"]].format(column=r["column_name"], stored=r["stored_type"], incoming=r["incoming_type"])
+        for r in sorted(rows, key=lambda r: (r["change"], r["column_name"]))
+    ]
+
+
+def drift_error_text(lines: list[str]) -> str:
+    return DRIFT_HEADER + "\n" + "\n".join(DRIFT_BULLET + line for line in lines)

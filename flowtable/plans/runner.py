@@ -27,6 +27,7 @@ from flowtable.operators.changes import key_conflicts
 from flowtable.operators.incremental import incremental_filter, require_key, typed_mark
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
 from flowtable.operators.runlog import format_alert
+from flowtable.operators.schema import drift_error_text
 from flowtable.operators.sinks import Warehouse, align_by_name, nullable
 from flowtable.operators.transform import run_sql_transform
 from flowtable.plans.spec import LoadSpec
@@ -94,11 +95,7 @@ def run_load(
             state.record_version(spec, probe.version_hash)
             if key:
                 df = incremental_filter(df, key, probe.mark, spec.source.partition_column)
-            drift_error = (
-                SchemaDriftError("Schema drift detected:\n" + "\n".join(f"  - {d}" for d in probe.drift))
-                if probe.drift and not force
-                else None
-            )
+            drift_error = SchemaDriftError(drift_error_text(probe.drift)) if probe.drift and not force else None
 
             if checks:
                 stage = warehouse.stage_path(table, run_id)

@@ -63,7 +63,10 @@ class LoadSpec:
             raise ValueError(f"load_mode must be one of {LOAD_MODES}, got {self.load_mode!r}")
 
     def tracked_fields(self) -> dict[str, Any]:
-        """Fields whose change makes a new recorded version of the spec."""
+        """Fields whose change makes a new recorded version of the spec.
+
+        Fixed values: the snapshot's key names, kept as the original tool names them.
+        """
         return {
             "pipeline_name": self.name,
             "owner": self.owner,
