@@ -63,6 +63,9 @@ def upsert_rows(
     reduced to their latest row (a map-side partial aggregate); otherwise keys must be unique.
     """
     keys = list(keys)
+    unknown = [c for c in updates.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"columns not in target table: {unknown}; target has {target.columns}")
     if order_by:
         updates = latest_by_key(updates, keys, order_by)
     upd_cols = [c for c in updates.columns if c not in keys]

@@ -239,3 +239,25 @@ def test_partitioned_source_prunes_partitions_below_the_mark(spark, wh):
     first = run_load(spark, s, wh, source=landed.where(F.col("ts") <= F.lit(mark).cast("timestamp_ntz")), state=state)
     second = run_load(spark, s, wh, state=state)
     assert first["rows_loaded"] + second["rows_loaded"] == events.count()
+
+
+def test_mark_never_moves_backwards(spark, wh):
+    state = RunState(wh)
+    s = LoadSpec("back", "o", SourceSpec("parquet", path="/unused", incremental_key="k"), DestinationSpec("raw", "back"))
+    newer = spark.createDataFrame([(10, "a"), (12, "b")], "k int, v string")
+    older = spark.createDataFrame([(5, "late"), (11, "c")], "k int, v string")
+    assert run_load(spark, s, wh, source=newer, state=state)["rows_loaded"] == 2
+    assert state.get_mark("back", "k") == "12"
+    res = run_load(spark, s, wh, source=older, state=state)
+    assert res["rows_loaded"] == 0  # both rows are at or below the mark: late rows are not loaded
+    assert state.get_mark("back", "k") == "12"
+
+
+def test_failure_callback_errors_do_not_hide_the_load_error(spark, wh, tmp_path):
+    def broken(_msg):
+        raise RuntimeError("webhook down")
+
+    res = run_load(spark, spec(str(tmp_path / "gone.csv")), wh, on_failure=broken)
+    assert res["status"] == "failed" and "gone.csv" in res["error_message"]
+    assert "*Run ID:* `" + res["run_id"] + "`" in __import__("flowtable.operators.runlog", fromlist=["x"]).format_alert(
+        "p", res["run_id"], res["error_message"])

@@ -154,3 +154,9 @@ def test_bucketed_overwrite_writes_one_file_per_bucket(spark, wh):
     wh.overwrite("b", df, bucket_by=["k"], buckets=4)
     files = glob.glob(wh.location("b").replace("file:", "") + "/*.parquet")
     assert len(files) == 4
+
+
+def test_upsert_rejects_unknown_columns(spark):
+    target = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(ValueError, match="not in target"):
+        upsert_rows(target, spark.createDataFrame([(1, "b", 2)], "k int, v string, extra int"), ["k"])
