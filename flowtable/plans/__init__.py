@@ -1,4 +1,4 @@
-from flowtable.plans.runner import destination_conflicts, run_all, run_load
+from flowtable.plans.runner import destination_conflicts, duplicate_names, run_all, run_load
 from flowtable.plans.spec import DestinationSpec, LoadSpec, QualitySpec, SourceSpec, TransformSpec
 from flowtable.plans.state import RunState
 
@@ -10,6 +10,7 @@ __all__ = [
     "SourceSpec",
     "TransformSpec",
     "destination_conflicts",
+    "duplicate_names",
     "run_all",
     "run_load",
 ]

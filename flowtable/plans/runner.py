@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowtable.errors import SchemaDriftError
-from flowtable.operators.changes import key_conflicts
+from flowtable.operators.changes import duplicate_keys, key_conflicts
 from flowtable.operators.incremental import incremental_filter, require_key, typed_mark
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
 from flowtable.operators.runlog import format_alert
@@ -191,8 +191,17 @@ def destination_conflicts(spark: SparkSession, specs: Sequence[LoadSpec]) -> Dat
     return key_conflicts(claims, "destination", "pipeline_name", first_col="first_claimant")
 
 
+def duplicate_names(spark: SparkSession, specs: Sequence[LoadSpec]) -> DataFrame:
+    """Spec names used more than once in one batch."""
+    names = spark.createDataFrame([(s.name,) for s in specs], "pipeline_name string")
+    return duplicate_keys(names, ["pipeline_name"])
+
+
 def run_all(spark: SparkSession, specs: Sequence[LoadSpec], warehouse: Warehouse) -> list[dict]:
-    """Check destination conflicts first, then run in name order and stop at the first failure."""
+    """Check names and destination conflicts first, then run in name order; stop at the first failure."""
+    dupes = duplicate_names(spark, specs).collect()
+    if dupes:
+        raise ValueError("Duplicate pipeline names: " + ", ".join(sorted(r["pipeline_name"] for r in dupes)))
     conflicts = destination_conflicts(spark, specs).collect()
     if conflicts:
         lines = [f"  '{r['destination']}' claimed by {r['n_owners']} specs (first: '{r['first_claimant']}')" for r in conflicts]

@@ -261,3 +261,26 @@ def test_failure_callback_errors_do_not_hide_the_load_error(spark, wh, tmp_path)
     assert res["status"] == "failed" and "gone.csv" in res["error_message"]
     assert "*Run ID:* `" + res["run_id"] + "`" in __import__("flowtable.operators.runlog", fromlist=["x"]).format_alert(
         "p", res["run_id"], res["error_message"])
+
+
+def test_run_all_rejects_duplicate_names(spark, wh, write_csv):
+    import pytest
+
+    from flowtable.plans.runner import run_all
+
+    path = write_csv("o.csv", ORDERS)
+    with pytest.raises(ValueError, match="Duplicate pipeline names: same"):
+        run_all(spark, [spec(path, name="same"), LoadSpec("same", "x", SourceSpec("csv", path=path), DestinationSpec("raw", "other"))], wh)
+
+
+def test_api_source_reads_landed_json_arrays(spark, wh, tmp_path):
+    landing = tmp_path / "api"
+    landing.mkdir()
+    (landing / "page1.json").write_text('[{"id": 1, "name": "a", "updated": "2026-03-01"}, {"id": 2, "name": "b", "updated": "2026-03-02"}]')
+    (landing / "page2.json").write_text('[{"id": 3, "name": "c", "updated": "2026-03-03", "extra": {"k": 1}}]')
+    state = RunState(wh)
+    s = LoadSpec("api_feed", "o", SourceSpec("api", endpoint=str(landing), incremental_key="id"), DestinationSpec("raw", "api"))
+    res = run_load(spark, s, wh, state=state)
+    assert res["status"] == "success" and res["rows_loaded"] == 3
+    assert state.get_mark("api_feed", "id") == "3"
+    assert set(wh.read("raw_api").columns) == {"id", "name", "updated", "extra"}
