@@ -152,16 +152,24 @@ class Warehouse:
     """
 
     def __init__(self, spark: SparkSession, database: str = "flowtable", root: str | None = None) -> None:
+        """Open (or create) ``database``.  Table snapshots live under ``root``; by default under
+        the database's existing location, or ``spark.sql.warehouse.dir`` for a new database."""
         self.spark = spark
         self.database = database
-        self.root = (root or f"{shared_root(spark)}/flowtable-warehouse/{database}").rstrip("/")
+        if root is None:
+            if spark.catalog.databaseExists(database):
+                root = spark.catalog.getDatabase(database).locationUri
+            else:
+                root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{database}.db"
+        self.root = root.rstrip("/")
         self._bucketing: dict[str, Bucketing | None] = {}
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)} LOCATION '{self.root}/_db'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)} LOCATION '{self.root}'")
 
     @classmethod
     def scratch(cls, spark: SparkSession, tag: str = "tmp") -> "Warehouse":
-        """A fresh database under the shared root (used by tests and verification queries)."""
-        return cls(spark, f"ft_{tag}_{uuid.uuid4().hex[:10]}")
+        """A fresh database in the shared scratch folder (tests and verification queries)."""
+        database = f"ft_{tag}_{uuid.uuid4().hex[:10]}"
+        return cls(spark, database, root=f"{shared_root(spark)}/flowtable-warehouse/{database}")
 
     # -- naming and lookup
     def qualified(self, table: str) -> str:
