@@ -125,7 +125,7 @@ def run_load(
         except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
             duration = round(time.time() - start, 2)
             state.log_run(run_id, spec.name, "FAILED", rows_extracted, rows_loaded, duration, str(exc))
-            if on_failure is not None:
+            if on_failure is not None and spec.notify_on_failure:
                 try:
                     on_failure(format_alert(spec.name, run_id, str(exc)))
                 except Exception:  # noqa: BLE001 - delivery problems never hide the load error

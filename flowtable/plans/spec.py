@@ -57,6 +57,8 @@ class LoadSpec:
     schedule: str | None = None
     quality: QualitySpec = field(default_factory=QualitySpec)
     transform: TransformSpec | None = None
+    notify_on_failure: bool = True  # call run_load's on_failure callback for a failed load
+    runtime_parameters: dict[str, Any] = field(default_factory=dict)  # kept, not interpreted
 
     def __post_init__(self) -> None:
         if self.load_mode not in LOAD_MODES:
@@ -105,4 +107,6 @@ class LoadSpec:
                 checks=[Check(c["name"], c.get("column"), c["rule"], c.get("value")) for c in qc.get("checks") or []],
             ),
             transform=TransformSpec(sql=tr.get("sql"), target=tr.get("target")) if tr else None,
+            notify_on_failure=bool((d.get("notify") or {}).get("on_failure", False)),
+            runtime_parameters=dict(d.get("runtime_parameters") or {}),
         )
