@@ -62,6 +62,25 @@ _ALERT = (
     "|| '*Run ID:* `' || CAST(event_id AS VARCHAR) || '`' || chr(10) || '*Error:* ' || coalesce(substring(props, 1, 500), '')"
 )
 
+_VERSION_CUT = "TIMESTAMP '1996-01-01 00:00:00'"
+_HASH = "substring(sha256(concat_ws('|', o_orderstatus, o_orderpriority)), 1, 16)"
+
+_RUN_ALL = """
+SELECT 'customer_feed' AS pipeline_name, 'warehouse-team' AS owner, 'append' AS load_mode, 'SUCCESS' AS status,
+       CAST(1 AS BIGINT) AS total_runs, CAST(0 AS BIGINT) AS failures, CAST(count(*) AS BIGINT) AS rows_loaded,
+       CAST(NULL AS VARCHAR) AS last_error
+FROM customer
+UNION ALL
+SELECT 'orders_feed', 'warehouse-team', 'overwrite', 'SUCCESS', 1, 0, count(*), NULL FROM orders
+UNION ALL
+SELECT 'supplier_feed', 'warehouse-team', 'overwrite', 'SUCCESS', 1, 0, count(*), NULL FROM supplier
+UNION ALL
+SELECT 'zz_balances_feed', 'finance', 'append', 'FAILED', 1, 1, 0,
+       substring('Data quality checks failed:' || chr(10) || '  ✗ acctbal_positive: ''c_acctbal'' has '
+                 || CAST(count(*) FILTER (WHERE c_acctbal <= 0) AS VARCHAR) || ' value(s) not greater than 0', 1, 120)
+FROM customer
+"""
+
 ORACLE: dict[str, str] = {
     "clean_orders": _CLEAN_ORDERS,
     "clean_events": _CLEAN_EVENTS,
@@ -101,6 +120,30 @@ l AS (
 SELECT o_custkey, o_orderkey, o_orderdate, version_hash, previous_hash
 FROM l WHERE rn = 1 OR version_hash IS DISTINCT FROM previous_hash""",
     "failure_alerts": f"SELECT event_id, user_id, {_ALERT} AS message FROM events WHERE event_type = 'error'",
+    "health_by_customer": """
+SELECT c.c_custkey AS user_id, c.c_name,
+       coalesce(e.total_runs, 0) AS total_runs, coalesce(e.failures, 0) AS failures,
+       e.last_run_at, e.last_status, e.last_error
+FROM customer c LEFT JOIN (
+  SELECT user_id, count(*) AS total_runs, count(*) FILTER (WHERE event_type = 'error') AS failures,
+         max(ts) AS last_run_at, arg_max(event_type, ts) AS last_status,
+         arg_max(substring(props, 1, 120), ts) FILTER (WHERE event_type = 'error') AS last_error
+  FROM events GROUP BY user_id
+) e ON c.c_custkey = e.user_id""",
+    "track_versions": f"""
+WITH last AS (
+  SELECT o_custkey, version_hash AS last_hash FROM (
+    SELECT o_custkey, {_HASH} AS version_hash,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders WHERE o_orderdate < {_VERSION_CUT}) WHERE rn = 1),
+inc AS (
+  SELECT o_custkey, o_orderstatus, o_orderpriority FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+    FROM orders WHERE o_orderdate >= {_VERSION_CUT}) WHERE rn = 1)
+SELECT i.o_custkey, i.o_orderstatus, i.o_orderpriority, {_HASH.replace('o_orderstatus', 'i.o_orderstatus').replace('o_orderpriority', 'i.o_orderpriority')} AS version_hash
+FROM inc i LEFT JOIN last l ON i.o_custkey = l.o_custkey
+WHERE l.last_hash IS DISTINCT FROM {_HASH.replace('o_orderstatus', 'i.o_orderstatus').replace('o_orderpriority', 'i.o_orderpriority')}""",
+    "run_all_loads": _RUN_ALL,
     "csv_roundtrip": "SELECT * FROM orders",
     "json_records": "SELECT * FROM customer",
     "append_twice": "SELECT * FROM customer UNION ALL SELECT * FROM customer",

@@ -12,14 +12,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtable.operators.changes import duplicate_keys, key_conflicts, latest_by_key, version_changes
+from flowtable.functions.columns import fingerprint
+from flowtable.operators.changes import duplicate_keys, key_conflicts, latest_by_key, track_versions, version_changes
 from flowtable.operators.incremental import incremental_filter, marks_by
 from flowtable.operators.quality import Check, quality_report
 from flowtable.operators.runlog import failure_alerts, latest_failure, run_health
 from flowtable.operators.sinks import Warehouse
 from flowtable.operators.transform import clean_events as clean_events_op
 from flowtable.operators.transform import keep_rows, run_sql_transform
-from flowtable.plans.runner import run_load
+from flowtable.plans.runner import run_all, run_load
 from flowtable.plans.spec import DestinationSpec, LoadSpec, QualitySpec, SourceSpec, TransformSpec
 from flowtable.plans.state import RunState
 from flowtable.session import scratch_path
@@ -28,6 +29,7 @@ from flowtable.sources.files import read_csv, read_json, write_json_array
 from flowtable.streaming.available_now import stream_load
 
 SPLIT = "2024-01-15 00:00:00"
+VERSION_CUT = "1996-01-01 00:00:00"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -150,6 +152,31 @@ def q_latest_failure(spark, sf):
     return latest_failure(_events_as_runs(spark, sf), key="user_id", status="event_type", ts="ts", error="props", failed_value="error")
 
 
+def q_health_by_customer(spark, sf):
+    """Every customer (the registered keys) with the run statistics of its events; zero if none."""
+    registered = _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
+    return run_health(_events_as_runs(spark, sf), key="user_id", status="event_type", ts="ts", error="props",
+                      failed_value="error", registered=registered)
+
+
+def q_track_versions(spark, sf):
+    """Latest order per customer since 1996 versus the customer's version history before it."""
+    orders = _t(spark, sf, "orders")
+    cut = F.lit(VERSION_CUT).cast("timestamp_ntz")
+    history = orders.where(F.col("o_orderdate") < cut).select(
+        "o_custkey",
+        fingerprint("o_orderstatus", "o_orderpriority", sep="|").alias("version_hash"),
+        F.col("o_orderdate").alias("recorded_at"),
+        F.col("o_orderkey").alias("seq"),
+    )
+    incoming = latest_by_key(
+        orders.where(F.col("o_orderdate") >= cut).select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus", "o_orderpriority"),
+        ["o_custkey"], ["o_orderdate", "o_orderkey"],
+    ).select("o_custkey", "o_orderstatus", "o_orderpriority")
+    return track_versions(history, incoming, ["o_custkey"], ["o_orderstatus", "o_orderpriority"],
+                          order_by=["recorded_at", "seq"], sep="|")
+
+
 def q_failure_alerts(spark, sf):
     return failure_alerts(
         _events_as_runs(spark, sf), name="user_id", run_id="event_id", error="props", status="event_type", failed_value="error"
@@ -370,6 +397,37 @@ def q_stream_available_now(spark, sf):
     return _runs_with_marks(state, spec.name)
 
 
+def _table_spec(sf: str, table: str, mode: str = "append", checks=None) -> LoadSpec:
+    return LoadSpec(
+        name=f"{table}_feed",
+        owner="warehouse-team",
+        source=SourceSpec(type="parquet", path=f"{sf.rstrip('/')}/{table}.parquet"),
+        destination=DestinationSpec("raw", table),
+        load_mode=mode,
+        schedule="@daily",
+        quality=QualitySpec(bool(checks), checks or []),
+    )
+
+
+def q_run_all_loads(spark, sf):
+    """Several loads run in name order; the failing one (last by name) is reported with its error."""
+    wh = Warehouse.scratch(spark, "runall")
+    specs = [
+        _table_spec(sf, "orders", "overwrite", [Check("orderkey_unique", "o_orderkey", "unique")]),
+        _table_spec(sf, "customer"),
+        _table_spec(sf, "supplier", "overwrite"),
+        LoadSpec("zz_balances_feed", "finance", SourceSpec("parquet", path=f"{sf.rstrip('/')}/customer.parquet"),
+                 DestinationSpec("raw", "balances"),
+                 quality=QualitySpec(True, [Check("acctbal_positive", "c_acctbal", "greater_than")])),
+    ]
+    run_all(spark, specs, wh)
+    state = RunState(wh)
+    loaded = state.runs().groupBy("pipeline_name").agg(F.sum("rows_loaded").alias("rows_loaded"))
+    return state.health().join(loaded, "pipeline_name", "left").select(
+        "pipeline_name", "owner", "load_mode", "status", "total_runs", "failures", "rows_loaded", "last_error"
+    )
+
+
 def q_end_to_end_load(spark, sf):
     wh = Warehouse.scratch(spark, "e2e")
     _require(run_load(spark, events_spec(sf, transform=True), wh))
@@ -389,6 +447,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_keys": q_duplicate_keys,
     "version_changes": q_version_changes,
     "failure_alerts": q_failure_alerts,
+    "health_by_customer": q_health_by_customer,
+    "track_versions": q_track_versions,
     "csv_roundtrip": q_csv_roundtrip,
     "json_records": q_json_records,
     "append_twice": q_append_twice,
@@ -404,5 +464,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overwrite_twice": q_overwrite_twice,
     "sql_transform": q_sql_transform,
     "stream_available_now": q_stream_available_now,
+    "run_all_loads": q_run_all_loads,
     "end_to_end_load": q_end_to_end_load,
 }
