@@ -276,10 +276,16 @@ class Warehouse:
         self.spark.sql(f"REFRESH TABLE {self.qualified(table)}")
 
     # -- loads
-    def append(self, table: str, df: DataFrame) -> int:
-        """Append by column name (absent target columns NULL).  Returns rows written."""
+    def append(self, table: str, df: DataFrame, clustered: bool = False) -> int:
+        """Append by column name (absent target columns NULL).  Returns rows written.
+
+        Rows for a bucketed table are hash-partitioned by its bucket columns first (one file per
+        bucket), unless ``clustered`` says they already are."""
         self.ensure_table(table, df.schema)
         aligned, obs = counted(align_by_name(df, self.schema(table)))
+        b = self.bucketing(table)
+        if b is not None and not clustered:
+            aligned = aligned.repartition(b.buckets, *b.columns)
         aligned.write.mode("append").insertInto(self.qualified(table))
         return int(obs.get["rows"])
 
@@ -352,7 +358,10 @@ class Warehouse:
         """Append the first incoming row of each key not yet in the table.  Returns rows added."""
         self.ensure_table(table, incoming.schema, bucket_by=keys, buckets=buckets)
         fresh = rows_absent_from(self.read(table), incoming, keys, order_by)
-        return self.append(table, fresh)
+        # the first-row-per-key aggregate already hash-partitioned the rows by the keys
+        b = self.bucketing(table)
+        aligned = self._bucketed_on(table, keys) and b.buckets == self.default_buckets()
+        return self.append(table, fresh, clustered=aligned)
 
     def update_by_key(self, table: str, updates: DataFrame, keys: Sequence[str], set_cols: Mapping[str, str]) -> int:
         """Set columns of existing keys; published as a new snapshot.  Returns the row count."""

@@ -297,4 +297,7 @@ class RunState:
 
     # -- maintenance
     def compact(self, files: int = 1) -> None:
-        self.wh.compact(JOURNAL_TABLE, files)
+        """Rewrite the journal into ``files`` files sorted by name, kind and time, so the
+        parquet statistics let a load's probe skip row groups of other names."""
+        ordered = self.journal().repartition(files).sortWithinPartitions("pipeline_name", "kind", "at", "seq")
+        self.wh.overwrite(JOURNAL_TABLE, ordered)

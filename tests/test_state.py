@@ -107,3 +107,16 @@ def test_register_with_quotes_and_never_run_status(spark, wh):
     row = st.health().first()
     assert row.pipeline_name == "it's a pipe" and row.owner == "o'brien"
     assert row.status == "NEVER RUN" and row.indicator == "—" and row.total_runs == 0
+
+
+def test_compact_keeps_events_and_probe_pushes_name_filter(spark, wh):
+    st = RunState(wh)
+    for n in ("a", "b", "c"):
+        st.register(spec(n))
+        st.log_run(f"r-{n}", n, "SUCCESS", 1, 1, 0.1, None)
+    before = st.journal().count()
+    st.compact()
+    assert st.journal().count() == before
+    assert [r.pipeline_name for r in st.health().collect()] == ["a", "b", "c"]
+    plan = st.runs().where("pipeline_name = 'b'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(pipeline_name,b)" in plan
