@@ -55,11 +55,6 @@ def schema_drift(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return drift
 
 
-def drift_messages(drift: DataFrame) -> list[str]:
-    """Readable drift lines (the drift frame has at most one row per column)."""
-    return drift_lines(drift.collect())
-
-
 def drift_lines(rows) -> list[str]:
     return [
         DRIFT_MESSAGES[r["change"]].format(column=r["column_name"], stored=r["stored_type"], incoming=r["incoming_type"])

@@ -25,6 +25,7 @@ from pyspark.sql.types import StructField, StructType
 
 from flowtable.operators.changes import first_by_key, latest_by_key
 from flowtable.session import shared_root
+from flowtable.sources.catalog import scan_table
 
 
 # ----------------------------------------------------------------------------- frame operators
@@ -179,7 +180,8 @@ class Warehouse:
         return self.spark.catalog.tableExists(f"{self.database}.{table}")
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.qualified(table))
+        """Whole-table scan of the current snapshot (lazy)."""
+        return scan_table(self.spark, self.qualified(table))
 
     def schema(self, table: str) -> StructType:
         return self.read(table).schema

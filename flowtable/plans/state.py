@@ -283,13 +283,6 @@ class RunState:
         drift = drift_lines([c for c in cols if c["change"] is not None]) if stored_before else []
         return Probe(version, mark, drift, stored_before)
 
-    def drift_report(self, pipeline_name: str, schema: StructType) -> tuple[list[str], bool]:
-        rows = schema_compare(self.stored_schema(pipeline_name), schema_rows(self.spark, schema)).collect()
-        stored_before = any(r["stored_type"] is not None for r in rows)
-        if not stored_before:
-            return [], False
-        return drift_lines([r for r in rows if r["change"] is not None]), True
-
     def has_succeeded(self, run_id: str) -> bool:
         """Whether a run with this id already completed (replay guard for streaming batches)."""
         done = self._kind("run").where((F.col("run_id") == F.lit(run_id)) & (F.col("status") == "SUCCESS"))
