@@ -286,9 +286,14 @@ class Warehouse:
         self.ensure_table(table, df.schema)
         aligned, obs = counted(align_by_name(df, self.schema(table)))
         b = self.bucketing(table)
-        if b is not None and not clustered:
-            aligned = aligned.repartition(b.buckets, *b.columns)
-        aligned.write.mode("append").insertInto(self.qualified(table))
+        if b is None:
+            # add files to the current snapshot folder, then drop cached listings of the table
+            aligned.write.mode("append").parquet(self.location(table))
+            self.spark.catalog.refreshTable(f"{self.database}.{table}")
+        else:
+            if not clustered:
+                aligned = aligned.repartition(b.buckets, *b.columns)
+            aligned.write.mode("append").insertInto(self.qualified(table))  # bucket-aware file naming
         return int(obs.get["rows"])
 
     def overwrite(

@@ -134,7 +134,7 @@ class RunState:
 
     def _write(self, rows: list[tuple]) -> None:
         if rows:
-            self.wh.append(JOURNAL_TABLE, self.spark.createDataFrame(rows, JOURNAL).coalesce(1))
+            self.wh.append(JOURNAL_TABLE, self.spark.createDataFrame(rows, JOURNAL))
 
     @contextmanager
     def deferred(self):
