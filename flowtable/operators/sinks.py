@@ -103,9 +103,16 @@ def update_rows(
     updates: DataFrame,
     keys: Sequence[str],
     set_cols: Mapping[str, str],
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """For keys present in ``updates`` (unique per key), set ``target[col] = updates[src]``."""
+    """For keys present in ``updates``, set ``target[col] = updates[src]``.
+
+    ``updates`` must hold one row per key, or ``order_by`` picks the latest row of each key
+    (a map-side partial aggregate) so no target row is ever duplicated by the join.
+    """
     keys = list(keys)
+    if order_by:
+        updates = latest_by_key(updates, keys, order_by)
     u = updates.select(*keys, *[F.col(src).alias(f"_u_{dst}") for dst, src in set_cols.items()], F.lit(True).alias("_u_hit"))
     joined = target.join(u, keys, "left")
     out = []
@@ -370,9 +377,16 @@ class Warehouse:
         aligned = self._bucketed_on(table, keys) and b.buckets == self.default_buckets()
         return self.append(table, fresh, clustered=aligned)
 
-    def update_by_key(self, table: str, updates: DataFrame, keys: Sequence[str], set_cols: Mapping[str, str]) -> int:
+    def update_by_key(
+        self,
+        table: str,
+        updates: DataFrame,
+        keys: Sequence[str],
+        set_cols: Mapping[str, str],
+        order_by: Sequence[str] | None = None,
+    ) -> int:
         """Set columns of existing keys; published as a new snapshot.  Returns the row count."""
-        merged = update_rows(self.read(table), updates, keys, set_cols)
+        merged = update_rows(self.read(table), updates, keys, set_cols, order_by)
         return self.overwrite(table, merged, clustered=self._bucketed_on(table, keys))
 
     def _bucketed_on(self, table: str, keys: Sequence[str]) -> bool:

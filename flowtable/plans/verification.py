@@ -117,8 +117,8 @@ def q_update_by_key(spark, sf):
     orders = _t(spark, sf, "orders").select(
         F.col("o_custkey").alias("c_custkey"), "o_orderstatus", "o_orderdate", "o_orderkey"
     )
-    latest = latest_by_key(orders, ["c_custkey"], ["o_orderdate", "o_orderkey"])
-    wh.update_by_key("customer_status", latest, ["c_custkey"], {"last_order_status": "o_orderstatus"})
+    wh.update_by_key("customer_status", orders, ["c_custkey"], {"last_order_status": "o_orderstatus"},
+                     order_by=["o_orderdate", "o_orderkey"])
     return wh.read("customer_status")
 
 

@@ -160,3 +160,10 @@ def test_upsert_rejects_unknown_columns(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     with pytest.raises(ValueError, match="not in target"):
         upsert_rows(target, spark.createDataFrame([(1, "b", 2)], "k int, v string, extra int"), ["k"])
+
+
+def test_update_with_repeated_keys_takes_the_latest(spark, wh):
+    wh.overwrite("t", spark.createDataFrame([("a", None), ("b", None)], "name string, status string"))
+    ups = spark.createDataFrame([("a", "OLD", 1), ("a", "NEW", 2), ("b", "X", 1)], "name string, s string, o int")
+    assert wh.update_by_key("t", ups, ["name"], {"status": "s"}, order_by=["o"]) == 2
+    assert {r.name: r.status for r in wh.read("t").collect()} == {"a": "NEW", "b": "X"}
