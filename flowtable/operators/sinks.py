@@ -139,6 +139,10 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 # ----------------------------------------------------------------------------- warehouse
 
 
+LOAD_ID = "_load_id"  # partition column of load-partitioned tables
+_SAFE_ID = re.compile(r"^[A-Za-z0-9_.:-]+$")
+
+
 @dataclass(frozen=True)
 class Bucketing:
     """Hash bucketing of a table's files by its key columns."""
@@ -394,6 +398,40 @@ class Warehouse:
         b = self.bucketing(table)
         return b is not None and tuple(b.columns) == tuple(keys)
 
+    # -- load-partitioned tables: every load is one partition, published without a copy
+    def load_path(self, table: str, load_id: str) -> str:
+        """Where a load writes its rows; outside the table folder, so an unpublished load is
+        invisible to any listing of the table."""
+        return f"{self.root}/{table}/loads/{load_id}"
+
+    def ensure_load_table(self, table: str, schema: StructType) -> bool:
+        """Create a table partitioned by ``_load_id`` (columns of ``schema`` + the load id)."""
+        if self.exists(table):
+            return False
+        cols = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in schema.fields if f.name != LOAD_ID)
+        self.spark.sql(
+            f"CREATE TABLE {self.qualified(table)} ({cols}, {_q(LOAD_ID)} STRING) USING parquet "
+            f"PARTITIONED BY ({_q(LOAD_ID)}) LOCATION '{self.root}/{table}/data'"
+        )
+        self._bucketing[table] = None
+        return True
+
+    def publish_load(self, table: str, load_id: str, path: str, schema: StructType) -> None:
+        """Register the files at ``path`` as the table's partition ``load_id`` (atomic, zero copy).
+
+        As with a by-name insert, columns the table does not have are an error; columns the
+        load lacks read as NULL.
+        """
+        if not _SAFE_ID.match(load_id):
+            raise ValueError(f"unsafe load id: {load_id!r}")
+        self.ensure_load_table(table, schema)
+        known = {f.name for f in self.schema(table).fields}
+        extra = [f.name for f in schema.fields if f.name not in known]
+        if extra:
+            raise ValueError(f"columns not in target table: {extra}; target has {sorted(known)}")
+        self.spark.sql(f"ALTER TABLE {self.qualified(table)} ADD PARTITION ({_q(LOAD_ID)} = '{load_id}') LOCATION '{path}'")
+        self.spark.catalog.refreshTable(f"{self.database}.{table}")
+
     def execute(self, sql: str, params=None) -> DataFrame:
         """Run one statement with bound parameters in this database (values never enter the text)."""
         previous = self.spark.catalog.currentDatabase()

@@ -97,7 +97,20 @@ def run_load(
                 df = incremental_filter(df, key, probe.mark, spec.source.partition_column)
             drift_error = SchemaDriftError(drift_error_text(probe.drift)) if probe.drift and not force else None
 
-            if checks:
+            if spec.destination.load_partitions:
+                # the increment is written once, to its own folder, and published as a partition
+                path = warehouse.load_path(table, run_id)
+                staged, metrics = stage_and_measure(spark, df, spec, path, probe.mark)
+                rows_extracted = int(metrics["_rows"])
+                raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
+                if drift_error:
+                    raise drift_error
+                if rows_extracted > 0:
+                    warehouse.publish_load(table, run_id, path, staged.schema)
+                else:
+                    warehouse.ensure_load_table(table, staged.schema)
+                rows_loaded = rows_extracted
+            elif checks:
                 stage = warehouse.stage_path(table, run_id)
                 staged, metrics = stage_and_measure(spark, df, spec, stage, probe.mark)
                 rows_extracted = int(metrics["_rows"])

@@ -29,6 +29,8 @@ class SourceSpec:
 class DestinationSpec:
     schema: str
     table: str
+    # partition the table by load: each append is published as its own partition, no copy
+    load_partitions: bool = False
 
     @property
     def physical(self) -> str:
@@ -63,6 +65,8 @@ class LoadSpec:
     def __post_init__(self) -> None:
         if self.load_mode not in LOAD_MODES:
             raise ValueError(f"load_mode must be one of {LOAD_MODES}, got {self.load_mode!r}")
+        if self.destination.load_partitions and self.load_mode != "append":
+            raise ValueError("load_partitions destinations only take append loads")
 
     def tracked_fields(self) -> dict[str, Any]:
         """Fields whose change makes a new recorded version of the spec.
@@ -99,7 +103,9 @@ class LoadSpec:
                 partition_column=src.get("partition_column"),
                 options=src.get("options") or {},
             ),
-            destination=DestinationSpec(d["destination"]["schema"], d["destination"]["table"]),
+            destination=DestinationSpec(
+                d["destination"]["schema"], d["destination"]["table"], bool(d["destination"].get("load_partitions", False))
+            ),
             load_mode=d.get("load_mode", "append"),
             schedule=(d.get("schedule") or {}).get("cron"),
             quality=QualitySpec(

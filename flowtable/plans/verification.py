@@ -383,6 +383,20 @@ def q_incremental_two_runs(spark, sf):
     return _runs_with_marks(state, spec.name)
 
 
+def q_load_partitions(spark, sf):
+    """``events`` in two incremental loads into a load-partitioned table (each load published as
+    its own partition, without copying); the table then holds every event once."""
+    wh = Warehouse.scratch(spark, "loadparts")
+    state = RunState(wh)
+    base = events_spec(sf)
+    spec = LoadSpec(base.name, base.owner, base.source, DestinationSpec("raw", "events", load_partitions=True),
+                    quality=base.quality)
+    events = _t(spark, sf, "events")
+    _require(run_load(spark, spec, wh, source=events.where(F.col("ts") <= F.lit(SPLIT).cast("timestamp_ntz")), state=state))
+    _require(run_load(spark, spec, wh, state=state))
+    return wh.read("raw_events").drop("_load_id")
+
+
 def q_stream_available_now(spark, sf):
     wh = Warehouse.scratch(spark, "stream")
     state = RunState(wh)
@@ -463,6 +477,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_two_runs": q_incremental_two_runs,
     "overwrite_twice": q_overwrite_twice,
     "sql_transform": q_sql_transform,
+    "load_partitions": q_load_partitions,
     "stream_available_now": q_stream_available_now,
     "run_all_loads": q_run_all_loads,
     "end_to_end_load": q_end_to_end_load,
