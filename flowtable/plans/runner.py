@@ -32,7 +32,7 @@ from flowtable.operators.sinks import Warehouse, align_by_name, nullable
 from flowtable.operators.transform import run_sql_transform
 from flowtable.plans.spec import LoadSpec
 from flowtable.plans.state import RunState
-from flowtable.sources.files import read_source
+from flowtable.sources.files import read_csv, read_source
 
 
 def _load_measures(df: DataFrame, key: str | None, mark: str | None) -> dict:
@@ -63,6 +63,79 @@ def stage_and_measure(
     return staged, metrics
 
 
+def _read_for_load(spark: SparkSession, spec: LoadSpec, state: RunState) -> tuple[DataFrame, bool]:
+    """Read the source; (frame, pinned).
+
+    A CSV source without an explicit schema is read with the types of its stored schema
+    snapshot once it has one and the header still names the same columns: one pass instead
+    of an inference pass plus a read.  The read is FAILFAST, so a value that no longer fits
+    its stored type stops the load, which then falls back to inference (see ``run_load``).
+    """
+    src = spec.source
+    if src.type != "csv" or src.schema is not None or not src.pin_schema:
+        return read_source(spark, src), False
+    stored = state.stored_columns(spec.name)
+    if not stored:
+        return read_source(spark, src), False
+    header = read_csv(spark, src.path, infer=False, **src.options).columns  # first line only
+    if header != [name for name, _ in stored]:
+        return read_source(spark, src), False
+    ddl = ", ".join(f"`{name.replace('`', '``')}` {dtype}" for name, dtype in stored)
+    return read_csv(spark, src.path, schema=ddl, **{**src.options, "mode": "FAILFAST"}), True
+
+
+def _malformed(exc: Exception) -> bool:
+    return "MALFORMED_RECORD_IN_PARSING" in str(exc)
+
+
+def _write_increment(
+    spark: SparkSession,
+    spec: LoadSpec,
+    warehouse: Warehouse,
+    df: DataFrame,
+    probe,
+    force: bool,
+    write_id: str,
+    load_id: str,
+    counts: dict,
+) -> dict:
+    """Filter, gate and publish one increment; fills ``counts`` as it goes; returns metrics."""
+    table = spec.destination.physical
+    key = spec.source.incremental_key
+    checks = spec.quality.checks if spec.quality.enabled else []
+    if key:
+        df = incremental_filter(df, key, probe.mark, spec.source.partition_column)
+    drift_error = SchemaDriftError(drift_error_text(probe.drift)) if probe.drift and not force else None
+
+    if spec.destination.load_partitions:
+        # the increment is written once, to its own folder, and published as a partition
+        path = warehouse.load_path(table, write_id)
+        staged, metrics = stage_and_measure(spark, df, spec, path, probe.mark)
+        counts["extracted"] = int(metrics["_rows"])
+        raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
+        if drift_error:
+            raise drift_error
+        if counts["extracted"] > 0:
+            warehouse.publish_load(table, load_id, path, staged.schema)
+        else:
+            warehouse.ensure_load_table(table, staged.schema)
+        counts["loaded"] = counts["extracted"]
+    elif checks:
+        stage = warehouse.stage_path(table, write_id)
+        staged, metrics = stage_and_measure(spark, df, spec, stage, probe.mark)
+        counts["extracted"] = int(metrics["_rows"])
+        raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
+        if drift_error:
+            raise drift_error
+        counts["loaded"] = _publish(warehouse, table, spec, staged, stage, counts["extracted"])
+    else:
+        if drift_error:  # schema-only gate: fails before any data is read
+            raise drift_error
+        counts["loaded"], metrics = _publish_direct(warehouse, table, spec, df, probe.mark)
+        counts["extracted"] = counts["loaded"]
+    return metrics
+
+
 def run_load(
     spark: SparkSession,
     spec: LoadSpec,
@@ -81,48 +154,27 @@ def run_load(
     state = state or RunState(warehouse)
     run_id = run_id or str(uuid.uuid4())
     start = time.time()
-    rows_extracted = rows_loaded = 0
-    table = spec.destination.physical
-    checks = spec.quality.checks if spec.quality.enabled else []
+    counts = {"extracted": 0, "loaded": 0}
+    key = spec.source.incremental_key
     with state.deferred():
         state.register(spec)
         try:
-            df = source if source is not None else read_source(spark, spec.source)
-            key = spec.source.incremental_key
+            df, pinned = (source, False) if source is not None else _read_for_load(spark, spec, state)
             if key:
                 require_key(df, key)
             probe = state.probe(spec, df.schema)  # version, mark and schema comparison: one query
             state.record_version(spec, probe.version_hash)
-            if key:
-                df = incremental_filter(df, key, probe.mark, spec.source.partition_column)
-            drift_error = SchemaDriftError(drift_error_text(probe.drift)) if probe.drift and not force else None
-
-            if spec.destination.load_partitions:
-                # the increment is written once, to its own folder, and published as a partition
-                path = warehouse.load_path(table, run_id)
-                staged, metrics = stage_and_measure(spark, df, spec, path, probe.mark)
-                rows_extracted = int(metrics["_rows"])
-                raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
-                if drift_error:
-                    raise drift_error
-                if rows_extracted > 0:
-                    warehouse.publish_load(table, run_id, path, staged.schema)
-                else:
-                    warehouse.ensure_load_table(table, staged.schema)
-                rows_loaded = rows_extracted
-            elif checks:
-                stage = warehouse.stage_path(table, run_id)
-                staged, metrics = stage_and_measure(spark, df, spec, stage, probe.mark)
-                rows_extracted = int(metrics["_rows"])
-                raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
-                if drift_error:
-                    raise drift_error
-                rows_loaded = _publish(warehouse, table, spec, staged, stage, rows_extracted)
-            else:
-                if drift_error:  # schema-only gate: fails before any data is read
-                    raise drift_error
-                rows_loaded, metrics = _publish_direct(warehouse, table, spec, df, probe.mark)
-                rows_extracted = rows_loaded
+            try:
+                metrics = _write_increment(spark, spec, warehouse, df, probe, force, run_id, run_id, counts)
+            except Exception as exc:  # noqa: BLE001
+                if not (pinned and _malformed(exc)):
+                    raise
+                # a value no longer fits its stored type: infer the types, then gate on drift as usual
+                df = read_source(spark, spec.source)
+                if key:
+                    require_key(df, key)
+                probe = state.probe(spec, df.schema)
+                metrics = _write_increment(spark, spec, warehouse, df, probe, force, f"{run_id}-inferred", run_id, counts)
 
             if probe.drift or not probe.stored_before:  # the snapshot changes only with the column set
                 state.store_schema(spec.name, df.schema)
@@ -133,17 +185,17 @@ def run_load(
                 run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
 
             duration = round(time.time() - start, 2)
-            state.log_run(run_id, spec.name, "SUCCESS", rows_extracted, rows_loaded, duration, None)
-            return _result("success", rows_extracted, rows_loaded, duration, None, run_id)
+            state.log_run(run_id, spec.name, "SUCCESS", counts["extracted"], counts["loaded"], duration, None)
+            return _result("success", counts["extracted"], counts["loaded"], duration, None, run_id)
         except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
             duration = round(time.time() - start, 2)
-            state.log_run(run_id, spec.name, "FAILED", rows_extracted, rows_loaded, duration, str(exc))
+            state.log_run(run_id, spec.name, "FAILED", counts["extracted"], counts["loaded"], duration, str(exc))
             if on_failure is not None and spec.notify_on_failure:
                 try:
                     on_failure(format_alert(spec.name, run_id, str(exc)))
                 except Exception:  # noqa: BLE001 - delivery problems never hide the load error
                     pass
-            return _result("failed", rows_extracted, rows_loaded, duration, str(exc), run_id)
+            return _result("failed", counts["extracted"], counts["loaded"], duration, str(exc), run_id)
 
 
 def _publish(warehouse: Warehouse, table: str, spec: LoadSpec, staged: DataFrame, stage: str, rows: int) -> int:

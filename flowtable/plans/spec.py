@@ -19,6 +19,7 @@ class SourceSpec:
     partition_column: str | None = None  # partition column holding CAST(incremental_key AS its type)
     options: dict[str, str] = field(default_factory=dict)
     schema: Any = None  # StructType or DDL string; None infers
+    pin_schema: bool = True  # CSV without a schema: later runs read with the stored types
 
     @property
     def identifier(self) -> str:

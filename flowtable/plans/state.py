@@ -221,6 +221,11 @@ class RunState:
         latest = mine.agg(F.max("snapshot_seq").alias("snapshot_seq"))
         return mine.join(latest, "snapshot_seq", "left_semi").select("column_name", "column_type", "ordinal")
 
+    def stored_columns(self, pipeline_name: str) -> list[tuple[str, str]]:
+        """(name, type) of the latest snapshot in column order (one row per column)."""
+        rows = self.stored_schema(pipeline_name).orderBy("ordinal").collect()
+        return [(r["column_name"], r["column_type"]) for r in rows]
+
     def schema_drift(self, pipeline_name: str, schema: StructType) -> DataFrame:
         return schema_drift(self.stored_schema(pipeline_name), schema_rows(self.spark, schema))
 

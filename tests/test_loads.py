@@ -335,3 +335,30 @@ def test_load_partitions_publish_each_load_without_a_copy(spark, wh):
     assert not wh.exists("raw_bad_by_load")
     with pytest.raises(ValueError, match="append"):
         LoadSpec("x", "o", SourceSpec("csv", path="/x"), DestinationSpec("raw", "x", load_partitions=True), load_mode="overwrite")
+
+
+def test_csv_later_runs_read_with_the_stored_types(spark, wh, write_csv):
+    from flowtable.plans.runner import _read_for_load
+
+    state = RunState(wh)
+    path = write_csv("p.csv", "id,amount,day\n1,5,2026-03-01\n2,7,2026-03-02\n")
+    s = spec(path, name="pinned", key="day")
+    first_df, pinned = _read_for_load(spark, s, state)
+    assert not pinned  # nothing stored yet: types are inferred
+    assert run_load(spark, s, wh, state=state)["rows_loaded"] == 2
+    write_csv("p.csv", "id,amount,day\n1,5,2026-03-01\n2,7,2026-03-02\n3,9,2026-03-05\n")
+    df, pinned = _read_for_load(spark, s, state)
+    assert pinned and df.schema == first_df.schema
+    res = run_load(spark, s, wh, state=state)
+    assert res["status"] == "success" and res["rows_loaded"] == 1
+
+
+def test_csv_value_that_breaks_its_stored_type_reports_drift(spark, wh, write_csv):
+    state = RunState(wh)
+    path = write_csv("p.csv", "id,amount\n1,5\n")
+    run_load(spark, spec(path, name="retype"), wh, state=state)
+    write_csv("p.csv", "id,amount\n2,abc\n")
+    res = run_load(spark, spec(path, name="retype"), wh, state=state)
+    assert res["status"] == "failed"
+    assert "Column 'amount' type changed: int → string" in res["error_message"]
+    assert wh.read("raw_retype").count() == 1
