@@ -34,10 +34,15 @@ def stream_load(
     options: dict[str, str] | None = None,
     state: RunState | None = None,
     max_files_per_batch: int | None = None,
+    run_tag: str | None = None,
 ) -> list[dict]:
-    """Load everything new under ``landing`` and stop.  Returns one result per micro-batch."""
+    """Load everything new under ``landing`` and stop.  Returns one result per micro-batch.
+
+    Batch run ids are ``stream-<run_tag>-<batch id>``; the tag defaults to a hash of the
+    checkpoint path, so a restarted query replaying a batch sees the same id.
+    """
     state = state or RunState(warehouse)
-    tag = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    tag = run_tag or hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
     results: list[dict] = []
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
