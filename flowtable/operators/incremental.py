@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, TimestampType
 
 from flowtable.errors import SourceError
 
@@ -24,6 +25,14 @@ def typed_mark(df: DataFrame, key: str, mark: str) -> Column:
     return F.lit(mark).cast(df.schema[key].dataType)
 
 
+def mark_text(value: Column, dtype: DataType) -> Column:
+    """A mark as stored text.  Zone-aware timestamps keep their offset (ISO 8601), so the
+    mark means the same instant whatever the session time zone of a later run."""
+    if isinstance(dtype, TimestampType):
+        return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return value.cast("string")
+
+
 def incremental_filter(df: DataFrame, key: str, mark: str | None, partition_column: str | None = None) -> DataFrame:
     """Rows with ``key > mark``; with no mark, every row with a non-NULL key.
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from flowtable.errors import SchemaDriftError
 from flowtable.operators.changes import duplicate_keys, key_conflicts
-from flowtable.operators.incremental import incremental_filter, require_key, typed_mark
+from flowtable.operators.incremental import incremental_filter, mark_text, require_key, typed_mark
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
 from flowtable.operators.runlog import format_alert
 from flowtable.operators.schema import drift_error_text
@@ -42,7 +42,7 @@ def _load_measures(df: DataFrame, key: str | None, mark: str | None) -> dict:
         new = F.max(F.col(key))
         if mark is not None:
             new = F.greatest(new, typed_mark(df, key, mark))
-        measures["_mark"] = new.cast("string")
+        measures["_mark"] = mark_text(new, df.schema[key].dataType)
     return measures
 
 

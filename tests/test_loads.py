@@ -362,3 +362,20 @@ def test_csv_value_that_breaks_its_stored_type_reports_drift(spark, wh, write_cs
     assert res["status"] == "failed"
     assert "Column 'amount' type changed: int → string" in res["error_message"]
     assert wh.read("raw_retype").count() == 1
+
+
+def test_zone_aware_mark_survives_a_session_time_zone_change(spark, wh):
+    state = RunState(wh)
+    s = LoadSpec("tz", "o", SourceSpec("parquet", path="/unused", incremental_key="t"), DestinationSpec("raw", "tz"))
+    rows = spark.createDataFrame([("2026-03-01T10:00:00Z",), ("2026-03-01T12:00:00Z",)], "s string").select(
+        F.col("s").cast("timestamp").alias("t"))
+    run_load(spark, s, wh, source=rows, state=state)
+    mark = state.get_mark("tz", "t")
+    assert mark.endswith("Z") or mark.endswith("+00:00")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        later = spark.createDataFrame([("2026-03-01T12:00:00Z",), ("2026-03-01T12:30:00Z",)], "s string").select(
+            F.col("s").cast("timestamp").alias("t"))
+        assert run_load(spark, s, wh, source=later, state=state)["rows_loaded"] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
