@@ -40,3 +40,36 @@ def test_changed_rows_matches_python_scan(spark, rows):
     for kwargs in ({}, {"parts": 4, "hot_threshold": 3}):
         got = {r.t for r in changed_rows(df, ["k"], ["t"], "v", **kwargs).collect()}
         assert got == expected, kwargs
+
+
+batch = st.lists(st.tuples(st.integers(min_value=0, max_value=6), st.integers(min_value=0, max_value=3),
+                           st.sampled_from(["a", "b", "c"])), min_size=1, max_size=12)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ops=st.lists(st.tuples(st.sampled_from(["upsert", "insert"]), batch), min_size=1, max_size=3))
+def test_keyed_dml_matches_a_dict_model(spark, ops):
+    from flowtable.operators.sinks import Warehouse
+
+    wh = Warehouse.scratch(spark, "prop")
+    model: dict[int, tuple[int, str]] = {}
+    for op, rows in ops:
+        df = spark.createDataFrame(rows, "k int, o int, v string")
+        if op == "upsert":
+            wh.upsert("t", df, ["k"], order_by=["o", "v"], buckets=4)
+            latest: dict[int, tuple[int, str]] = {}
+            for k, o, v in rows:
+                if k not in latest or (o, v) > latest[k]:
+                    latest[k] = (o, v)
+            model.update(latest)
+        else:
+            wh.insert_if_absent("t", df, ["k"], ["o", "v"], buckets=4)
+            first: dict[int, tuple[int, str]] = {}
+            for k, o, v in rows:
+                if k not in first or (o, v) < first[k]:
+                    first[k] = (o, v)
+            for k, ov in first.items():
+                model.setdefault(k, ov)
+    got = {r.k: (r.o, r.v) for r in wh.read("t").collect()}
+    assert got == model
+    assert wh.read("t").count() == len(model)
