@@ -193,6 +193,7 @@ SELECT r_name, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE) FRO
     "incremental_two_runs": _TWO_RUNS,
     "overwrite_twice": "SELECT * FROM customer",
     "sql_transform": _CLEAN_ORDERS,
+    "lineitem_load": "SELECT * FROM lineitem",
     "load_partitions": "SELECT * FROM events",
     "stream_available_now": _TWO_RUNS,
     "end_to_end_load": _CLEAN_EVENTS,

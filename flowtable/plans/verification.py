@@ -30,6 +30,7 @@ from flowtable.streaming.available_now import stream_load
 
 SPLIT = "2024-01-15 00:00:00"
 VERSION_CUT = "1996-01-01 00:00:00"
+LINEITEM_SPLIT = "1998-06-01 00:00:00"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -383,6 +384,29 @@ def q_incremental_two_runs(spark, sf):
     return _runs_with_marks(state, spec.name)
 
 
+def q_lineitem_load(spark, sf):
+    """The largest table through two incremental loads with quality rules (split on ship date);
+    returns the published table, which then holds every line once."""
+    wh = Warehouse.scratch(spark, "lineitem")
+    state = RunState(wh)
+    spec = LoadSpec(
+        name="lineitem_feed",
+        owner="warehouse-team",
+        source=SourceSpec(type="parquet", path=f"{sf.rstrip('/')}/lineitem.parquet", incremental_key="l_shipdate"),
+        destination=DestinationSpec("raw", "lineitem"),
+        quality=QualitySpec(True, [
+            Check("order_present", "l_orderkey", "not_null"),
+            Check("quantity_positive", "l_quantity", "greater_than"),
+            Check("has_rows", None, "min_rows", 1),
+        ]),
+    )
+    lineitem = _t(spark, sf, "lineitem")
+    first = lineitem.where(F.col("l_shipdate") <= F.lit(LINEITEM_SPLIT).cast("timestamp_ntz"))
+    _require(run_load(spark, spec, wh, source=first, state=state))
+    _require(run_load(spark, spec, wh, state=state))
+    return wh.read("raw_lineitem")
+
+
 def q_load_partitions(spark, sf):
     """``events`` in two incremental loads into a load-partitioned table (each load published as
     its own partition, without copying); the table then holds every event once."""
@@ -477,6 +501,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_two_runs": q_incremental_two_runs,
     "overwrite_twice": q_overwrite_twice,
     "sql_transform": q_sql_transform,
+    "lineitem_load": q_lineitem_load,
     "load_partitions": q_load_partitions,
     "stream_available_now": q_stream_available_now,
     "run_all_loads": q_run_all_loads,
