@@ -119,11 +119,16 @@ class Probe:
 class RunState:
     """Registry, run log, schema snapshots, high-water marks and spec versions."""
 
-    def __init__(self, warehouse: Warehouse) -> None:
+    def __init__(self, warehouse: Warehouse, compact_at_files: int = 512, check_every: int = 64) -> None:
+        """``compact_at_files``: rewrite the journal once it holds that many files (checked
+        every ``check_every`` appends of this object; 0 turns it off)."""
         self.wh = warehouse
         self.spark = warehouse.spark
         warehouse.ensure_table(JOURNAL_TABLE, JOURNAL)
         self._pending: list[tuple] | None = None
+        self._compact_at = compact_at_files
+        self._check_every = max(1, check_every)
+        self._appends = 0
 
     # -- writing
     def _add(self, rows: list[tuple]) -> None:
@@ -133,8 +138,13 @@ class RunState:
             self._write(rows)
 
     def _write(self, rows: list[tuple]) -> None:
-        if rows:
-            self.wh.append(JOURNAL_TABLE, self.spark.createDataFrame(rows, JOURNAL))
+        if not rows:
+            return
+        self.wh.append(JOURNAL_TABLE, self.spark.createDataFrame(rows, JOURNAL))
+        self._appends += 1
+        if self._compact_at and self._appends % self._check_every == 0:
+            if len(self.journal().inputFiles()) >= self._compact_at:  # a listing, no data read
+                self.compact()
 
     @contextmanager
     def deferred(self):

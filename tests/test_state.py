@@ -120,3 +120,11 @@ def test_compact_keeps_events_and_probe_pushes_name_filter(spark, wh):
     assert [r.pipeline_name for r in st.health().collect()] == ["a", "b", "c"]
     plan = st.runs().where("pipeline_name = 'b'")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(pipeline_name,b)" in plan
+
+
+def test_journal_compacts_itself_when_files_pile_up(spark, wh):
+    st = RunState(wh, compact_at_files=6, check_every=3)
+    for i in range(6):
+        st.log_run(f"r{i}", "p", "SUCCESS", 1, 1, 0.1, None)
+    assert len(st.journal().inputFiles()) < 6
+    assert st.runs().count() == 6
