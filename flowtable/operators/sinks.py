@@ -295,7 +295,16 @@ class Warehouse:
         Rows for a bucketed table are hash-partitioned by its bucket columns first (one file per
         bucket), unless ``clustered`` says they already are."""
         self.ensure_table(table, df.schema)
-        aligned, obs = counted(align_by_name(df, self.schema(table)))
+        schema = self.schema(table)
+        if LOAD_ID in schema.fieldNames():  # a load-partitioned table: the rows become one new load
+            data = StructType([f for f in schema.fields if f.name != LOAD_ID])
+            out, obs = counted(align_by_name(df, data))
+            load_id = f"append-{uuid.uuid4().hex}"
+            path = self.load_path(table, load_id)
+            out.write.mode("errorifexists").parquet(path)
+            self.publish_load(table, load_id, path, data)
+            return int(obs.get["rows"])
+        aligned, obs = counted(align_by_name(df, schema))
         b = self.bucketing(table)
         if b is None:
             # add files to the current snapshot folder, then drop cached listings of the table

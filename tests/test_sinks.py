@@ -167,3 +167,11 @@ def test_update_with_repeated_keys_takes_the_latest(spark, wh):
     ups = spark.createDataFrame([("a", "OLD", 1), ("a", "NEW", 2), ("b", "X", 1)], "name string, s string, o int")
     assert wh.update_by_key("t", ups, ["name"], {"status": "s"}, order_by=["o"]) == 2
     assert {r.name: r.status for r in wh.read("t").collect()} == {"a": "NEW", "b": "X"}
+
+
+def test_append_into_a_load_partitioned_table_adds_a_load(spark, wh):
+    wh.ensure_load_table("lp", spark.createDataFrame([], "k int, v string").schema)
+    assert wh.append("lp", spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")) == 2
+    assert wh.append("lp", spark.createDataFrame([(3,)], "k int")) == 1
+    rows = wh.read("lp").collect()
+    assert sorted(r.k for r in rows) == [1, 2, 3] and len({r._load_id for r in rows}) == 2
