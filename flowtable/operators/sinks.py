@@ -132,10 +132,26 @@ def nullable(schema: StructType) -> StructType:
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled in by whatever action runs next (no extra pass)."""
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def observed(obs: Observation) -> dict:
+    """The metrics of an observation after its action ran.
+
+    When Spark proves a subtree empty at run time it replaces it -- observation node included --
+    by an empty relation, and no metrics arrive.  Then no row passed: counts are 0, maxima NULL.
+    """
+    try:
+        return dict(obs.get)
+    except Exception:  # noqa: BLE001 - the empty-plan case described above
+        return {}
+
+
+def observed_rows(obs: Observation) -> int:
+    return int(observed(obs).get("rows") or 0)
+
+
 # ----------------------------------------------------------------------------- warehouse
 
 
@@ -303,7 +319,7 @@ class Warehouse:
             path = self.load_path(table, load_id)
             out.write.mode("errorifexists").parquet(path)
             self.publish_load(table, load_id, path, data)
-            return int(obs.get["rows"])
+            return observed_rows(obs)
         aligned, obs = counted(align_by_name(df, schema))
         b = self.bucketing(table)
         if b is None:
@@ -314,7 +330,7 @@ class Warehouse:
             if not clustered:
                 aligned = aligned.repartition(b.buckets, *b.columns)
             aligned.write.mode("append").insertInto(self.qualified(table))  # bucket-aware file naming
-        return int(obs.get["rows"])
+        return observed_rows(obs)
 
     def overwrite(
         self,
@@ -338,7 +354,7 @@ class Warehouse:
         path = self.snapshot_path(table)
         self._write_snapshot(aligned, path, bucketing, clustered)
         self.adopt(table, path, schema, bucketing)
-        return int(obs.get["rows"])
+        return observed_rows(obs)
 
     def compact(self, table: str, files: int | None = None) -> int:
         """Rewrite the table into fewer, larger files (after many small appends).
@@ -360,7 +376,7 @@ class Warehouse:
         out, obs = counted(df)
         self._write_snapshot(out, path, bucketing)
         self.adopt(table, path, nullable(df.schema), bucketing)
-        return int(obs.get["rows"])
+        return observed_rows(obs)
 
     def upsert(
         self,

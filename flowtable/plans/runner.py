@@ -28,7 +28,7 @@ from flowtable.operators.incremental import incremental_filter, mark_text, requi
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
 from flowtable.operators.runlog import format_alert
 from flowtable.operators.schema import drift_error_text
-from flowtable.operators.sinks import Warehouse, align_by_name, nullable
+from flowtable.operators.sinks import Warehouse, align_by_name, nullable, observed
 from flowtable.operators.transform import run_sql_transform
 from flowtable.plans.spec import LoadSpec
 from flowtable.plans.state import RunState
@@ -55,7 +55,7 @@ def stage_and_measure(
     measures = {**_load_measures(df, spec.source.incremental_key, mark), **plain}
     obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
     df.observe(obs, *[e.alias(k) for k, e in measures.items()]).write.mode("errorifexists").parquet(stage)
-    metrics = dict(obs.get)
+    metrics = {k: None for k in measures} | {"_rows": 0} | {k: 0 for k in plain} | observed(obs)
     staged = spark.read.parquet(stage)
     _, distinct = check_metrics(staged, checks)
     if distinct:
@@ -226,7 +226,7 @@ def _publish_direct(warehouse: Warehouse, table: str, spec: LoadSpec, df: DataFr
         bucketing = warehouse.bucketing(table) if exists else None
         path = warehouse.snapshot_path(table)
         warehouse._write_snapshot(align_by_name(measured, target), path, bucketing)
-        metrics = dict(obs.get)
+        metrics = {"_rows": 0, "_mark": None} | observed(obs)
         if spec.source.incremental_key and int(metrics["_rows"]) == 0:
             warehouse.ensure_table(table, target)
             return 0, metrics  # keep the current snapshot
@@ -234,7 +234,7 @@ def _publish_direct(warehouse: Warehouse, table: str, spec: LoadSpec, df: DataFr
         return int(metrics["_rows"]), metrics
     warehouse.ensure_table(table, df.schema)
     align_by_name(measured, warehouse.schema(table)).write.mode("append").insertInto(warehouse.qualified(table))
-    metrics = dict(obs.get)
+    metrics = {"_rows": 0, "_mark": None} | observed(obs)
     return int(metrics["_rows"]), metrics
 
 

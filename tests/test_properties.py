@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from flowtable.operators.changes import changed_rows
 from flowtable.operators.quality import Check, quality_report
 
-SETTINGS = dict(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = dict(max_examples=15, deadline=None, database=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 ints = st.one_of(st.none(), st.integers(min_value=-3, max_value=3))
 
@@ -46,7 +46,7 @@ batch = st.lists(st.tuples(st.integers(min_value=0, max_value=6), st.integers(mi
                            st.sampled_from(["a", "b", "c"])), min_size=1, max_size=12)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, database=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(ops=st.lists(st.tuples(st.sampled_from(["upsert", "insert"]), batch), min_size=1, max_size=3))
 def test_keyed_dml_matches_a_dict_model(spark, ops):
     from flowtable.operators.sinks import Warehouse
