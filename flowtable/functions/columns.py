@@ -61,9 +61,18 @@ def fingerprint(*cols: str, sep: str | None = None, length: int = 16) -> Column:
     return F.substring(F.sha2(body, 256), 1, length)
 
 
+# Run status indicators, as the original status report shows them.
+STATUS_SYMBOLS = {"SUCCESS": "✓", "FAILED": "✗"}
+NO_STATUS_SYMBOL = "—"
+
+
 def status_symbol(c: ColumnOrName) -> Column:
+    """Indicator for a run status (one ``when`` per known status)."""
     col = _c(c)
-    return F.when(col == "SUCCESS", "✓").when(col == "FAILED", "✗").otherwise("—")
+    out = None
+    for status, symbol in STATUS_SYMBOLS.items():
+        out = F.when(col == status, symbol) if out is None else out.when(col == status, symbol)
+    return out.otherwise(NO_STATUS_SYMBOL)
 
 
 def utc_now() -> datetime:
