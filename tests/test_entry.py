@@ -6,9 +6,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-# cheap, whole-table queries compared with their oracle at the smallest scale
-FAST = ["clean_orders", "clean_events", "hwm_per_key", "dq_report", "run_health_summary", "key_conflicts",
-        "duplicate_keys", "version_changes", "failure_alerts", "sql_passthrough", "dq_min_rows", "update_by_key"]
+ALL = sorted(queries())
 
 
 def test_contract_keys_match():
@@ -46,7 +44,7 @@ def _norm(df: pd.DataFrame) -> list[tuple]:
     return sorted((tuple(cell(v) for v in row) for row in df[cols].itertuples(index=False)), key=repr)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", ALL)
 def test_query_matches_oracle(spark, duck, name):
     got = queries()[name](spark, SF).toPandas()
     want = duck.execute(oracle_sql()[name]).df()
