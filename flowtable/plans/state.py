@@ -278,21 +278,23 @@ class RunState:
         """Last version hash, current mark and the schema comparison, in one small job."""
         name = spec.name
         key = spec.source.incremental_key
+        none_s, none_i = F.lit(None).cast("string"), F.lit(None).cast("int")
         parts = [self._last_version(name).select(F.lit("version").alias("part"), F.col("value").alias("a"),
-                                                 F.lit(None).cast("string").alias("b"), F.lit(None).cast("string").alias("c"),
-                                                 F.lit(None).cast("string").alias("d"))]
+                                                 none_s.alias("b"), none_s.alias("c"), none_s.alias("d"),
+                                                 none_i.alias("so"), none_i.alias("io"))]
         if key:
-            parts.append(self._mark_of(name, key).select(F.lit("mark"), F.col("value"), F.lit(None).cast("string"),
-                                                         F.lit(None).cast("string"), F.lit(None).cast("string")))
+            parts.append(self._mark_of(name, key).select(F.lit("mark"), F.col("value"), none_s, none_s, none_s, none_i, none_i))
         cmp = schema_compare(self.stored_schema(name), schema_rows(self.spark, incoming))
-        parts.append(cmp.select(F.lit("schema"), "column_name", "change", "stored_type", "incoming_type"))
+        parts.append(cmp.select(F.lit("schema"), "column_name", "change", "stored_type", "incoming_type",
+                                "stored_ordinal", "incoming_ordinal"))
         out = parts[0]
         for p in parts[1:]:
             out = out.union(p)
         rows = out.collect()  # one row each for version and mark, one per column for the schema
         version = next((r["a"] for r in rows if r["part"] == "version"), None)
         mark = next((r["a"] for r in rows if r["part"] == "mark"), None)
-        cols = [{"column_name": r["a"], "change": r["b"], "stored_type": r["c"], "incoming_type": r["d"]}
+        cols = [{"column_name": r["a"], "change": r["b"], "stored_type": r["c"], "incoming_type": r["d"],
+                 "stored_ordinal": r["so"], "incoming_ordinal": r["io"]}
                 for r in rows if r["part"] == "schema"]
         stored_before = any(c["stored_type"] is not None for c in cols)
         drift = drift_lines([c for c in cols if c["change"] is not None]) if stored_before else []

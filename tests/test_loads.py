@@ -379,3 +379,17 @@ def test_zone_aware_mark_survives_a_session_time_zone_change(spark, wh):
         assert run_load(spark, s, wh, source=later, state=state)["rows_loaded"] == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_drift_lines_follow_column_order(spark, wh, write_csv):
+    run_load(spark, spec(write_csv("c.csv", CUSTOMERS), name="order"), wh)
+    changed = "z_new,full_name,customer_id,a_new\nx,Ann,1,y\n"  # country + created_at removed, id retyped
+    res = run_load(spark, spec(write_csv("c.csv", changed), name="order"), wh)
+    lines = [l.strip() for l in res["error_message"].splitlines()[1:]]
+    assert lines == [
+        "- Column 'country' was removed from source",
+        "- Column 'created_at' was removed from source",
+        "- New column 'z_new' not in stored schema",
+        "- Column 'customer_id' type changed: string → int",
+        "- New column 'a_new' not in stored schema",
+    ]
