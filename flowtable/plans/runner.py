@@ -156,6 +156,7 @@ def run_load(
     start = time.time()
     counts = {"extracted": 0, "loaded": 0}
     key = spec.source.incremental_key
+    versioned = False
     with state.deferred():
         state.register(spec)
         try:
@@ -164,6 +165,7 @@ def run_load(
                 require_key(df, key)
             probe = state.probe(spec, df.schema)  # version, mark and schema comparison: one query
             state.record_version(spec, probe.version_hash)
+            versioned = True
             try:
                 metrics = _write_increment(spark, spec, warehouse, df, probe, force, run_id, run_id, counts)
             except Exception as exc:  # noqa: BLE001
@@ -189,6 +191,8 @@ def run_load(
             return _result("success", counts["extracted"], counts["loaded"], duration, None, run_id)
         except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
             duration = round(time.time() - start, 2)
+            if not versioned:  # the spec version is recorded even when the source could not be read
+                state.track_version(spec)
             state.log_run(run_id, spec.name, "FAILED", counts["extracted"], counts["loaded"], duration, str(exc))
             if on_failure is not None and spec.notify_on_failure:
                 try:

@@ -393,3 +393,12 @@ def test_drift_lines_follow_column_order(spark, wh, write_csv):
         "- Column 'customer_id' type changed: string → int",
         "- New column 'a_new' not in stored schema",
     ]
+
+
+def test_version_is_recorded_even_when_the_source_is_missing(spark, wh, tmp_path):
+    state = RunState(wh)
+    res = run_load(spark, spec(str(tmp_path / "absent.csv"), name="ver"), wh, state=state)
+    assert res["status"] == "failed"
+    assert state.versions().where("pipeline_name = 'ver'").count() == 1
+    run_load(spark, spec(str(tmp_path / "absent.csv"), name="ver"), wh, state=state)
+    assert state.versions().where("pipeline_name = 'ver'").count() == 1  # unchanged spec: no new version
