@@ -402,3 +402,14 @@ def test_version_is_recorded_even_when_the_source_is_missing(spark, wh, tmp_path
     assert state.versions().where("pipeline_name = 'ver'").count() == 1
     run_load(spark, spec(str(tmp_path / "absent.csv"), name="ver"), wh, state=state)
     assert state.versions().where("pipeline_name = 'ver'").count() == 1  # unchanged spec: no new version
+
+
+def test_force_with_a_new_column_set_into_a_new_table(spark, wh, write_csv):
+    run_load(spark, spec(write_csv("c.csv", CUSTOMERS), name="forced"), wh)
+    other = "customer_id,email\nC9,x@y\n"
+    s = LoadSpec("forced", "data-team", SourceSpec("csv", path=write_csv("d.csv", other)), DestinationSpec("raw", "forced_v2"))
+    assert run_load(spark, s, wh)["status"] == "failed"  # drift, not forced
+    res = run_load(spark, s, wh, force=True)
+    assert res["status"] == "success" and wh.read("raw_forced_v2").columns == ["customer_id", "email"]
+    unforced = run_load(spark, spec(write_csv("e.csv", CUSTOMERS), name="forced"), wh)
+    assert unforced["status"] == "failed" and "drift" in unforced["error_message"].lower()
