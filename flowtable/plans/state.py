@@ -231,8 +231,14 @@ class RunState:
         latest = mine.agg(F.max("snapshot_seq").alias("snapshot_seq"))
         return mine.join(latest, "snapshot_seq", "left_semi").select("column_name", "column_type", "ordinal")
 
+    def is_empty(self) -> bool:
+        """True when the journal has no files yet (a driver-side listing, no Spark job)."""
+        return not self.journal().inputFiles()
+
     def stored_columns(self, pipeline_name: str) -> list[tuple[str, str]]:
         """(name, type) of the latest snapshot in column order (one row per column)."""
+        if self.is_empty():
+            return []
         rows = self.stored_schema(pipeline_name).orderBy("ordinal").collect()
         return [(r["column_name"], r["column_type"]) for r in rows]
 
@@ -276,6 +282,8 @@ class RunState:
     # -- one-query probe for a load
     def probe(self, spec, incoming: StructType) -> Probe:
         """Last version hash, current mark and the schema comparison, in one small job."""
+        if self.is_empty():  # nothing recorded yet: no version, no mark, no stored schema
+            return Probe(None, None, [], False)
         name = spec.name
         key = spec.source.incremental_key
         none_s, none_i = F.lit(None).cast("string"), F.lit(None).cast("int")
@@ -302,6 +310,8 @@ class RunState:
 
     def has_succeeded(self, run_id: str) -> bool:
         """Whether a run with this id already completed (replay guard for streaming batches)."""
+        if self.is_empty():
+            return False
         done = self._kind("run").where((F.col("run_id") == F.lit(run_id)) & (F.col("status") == "SUCCESS"))
         return not done.isEmpty()
 
