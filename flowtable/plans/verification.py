@@ -7,6 +7,7 @@ of the published table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,6 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _view(spark: SparkSession, sf_dir: str, name: str) -> str:
-    import uuid
-
     view = f"ft_{name}_{uuid.uuid4().hex[:8]}"
     as_relation(_t(spark, sf_dir, name), view)
     return view
