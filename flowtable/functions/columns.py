@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 
+def col(name: str) -> Column:
+    """The column called exactly ``name`` (dots and backticks are part of the name)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _c(c: ColumnOrName) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return col(c) if isinstance(c, str) else c
 
 
 def normalized_text(c: ColumnOrName) -> Column:
@@ -48,7 +53,7 @@ def truncate(c: ColumnOrName, n: int) -> Column:
 
 def canonical_json(*cols: str) -> Column:
     """JSON object of the named columns with keys in sorted order, nulls kept."""
-    return F.to_json(F.struct(*[F.col(c) for c in sorted(cols)]), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*[col(c) for c in sorted(cols)]), {"ignoreNullFields": "false"})
 
 
 def fingerprint(*cols: str, sep: str | None = None, length: int = 16) -> Column:
@@ -57,7 +62,7 @@ def fingerprint(*cols: str, sep: str | None = None, length: int = 16) -> Column:
     With ``sep`` the values are joined by it (NULLs skipped); otherwise the canonical JSON
     of the columns is hashed.
     """
-    body = F.concat_ws(sep, *[F.col(c).cast("string") for c in cols]) if sep is not None else canonical_json(*cols)
+    body = F.concat_ws(sep, *[col(c).cast("string") for c in cols]) if sep is not None else canonical_json(*cols)
     return F.substring(F.sha2(body, 256), 1, length)
 
 

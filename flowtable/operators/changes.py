@@ -14,28 +14,33 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
-from flowtable.functions.columns import fingerprint
+from flowtable.functions.columns import col, fingerprint
 from flowtable.session import checkpoint
 
 
 def _order_struct(order_by: Sequence[str]):
-    return F.struct(*[F.col(c) for c in order_by])
+    return F.struct(*[col(c) for c in order_by])
+
+
+def _unpack(grouped: DataFrame, df: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
+    fields = {c: F.col("_row").getField(c).alias(c) for c in payload}
+    return grouped.select(*[col(c) if c in keys else fields[c] for c in df.columns])
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order_by`` tuple per key (ties broken by the later columns)."""
     keys, order_by = list(keys), list(order_by)
     payload = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*[F.col(c) for c in payload]), _order_struct(order_by)).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload]).select(*df.columns)
+    best = F.max_by(F.struct(*[col(c) for c in payload]), _order_struct(order_by)).alias("_row")
+    return _unpack(df.groupBy(*[col(k) for k in keys]).agg(best), df, keys, payload)
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The row with the smallest ``order_by`` tuple per key."""
     keys, order_by = list(keys), list(order_by)
     payload = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*[F.col(c) for c in payload]), _order_struct(order_by)).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload]).select(*df.columns)
+    best = F.min_by(F.struct(*[col(c) for c in payload]), _order_struct(order_by)).alias("_row")
+    return _unpack(df.groupBy(*[col(k) for k in keys]).agg(best), df, keys, payload)
 
 
 HOT_KEY_MIN_ROWS = 100_000  # below this a key fits comfortably in one task, whatever the total

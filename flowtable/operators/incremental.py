@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampType
 
 from flowtable.errors import SourceError
+from flowtable.functions.columns import col
 
 
 def require_key(df: DataFrame, key: str) -> None:
@@ -42,13 +43,13 @@ def incremental_filter(df: DataFrame, key: str, mark: str | None, partition_colu
     planning time; the exact ``key > mark`` test still decides row by row.
     """
     require_key(df, key)
-    keep = F.col(key).isNotNull()
+    keep = col(key).isNotNull()
     if mark is not None:
         typed = typed_mark(df, key, mark)
-        keep = keep & (F.col(key) > typed)
+        keep = keep & (col(key) > typed)
         if partition_column is not None:
             require_key(df, partition_column)
-            keep = keep & (F.col(partition_column) >= typed.cast(df.schema[partition_column].dataType))
+            keep = keep & (col(partition_column) >= typed.cast(df.schema[partition_column].dataType))
     return df.where(keep)
 
 

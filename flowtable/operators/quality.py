@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from flowtable.errors import DataQualityError
+from flowtable.functions.columns import col
 
 RULES = ("not_null", "unique", "greater_than", "min_rows", "timestamp_format")
 
@@ -59,7 +60,7 @@ def _violations(df: DataFrame, check: Check) -> Column | None:
         return F.count(F.lit(1))  # row count; shortfall is derived from it
     if check.column not in df.columns:
         return None
-    c = F.col(check.column)
+    c = col(check.column)
     dtype = df.schema[check.column].dataType
     if check.rule == "not_null":
         return F.count_if(c.isNull())

@@ -21,8 +21,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
+from flowtable.functions.columns import col
 from flowtable.operators.changes import first_by_key, latest_by_key
 from flowtable.session import shared_root
 from flowtable.sources.catalog import scan_table
@@ -44,7 +45,7 @@ def align_by_name(df: DataFrame, schema: StructType) -> DataFrame:
     present = set(df.columns)
     return df.select(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            (col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )
@@ -71,19 +72,20 @@ def upsert_rows(
         updates = latest_by_key(updates, keys, order_by)
     upd_cols = [c for c in updates.columns if c not in keys]
     settable = set(upd_cols if update_cols is None else update_cols)
-    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys], F.lit(True).alias("_t_hit"))
-    u = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in upd_cols], F.lit(True).alias("_u_hit"))
+    t = target.select(*[col(k) for k in keys], *[col(c).alias(f"_t_{c}") for c in target.columns if c not in keys],
+                      F.lit(True).alias("_t_hit"))
+    u = updates.select(*[col(k) for k in keys], *[col(c).alias(f"_u_{c}") for c in upd_cols], F.lit(True).alias("_u_hit"))
     joined = t.join(u, keys, "full_outer")
     out = []
     for field in target.schema.fields:
         c = field.name
         if c in keys:
-            out.append(F.col(c).cast(field.dataType).alias(c))
+            out.append(col(c).cast(field.dataType).alias(c))
         elif c in upd_cols:
             take_new = F.col("_u_hit") & (F.col("_t_hit").isNull() | F.lit(c in settable))
-            out.append(F.when(take_new, F.col(f"_u_{c}")).otherwise(F.col(f"_t_{c}")).cast(field.dataType).alias(c))
+            out.append(F.when(take_new, col(f"_u_{c}")).otherwise(col(f"_t_{c}")).cast(field.dataType).alias(c))
         else:
-            out.append(F.col(f"_t_{c}").cast(field.dataType).alias(c))
+            out.append(col(f"_t_{c}").cast(field.dataType).alias(c))
     return joined.select(*out)
 
 
@@ -95,7 +97,7 @@ def rows_absent_from(
 ) -> DataFrame:
     """Incoming rows whose key is not yet in ``target``: first row per key, then an anti join."""
     first = first_by_key(incoming, keys, order_by)
-    return first.join(target.select(*keys), list(keys), "left_anti")
+    return first.join(target.select(*[col(k) for k in keys]), list(keys), "left_anti")
 
 
 def update_rows(
@@ -113,15 +115,16 @@ def update_rows(
     keys = list(keys)
     if order_by:
         updates = latest_by_key(updates, keys, order_by)
-    u = updates.select(*keys, *[F.col(src).alias(f"_u_{dst}") for dst, src in set_cols.items()], F.lit(True).alias("_u_hit"))
+    u = updates.select(*[col(k) for k in keys], *[col(src).alias(f"_u_{dst}") for dst, src in set_cols.items()],
+                       F.lit(True).alias("_u_hit"))
     joined = target.join(u, keys, "left")
     out = []
     for field in target.schema.fields:
         c = field.name
         if c in set_cols:
-            out.append(F.when(F.col("_u_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)).cast(field.dataType).alias(c))
+            out.append(F.when(F.col("_u_hit"), col(f"_u_{c}")).otherwise(col(c)).cast(field.dataType).alias(c))
         else:
-            out.append(F.col(c))
+            out.append(col(c))
     return joined.select(*out)
 
 
@@ -171,6 +174,21 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def ddl_type(dtype: DataType) -> str:
+    """A type as DDL text, with every nested field name quoted."""
+    if isinstance(dtype, StructType):
+        return "struct<" + ",".join(f"{_q(f.name)}:{ddl_type(f.dataType)}" for f in dtype.fields) + ">"
+    if isinstance(dtype, ArrayType):
+        return f"array<{ddl_type(dtype.elementType)}>"
+    if isinstance(dtype, MapType):
+        return f"map<{ddl_type(dtype.keyType)},{ddl_type(dtype.valueType)}>"
+    return dtype.simpleString()
+
+
+def ddl_columns(schema: StructType, skip: tuple[str, ...] = ()) -> str:
+    return ", ".join(f"{_q(f.name)} {ddl_type(f.dataType)}" for f in schema.fields if f.name not in skip)
+
+
 class Warehouse:
     """A catalog database whose tables live as parquet snapshots under a shared root.
 
@@ -243,7 +261,7 @@ class Warehouse:
         if bucketing is None:
             self.spark.catalog.createTable(f"{self.database}.{table}", path=path, source="parquet", schema=schema)
         else:
-            cols = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+            cols = ddl_columns(schema)
             keys = ", ".join(_q(c) for c in bucketing.columns)
             self.spark.sql(
                 f"CREATE TABLE {self.qualified(table)} ({cols}) USING parquet "
@@ -433,7 +451,7 @@ class Warehouse:
         """Create a table partitioned by ``_load_id`` (columns of ``schema`` + the load id)."""
         if self.exists(table):
             return False
-        cols = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}" for f in schema.fields if f.name != LOAD_ID)
+        cols = ddl_columns(schema, skip=(LOAD_ID,))
         self.spark.sql(
             f"CREATE TABLE {self.qualified(table)} ({cols}, {_q(LOAD_ID)} STRING) USING parquet "
             f"PARTITIONED BY ({_q(LOAD_ID)}) LOCATION '{self.root}/{table}/data'"

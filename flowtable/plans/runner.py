@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowtable.errors import SchemaDriftError
+from flowtable.functions.columns import col
 from flowtable.operators.changes import duplicate_keys, key_conflicts
 from flowtable.operators.incremental import incremental_filter, mark_text, require_key, typed_mark
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
@@ -39,7 +40,7 @@ def _load_measures(df: DataFrame, key: str | None, mark: str | None) -> dict:
     """Row count and the new mark (``greatest(max(key), old mark)``: it never moves backwards)."""
     measures = {"_rows": F.count(F.lit(1))}
     if key:
-        new = F.max(F.col(key))
+        new = F.max(col(key))
         if mark is not None:
             new = F.greatest(new, typed_mark(df, key, mark))
         measures["_mark"] = mark_text(new, df.schema[key].dataType)

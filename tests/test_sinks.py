@@ -175,3 +175,15 @@ def test_append_into_a_load_partitioned_table_adds_a_load(spark, wh):
     assert wh.append("lp", spark.createDataFrame([(3,)], "k int")) == 1
     rows = wh.read("lp").collect()
     assert sorted(r.k for r in rows) == [1, 2, 3] and len({r._load_id for r in rows}) == 2
+
+
+def test_bucketed_and_load_tables_accept_awkward_names_and_nested_types(spark, wh):
+    df = spark.createDataFrame(
+        [(1, "a", {"First Name": "x", "tags": ["t"]}, {"k": 1})],
+        "`key col` int, `v`` q` string, nested struct<`First Name`: string, tags: array<string>>, m map<string,int>",
+    )
+    wh.overwrite("b", df, bucket_by=["key col"], buckets=2)
+    assert wh.read("b").first()["nested"]["First Name"] == "x"
+    wh.ensure_load_table("l", df.schema)
+    wh.append("l", df)
+    assert wh.read("l").first()["m"] == {"k": 1}
