@@ -37,7 +37,10 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - remote sessions set their log level elsewhere
+        pass
     shared_root(spark)
     return spark
 
@@ -45,8 +48,13 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``; set our own only where it is unset."""
     global _fallback_root
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local SparkContext
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         if _fallback_root is None:
             _fallback_root = tempfile.mkdtemp(prefix="flowtable-")
@@ -55,7 +63,7 @@ def shared_root(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", root)
         except Exception:  # noqa: BLE001 - core conf may be read-only in some deployments
             pass
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
