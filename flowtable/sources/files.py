@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import uuid
+
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -120,6 +122,13 @@ def write_json_array(df: DataFrame, path: str, files: int | None = None) -> None
     """
     if files is not None:
         df = df.repartition(files)
-    records = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("record"))
-    framed = records.mapInPandas(_json_array_frames, "value string")
+    records = df.select(F.to_json(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])).alias("record"))
+    obs = Observation(f"json_rows_{uuid.uuid4().hex}")
+    framed = records.observe(obs, F.count(F.lit(1)).alias("rows")).mapInPandas(_json_array_frames, "value string")
     framed.write.option("maxRecordsPerFile", 0).mode("errorifexists").text(path)
+    try:
+        rows = int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - no metrics: nothing was written
+        rows = 0
+    if rows == 0:  # an empty input still lands as one (empty) array
+        df.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("append").text(path)
