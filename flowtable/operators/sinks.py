@@ -365,6 +365,8 @@ class Warehouse:
         """
         if self.exists(table):
             schema, bucketing = self.schema(table), self.bucketing(table)
+            if LOAD_ID in schema.fieldNames():
+                raise ValueError(f"{table} is load-partitioned: it takes appends only (each load is a partition)")
         else:
             schema = df.schema
             bucketing = Bucketing(tuple(bucket_by), buckets or self.default_buckets()) if bucket_by else None
@@ -387,6 +389,8 @@ class Warehouse:
 
     def replace(self, table: str, df: DataFrame) -> int:
         """CREATE OR REPLACE TABLE ... AS: publish ``df`` with its own schema."""
+        if self.exists(table) and LOAD_ID in self.schema(table).fieldNames():
+            raise ValueError(f"{table} is load-partitioned: it takes appends only (each load is a partition)")
         bucketing = self.bucketing(table) if self.exists(table) else None
         if bucketing is not None and not set(bucketing.columns) <= set(df.columns):
             bucketing = None

@@ -187,3 +187,14 @@ def test_bucketed_and_load_tables_accept_awkward_names_and_nested_types(spark, w
     wh.ensure_load_table("l", df.schema)
     wh.append("l", df)
     assert wh.read("l").first()["m"] == {"k": 1}
+
+
+def test_load_partitioned_tables_refuse_rewrites(spark, wh):
+    wh.ensure_load_table("lp2", spark.createDataFrame([], "k int").schema)
+    wh.append("lp2", spark.createDataFrame([(1,)], "k int"))
+    for rewrite in (lambda: wh.compact("lp2"), lambda: wh.overwrite("lp2", spark.createDataFrame([(2,)], "k int")),
+                    lambda: wh.replace("lp2", spark.createDataFrame([(2,)], "k int")),
+                    lambda: wh.upsert("lp2", spark.createDataFrame([(2,)], "k int"), ["k"])):
+        with pytest.raises(ValueError, match="appends only"):
+            rewrite()
+    assert [r.k for r in wh.read("lp2").collect()] == [1]
