@@ -314,7 +314,10 @@ class Warehouse:
         if not self.exists(table):
             self._create(table, schema, path, bucketing)
             return
-        if self.schema(table) != schema:
+        current = self.schema(table)
+        if LOAD_ID in current.fieldNames():
+            raise ValueError(f"{table} is load-partitioned: it takes appends only (each load is a partition)")
+        if current != schema:
             # a replace that changes the schema: the catalog entry itself must be recreated
             self.drop(table)
             self._create(table, schema, path, bucketing)

@@ -413,3 +413,11 @@ def test_force_with_a_new_column_set_into_a_new_table(spark, wh, write_csv):
     assert res["status"] == "success" and wh.read("raw_forced_v2").columns == ["customer_id", "email"]
     unforced = run_load(spark, spec(write_csv("e.csv", CUSTOMERS), name="forced"), wh)
     assert unforced["status"] == "failed" and "drift" in unforced["error_message"].lower()
+
+
+def test_overwrite_spec_into_a_load_partitioned_table_fails_cleanly(spark, wh, write_csv):
+    wh.ensure_load_table("raw_lp3", spark.createDataFrame([], "order_id int, amount int").schema)
+    wh.append("raw_lp3", spark.createDataFrame([(1, 5)], "order_id int, amount int"))
+    res = run_load(spark, spec(write_csv("o.csv", ORDERS), name="lp3", mode="overwrite"), wh)
+    assert res["status"] == "failed" and "appends only" in res["error_message"]
+    assert wh.read("raw_lp3").count() == 1
