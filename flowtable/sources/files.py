@@ -66,7 +66,7 @@ def read_json(
     For arrays each element becomes a row and the keys of all elements are unioned; such a
     file is parsed by one task, so landing files should stay near the split size.
     """
-    reader = spark.read.options(multiLine=str(bool(array)).lower(), **options)
+    reader = spark.read.options(**{"multiLine": str(bool(array)).lower(), **options})
     if schema is not None:
         reader = reader.schema(schema)
     return _load(lambda: reader.json(path), path, "JSON")
