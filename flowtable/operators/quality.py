@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
 
 from flowtable.errors import DataQualityError
 from flowtable.functions.columns import col
@@ -62,6 +62,8 @@ def _violations(df: DataFrame, check: Check) -> Column | None:
         return None
     c = col(check.column)
     dtype = df.schema[check.column].dataType
+    if isinstance(dtype, (DoubleType, FloatType)):
+        c = F.when(~F.isnan(c), c)  # NaN counts as missing, as in the original tool
     if check.rule == "not_null":
         return F.count_if(c.isNull())
     if check.rule == "unique":
