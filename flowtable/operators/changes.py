@@ -2,7 +2,9 @@
 
 All per-key reductions are aggregations (``max_by`` / ``min_by`` over a struct), so Spark
 runs a partial aggregate before the shuffle: a key holding a third of all rows is reduced
-on the map side to one row per task instead of being sent whole to one reducer.
+on the map side to one row per task instead of being sent whole to one reducer.  Change
+detection needs the rows of a key in order; keys too big for one task are cut into range
+slices (see ``changed_rows``).
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
 from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from flowtable.functions.columns import col, fingerprint
