@@ -198,3 +198,9 @@ def test_load_partitioned_tables_refuse_rewrites(spark, wh):
         with pytest.raises(ValueError, match="appends only"):
             rewrite()
     assert [r.k for r in wh.read("lp2").collect()] == [1]
+
+
+def test_sql_transform_with_bound_parameters(spark, wh):
+    wh.overwrite("raw", spark.createDataFrame([(1, "completed"), (2, "it's pending")], "id int, status string"))
+    n = run_sql_transform(wh, "CREATE OR REPLACE TABLE picked AS SELECT id FROM raw WHERE status = :s", params={"s": "it's pending"})
+    assert n == {"picked": 1} and wh.read("picked").first().id == 2

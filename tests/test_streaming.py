@@ -47,3 +47,19 @@ def test_replayed_batch_is_not_loaded_twice(spark, wh, tmp_path):
     again = stream_load(spark, _spec(), wh, landing, replay, events.schema, state=state, run_tag="t1")
     assert again == []  # the replayed batch 0 was recognised and skipped
     assert wh.read("raw_ev").count() == events.count()
+
+
+def test_available_now_over_csv_landing_files(spark, wh, tmp_path):
+    landing = tmp_path / "csv_landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text("id,amount\n1,10\n2,20\n")
+    spec = LoadSpec("csv_stream", "team", SourceSpec("csv", path=str(landing), incremental_key="id"),
+                    DestinationSpec("raw", "csv_stream"))
+    schema = "id int, amount int"
+    ckpt = str(tmp_path / "ckpt_csv")
+    state = RunState(wh)
+    first = stream_load(spark, spec, wh, str(landing), ckpt, schema, fmt="csv", options={"header": "true"}, state=state)
+    (landing / "b.csv").write_text("id,amount\n2,20\n3,30\n")  # repeats id 2
+    second = stream_load(spark, spec, wh, str(landing), ckpt, schema, fmt="csv", options={"header": "true"}, state=state)
+    assert [r["rows_loaded"] for r in first + second] == [2, 1]
+    assert sorted(r.id for r in wh.read("raw_csv_stream").collect()) == [1, 2, 3]
