@@ -59,8 +59,33 @@ _DROP = re.compile(r"^\s*drop\s+table\s+(?:if\s+exists\s+)?([\w.`]+)\s*$", re.IG
 
 
 def _statements(text: str) -> list[str]:
-    body = "\n".join(line.split("--", 1)[0] for line in text.splitlines())
-    return [s.strip() for s in body.split(";") if s.strip()]
+    """Split on ``;`` and drop ``--`` comments, both only outside quotes ('...', "...", `...`)."""
+    out, buf, quote, i = [], [], None, 0
+    while i < len(text):
+        ch = text[i]
+        if quote:
+            buf.append(ch)
+            if ch == quote:
+                if i + 1 < len(text) and text[i + 1] == quote:  # doubled quote inside a literal
+                    buf.append(text[i + 1])
+                    i += 1
+                else:
+                    quote = None
+        elif ch in "'\"`":
+            quote = ch
+            buf.append(ch)
+        elif text.startswith("--", i):
+            nl = text.find("\n", i)
+            i = len(text) if nl < 0 else nl
+            continue
+        elif ch == ";":
+            out.append("".join(buf))
+            buf = []
+        else:
+            buf.append(ch)
+        i += 1
+    out.append("".join(buf))
+    return [stmt.strip() for stmt in out if stmt.strip()]
 
 
 def load_sql(sql_or_path: str) -> str:

@@ -204,3 +204,14 @@ def test_sql_transform_with_bound_parameters(spark, wh):
     wh.overwrite("raw", spark.createDataFrame([(1, "completed"), (2, "it's pending")], "id int, status string"))
     n = run_sql_transform(wh, "CREATE OR REPLACE TABLE picked AS SELECT id FROM raw WHERE status = :s", params={"s": "it's pending"})
     assert n == {"picked": 1} and wh.read("picked").first().id == 2
+
+
+def test_sql_transform_keeps_semicolons_and_dashes_inside_literals(spark, wh):
+    from flowtable.operators.transform import _statements
+
+    sql = "-- lead comment\nSELECT 'a;b' AS x, 'c--d' AS y, `we;ird` FROM t; -- tail\nSELECT 1 AS z"
+    assert _statements(sql) == ["SELECT 'a;b' AS x, 'c--d' AS y, `we;ird` FROM t", "SELECT 1 AS z"]
+    assert _statements("SELECT 'it''s; fine' AS q") == ["SELECT 'it''s; fine' AS q"]
+    wh.overwrite("raw_notes", spark.createDataFrame([(1, "a;b"), (2, "c--d")], "id int, note string"))
+    run_sql_transform(wh, "CREATE OR REPLACE TABLE semi AS SELECT id FROM raw_notes WHERE note = 'a;b'; -- done")
+    assert [r.id for r in wh.read("semi").collect()] == [1]
