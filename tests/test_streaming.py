@@ -63,3 +63,16 @@ def test_available_now_over_csv_landing_files(spark, wh, tmp_path):
     second = stream_load(spark, spec, wh, str(landing), ckpt, schema, fmt="csv", options={"header": "true"}, state=state)
     assert [r["rows_loaded"] for r in first + second] == [2, 1]
     assert sorted(r.id for r in wh.read("raw_csv_stream").collect()) == [1, 2, 3]
+
+
+def test_backlog_is_split_into_micro_batches(spark, wh, tmp_path):
+    landing = tmp_path / "backlog"
+    landing.mkdir()
+    for i in range(3):
+        (landing / f"part{i}.csv").write_text(f"id,amount\n{i},1\n")
+    spec = LoadSpec("backlog", "team", SourceSpec("csv", path=str(landing)), DestinationSpec("raw", "backlog"))
+    state = RunState(wh)
+    results = stream_load(spark, spec, wh, str(landing), str(tmp_path / "ckpt_b"), "id int, amount int", fmt="csv",
+                          options={"header": "true"}, state=state, max_files_per_batch=1)
+    assert len(results) == 3 and sum(r["rows_loaded"] for r in results) == 3
+    assert state.runs().where("pipeline_name = 'backlog'").count() == 3
