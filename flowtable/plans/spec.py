@@ -111,7 +111,10 @@ class LoadSpec:
             schedule=(d.get("schedule") or {}).get("cron"),
             quality=QualitySpec(
                 enabled=bool(qc.get("enabled", False)),
-                checks=[Check(c["name"], c.get("column"), c["rule"], c.get("value")) for c in qc.get("checks") or []],
+                checks=[
+                    Check(c["name"], c.get("column"), c["rule"], c.get("value"), tuple(c.get("formats") or ()))
+                    for c in qc.get("checks") or []
+                ],
             ),
             transform=TransformSpec(sql=tr.get("sql"), target=tr.get("target")) if tr else None,
             notify_on_failure=bool((d.get("notify") or {}).get("on_failure", False)),
