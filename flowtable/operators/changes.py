@@ -156,7 +156,7 @@ def version_changes(
     columns, ``keep`` and the fingerprint flow through the shuffles.
     """
     carry = [c for c in (df.columns if keep is None else keep) if c not in (*keys, *order_by)]
-    hashed = df.select(*keys, *order_by, *carry, fingerprint(*tracked, sep=sep).alias(hash_col))
+    hashed = df.select(*[col(c) for c in (*keys, *order_by, *carry)], fingerprint(*tracked, sep=sep).alias(hash_col))
     return changed_rows(hashed, keys, order_by, hash_col, previous_alias="previous_hash")
 
 
