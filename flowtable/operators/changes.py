@@ -48,13 +48,13 @@ HOT_KEY_MIN_ROWS = 100_000  # below this a key fits comfortably in one task, wha
 
 
 def _changed(rows: DataFrame, value: str, prev: str, first: str) -> DataFrame:
-    return rows.where(F.col(first) | ~F.col(value).eqNullSafe(F.col(prev)))
+    return rows.where(col(first) | ~col(value).eqNullSafe(col(prev)))
 
 
 def _lag_plain(df: DataFrame, keys: list[str], order_by: list[str], value: str, prev: str) -> DataFrame:
     """``lag`` over (key ordered by order_by): one shuffle by key."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order_by])
-    out = df.withColumn(prev, F.lag(F.col(value)).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(c) for c in order_by])
+    out = df.withColumn(prev, F.lag(col(value)).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     return _changed(out, value, prev, "_first").drop("_first")
 
 
@@ -68,13 +68,13 @@ def _lag_sliced(df: DataFrame, keys: list[str], order_by: list[str], value: str,
     partition's last row (one row per partition: a size-proven broadcast).
     """
     spark = df.sparkSession
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + order_by]).withColumn("_slice", F.spark_partition_id())
+    ranged = df.repartitionByRange(n, *[col(c) for c in keys + order_by]).withColumn("_slice", F.spark_partition_id())
     tagged = checkpoint(ranged)
 
     tails = (
-        tagged.groupBy("_slice")
-        .agg(F.max_by(F.struct(*[F.col(c) for c in keys + [value]]), F.struct(*[F.col(c) for c in keys + order_by])).alias("_t"))
-        .select("_slice", *[F.col(f"_t.{c}").alias(f"_pk_{c}") for c in keys], F.col(f"_t.{value}").alias("_pv"))
+        tagged.groupBy(col("_slice"))
+        .agg(F.max_by(F.struct(*[col(c) for c in keys + [value]]), F.struct(*[col(c) for c in keys + order_by])).alias("_t"))
+        .select("_slice", *[F.col("_t").getField(c).alias(f"_pk_{c}") for c in keys], F.col("_t").getField(value).alias("_pv"))
         .collect()  # one row per non-empty partition
     )
     bounds, last = [], None
@@ -87,15 +87,15 @@ def _lag_sliced(df: DataFrame, keys: list[str], order_by: list[str], value: str,
     fields += [StructField("_pv", df.schema[value].dataType, True)]
     boundary = spark.createDataFrame(bounds, StructType(fields))
 
-    w = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c) for c in order_by])
-    local = tagged.withColumn("_prev", F.lag(F.col(value)).over(w)).withColumn("_slice_first", F.row_number().over(w) == 1)
+    w = Window.partitionBy(*[col(k) for k in keys], col("_slice")).orderBy(*[col(c) for c in order_by])
+    local = tagged.withColumn("_prev", F.lag(col(value)).over(w)).withColumn("_slice_first", F.row_number().over(w) == 1)
     joined = local.join(F.broadcast(boundary), "_slice", "left")
     # a slice's first row continues its key when the previous partition ended with that key
-    continues = F.col("_slice_first") & F.coalesce(F.col("_has_pred"), F.lit(False))
+    continues = col("_slice_first") & F.coalesce(col("_has_pred"), F.lit(False))
     for c in keys:
-        continues = continues & F.col(c).eqNullSafe(F.col(f"_pk_{c}"))
-    out = joined.withColumn(prev, F.when(continues, F.col("_pv")).otherwise(F.col("_prev")))
-    out = out.withColumn("_first", F.col("_slice_first") & ~continues)
+        continues = continues & col(c).eqNullSafe(col(f"_pk_{c}"))
+    out = joined.withColumn(prev, F.when(continues, col("_pv")).otherwise(col("_prev")))
+    out = out.withColumn("_first", col("_slice_first") & ~continues)
     return _changed(out, value, prev, "_first").select(*df.columns, prev)
 
 
@@ -122,17 +122,17 @@ def changed_rows(
     spark = df.sparkSession
     keys, order_by = list(keys), list(order_by)
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     stats = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("biggest")).first()
     total, biggest = int(stats["total"] or 0), int(stats["biggest"] or 0)
     limit = hot_threshold if hot_threshold is not None else max(total // n, HOT_KEY_MIN_ROWS)
     if biggest <= limit:
         return _lag_plain(df, keys, order_by, value, previous_alias)
 
-    hot = F.broadcast(counts.where(F.col("_n") > limit).select(*[F.col(c).alias(f"_h_{c}") for c in keys]))
+    hot = F.broadcast(counts.where(col("_n") > limit).select(*[col(c).alias(f"_h_{c}") for c in keys]))
     match = None
     for c in keys:
-        cond = F.col(c).eqNullSafe(F.col(f"_h_{c}"))
+        cond = col(c).eqNullSafe(col(f"_h_{c}"))
         match = cond if match is None else match & cond
     hot_rows = df.join(hot, match, "left_semi")
     cold_rows = df.join(hot, match, "left_anti")
@@ -178,14 +178,14 @@ def track_versions(
     latest = latest_by_key(history.select(*keys, hash_col, *order_by), keys, list(order_by))
     candidates = incoming.withColumn(hash_col, fingerprint(*tracked, sep=sep))
     joined = candidates.join(
-        latest.select(*keys, F.col(hash_col).alias("_last_hash")), keys, "left"
+        latest.select(*keys, col(hash_col).alias("_last_hash")), keys, "left"
     )
-    return joined.where(~F.col(hash_col).eqNullSafe(F.col("_last_hash"))).drop("_last_hash")
+    return joined.where(~col(hash_col).eqNullSafe(col("_last_hash"))).drop("_last_hash")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n_rows") -> DataFrame:
     """Keys that occur more than once, with their row counts."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).where(F.col(count_col) > 1)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).where(col(count_col) > 1)
 
 
 def key_conflicts(
@@ -197,8 +197,8 @@ def key_conflicts(
 ) -> DataFrame:
     """Keys claimed by more than one distinct owner, with the smallest owner as first claimant."""
     return (
-        df.where(F.col(key).isNotNull() & F.col(owner).isNotNull())
+        df.where(col(key).isNotNull() & col(owner).isNotNull())
         .groupBy(key)
         .agg(F.count_distinct(owner).alias(count_col), F.min(owner).alias(first_col))
-        .where(F.col(count_col) > 1)
+        .where(col(count_col) > 1)
     )
