@@ -185,7 +185,7 @@ def track_versions(
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n_rows") -> DataFrame:
     """Keys that occur more than once, with their row counts."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).where(col(count_col) > 1)
+    return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(count_col)).where(col(count_col) > 1)
 
 
 def key_conflicts(
@@ -198,7 +198,7 @@ def key_conflicts(
     """Keys claimed by more than one distinct owner, with the smallest owner as first claimant."""
     return (
         df.where(col(key).isNotNull() & col(owner).isNotNull())
-        .groupBy(key)
-        .agg(F.count_distinct(owner).alias(count_col), F.min(owner).alias(first_col))
+        .groupBy(col(key))
+        .agg(F.count_distinct(col(owner)).alias(count_col), F.min(col(owner)).alias(first_col))
         .where(col(count_col) > 1)
     )
