@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowtable.functions.columns import truncate
+from flowtable.functions.columns import col, truncate
 
 # Alert layout and truncation lengths kept equal to the original tool's output.
 ALERT_TITLE = "*Pipeline Failed* ✗"
@@ -20,7 +20,7 @@ STATUS_ERROR_CHARS = 120
 
 
 def _failed(status: str, failed_value: str) -> Column:
-    return F.col(status) == F.lit(failed_value)
+    return col(status) == F.lit(failed_value)
 
 
 def run_health(
@@ -38,12 +38,12 @@ def run_health(
     With ``registered`` (one row per key), keys that never ran appear with zero runs.
     """
     failed = _failed(status, failed_value)
-    stats = runs.groupBy(key).agg(
+    stats = runs.groupBy(col(key)).agg(
         F.count(F.lit(1)).alias("total_runs"),
         F.count_if(failed).alias("failures"),
-        F.max(ts).alias("last_run_at"),
-        F.max_by(F.col(status), F.col(ts)).alias("last_status"),
-        F.max_by(truncate(error, STATUS_ERROR_CHARS), F.when(failed, F.col(ts))).alias("last_error"),
+        F.max(col(ts)).alias("last_run_at"),
+        F.max_by(col(status), col(ts)).alias("last_status"),
+        F.max_by(truncate(error, STATUS_ERROR_CHARS), F.when(failed, col(ts))).alias("last_error"),
     )
     if registered is None:
         return stats
@@ -66,9 +66,9 @@ def latest_failure(
 ) -> DataFrame:
     """Per key with at least one failure: time and (truncated) error of the latest failed run."""
     fails = runs.where(_failed(status, failed_value))
-    return fails.groupBy(key).agg(
-        F.max(ts).alias("last_failure_at"),
-        F.max_by(truncate(error, chars), F.col(ts)).alias("last_error"),
+    return fails.groupBy(col(key)).agg(
+        F.max(col(ts)).alias("last_failure_at"),
+        F.max_by(truncate(error, chars), col(ts)).alias("last_error"),
     )
 
 
@@ -101,5 +101,5 @@ def failure_alerts(
 ) -> DataFrame:
     """One alert message per failed run (delivery is left to the caller)."""
     return runs.where(_failed(status, failed_value)).select(
-        F.col(run_id), F.col(name), alert_text(F.col(name), F.col(run_id), F.col(error)).alias("message")
+        col(run_id), col(name), alert_text(col(name), col(run_id), col(error)).alias("message")
     )
