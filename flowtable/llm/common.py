@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +17,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for those that can't import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(), "flowtable_code.zip")  # read by the driver's file server alone
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(top, "flowtable")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, top))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def shipped(query):
+    """``query`` with the code sent first."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        ship_code(spark)
+        return query(spark, *args)
+    return run
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared scratch folder and read back.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from flowtable.llm.common import shipped
 from flowtable.llm.sharding import op6_ring_shards
 from flowtable.llm.topk import OP2_SQL, op2_va_topk
 
@@ -10,6 +11,8 @@ QUERIES = {
     "op6_ring_shards": op6_ring_shards,
 }
 
+QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
+
 ORACLE = {
     "op2_va_topk": OP2_SQL,
 }
