@@ -66,6 +66,3 @@ def text_list(column: pa.Array) -> list[str]:
     """Strings of a column; null is empty."""
     return [x or "" for x in column.to_pylist()]
 
-
-def binary_column(rows: list[bytes]) -> pa.Array:
-    return pa.array(rows, type=pa.binary())

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from flowtable.llm.common import shipped
+from flowtable.llm.packing import op3_lexical_packing
 from flowtable.llm.sharding import op6_ring_shards
 from flowtable.llm.topk import OP2_SQL, op2_va_topk
 
 QUERIES = {
     "op2_va_topk": op2_va_topk,
+    "op3_lexical_packing": op3_lexical_packing,
     "op6_ring_shards": op6_ring_shards,
 }
 
