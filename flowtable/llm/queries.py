@@ -5,6 +5,7 @@ from __future__ import annotations
 from flowtable.llm.common import shipped
 from flowtable.llm.minhash import op7_minhash_dedup
 from flowtable.llm.packing import op3_lexical_packing
+from flowtable.llm.rules import op9_decision_list
 from flowtable.llm.sharding import op6_ring_shards
 from flowtable.llm.topk import OP2_SQL, op2_va_topk
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_lexical_packing": op3_lexical_packing,
     "op6_ring_shards": op6_ring_shards,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op9_decision_list": op9_decision_list,
 }
 
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
