@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flowtable.llm.common import shipped
+from flowtable.llm.langid import op8_language_id
 from flowtable.llm.minhash import op7_minhash_dedup
 from flowtable.llm.packing import op3_lexical_packing
 from flowtable.llm.rules import op9_decision_list
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_lexical_packing": op3_lexical_packing,
     "op6_ring_shards": op6_ring_shards,
     "op7_minhash_dedup": op7_minhash_dedup,
+    "op8_language_id": op8_language_id,
     "op9_decision_list": op9_decision_list,
 }
 
