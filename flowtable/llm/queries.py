@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flowtable.llm.common import shipped
+from flowtable.llm.htmltext import op10_site_templates
 from flowtable.llm.langid import op8_language_id
 from flowtable.llm.minhash import op7_minhash_dedup
 from flowtable.llm.packing import op3_lexical_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_language_id": op8_language_id,
     "op9_decision_list": op9_decision_list,
+    "op10_site_templates": op10_site_templates,
 }
 
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
