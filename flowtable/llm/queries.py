@@ -8,14 +8,18 @@ from flowtable.llm.langid import op8_language_id
 from flowtable.llm.minhash import op7_minhash_dedup
 from flowtable.llm.ngram_bloom import op4_bloom_lm
 from flowtable.llm.packing import op3_lexical_packing
+from flowtable.llm.piece_codec import op5_piece_codec
 from flowtable.llm.rules import op9_decision_list
 from flowtable.llm.sharding import op6_ring_shards
+from flowtable.llm.token_counts import op1_token_counts
 from flowtable.llm.topk import OP2_SQL, op2_va_topk
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_va_topk": op2_va_topk,
     "op3_lexical_packing": op3_lexical_packing,
     "op4_bloom_lm": op4_bloom_lm,
+    "op5_piece_codec": op5_piece_codec,
     "op6_ring_shards": op6_ring_shards,
     "op7_minhash_dedup": op7_minhash_dedup,
     "op8_language_id": op8_language_id,
