@@ -5,17 +5,18 @@ similarity s agree in a coordinate with probability ``s ** ROWS``.  A pair is re
 at least ``MATCHES`` coordinates; such a pair agrees in one of the first ``COORDINATES - MATCHES + 1``
 (the prefix), and only those are posted.
 
-Texts with the same words are one class, posted once.  A posting list is worked off in two ways that
-both leave most of its pairs out:
-
-* every member is compared with the list's hub, the member whose lists are longest - one pair for a
-  member - and what passes the exact check is linked;
-* in lists that still hold several components, members outside the largest one are compared with all,
-  in blocks of bounded size.  Pairs of one component are skipped, and so are pairs that met under an
-  earlier coordinate.  Only pairs with enough matching coordinates leave the task.
-
-Every retained pair is confirmed on the full sets of both texts.  At similarity 0.75 a pair misses
-the match threshold with a probability of 5e-6; below the threshold no link is made.
+Texts with the same words are one class, posted once.  Posting lists are merged by hub, the member of a
+list whose lists are longest: a group is a hub with all members of its lists, so two texts that share a
+list meet in a group, and a group of near copies, whose lists have the same hub, is formed once and
+not once for each coordinate.  Inside a group
+
+* the text that shares most coordinates is compared with all others first, then those that are not in
+  the largest component are; pairs of one component are skipped;
+* pairs with too few matching coordinates are skipped, the others are confirmed on the full sets;
+* only links that join two components leave the task.
+
+A group is worked off as pairs of blocks of bounded size.  At similarity 0.75 a pair misses the match
+threshold with a probability of 5e-6; below the threshold no link is made.
 """
 
 from __future__ import annotations
@@ -37,7 +38,9 @@ PERCENT = 75  # least similarity
 COORDINATES = 40
 ROWS = 4
 MATCHES = 2
-BLOCK = 1024  # expected members of a block of a long posting list
+BLOCK = 1024  # expected members of a block of a large group
+BLOCK_SHINGLES = 1 << 21  # expected shingles of a block
+COMPARE_ALL = 48  # in smaller groups all sets are compared, without a look at signatures
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = (_RANDOM.integers(0, 1 << 32, COORDINATES * ROWS, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -76,76 +79,110 @@ def _sign(words: int):
     return run
 
 
-def _confirm(words: int, percent: int):
-    """Pairs of texts whose full sets are similar enough."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+class _Forest:
+    """Components of a group's members."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[bytes, np.ndarray] = (b"", np.zeros(0, dtype=np.uint64))
-        for batch in batches:
-            keep = []
-            for x, y in zip(utf8_list(batch.column("text_a")), utf8_list(batch.column("text_b"))):
-                if x != last[0]:
-                    last = (x, shingles(hash_words(words_of(x)), words))
-                other = shingles(hash_words(words_of(y)), words)
-                both = len(np.intersect1d(last[1], other, assume_unique=True))
-                keep.append(100 * both >= percent * (len(last[1]) + len(other) - both) and both > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(keep))
-    return run
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, a: int, b: int) -> bool:
+        x, y = self.label[a], self.label[b]
+        if x == y:
+            return False
+        self.label[self.label == max(x, y)] = min(x, y)
+        return True
+
+    def outside(self) -> np.ndarray:
+        """Members that are not in the largest component."""
+        return self.label != np.bincount(self.label).argmax()
 
 
-def _compare_blocks(matches: int):
-    """Pairs of a block's probes and members: other component, enough matches, met here first."""
+def link_group(sets: list[np.ndarray], block: np.ndarray, percent: int, matches: int = MATCHES) -> list[tuple[int, int]]:
+    """Links that join the components of a group, as positions in ``sets``.
+
+    ``block`` tells the members of the two blocks apart; members of one block meet in another call, but
+    for the first comparison.  Every pair that is similar enough and has enough matching coordinates
+    ends in one component, over this and the other calls of the group.
+    """
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    every = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), sizes)
+    marks = center = None
+    if n > COMPARE_ALL:
+        marks = np.stack([signature(x) for x in sets])
+        shared = np.zeros(n)
+        for column in marks.T:
+            _, at, count = np.unique(column, return_inverse=True, return_counts=True)
+            shared += count[at]
+        center = int(shared.argmax())
+    forest, links, two = _Forest(n), [], block.max() > block.min()
+
+    def compare(x: int, others: np.ndarray) -> None:
+        if not sizes[x]:
+            return
+        others = others & (forest.label != forest.label[x])
+        others &= 100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])
+        if marks is not None and others.any():
+            others &= (marks == marks[x]).sum(axis=1) >= matches
+        pick = np.flatnonzero(others)
+        if not len(pick):
+            return
+        if 4 * len(pick) < n:
+            part, who = np.concatenate([sets[i] for i in pick]), np.repeat(pick, sizes[pick])
+        else:
+            part, who = every, owner
+        place = np.minimum(np.searchsorted(sets[x], part), sizes[x] - 1)
+        both = np.bincount(who[sets[x][place] == part], minlength=n)
+        for y in pick[100 * both[pick] >= percent * (sizes[x] + sizes[pick] - both[pick])]:
+            if forest.join(x, int(y)):
+                links.append((x, int(y)))
+
+    if center is not None:
+        compare(center, np.ones(n, dtype=bool))
+    done = np.zeros(n, dtype=bool)
+    for x in range(n):
+        if n > 2 and not forest.outside()[x]:
+            continue
+        done[x] = True
+        compare(x, (block != block[x]) if two else ~done)
+    # of two members in different components one is outside the largest; it has asked, or does now
+    for x in np.flatnonzero(~done & forest.outside()):
+        compare(int(x), (block != block[x]) if two else np.ones(n, dtype=bool))
+    return links
+
+
+def _link_groups(words: int, percent: int):
+    """Links of groups whose rows come sorted by ``hub, i, j``."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    prefix = COORDINATES - matches + 1
-
-    def pairs(rows: dict) -> tuple[np.ndarray, np.ndarray]:
-        probe = np.flatnonzero(rows["probe"])
-        member = np.flatnonzero(~rows["probe"])
-        found = []
-        step = max(1, (1 << 22) // max(1, len(member) * COORDINATES))
-        for at in range(0, len(probe), step):
-            part = probe[at:at + step]
-            same = rows["signature"][part][:, None, :] == rows["signature"][member][None, :, :]
-            first = rows["signature"][part][np.arange(len(part))[:, None], same[:, :, :prefix].argmax(axis=2)]
-            ok = (same.sum(axis=2) >= matches) & same[:, :, :prefix].any(axis=2) & (first == rows["c"][0])
-            ok &= rows["component"][part][:, None] != rows["component"][member][None, :]
-            # two probes meet twice
-            ok &= ~rows["outside"][member][None, :] | (rows["rep"][part][:, None] < rows["rep"][member][None, :])
-            i, j = np.nonzero(ok)
-            found.append((rows["rep"][part[i]], rows["rep"][member[j]]))
-        return tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in zip(*found)) or (
-            np.zeros(0, dtype=np.int64),) * 2
-
-    def read(batch: pa.RecordBatch) -> dict:
-        out = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("c", "i", "j", "rep", "component", "probe", "outside")}
-        out["signature"] = batch.column("signature").flatten().to_numpy().reshape(-1, COORDINATES)
-        return out
+    names = ("hub", "i", "j", "block", "rep")
+
+    def link(rows: list[np.ndarray], texts: list[bytes]) -> pa.RecordBatch:
+        block, rep = rows[3], rows[4]
+        sets = [shingles(hash_words(words_of(t)), words) for t in texts]
+        found = link_group(sets, block, percent) if len(sets) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([rep[x] for x, _ in found], pa.int64()),
+                                           pa.array([rep[y] for _, y in found], pa.int64())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None  # the rows of the last block, which may go on in the next batch
+        kept, texts = None, []  # the rows of the last group, which may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = read(batch)
+            rows = [batch.column(n).to_numpy() for n in names]
             if kept is not None:
-                rows = {n: np.concatenate([kept[n], rows[n]]) for n in rows}
-            edge = np.flatnonzero((np.diff(rows["c"]) != 0) | (np.diff(rows["i"]) != 0) | (np.diff(rows["j"]) != 0)) + 1
+                rows = [np.concatenate(x) for x in zip(kept, rows)]
+            texts += utf8_list(batch.column("text"))
+            edge = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0) | (np.diff(rows[2]) != 0)) + 1
             bounds = [0, *edge.tolist()]
             for lo, hi in zip(bounds, bounds[1:]):
-                a, b = pairs({n: x[lo:hi] for n, x in rows.items()})
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
-            kept = {n: x[bounds[-1]:] for n, x in rows.items()}
+                yield link([x[lo:hi] for x in rows], texts[lo:hi])
+            kept, texts = [x[bounds[-1]:] for x in rows], texts[bounds[-1]:]
         if kept is not None:
-            a, b = pairs(kept)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
+            yield link(kept, texts)
     return run
 
 
-def _shared(a: str, b: str):
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
-
-
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id``, ``text``).
 
@@ -161,47 +198,28 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     posted = materialize(
         signed.where("n_shingles > 0")
         .join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "k1", "k2"], "left_semi")
-        .select(F.col("doc_id").alias("rep"), "signature"), "posted")
+        .select(F.col("doc_id").alias("rep"), "n_shingles", "signature"), "posted")
     postings = posted.select("rep", F.explode(F.slice("signature", 1, COORDINATES - MATCHES + 1)).alias("c"))
     lists = postings.groupBy("c").agg(F.count("*").alias("members")).where("members > 1")
     live = materialize(postings.join(lists, "c"), "live")
 
-    # every member with its list's hub
     reach = live.groupBy("rep").agg(F.sum("members").alias("reach"))
-    ranked = live.join(reach, "rep")
-    hubs = ranked.groupBy("c").agg(F.max(F.struct("reach", (-F.col("rep")).alias("low"))).alias("top")) \
-        .select("c", (-F.col("top.low")).alias("hub"))
-    spokes = (live.join(hubs, "c").where("rep <> hub")
-              .select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct())
-    mark = posted.dropDuplicates(["rep", "signature"])
-    spokes = (spokes.join(mark.select(F.col("rep").alias("b"), F.col("signature").alias("y")), "b")
-              .join(mark.select(F.col("rep").alias("a"), F.col("signature").alias("x")), "a")
-              .where(_shared("x", "y") >= MATCHES).select("a", "b"))
-    links = confirm_pairs(docs, spokes, words, percent)
-
-    # lists that still hold several components; one of two members is done
+    hubs = (live.join(reach, "rep").groupBy("c").agg(F.max(F.struct("reach", (-F.col("rep")).alias("low"))).alias("top"))
+            .select("c", (-F.col("top.low")).alias("hub")))
+    groups = materialize(live.join(hubs, "c").select("hub", "rep").distinct()
+                         .join(posted.groupBy("rep").agg(F.max("n_shingles").alias("n")), "rep"), "groups")
+    blocks = (groups.groupBy("hub").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+              .select("hub", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).alias("blocks")))
+    dealt = (groups.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block",
+                     F.col("rep").alias("doc_id")))
+    # the hint keeps one plan at every size
+    with_text = docs.join(dealt.hint("merge"), "doc_id").withColumnRenamed("doc_id", "rep")
+    links = (with_text.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+             .mapInArrow(_link_groups(words, percent), "a long, b long"))
+
     label = components(links)
-    placed = (live.where("members > 2").join(label.withColumnRenamed("node", "rep"), "rep", "left")
-              .select("c", "members", "rep", F.coalesce("component", "rep").alias("component")))
-    parts = placed.groupBy("c", "component").agg(F.count("*").alias("n"))
-    mixed = (parts.groupBy("c").agg(F.count("*").alias("parts"), F.sum("n").alias("all"),
-                                    F.max(F.struct("n", "component")).alias("main"))
-             .where("parts > 1").select("c", F.ceil(F.col("all") / BLOCK).alias("blocks"),
-                                        F.ceil((F.col("all") - F.col("main.n")) / BLOCK).alias("chunks"),
-                                        F.col("main.component").alias("main")))
-    inside = (placed.join(mixed, "c").withColumn("outside", F.col("component") != F.col("main"))
-              .join(mark, "rep"))
-    spread = F.xxhash64("rep", F.lit(1))
-    cols = ["c", "rep", "component", "outside", "signature"]
-    members = inside.select(*cols, F.lit(False).alias("probe"), F.pmod(spread, "blocks").alias("i"),
-                            F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("j"))
-    probes = inside.where("outside").select(*cols, F.lit(True).alias("probe"), F.pmod(spread, "chunks").alias("j"),
-                                            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"))
-    rest = (members.unionByName(probes).repartition("c", "i", "j").sortWithinPartitions("c", "i", "j")
-            .mapInArrow(_compare_blocks(MATCHES), "a long, b long").distinct())
-    more = confirm_pairs(docs, rest, words, percent)
-
-    label = components(links.union(more))
     named = (classes.join(label.withColumnRenamed("node", "rep"), "rep", "left")
              .select("k1", "k2", F.coalesce("component", "rep").alias("_component")))
     component = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id"))
@@ -210,17 +228,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())))
 
 
-def confirm_pairs(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of documents whose full sets of shingles are similar enough, written once."""
-    pairs = materialize(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = materialize(docs.join(ids, "doc_id", "left_semi"), "texts")
-    both = (pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"))
-    return materialize(both.select("a", "b", "text_a", "text_b")
-                       .mapInArrow(_confirm(words, percent), "a long, b long").distinct(), "links")
-
-
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: five-word shingles, similarity 0.75 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"))
