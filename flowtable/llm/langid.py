@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from flowtable.llm.common import table, text_list
@@ -214,9 +215,8 @@ def _predict(model):
                 margins, some = margins_of(texts, m.weights)
                 lang, score = m.decide(margins)
                 lang[~some], score[~some] = UNKNOWN, 0.0
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in batch.schema.names if n != "text"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                [*(n for n in batch.schema.names if n != "text"), "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                                             ["row", "lang_pred", "score"])
     return run
 
 
@@ -240,14 +240,15 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel | No
 
 
 def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """All columns of ``docs`` but ``text``, with ``lang_pred`` and ``score`` from the whole text.
+    """``row`` (a struct of all columns of ``docs``), ``lang_pred`` and ``score`` from the whole ``text``.
 
     A null text or one without letters is ``und`` with score 0, as is every text without a model.
+    Nothing clashes with columns of ``docs``, whatever their names.
     """
-    cols = [c for c in docs.columns if c != "text"]
     value = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES rows, one column for each machine
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in cols) + ", lang_pred string, score double"
-    return docs.mapInArrow(_predict(value), schema)
+    asked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
+    schema = T.StructType([asked.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return asked.mapInArrow(_predict(value), schema)
 
 
 def held_out_rows(doc_id: str = "doc_id") -> Column:
@@ -259,5 +260,5 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     model = train(docs.where(~held_out_rows()))
-    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out_rows().alias("held_out"), "text")
-    return identify(asked, model)
+    return identify(docs.select("doc_id", "text"), model).select(
+        F.col("row.doc_id").cast("long").alias("doc_id"), held_out_rows("row.doc_id").alias("held_out"), "lang_pred", "score")

@@ -2,11 +2,11 @@
 
 1. Every document becomes token ids.  Its whole windows are sequences of their own; the rest (its
    tail, under one window) is what has to be packed.
-2. Document frequencies of token ids over all tails give the inverse document frequencies; there are
-   at most as many as the vocabulary has ids.
-3. Each tail gets its most telling token as a key, and tails are range-partitioned by (key, checksum,
-   id) into shards of about ``SHARD_TOKENS`` tokens: likely neighbours meet, and a key that a
-   third of the tails share is cut into many shards.
+2. Document frequencies of token ids over all tails are counted in the same pass and added up; there
+   are at most as many as the vocabulary has ids.
+3. A tail's key is its rarest id by the vocabulary's own order (pieces merged later have larger ids), and
+   tails are range-partitioned by (key, checksum, id) into shards of about ``SHARD_TOKENS`` tokens:
+   likely neighbours meet, and a key that a third of the tails share is cut into many shards.
 4. In a shard an inverted index with BM25 weights returns unused neighbours of the seed, which fill its
    window greedily; the last one is cut to fit and its rest seeds the next window.  Every window but
    the shard's last is full, and the last is cut at powers of two, so that no padding is left.
@@ -40,50 +40,35 @@ def _crc(ids: np.ndarray) -> int:
 
 
 def _tokenize(path: str, window: int):
-    """Whole windows of each document as finished pieces (``ids`` null), then its tail with its ids."""
+    """Whole windows of each document as finished pieces (``ids`` null), its tail with ids and key, and
+    at the end of a task the number of its tails that hold each id (``term``, ``df``)."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
-                        ("doc_tokens", pa.int64()), ("ids", pa.binary())])
+                        ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("key", pa.int32()), ("term", pa.int32()), ("df", pa.int64())])
+    end = END_ID.to_bytes(2, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = word_codes(path)
+        seen = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
-            cols: list[list] = [[] for _ in schema]
-            ends = codes.encode(utf8_list(batch.column("text")))
-            for doc_id, found in zip(batch.column("doc_id").to_pylist(), ends):
-                data = found + END_ID.to_bytes(2, "little")
-                n = len(data) // 2
+            rows = []
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), codes.encode(utf8_list(batch.column("text")))):
+                data = found + end
                 ids = np.frombuffer(data, "<u2")
+                n = len(ids)
                 whole = n // window * window
                 for start in range(0, whole, window):
-                    for c, x in zip(cols, (doc_id, start, window, _crc(ids[start:start + window]), n, None)):
-                        c.append(x)
+                    rows.append((doc_id, start, window, _crc(ids[start:start + window]), n, None, None))
                 if whole < n:
-                    for c, x in zip(cols, (doc_id, whole, n - whole, _crc(ids[whole:]), n, data[2 * whole:])):
-                        c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
-    return run
-
-
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tails that hold each id, one row for each id and task."""
-    seen = np.zeros(1 << 16, dtype=np.int64)
-    for batch in batches:
-        for x in batch.column("ids").to_pylist():
-            seen[np.unique(np.frombuffer(x, "<u2"))] += 1
-    found = np.flatnonzero(seen)
-    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(seen[found], pa.int64())], ["term", "df"])
-
-
-def _key_terms(idf):
-    """The id with the highest tf-idf of each tail."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = idf.value
-        for batch in batches:
-            keys = []
-            for x in batch.column("ids").to_pylist():
-                terms, tf = np.unique(np.frombuffer(x, "<u2"), return_counts=True)
-                keys.append(int(terms[np.argmax(weight[terms] * np.log1p(tf))]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int32())], [*batch.schema.names, "key"])
+                    tail = ids[whole:]
+                    seen[np.unique(tail)] += 1
+                    rows.append((doc_id, whole, n - whole, _crc(tail), n, data[2 * whole:], int(tail.max())))
+            cols = list(zip(*rows)) or [()] * 7
+            none = [None] * len(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*cols, none, none], schema)], schema=schema)
+        found = np.flatnonzero(seen)
+        none = [None] * len(found)
+        yield pa.RecordBatch.from_arrays([*(pa.array(none, f.type) for f in list(schema)[:7]), pa.array(found, pa.int32()),
+                                          pa.array(seen[found], pa.int64())], schema=schema)
     return run
 
 
@@ -208,21 +193,19 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, s
     spark = docs.sparkSession
     pieces = materialize(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-            _tokenize(tokenizer_path, window), PIECE + ", ids binary"), "pieces")
-    tails = pieces.where("ids IS NOT NULL")
+            _tokenize(tokenizer_path, window), PIECE + ", ids binary, key int, term int, df long"), "pieces")
+    tails = pieces.where("ids IS NOT NULL").drop("term", "df")
     # at most one row for each id of the vocabulary
-    df = {r[0]: r[1] for r in tails.select("ids").mapInArrow(_count_terms, "term int, df long")
-          .groupBy("term").agg(F.sum("df")).collect()}
+    df = {r[0]: r[1] for r in pieces.where("term IS NOT NULL").groupBy("term").agg(F.sum("df")).collect()}
     n, tokens = tails.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
     count = np.zeros(1 << 16)
     count[list(df)] = list(df.values())
     idf = spark.sparkContext.broadcast(np.log1p((n - count + 0.5) / (count + 0.5)).astype(np.float32))
     shards = max(1, -(-tokens // shard_tokens))
-    keyed = tails.mapInArrow(_key_terms(idf), PIECE + ", ids binary, key int")
     order = ["key", "ids_crc32", "doc_id", "start"]
-    packed = (keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order).drop("key")
+    packed = (tails.repartitionByRange(shards, *order).sortWithinPartitions(*order).drop("key")
               .mapInArrow(_pack(idf, tokens / max(n, 1), window), PIECE + ", sequence_id long, offset long"))
-    whole = pieces.where("ids IS NULL").drop("ids").select(
+    whole = pieces.where("ids IS NULL AND term IS NULL").drop("ids", "key", "term", "df").select(
         "*", (F.monotonically_increasing_id() * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return whole.unionByName(packed)
 

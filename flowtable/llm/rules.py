@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtable.llm.common import materialize, table
+from flowtable.llm.common import table
 
 SAMPLE_ROWS = 20_000  # labelled rows that a list is learned from, chosen by the hash of their id
 MAX_RULES = 24
@@ -60,25 +60,31 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
 
 
 def text_statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a text by name; null counts as empty."""
+    """Statistics of a text by name; null counts as empty.  Words and lines are split once for each row."""
     t = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(t, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
-    lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
     length = F.length(t)
+    words = _let(F.filter(F.split(t, r"[\x20\x09-\x0D]+", -1), lambda w: w != ""), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"),
+        F.size(F.array_distinct(w)).cast("long").alias("n_distinct_words")))
+    lines = _let(F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, WHITE, "")) > 0), lambda x: F.struct(
+        F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
     return {
-        "n_words": F.size(words).cast("long"),
+        "by_word": words,
+        "by_line": lines,
         "word_chars": F.length(F.translate(t, WHITE, "")).cast("long"),
         "n_symbols": (length - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-        "n_repeat_words": repeated_words(words),
-        "n_distinct_words": F.size(F.array_distinct(words)).cast("long"),
         "n_upper": (length - F.length(F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))).cast("long"),
         "n_exclamations": (length - F.length(F.translate(t, "!?", ""))).cast("long"),
         "n_digits": (length - F.length(F.translate(t, "0123456789", ""))).cast("long"),
-        "n_lines": F.size(lines).cast("long"),
     }
 
 
+def with_statistics(docs: DataFrame, *keep: Column) -> DataFrame:
+    """Columns ``keep`` and the statistics of ``text``."""
+    plain = docs.select(*keep, *[c.alias(n) for n, c in text_statistics(F.col("text")).items()])
+    return plain.select("*", "by_word.*", "by_line.*").drop("by_word", "by_line")
+
+
 #: What rules put thresholds on, as expressions over the statistics.
 MEASURES = {
     "words": "CAST(n_words AS DOUBLE)",
@@ -186,15 +192,19 @@ def rejects(rules: list[Rule]) -> Column:
     return F.lit(False) if verdict is None else verdict.otherwise(False)
 
 
-def learn_rules(measured: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """A decision list from documents' measures and ``labels`` (``doc_id``, ``quality`` 0 or 1).
+def learn_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """A decision list from ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``quality`` 0 or 1).
 
-    Labels without a document, null labels and null ids teach nothing.  Fewer than one rejected and
-    one accepted row give an empty list, which keeps everything.
+    It is learned from the documents of at most ``sample_rows`` labels and at most as many rows.  Labels
+    without a document, null labels and null ids teach nothing.  Without a rejected and an accepted
+    row the list is empty and keeps everything.
     """
-    known = (labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-             .agg(F.min("quality").alias("quality")))
-    rows = (measured.join(known, "doc_id").select("doc_id", "quality", *[F.expr(e).alias(m) for m, e in MEASURES.items()])
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    known = (labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy(doc_id).agg(F.min("quality").alias("quality"))
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
+    measured = docs.select(doc_id, "text").join(F.broadcast(known), "doc_id")  # at most sample_rows rows
+    rows = (with_statistics(measured, F.col("doc_id"), F.col("quality"))
+            .select("doc_id", "quality", *[F.expr(e).alias(m) for m, e in MEASURES.items()])
             .orderBy(F.xxhash64("doc_id"), "doc_id", *MEASURES).limit(sample_rows).collect())
     bad = np.array([r["quality"] == 0 for r in rows], dtype=bool)
     if not bad.any() or bad.all():
@@ -204,20 +214,19 @@ def learn_rules(measured: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``doc_id``, the statistics, ``base_failed`` and ``kept`` of every row of ``docs``.
+    """``row`` (a struct of all columns of ``docs``), the statistics, ``base_failed`` and ``kept``.
 
     Null and empty texts have zero words and fail the base rule.  Rows with equal or null ids are judged
-    each by its own text.  No labels: only the base rule decides.
+    each by its own text.  No labels: only the base rule decides.  Nothing clashes with columns of ``docs``.
     """
-    stats = text_statistics(F.col("text"))
-    measured = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                                       *[c.alias(n) for n, c in stats.items()]), "statistics")
-    rules = learn_rules(measured, labels, sample_rows)
+    rules = learn_rules(docs, labels, sample_rows)
+    measured = with_statistics(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & ~rejects(rules))
+    return measured.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~rejects(rules))
 
 
 def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdict of every document by a decision list learned from ``labels``."""
-    out = quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality_verdicts(docs, table(spark, sf_dir, "labels"))
+    return out.select(F.col("row.doc_id").cast("long").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

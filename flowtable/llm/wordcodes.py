@@ -7,12 +7,14 @@ the Python worker; only unseen ones reach the tokenizer.
 
 from __future__ import annotations
 
+import gc
 import os
 
 import numpy as np
 
-TABLE_WORDS = 400_000  # words kept by a worker; beyond it the table starts anew, the ids stay the same
+TABLE_WORDS = 600_000  # words of a generation of the table; a worker keeps the last two, the ids stay the same
 SPECIAL = b"<|"  # special tokens begin so and are matched before lower-casing
+LINE_WORDS = 250  # words encoded at once
 PUNCTUATION = b"!\"#$%&()*+,-./:;=?@[]^_`{}~|<>"
 
 
@@ -26,46 +28,86 @@ class WordCodes:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit 16 bits")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_piece = np.zeros(1 << 16, dtype=bool)
+        for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends_piece[i] = bool(suffix) and piece.endswith(suffix)
         self.words: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u2").tobytes() for x in found]
+        """Ids of words.  Words of letters alone are one piece each, so a line of them is encoded at
+        once and cut behind the ids that end a piece; the others are encoded one by one."""
+        out: list[bytes] = [b""] * len(words)
+        texts = [w.decode() for w in words]
+        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+        left = [i for i, t in enumerate(texts) if not t.isalpha()]
+        lines = [plain[at:at + LINE_WORDS] for at in range(0, len(plain), LINE_WORDS)]
+        found = self.tokenizer.encode_batch_fast([" ".join([texts[i] for i in line]) for line in lines], add_special_tokens=False)
+        for line, x in zip(lines, found):
+            ids = np.array(x.ids, dtype="<u2")
+            ends = np.flatnonzero(self.ends_piece[ids]) + 1
+            if len(ends) != len(line):  # a letter whose lower case is more than a letter
+                left += line
+                continue
+            data, lo = ids.tobytes(), 0
+            for i, hi in zip(line, (2 * ends).tolist()):
+                out[i] = data[lo:hi]
+                lo = hi
+        for i, x in zip(left, self.tokenizer.encode_batch_fast([texts[i] for i in left], add_special_tokens=False)):
+            out[i] = np.array(x.ids, dtype="<u2").tobytes()
+        return out
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > TABLE_WORDS:
-            self.words.clear()
-            self.cores.clear()
-        # trailing punctuation after a letter is a piece of its own, so "word," and "word" share an encoding
-        parts = {}
+        """Enter words that are not in the table."""
+        table, older, new, punctuated = self.words, self.older, [], []
         for w in words:
+            if (ids := older.get(w)) is not None:
+                table[w] = ids
+                continue
+            # trailing punctuation after a letter is a piece of its own, so "word," and "word" share an encoding
             core = w.rstrip(PUNCTUATION)
-            cut = core if core and b"a" <= core[-1:] <= b"z" and SPECIAL not in w else w
-            parts[w] = (cut, w[len(cut):])
-        new = list({x for pair in parts.values() for x in pair if x}.difference(self.cores))
-        self.cores.update(zip(new, self._encode(new)))
-        self.cores[b""] = b""
-        for w, (core, tail) in parts.items():
-            self.words[w] = self.cores[core] + self.cores[tail]
+            if len(core) == len(w) or not core or not b"a" <= core[-1:] <= b"z" or SPECIAL in w:
+                new.append(w)
+            else:
+                punctuated.append((w, core, w[len(core):]))
+        parts = {x for _, core, tail in punctuated for x in (core, tail)}.difference(table, new)
+        for w in parts:
+            if (ids := older.get(w)) is not None:
+                table[w] = ids
+            else:
+                new.append(w)
+        table.update(zip(new, self._encode(new)))
+        table.update((w, table[core] + table[tail]) for w, core, tail in punctuated)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text."""
-        split = [(t if SPECIAL in t else t.lower()).split() for t in texts]
+        gc.disable()  # nothing here makes cycles, and the collector would walk the table again and again
+        try:
+            return self._encode_texts(texts)
+        finally:
+            gc.enable()
+
+    def _encode_texts(self, texts: list[bytes]) -> list[bytes]:
         out: list[bytes] = []
-        at = 0
-        while at < len(split):  # in steps whose words fit the table
-            words, end = set(split[at]), at + 1
-            while end < len(split) and len(words) < TABLE_WORDS // 4:
-                words.update(split[end])
-                end += 1
-            new = words.difference(self.words)
-            if new:
-                if len(self.words) + len(new) > TABLE_WORDS:
-                    new = words
-                self._learn(new)
-            out += [b"".join(map(self.words.__getitem__, w)) for w in split[at:end]]
-            at = end
+        split: list[list[bytes]] = []
+        words: set[bytes] = set()
+
+        def finish() -> None:
+            if len(self.words) > TABLE_WORDS:
+                self.older, self.words = self.words, {}
+            self._learn(words.difference(self.words))
+            get = self.words.__getitem__
+            out.extend(b"".join(map(get, w)) for w in split)
+            split.clear()
+            words.clear()
+
+        for t in texts:
+            split.append((t if SPECIAL in t else t.lower()).split())
+            words.update(split[-1])
+            if len(words) > TABLE_WORDS // 4:
+                finish()
+        finish()
         return out
 
 
