@@ -3,14 +3,16 @@
 The filter holds, for every n-gram of 2 to ``ORDER`` words of the training texts, its count quantised to
 ``q = 1 + floor(log_BASE(count))`` as the members (n-gram, 1) ... (n-gram, q).  A count is read back by
 probing 1, 2, ... until a probe fails, so it is never underestimated, and overestimated with the filter's error
-rate; an n-gram is also never taken for more frequent than its parts, which rules out most errors.  The filter is made of segments of ``SEGMENT_BITS`` bits; an n-gram's hash names its segment, so
-counting n-grams and filling segments share one shuffle.  Its size follows the training tokens; no more
-than ``ROUND_BYTES`` of it are ever broadcast: a larger filter is sent in rounds, and each round adds the
-counts of its own segments to the blocks of text.
+rate; an n-gram is also never taken for more frequent than its parts, which rules out many errors.
+The filter is made of groups of ``GROUP_SEGMENTS`` segments of ``SEGMENT_BITS`` bits; an n-gram's hash names
+its segment, so counting n-grams and filling segments share one shuffle.  Its size follows the training
+tokens; no more than ``ROUND_BYTES`` of it are ever broadcast: a larger filter is sent in rounds, and each
+round adds the counts of its own segments to the blocks of text.
 
 Exact word counts come without a dictionary of the corpus on any machine: texts are coded in blocks, each
-with its own dictionary; dictionaries (not tokens) meet the corpus counts in a join and come back as one
-array for each block.
+with its own dictionary of word hashes, sorted.  Slices of these dictionaries, cut at the same hashes for all
+blocks, meet to be added up, and the sums go back to their blocks.  A row that is shuffled holds a slice,
+compressed, and not a word; words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -20,24 +22,47 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtable.llm.common import materialize, table, utf8_list
 from flowtable.llm.wordhash import hash_words, mix, words_of
 
-ORDER = 3
+ORDER = 2  # longest n-gram; each order costs the disk for one more hash of every distinct n-gram of a block
 BASE = 1.3  # of the logarithm that counts are rounded down to
-BITS_A_TOKEN = 12  # filter bits for each training token
+BITS_A_TOKEN = 8  # filter bits for each training token
 HASHES = 3  # bits of a member
 SEGMENT_BITS = 1 << 18
+GROUP_SEGMENTS = 32  # segments filled together: 1 MB
 ROUND_BYTES = 256 << 20  # of the filter broadcast at once
 BLOCK_TOKENS = 400_000  # of texts coded together
+PART_WORDS = 1 << 20  # expected dictionary entries that are added up together
 PRIORS = (1000.0, 16.0)  # weight of the shorter context against the counts of one and of two or more words
 MAX_LEVEL = 120  # levels cover counts up to BASE**119
 END = b""  # no word is empty
 
 _START = np.uint64(0x5EED5EED5EED5EED)
+_NGRAM_BITS = np.uint64(0xFFFFFFFFFFFF0000)  # n-grams are told apart by 48 bits
+
+
+def squeeze(x: np.ndarray) -> bytes:
+    """Unsigned integers as compressed planes of bytes: small numbers take little room."""
+    raw = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(len(x), 8).T).tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view("<u8").reshape(n)
+
+
+def squeeze_sorted(x: np.ndarray) -> bytes:
+    return squeeze(np.diff(x, prepend=np.uint64(0)))
+
+
+def unsqueeze_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unsqueeze(data), dtype=np.uint64)
 
 
 def _levels(count: np.ndarray) -> np.ndarray:
@@ -64,12 +89,13 @@ def ngram_hashes(words: np.ndarray, starts: np.ndarray, order: int) -> list[np.n
         previous = np.concatenate([[_START], previous[:-1]])
         previous[starts] = _START
         last = mix(last + np.uint64(n)) + previous
-        out.append(mix(last + np.uint64(n)))
+        out.append(mix(last + np.uint64(n)) & _NGRAM_BITS)
     return out
 
 
-def _segment(h: np.ndarray, segments: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
+def _share(h: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` equal ranges of hashes each hash lies in; grows with the hash."""
+    return ((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
 def _bits(h: np.ndarray, level: np.ndarray, k: int) -> np.ndarray:
@@ -91,7 +117,7 @@ def fill_segment(h: np.ndarray, count: np.ndarray) -> bytes:
 def probe(filter_bytes: np.ndarray, first: int, segments: int, h: np.ndarray) -> np.ndarray:
     """Levels of n-grams whose segments lie in this part of the filter (from segment ``first``), else 0."""
     level = np.zeros(len(h), dtype=np.uint8)
-    segment = _segment(h, segments).astype(np.int64) - first
+    segment = _share(h, segments).astype(np.int64) - first
     left = np.flatnonzero((segment >= 0) & (segment < len(filter_bytes) * 8 // SEGMENT_BITS))
     at = 1
     while len(left) and at <= MAX_LEVEL:
@@ -105,26 +131,29 @@ def probe(filter_bytes: np.ndarray, first: int, segments: int, h: np.ndarray) ->
     return level
 
 
+_BLOCK = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("training", pa.list_(pa.bool_())),
+                    ("lengths", pa.list_(pa.int32())), ("entries", pa.int64()), ("learned", pa.int64()),
+                    ("hashes", pa.binary()), ("uses", pa.binary()), ("seen", pa.binary()), ("codes", pa.binary())])
+_BLOCK_SQL = ("block long, doc_ids array<bigint>, training array<boolean>, lengths array<int>, entries long, learned long, "
+              "hashes binary, uses binary, seen binary, codes binary")
+
+
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of texts: one row with the codes, one row for each word of the block's dictionary."""
-    schema = pa.schema([("block", pa.int64()), ("code", pa.int32()), ("word", pa.binary()), ("n", pa.int64()),
-                        ("doc_ids", pa.list_(pa.int64())), ("training", pa.list_(pa.bool_())),
-                        ("lengths", pa.list_(pa.int32())), ("codes", pa.binary())])
+    """Blocks of texts: the words' hashes in order, how often the block and its training texts use them,
+    and the texts as codes - the place of each word in the dictionary by descending use."""
     number = TaskContext.get().partitionId() << 32
 
     def block(docs: list) -> pa.RecordBatch:
-        table_: dict[bytes, int] = {}
-        parts = [np.fromiter((table_.setdefault(w, len(table_)) for w in words), np.int32, len(words)) for _, _, words in docs]
-        seen = np.zeros(len(table_), dtype=np.int64)
-        for (_, training, _), codes in zip(docs, parts):
-            if training:
-                seen += np.bincount(codes, minlength=len(table_))
-        n = len(table_)
-        none = [None] * n
-        cols = [[number] * (n + 1), [*range(n), None], [*table_, None], [*seen.tolist(), None],
-                [*none, [d[0] for d in docs]], [*none, [d[1] for d in docs]], [*none, [len(p) for p in parts]],
-                [*none, np.concatenate(parts).astype("<i4").tobytes()]]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+        lengths = np.array([len(d[2]) for d in docs])
+        learn = np.repeat(np.array([d[1] for d in docs], dtype=bool), lengths)
+        hashes, at = np.unique(np.concatenate([d[2] for d in docs]), return_inverse=True)
+        uses = np.bincount(at, minlength=len(hashes))
+        seen = np.bincount(at[learn], minlength=len(hashes))
+        rank = np.empty(len(hashes), dtype=np.int64)
+        rank[np.argsort(-uses, kind="stable")] = np.arange(len(hashes))
+        row = [number, [d[0] for d in docs], [d[1] for d in docs], lengths.tolist(), len(hashes), int(learn.sum()),
+               squeeze_sorted(hashes), squeeze(uses), squeeze(seen), squeeze(rank[at])]
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _BLOCK)], schema=_BLOCK)
 
     docs, tokens = [], 0
     for batch in batches:
@@ -132,7 +161,7 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           utf8_list(batch.column("text"))):
             words = words_of(text)
             words.append(END)
-            docs.append((doc_id, training, words))
+            docs.append((doc_id, training, hash_words(words)))
             tokens += len(words)
             if tokens >= BLOCK_TOKENS:
                 yield block(docs)
@@ -142,72 +171,130 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Block:
-    """A block's tokens as word hashes with the texts' starts."""
+    """A block's tokens as places in its sorted dictionary, with the texts' starts."""
 
     def __init__(self, row: dict):
-        self.codes = np.frombuffer(row["codes"], "<i4")
+        self.hashes = unsqueeze_sorted(row["hashes"])
+        order = np.argsort(-unsqueeze(row["uses"]).astype(np.int64), kind="stable")
+        self.at = order[unsqueeze(row["codes"]).astype(np.int64)]
+        self.training = np.array(row["training"], dtype=bool)
         self.lengths = np.array(row["lengths"], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
-        self.words = np.frombuffer(row["hashes"], "<u8")[self.codes]
 
+    def ngrams(self, order: int) -> list[np.ndarray]:
+        return ngram_hashes(self.hashes[self.at], self.starts, order)
 
-def _count_ngrams(segments: int, order: int):
-    """(segment, n-gram hash, count) of the training texts, added up within blocks."""
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time: a block's row is megabytes."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+
+
+def _slices(h: np.ndarray, n: int) -> Iterator[tuple[int, slice]]:
+    """The filled ranges of sorted hashes."""
+    share = _share(h, n).astype(np.int64)
+    bounds = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(h)]
+    for lo, hi in zip(bounds, bounds[1:]):
+        if lo < hi:
+            yield int(share[lo]), slice(lo, hi)
+
+
+def _split_words(parts: int):
+    """(part, block, hashes, seen): a block's dictionary cut at the same hashes as all others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = _Block(row)
-                learn = np.repeat(np.array(row["training"], dtype=bool), b.lengths)
-                grams = ngram_hashes(b.words, b.starts, order)
-                h, n = np.unique(np.concatenate([g[learn] for g in grams]), return_counts=True)
-                for at in range(0, len(h), 200_000):
-                    part = h[at:at + 200_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(_segment(part, segments).astype(np.int32)), pa.array(part.astype(np.int64)),
-                         pa.array(n[at:at + 200_000].astype(np.int32))], ["segment", "h", "n"])
+        for row in _rows(batches):
+            hashes, seen = unsqueeze_sorted(row["hashes"]), unsqueeze(row["seen"])
+            cut = [(part, squeeze_sorted(hashes[s]), squeeze(seen[s])) for part, s in _slices(hashes, parts)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c[0] for c in cut], pa.int32()), pa.array([row["block"]] * len(cut), pa.int64()),
+                 pa.array([c[1] for c in cut], pa.binary()), pa.array([c[2] for c in cut], pa.binary())],
+                ["part", "block", "hashes", "seen"])
     return run
 
 
-def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments from rows sorted by segment."""
-    def segment(number: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        h, at = np.unique(h, return_inverse=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int32()), pa.array([fill_segment(h, np.bincount(at, n))], pa.binary()), pa.array([len(h)], pa.int64())],
-            ["segment", "bits", "ngrams"])
+def _groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """Rows that come sorted by ``key``, key by key."""
+    number, rows = None, []
+    for row in _rows(batches):
+        if rows and row[key] != number:
+            yield number, rows
+            rows = []
+        number = row[key]
+        rows.append(row)
+    if rows:
+        yield number, rows
+
+
+def _total_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each block its words' corpus counts, and a row without a block with the part's sums."""
+    end = hash_words([END])[0]
+    for part, rows in _groups_of(batches, "part"):
+        slices = [unsqueeze_sorted(r["hashes"]) for r in rows]
+        hashes, at = np.unique(np.concatenate(slices), return_inverse=True)
+        total = np.bincount(at, np.concatenate([unsqueeze(r["seen"]) for r in rows])).astype(np.uint64)
+        back = np.split(total[at], np.cumsum([len(x) for x in slices])[:-1])
+        texts = int(total[hashes == end].sum())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*(r["block"] for r in rows), None], pa.int64()), pa.array([part] * (len(rows) + 1), pa.int32()),
+             pa.array([*(squeeze(x) for x in back), None], pa.binary()),
+             *(pa.array([None] * len(rows) + [x], pa.int64()) for x in (int(total.sum()), int((total > 0).sum()), texts))],
+            ["block", "part", "totals", "tokens", "words", "texts"])
+
+
+def _count_ngrams(groups: int, order: int):
+    """(group, n-gram hashes, counts) of the training texts, added up within blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            b = _Block(row)
+            learn = np.repeat(b.training, b.lengths)
+            h, n = np.unique(np.concatenate([g[learn] for g in b.ngrams(order)]), return_counts=True)
+            cut = [(group, squeeze_sorted(h[s]), squeeze(n[s])) for group, s in _slices(h, groups)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c[0] for c in cut], pa.int32()), pa.array([c[1] for c in cut], pa.binary()),
+                 pa.array([c[2] for c in cut], pa.binary())], ["group", "h", "n"])
+    return run
 
-    number, kept = None, []
-    for batch in batches:
-        s, h, n = (batch.column(c).to_numpy() for c in ("segment", "h", "n"))
-        h = h.astype(np.uint64)
-        bounds = [0, *(np.flatnonzero(np.diff(s)) + 1).tolist(), len(s)]
-        for lo, hi in zip(bounds, bounds[1:]):
-            if lo == hi:
-                continue
-            if number is not None and s[lo] != number:
-                yield segment(number, *(np.concatenate(x) for x in zip(*kept)))
-                kept = []
-            number = int(s[lo])
-            kept.append((h[lo:hi], n[lo:hi]))
-    if number is not None:
-        yield segment(number, *(np.concatenate(x) for x in zip(*kept)))
-
-
-def _probe_round(part, first: int, segments: int, order: int):
-    """Blocks with the levels of this round's segments added to ``levels``, n by n."""
+
+def _fill(groups: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The segments of each group."""
+        for group, rows in _groups_of(batches, "group"):
+            h, at = np.unique(np.concatenate([unsqueeze_sorted(r["h"]) for r in rows]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([unsqueeze(r["n"]) for r in rows]))
+            segment = _share(h, groups * GROUP_SEGMENTS).astype(np.int64) - group * GROUP_SEGMENTS
+            cuts = np.searchsorted(segment, np.arange(GROUP_SEGMENTS + 1))
+            bits = b"".join(fill_segment(h[lo:hi], n[lo:hi]) for lo, hi in zip(cuts, cuts[1:]))
+            yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([bits], pa.binary()), pa.array([len(h)], pa.int64())],
+                                             ["group", "bits", "ngrams"])
+    return run
+
+
+class FilterPart:
+    """A run of whole groups of the filter."""
+
+    def __init__(self, bits: bytes, first_segment: int, segments: int):
+        self.bits, self.first, self.segments = bits, first_segment, segments
+
+    def levels(self, block: _Block, order: int, before: bytes | None) -> np.ndarray:
+        """Levels of the block's n-grams, n by n, with those of earlier rounds."""
+        filter_bytes = np.frombuffer(self.bits, np.uint8)
+        out = []
+        for grams in block.ngrams(order):
+            h, at = np.unique(grams, return_inverse=True)
+            out.append(probe(filter_bytes, self.first, self.segments, h)[at])
+        level = np.stack(out)
+        return level if before is None else np.maximum(level, unsqueeze(before).astype(np.uint8).reshape(level.shape))
+
+
+def _probe_round(part, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_bytes = np.frombuffer(part.value, np.uint8)
         for batch in batches:
-            found = []
-            for row in batch.to_pylist():
-                b = _Block(row)
-                level = np.stack([probe(filter_bytes, first, segments, h) for h in ngram_hashes(b.words, b.starts, order)])
-                if row["levels"]:
-                    level = np.maximum(level, np.frombuffer(row["levels"], np.uint8).reshape(level.shape))
-                found.append(level.tobytes())
+            found = [squeeze(part.value.levels(_Block(row), order, row["levels"]).reshape(-1))
+                     for row in _rows(iter([batch]))]
             names = batch.schema.names
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.binary()) if n == "levels" else batch.column(n) for n in names], names)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()) if n == "levels" else batch.column(n) for n in names], names)
     return run
 
 
@@ -236,52 +323,26 @@ def smoothed(count: np.ndarray, levels: np.ndarray, starts: np.ndarray, texts: i
     return np.log10(p)
 
 
-def _score(texts: int, tokens: int, distinct: int, order: int):
+def _score(part, texts: int, tokens: int, distinct: int, order: int):
+    """Scores of all texts; ``part`` is the last part of the filter."""
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = _Block(row)
-                count = np.frombuffer(row["counts"], "<i8")[b.codes]
-                base = np.log10((count + 1) / (tokens + distinct + 1))
-                levels = np.frombuffer(row["levels"], np.uint8).reshape(order - 1, -1)
-                score = smoothed(count, levels, b.starts, texts, tokens, distinct)
-                add = lambda x: np.add.reduceat(x, b.starts)  # noqa: E731  no text is empty: each has its end
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(~np.array(row["training"], dtype=bool)), pa.array(b.lengths),
-                     pa.array(add((count > 0).astype(np.int64))), pa.array(np.full(len(b.starts), tokens)),
-                     pa.array(add(base)), pa.array(add(score))], schema=schema)
+        for row in _rows(batches):
+            b = _Block(row)
+            count = np.concatenate([unsqueeze(t["totals"]) for t in row["parts"]]).astype(np.int64)[b.at]
+            base = np.log10((count + 1) / (tokens + distinct + 1))
+            score = smoothed(count, part.value.levels(b, order, row["levels"]), b.starts, texts, tokens, distinct)
+            # no text is empty: each has its end
+            known, base, score = (np.add.reduceat(x, b.starts) for x in ((count > 0).astype(np.int64), base, score))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["doc_ids"], pa.int64()), pa.array(~b.training), pa.array(b.lengths), pa.array(known),
+                 pa.array(np.full(len(known), tokens)), pa.array(base), pa.array(score)], schema=schema)
     return run
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Dictionary rows sorted by block and code into one row of counts and hashes for each block."""
-    def whole(number: int, parts: list) -> pa.RecordBatch:
-        counts = np.concatenate([p[0] for p in parts]).astype("<i8").tobytes()
-        hashes = hash_words([w for p in parts for w in p[1]]).astype("<u8").tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([counts], pa.binary()), pa.array([hashes], pa.binary())],
-                                          ["block", "counts", "hashes"])
-
-    number, kept = None, []
-    for batch in batches:
-        s, total = batch.column("block").to_numpy(), batch.column("total").to_numpy()
-        words = utf8_list(batch.column("word"))
-        bounds = [0, *(np.flatnonzero(np.diff(s)) + 1).tolist(), len(s)]
-        for lo, hi in zip(bounds, bounds[1:]):
-            if lo == hi:
-                continue
-            if number is not None and s[lo] != number:
-                yield whole(number, kept)
-                kept = []
-            number = int(s[lo])
-            kept.append((total[lo:hi], words[lo:hi]))
-    if number is not None:
-        yield whole(number, kept)
-
-
-def score_documents(docs: DataFrame, training, order: int = ORDER, bits_a_token: int = BITS_A_TOKEN,
+def score_documents(docs: DataFrame, training: Column, order: int = ORDER, bits_a_token: int = BITS_A_TOKEN,
                     round_bytes: int = ROUND_BYTES) -> DataFrame:
     """Scores of all texts by a model of those where ``training`` is true.
 
@@ -289,40 +350,41 @@ def score_documents(docs: DataFrame, training, order: int = ORDER, bits_a_token:
     With nothing to learn from every token has a count of 0.  No rows give no rows.
     """
     spark = docs.sparkSession
-    coded = materialize(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), training.alias("training"), "text").mapInArrow(
-            _code, "block long, code int, word binary, n long, doc_ids array<bigint>, training array<boolean>, lengths array<int>, codes binary"),
-        "coded")
-    entries = coded.where("word IS NOT NULL").select("block", "code", "word", "n")
-    words = materialize(entries.groupBy("word").agg(F.sum("n").alias("total")), "words")
-    tokens, distinct, texts = (int(x or 0) for x in words.agg(
-        F.sum("total"), F.count_if(F.col("total") > 0), F.max(F.when(F.octet_length("word") == 0, F.col("total")))).first())
-    counted = (entries.select("block", "code", "word").join(words, "word")
-               .repartition("block").sortWithinPartitions("block", "code").select("block", "word", "total")
-               .mapInArrow(_gather, "block long, counts binary, hashes binary"))
-    blocks = materialize(coded.where("codes IS NOT NULL").select("block", "doc_ids", "training", "lengths", "codes")
-                         .join(counted, "block"), "blocks")
-
-    segments = max(1, -(-tokens * bits_a_token // SEGMENT_BITS))
-    segments = 1 << (segments - 1).bit_length() if segments < 64 else segments
+    blocks = materialize(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(training, F.lit(False)).alias("training"), "text")
+        .mapInArrow(_code, _BLOCK_SQL), "blocks")
+    entries, learned = (int(x or 0) for x in blocks.agg(F.sum("entries"), F.sum("learned")).first())
+
+    parts = max(1, -(-entries // PART_WORDS))
+    totals = materialize(
+        blocks.select("block", "hashes", "seen").mapInArrow(_split_words(parts), "part int, block long, hashes binary, seen binary")
+        .repartition("part").sortWithinPartitions("part", "block")
+        .mapInArrow(_total_words, "block long, part int, totals binary, tokens long, words long, texts long"), "totals")
+    tokens, distinct, texts = (int(x or 0) for x in totals.agg(F.sum("tokens"), F.sum("words"), F.sum("texts")).first())
+    counted = (totals.where("block IS NOT NULL").groupBy("block")
+               .agg(F.sort_array(F.collect_list(F.struct("part", "totals"))).alias("parts")))
+
+    groups = max(1, -(-learned * bits_a_token // (SEGMENT_BITS * GROUP_SEGMENTS)))
     filled = materialize(
-        blocks.select("training", "lengths", "codes", "hashes").mapInArrow(_count_ngrams(segments, order), "segment int, h long, n int")
-        .repartition("segment").sortWithinPartitions("segment")
-        .mapInArrow(_fill, "segment int, bits binary, ngrams long"), "filter")
+        blocks.mapInArrow(_count_ngrams(groups, order), "`group` int, h binary, n binary")
+        .repartition("group").sortWithinPartitions("group")
+        .mapInArrow(_fill(groups), "`group` int, bits binary, ngrams long"), "filter")
+
+    group_bytes = SEGMENT_BITS * GROUP_SEGMENTS // 8
+    step = max(1, round_bytes // group_bytes)
     levelled = blocks.withColumn("levels", F.lit(None).cast("binary"))
-    step = max(1, round_bytes * 8 // SEGMENT_BITS)
-    for first in range(0, segments, step):
-        size = min(step, segments - first)
-        part = bytearray(size * SEGMENT_BITS // 8)  # at most round_bytes
-        for r in filled.where((F.col("segment") >= first) & (F.col("segment") < first + size)).toLocalIterator():
-            at = (r["segment"] - first) * SEGMENT_BITS // 8
-            part[at:at + SEGMENT_BITS // 8] = r["bits"]
-        sent = spark.sparkContext.broadcast(bytes(part))
-        levelled = levelled.mapInArrow(_probe_round(sent, first, segments, order), levelled.schema)
-        if first + size < segments:
-            levelled = materialize(levelled, "levels")
-    return levelled.mapInArrow(_score(texts, tokens, distinct, order),
-                               "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    for first in range(0, groups, step):
+        size = min(step, groups - first)
+        part = bytearray(size * group_bytes)  # at most round_bytes
+        for r in filled.where((F.col("group") >= first) & (F.col("group") < first + size)).toLocalIterator():
+            at = (r["group"] - first) * group_bytes
+            part[at:at + group_bytes] = r["bits"]
+        sent = spark.sparkContext.broadcast(FilterPart(bytes(part), first * GROUP_SEGMENTS, groups * GROUP_SEGMENTS))
+        if first + size < groups:
+            levelled = materialize(levelled.mapInArrow(_probe_round(sent, order), levelled.schema), "levels")
+    return levelled.join(counted, "block").mapInArrow(
+        _score(sent, texts, tokens, distinct, order),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
