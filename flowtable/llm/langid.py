@@ -190,12 +190,14 @@ def margins_of(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.nd
         # two marks between texts keep grams inside them; a longer text is worked off in parts
         joined = _codes("\0\0".join([*texts[at:end], ""]))
         owner = np.repeat(np.arange(at, end), [len(t) + 2 for t in texts[at:end]])
+        own = np.repeat([True, False] * (end - at), [n for t in texts[at:end] for n in (len(t), 2)])
         for lo in range(0, max(len(joined) - 2, 0), CHUNK):
             part = joined[lo:lo + CHUNK + 2]
             who = owner[lo:lo + len(part) - 2]
             starts = np.flatnonzero(np.r_[True, np.diff(who) != 0]) if len(who) else np.zeros(0, dtype=int)
             for gram, counted in _grams(part):
                 if len(who):
+                    counted = counted & own[lo:lo + len(who)]  # none begins at the marks between texts
                     got = weights[gram]
                     got[~counted] = 0
                     total[who[starts]] += np.add.reduceat(got, starts, axis=0)
