@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtable.llm.common import materialize, table, utf8_list
+from flowtable.llm.common import materialize, table
 from flowtable.llm.wordcodes import word_codes
 
 WINDOW = 4096
@@ -44,16 +44,15 @@ def _tokenize(path: str, window: int):
     at the end of a task the number of its tails that hold each id (``term``, ``df``)."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                         ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("key", pa.int32()), ("term", pa.int32()), ("df", pa.int64())])
-    end = END_ID.to_bytes(2, "little")
+    end = np.array([END_ID], dtype="<u2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = word_codes(path)
         seen = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
             rows = []
-            for doc_id, found in zip(batch.column("doc_id").to_pylist(), codes.encode(utf8_list(batch.column("text")))):
-                data = found + end
-                ids = np.frombuffer(data, "<u2")
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), codes.encode(batch.column("text"))):
+                ids = np.concatenate([found, end])
                 n = len(ids)
                 whole = n // window * window
                 for start in range(0, whole, window):
@@ -61,7 +60,7 @@ def _tokenize(path: str, window: int):
                 if whole < n:
                     tail = ids[whole:]
                     seen[np.unique(tail)] += 1
-                    rows.append((doc_id, whole, n - whole, _crc(tail), n, data[2 * whole:], int(tail.max())))
+                    rows.append((doc_id, whole, n - whole, _crc(tail), n, tail.tobytes(), int(tail.max())))
             cols = list(zip(*rows)) or [()] * 7
             none = [None] * len(rows)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip([*cols, none, none], schema)], schema=schema)

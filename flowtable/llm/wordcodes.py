@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import gc
 import os
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 TABLE_WORDS = 600_000  # words of a generation of the table; a worker keeps the last two, the ids stay the same
 SPECIAL = b"<|"  # special tokens begin so and are matched before lower-casing
+CHUNK_WORDS = 1 << 20  # words whose ids are laid out at once
 LINE_WORDS = 250  # words encoded at once
 PUNCTUATION = b"!\"#$%&()*+,-./:;=?@[]^_`{}~|<>"
 
@@ -80,34 +84,45 @@ class WordCodes:
         table.update(zip(new, self._encode(new)))
         table.update((w, table[core] + table[tail]) for w, core, tail in punctuated)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text."""
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text of a string column; null is empty.
+
+        Words are split and numbered in Arrow; Python sees each distinct word of a batch once.
+        """
+        texts = pc.fill_null(texts, "")
+        texts = pc.if_else(pc.match_substring(texts, SPECIAL.decode()), texts, pc.ascii_lower(texts))
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
         gc.disable()  # nothing here makes cycles, and the collector would walk the table again and again
         try:
-            return self._encode_texts(texts)
+            ids = self._ids_of([w.encode() for w in coded.dictionary.to_pylist()])
         finally:
             gc.enable()
-
-    def _encode_texts(self, texts: list[bytes]) -> list[bytes]:
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        pool, start = np.frombuffer(b"".join(ids), "<u2"), np.concatenate([[0], np.cumsum(size)])
+        del ids
+        at, ends = coded.indices.to_numpy(), words.offsets.to_numpy().astype(np.int64)
+        ends = ends - ends[0]
+        lo = 0
+        while lo < len(texts):  # texts of about CHUNK_WORDS words at a time
+            hi = min(max(lo + 1, int(np.searchsorted(ends, ends[lo] + CHUNK_WORDS))), len(texts))
+            part = at[ends[lo]:ends[hi]]
+            n = size[part]
+            to = np.concatenate([[0], np.cumsum(n)])
+            flat = pool[np.arange(to[-1]) + np.repeat(start[part] - to[:-1], n)]
+            bounds = to[ends[lo:hi + 1] - ends[lo]].tolist()
+            for x, y in zip(bounds, bounds[1:]):
+                yield flat[x:y]
+            lo = hi
+
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
         out: list[bytes] = []
-        split: list[list[bytes]] = []
-        words: set[bytes] = set()
-
-        def finish() -> None:
+        for at in range(0, len(words), TABLE_WORDS // 4):
+            part = words[at:at + TABLE_WORDS // 4]
             if len(self.words) > TABLE_WORDS:
                 self.older, self.words = self.words, {}
-            self._learn(words.difference(self.words))
-            get = self.words.__getitem__
-            out.extend(b"".join(map(get, w)) for w in split)
-            split.clear()
-            words.clear()
-
-        for t in texts:
-            split.append((t if SPECIAL in t else t.lower()).split())
-            words.update(split[-1])
-            if len(words) > TABLE_WORDS // 4:
-                finish()
-        finish()
+            self._learn(set(part).difference(self.words))
+            out.extend(map(self.words.__getitem__, part))
         return out
 
 
