@@ -54,8 +54,8 @@ def _letters() -> np.ndarray:
     """For each code point its lower-case code point if it is a letter, else 0; made once in a worker."""
     if not _LETTERS:
         points = range(0x110000)
-        _LETTERS.append(np.array([(ord(low) if len(low := chr(p).lower()) == 1 else p) if chr(p).isalpha() else 0
-                                  for p in points], dtype=np.uint32))
+        _LETTERS.append(np.fromiter(((ord(low) if len(low := chr(p).lower()) == 1 else p) if chr(p).isalpha() else 0
+                                     for p in points), np.uint32, len(points)))
     return _LETTERS[0]
 
 
@@ -210,7 +210,7 @@ def _predict(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: LanguageModel | None = model.value
         for batch in batches:
-            texts = text_list(batch.column("text"))
+            texts = text_list(batch.column("row").field("text"))
             if m is None:
                 lang, score = np.full(len(texts), UNKNOWN, dtype=object), np.zeros(len(texts))
             else:
@@ -248,7 +248,7 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     Nothing clashes with columns of ``docs``, whatever their names.
     """
     value = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES rows, one column for each machine
-    asked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("text"))
+    asked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     schema = T.StructType([asked.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return asked.mapInArrow(_predict(value), schema)
 

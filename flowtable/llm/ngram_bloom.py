@@ -35,7 +35,7 @@ HASHES = 3  # bits of a member
 SEGMENT_BITS = 1 << 18
 GROUP_SEGMENTS = 32  # segments filled together: 1 MB
 ROUND_BYTES = 256 << 20  # of the filter broadcast at once
-BLOCK_TOKENS = 400_000  # of texts coded together
+BLOCK_TOKENS = 250_000  # of texts coded together
 PART_WORDS = 1 << 20  # expected dictionary entries that are added up together
 PRIORS = (1000.0, 16.0)  # weight of the shorter context against the counts of one and of two or more words
 MAX_LEVEL = 120  # levels cover counts up to BASE**119

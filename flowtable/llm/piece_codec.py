@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from flowtable.llm.common import table, text_list
 from flowtable.llm.unigram import MARK, UnigramVocabulary, vocabulary
 
-TABLE_WORDS = 300_000  # words kept by a worker; beyond it the table starts anew, the ids stay the same
+TABLE_WORDS = 200_000  # words kept by a worker; beyond it the table starts anew, the ids stay the same
 
 
 class PieceCodec:

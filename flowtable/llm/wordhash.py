@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-TABLE_WORDS = 500_000  # words kept by a worker; beyond it the table starts anew, the hashes stay the same
+TABLE_WORDS = 200_000  # words kept by a worker; beyond it the table starts anew, the hashes stay the same
 
 
 class _Table(dict):
