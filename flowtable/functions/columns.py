@@ -56,14 +56,13 @@ def canonical_json(*cols: str) -> Column:
     return F.to_json(F.struct(*[col(c) for c in sorted(cols)]), {"ignoreNullFields": "false"})
 
 
-def fingerprint(*cols: str, sep: str | None = None, length: int = 16) -> Column:
-    """First ``length`` hex chars of SHA-256 over the tracked columns.
+def fingerprint(*cols: str, length: int = 16) -> Column:
+    """First ``length`` hex chars of SHA-256 over the canonical JSON of the tracked columns.
 
-    With ``sep`` the values are joined by it (NULLs skipped); otherwise the canonical JSON
-    of the columns is hashed.
+    JSON keeps NULLs apart from text and quotes what separates values, so different rows have
+    different bodies.
     """
-    body = F.concat_ws(sep, *[col(c).cast("string") for c in cols]) if sep is not None else canonical_json(*cols)
-    return F.substring(F.sha2(body, 256), 1, length)
+    return F.substring(F.sha2(canonical_json(*cols), 256), 1, length)
 
 
 # Run status indicators, as the original status report shows them.

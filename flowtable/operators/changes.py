@@ -129,7 +129,9 @@ def changed_rows(
     if biggest <= limit:
         return _lag_plain(df, keys, order_by, value, previous_alias)
 
-    hot = F.broadcast(counts.where(col("_n") > limit).select(*[col(c).alias(f"_h_{c}") for c in keys]))
+    hot = counts.where(col("_n") > limit).select(*[col(c).alias(f"_h_{c}") for c in keys])
+    if hot_threshold is None:
+        hot = F.broadcast(hot)  # at most ``n`` keys hold more than a task's share; a caller's threshold has no such bound
     match = None
     for c in keys:
         cond = col(c).eqNullSafe(col(f"_h_{c}"))
@@ -146,7 +148,6 @@ def version_changes(
     keys: Sequence[str],
     order_by: Sequence[str],
     tracked: Sequence[str],
-    sep: str | None = "|",
     hash_col: str = "version_hash",
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -156,7 +157,7 @@ def version_changes(
     columns, ``keep`` and the fingerprint flow through the shuffles.
     """
     carry = [c for c in (df.columns if keep is None else keep) if c not in (*keys, *order_by)]
-    hashed = df.select(*[col(c) for c in (*keys, *order_by, *carry)], fingerprint(*tracked, sep=sep).alias(hash_col))
+    hashed = df.select(*[col(c) for c in (*keys, *order_by, *carry)], fingerprint(*tracked).alias(hash_col))
     return changed_rows(hashed, keys, order_by, hash_col, previous_alias="previous_hash")
 
 
@@ -167,7 +168,6 @@ def track_versions(
     tracked: Sequence[str],
     order_by: Sequence[str] = ("recorded_at",),
     hash_col: str = "version_hash",
-    sep: str | None = None,
 ) -> DataFrame:
     """New history rows: incoming entities whose fingerprint differs from their latest version.
 
@@ -176,7 +176,7 @@ def track_versions(
     """
     keys = list(keys)
     latest = latest_by_key(history.select(*keys, hash_col, *order_by), keys, list(order_by))
-    candidates = incoming.withColumn(hash_col, fingerprint(*tracked, sep=sep))
+    candidates = incoming.withColumn(hash_col, fingerprint(*tracked))
     joined = candidates.join(
         latest.select(*keys, col(hash_col).alias("_last_hash")), keys, "left"
     )

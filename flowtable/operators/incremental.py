@@ -34,23 +34,28 @@ def mark_text(value: Column, dtype: DataType) -> Column:
     return value.cast("string")
 
 
-def incremental_filter(df: DataFrame, key: str, mark: str | None, partition_column: str | None = None) -> DataFrame:
+def incremental_filter(
+    df: DataFrame, key: str, mark: str | None, partition_column: str | None = None, with_null_keys: bool = False
+) -> DataFrame:
     """Rows with ``key > mark``; with no mark, every row with a non-NULL key.
 
+    ``with_null_keys`` lets rows without a key through as well, for a caller that counts them.
+
     ``partition_column`` names a partition column whose value is ``CAST(key AS <its type>)``
     -- a monotone floor of the key such as ``dt = to_date(ts)``.  The filter then also holds
     ``partition_column >= CAST(mark AS <its type>)``, which prunes whole partitions at
     planning time; the exact ``key > mark`` test still decides row by row.
     """
     require_key(df, key)
-    keep = col(key).isNotNull()
+    keep, null_key = col(key).isNotNull(), col(key).isNull()
     if mark is not None:
         typed = typed_mark(df, key, mark)
         keep = keep & (col(key) > typed)
         if partition_column is not None:
             require_key(df, partition_column)
             keep = keep & (col(partition_column) >= typed.cast(df.schema[partition_column].dataType))
-    return df.where(keep)
+            null_key = null_key & col(partition_column).isNull()  # the floor of a NULL key is NULL
+    return df.where(keep | null_key if with_null_keys else keep)
 
 
 def marks_by(df: DataFrame, key: str, by: Sequence[str], mark_col: str = "high_water_mark", count_col: str = "n_rows") -> DataFrame:

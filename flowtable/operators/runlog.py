@@ -31,19 +31,22 @@ def run_health(
     error: str = "error_message",
     failed_value: str = "FAILED",
     registered: DataFrame | None = None,
+    tie: str | None = None,
 ) -> DataFrame:
     """Per key: total runs, failures, last run time, last status, last failure's error (120 chars).
 
     "Last error" is the error of the latest *failed* run, even if a later run succeeded.
-    With ``registered`` (one row per key), keys that never ran appear with zero runs.
+    With ``registered`` (one row per key), keys that never ran appear with zero runs.  ``tie`` orders
+    runs of the same time; without it their order is undefined.
     """
     failed = _failed(status, failed_value)
+    order = F.struct(col(ts), col(tie)) if tie else col(ts)
     stats = runs.groupBy(col(key)).agg(
         F.count(F.lit(1)).alias("total_runs"),
         F.count_if(failed).alias("failures"),
         F.max(col(ts)).alias("last_run_at"),
-        F.max_by(col(status), col(ts)).alias("last_status"),
-        F.max_by(truncate(error, STATUS_ERROR_CHARS), F.when(failed, col(ts))).alias("last_error"),
+        F.max_by(col(status), order).alias("last_status"),
+        F.max_by(truncate(error, STATUS_ERROR_CHARS), F.when(failed, order)).alias("last_error"),
     )
     if registered is None:
         return stats
@@ -63,12 +66,14 @@ def latest_failure(
     error: str = "error_message",
     failed_value: str = "FAILED",
     chars: int = STATUS_ERROR_CHARS,
+    tie: str | None = None,
 ) -> DataFrame:
-    """Per key with at least one failure: time and (truncated) error of the latest failed run."""
+    """Per key with at least one failure: time and (truncated) error of the latest failed run.
+    ``tie`` orders failures of the same time."""
     fails = runs.where(_failed(status, failed_value))
     return fails.groupBy(col(key)).agg(
         F.max(col(ts)).alias("last_failure_at"),
-        F.max_by(truncate(error, chars), col(ts)).alias("last_error"),
+        F.max_by(truncate(error, chars), F.struct(col(ts), col(tie)) if tie else col(ts)).alias("last_error"),
     )
 
 

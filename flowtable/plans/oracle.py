@@ -10,11 +10,44 @@ FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 0
 """
 
 _CLEAN_EVENTS = """
-SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, lower(trim(event_type)) AS event_type
+SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, lower(event_type) AS event_type
 FROM events
-WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND ts IS NOT NULL AND user_id > 0
+WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 AND ts IS NOT NULL AND user_id > 0
 """
 
+_SEGMENT_YEARS = """
+SELECT c_mktsegment AS segment, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n_orders, max(o_totalprice) AS top_price
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
+"""
+
+_USER_DAYS = """
+SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_events, count(DISTINCT event_type) AS n_types,
+       max(value) AS top_value
+FROM events GROUP BY user_id, CAST(ts AS DATE)
+"""
+
+# events as a run log: times cut to the day, so that event_id breaks ties
+_RUNS = """(
+  SELECT user_id, event_id, event_type, date_trunc('day', ts) AS day,
+         row_number() OVER (PARTITION BY user_id ORDER BY date_trunc('day', ts) DESC, event_id DESC) AS rn,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY date_trunc('day', ts) DESC, event_id DESC) AS rn_type,
+         props || ' ' || repeat('trace ', CAST(event_id % 120 AS INTEGER)) AS props
+  FROM events)"""
+
+_HEALTH = f"""
+SELECT user_id,
+       count(*) AS total_runs,
+       count(*) FILTER (WHERE event_type = 'error') AS failures,
+       CAST(max(day) AS TIMESTAMP) AS last_run_at,
+       max(event_type) FILTER (WHERE rn = 1) AS last_status,
+       max(substring(props, 1, 120)) FILTER (WHERE event_type = 'error' AND rn_type = 1) AS last_error
+FROM {_RUNS} GROUP BY user_id"""
+
+# a column's type as the loads name it
+_TYPE = """CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int'
+       ELSE lower(data_type) END"""
+_ORDERS_COLUMNS = f"(SELECT column_name, {_TYPE} AS t, column_index FROM duckdb_columns() WHERE table_name = 'orders')"
+
 _TWO_RUNS = f"""
 SELECT 'SUCCESS' AS status, count(*) AS rows_extracted, count(*) AS rows_loaded, max(ts) AS high_water_mark
 FROM events WHERE ts <= {_SPLIT}
@@ -37,13 +70,18 @@ _DQ_REPORT = " UNION ALL ".join(
         _report_row("acctbal_positive", "c_acctbal", "greater_than", "customer",
                     "count(*) FILTER (WHERE c_acctbal <= 0)", " value(s) not greater than 0"),
         _report_row("custkey_present", "c_custkey", "not_null", "customer",
-                    "count(*) FILTER (WHERE c_custkey IS NULL)", " null value(s)"),
+                    "count(*) FILTER (WHERE c_custkey % 9 = 0)", " null value(s)"),
+        _report_row("balance_text_positive", "balance_text", "greater_than", "customer",
+                    "count(*) FILTER (WHERE c_custkey % 4 <> 0 AND c_acctbal <= 0)", " value(s) not greater than 0"),
+        """
+SELECT 'column_gone' AS check_name, 'no_such_column' AS column_name, 'not_null' AS rule, CAST(NULL AS BIGINT) AS violations,
+       count(*) < 0 AS passed, 'column_gone: column ''no_such_column'' not found in data' AS message
+FROM customer""",
         _report_row("orderkey_unique", "l_orderkey", "unique", "lineitem",
                     "count(*) - count(DISTINCT l_orderkey) - coalesce(max(CASE WHEN l_orderkey IS NULL THEN 1 ELSE 0 END), 0)",
                     " duplicate value(s)"),
         _report_row("event_type_is_time", "event_type", "timestamp_format", "events",
-                    "count(*) FILTER (WHERE event_type IS NOT NULL AND try_cast(event_type AS TIMESTAMP) IS NULL)",
-                    " invalid timestamp(s)"),
+                    "count(*) FILTER (WHERE event_id % 3 = 1)", " invalid timestamp(s)"),
     ]
 )
 
@@ -59,11 +97,17 @@ FROM customer"""
 
 _ALERT = (
     "'*Pipeline Failed* ✗' || chr(10) || '*Pipeline:* `' || CAST(user_id AS VARCHAR) || '`' || chr(10) "
-    "|| '*Run ID:* `' || CAST(event_id AS VARCHAR) || '`' || chr(10) || '*Error:* ' || coalesce(substring(props, 1, 500), '')"
+    "|| '*Run ID:* `' || CAST(event_id AS VARCHAR) || '`' || chr(10) || '*Error:* ' || coalesce(substring(props || ' ' || repeat('trace ', CAST(event_id % 120 AS INTEGER)), 1, 500), '')"
 )
 
 _VERSION_CUT = "TIMESTAMP '1996-01-01 00:00:00'"
-_HASH = "substring(sha256(concat_ws('|', o_orderstatus, o_orderpriority)), 1, 16)"
+# orders whose tracked values are partly missing or hold separators and quotes, and their hash
+_VERSIONED = """(
+  SELECT o_custkey, o_orderkey, o_orderdate,
+         CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS o_orderstatus,
+         CASE WHEN o_orderkey % 5 = 0 THEN 'a|b "c" \\ d' WHEN o_orderkey % 5 <> 1 THEN o_orderpriority END AS o_orderpriority
+  FROM orders)"""
+_HASH = "substring(sha256(CAST(to_json({'o_orderpriority': o_orderpriority, 'o_orderstatus': o_orderstatus}) AS VARCHAR)), 1, 16)"
 
 _RUN_ALL = """
 SELECT 'customer_feed' AS pipeline_name, 'warehouse-team' AS owner, 'append' AS load_mode, 'SUCCESS' AS status,
@@ -91,17 +135,11 @@ ORACLE: dict[str, str] = {
 SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
 ) WHERE rn = 1""",
-    "run_health_summary": """
-SELECT user_id,
-       count(*) AS total_runs,
-       count(*) FILTER (WHERE event_type = 'error') AS failures,
-       max(ts) AS last_run_at,
-       arg_max(event_type, ts) AS last_status,
-       arg_max(substring(props, 1, 120), ts) FILTER (WHERE event_type = 'error') AS last_error
-FROM events GROUP BY user_id""",
-    "latest_failure": """
-SELECT user_id, max(ts) AS last_failure_at, arg_max(substring(props, 1, 120), ts) AS last_error
-FROM events WHERE event_type = 'error' GROUP BY user_id""",
+    "run_health_summary": _HEALTH,
+    "latest_failure": f"""
+SELECT user_id, CAST(max(day) AS TIMESTAMP) AS last_failure_at,
+       max(substring(props, 1, 120)) FILTER (WHERE rn_type = 1) AS last_error
+FROM {_RUNS} WHERE event_type = 'error' GROUP BY user_id""",
     "key_conflicts": """
 SELECT l_partkey, count(DISTINCT l_suppkey) AS n_owners, min(l_suppkey) AS first_owner
 FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL
@@ -109,43 +147,51 @@ GROUP BY l_partkey HAVING count(DISTINCT l_suppkey) > 1""",
     "duplicate_keys": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-    "version_changes": """
-WITH h AS (
-  SELECT o_custkey, o_orderkey, o_orderdate,
-         substring(sha256(concat_ws('|', o_orderstatus, o_orderpriority)), 1, 16) AS version_hash
-  FROM orders),
+    "version_changes": f"""
+WITH h AS (SELECT o_custkey, o_orderkey, o_orderdate, {_HASH} AS version_hash FROM {_VERSIONED}),
 l AS (
   SELECT *, lag(version_hash) OVER w AS previous_hash, row_number() OVER w AS rn
   FROM h WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))
 SELECT o_custkey, o_orderkey, o_orderdate, version_hash, previous_hash
 FROM l WHERE rn = 1 OR version_hash IS DISTINCT FROM previous_hash""",
     "failure_alerts": f"SELECT event_id, user_id, {_ALERT} AS message FROM events WHERE event_type = 'error'",
-    "health_by_customer": """
+    "health_by_customer": f"""
 SELECT c.c_custkey AS user_id, c.c_name,
        coalesce(e.total_runs, 0) AS total_runs, coalesce(e.failures, 0) AS failures,
        e.last_run_at, e.last_status, e.last_error
-FROM customer c LEFT JOIN (
-  SELECT user_id, count(*) AS total_runs, count(*) FILTER (WHERE event_type = 'error') AS failures,
-         max(ts) AS last_run_at, arg_max(event_type, ts) AS last_status,
-         arg_max(substring(props, 1, 120), ts) FILTER (WHERE event_type = 'error') AS last_error
-  FROM events GROUP BY user_id
-) e ON c.c_custkey = e.user_id""",
+FROM customer c LEFT JOIN ({_HEALTH}) e ON c.c_custkey = e.user_id""",
     "track_versions": f"""
 WITH last AS (
   SELECT o_custkey, version_hash AS last_hash FROM (
     SELECT o_custkey, {_HASH} AS version_hash,
            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-    FROM orders WHERE o_orderdate < {_VERSION_CUT}) WHERE rn = 1),
+    FROM {_VERSIONED} WHERE o_orderdate < {_VERSION_CUT}) WHERE rn = 1),
 inc AS (
-  SELECT o_custkey, o_orderstatus, o_orderpriority FROM (
+  SELECT o_custkey, o_orderstatus, o_orderpriority, {_HASH} AS version_hash FROM (
     SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
-    FROM orders WHERE o_orderdate >= {_VERSION_CUT}) WHERE rn = 1)
-SELECT i.o_custkey, i.o_orderstatus, i.o_orderpriority, {_HASH.replace('o_orderstatus', 'i.o_orderstatus').replace('o_orderpriority', 'i.o_orderpriority')} AS version_hash
-FROM inc i LEFT JOIN last l ON i.o_custkey = l.o_custkey
-WHERE l.last_hash IS DISTINCT FROM {_HASH.replace('o_orderstatus', 'i.o_orderstatus').replace('o_orderpriority', 'i.o_orderpriority')}""",
+    FROM {_VERSIONED} WHERE o_orderdate >= {_VERSION_CUT}) WHERE rn = 1)
+SELECT inc.* FROM inc LEFT JOIN last ON inc.o_custkey = last.o_custkey
+WHERE last_hash IS DISTINCT FROM version_hash""",
     "run_all_loads": _RUN_ALL,
-    "csv_roundtrip": "SELECT * FROM orders",
-    "json_records": "SELECT * FROM customer",
+    "csv_roundtrip": """
+SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority || chr(10) || 'said "urgent", then left'
+                       WHEN o_orderkey % 5 > 2 THEN o_orderpriority END AS o_orderpriority) FROM orders""",
+    "json_records": "SELECT * REPLACE (CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS c_mktsegment) FROM customer",
+    "stream_split_backlog": "SELECT * FROM events",
+    "drift_blocked_load": """
+SELECT 'SUCCESS' AS status, count(*) AS rows_extracted, count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_without_key,
+       CAST(NULL AS VARCHAR) AS error_message FROM orders
+UNION ALL
+SELECT 'FAILED', count(*), 0, 0, 'Schema drift detected:' FROM orders""",
+    "forced_load": """
+SELECT *, (SELECT count(*) FROM orders WHERE o_orderkey % 8 = 0) AS rows_without_key FROM (
+  SELECT * FROM orders WHERE o_orderkey % 8 <> 0
+  UNION ALL
+  SELECT * REPLACE (o_orderkey + 10000000 AS o_orderkey, NULL AS o_orderpriority) FROM orders)""",
+    "upsert_partial_columns": """
+SELECT * REPLACE (CASE WHEN c_custkey % 2 = 0 THEN 'EVEN' ELSE c_mktsegment END AS c_mktsegment) FROM customer
+UNION ALL
+SELECT c_custkey + 1000000, NULL, NULL, NULL, 'NEW' FROM customer""",
     "append_twice": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
     "by_name_load": """
 SELECT * FROM customer
@@ -162,21 +208,14 @@ FROM customer c LEFT JOIN (
     SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders
   ) WHERE rn = 1
 ) l ON c.c_custkey = l.o_custkey""",
-    "schema_report": """
-SELECT * FROM (VALUES
-  ('o_orderkey', 'bigint', 1),
-  ('o_custkey', 'bigint', 2),
-  ('o_orderstatus', 'string', 3),
-  ('o_totalprice', 'double', 4),
-  ('o_orderdate', 'timestamp_ntz', 5),
-  ('o_orderpriority', 'string', 6)
-) AS t(column_name, column_type, ordinal)""",
-    "schema_drift": """
-SELECT * FROM (VALUES
-  ('o_custkey', 'type_changed', 'bigint', 'string'),
-  ('o_orderpriority', 'removed', 'string', NULL),
-  ('o_region', 'added', NULL, 'string')
-) AS t(column_name, change, stored_type, incoming_type)""",
+    "schema_report": f"SELECT column_name, t AS column_type, column_index AS ordinal FROM {_ORDERS_COLUMNS}",
+    "schema_drift": f"""
+SELECT 'o_custkey' AS column_name, 'type_changed' AS change, t AS stored_type, 'string' AS incoming_type
+FROM {_ORDERS_COLUMNS} WHERE column_name = 'o_custkey'
+UNION ALL
+SELECT column_name, 'removed', t, NULL FROM {_ORDERS_COLUMNS} WHERE column_name = 'o_orderpriority'
+UNION ALL
+SELECT 'o_urgency', 'added', NULL, t FROM {_ORDERS_COLUMNS} WHERE column_name = 'o_orderpriority'""",
     "dq_min_rows": _min_rows("min_5", 5) + " UNION ALL " + _min_rows("min_10000", 10000),
     "param_lookup": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
@@ -192,9 +231,9 @@ UNION ALL
 SELECT r_name, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE) FROM region""",
     "incremental_two_runs": _TWO_RUNS,
     "overwrite_twice": "SELECT * FROM customer",
-    "sql_transform": _CLEAN_ORDERS,
+    "sql_transform": _SEGMENT_YEARS,
     "lineitem_load": "SELECT * FROM lineitem",
     "load_partitions": "SELECT * FROM events",
     "stream_available_now": _TWO_RUNS,
-    "end_to_end_load": _CLEAN_EVENTS,
+    "end_to_end_load": _USER_DAYS,
 }

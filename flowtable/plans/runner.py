@@ -1,16 +1,19 @@
 """One table load end to end, and many loads in name order.
 
     probe (last version, mark, stored schema vs incoming: one query)
-    -> key > mark -> [quality checks: staged write measuring rows, mark and rule
-    violations in the same pass -> quality gate] -> drift gate -> publish -> SQL transform
-    -> one journal append with every state event of the load
-
-The source is read exactly once.  With quality rules the staged parquet is the frozen
-increment that the gate judges and that gets published (zero-copy for an overwrite); only a
-``unique`` rule reads the stage again, column-pruned, because an observation cannot hold
-DISTINCT.  Without rules the data is written straight to the table, still measured while
-written.  The drift gate needs only schemas, so a drifted source fails before it is read.
-Failures are caught, recorded as FAILED and returned, never raised.
+    -> drift gate -> key > mark -> one write that measures rows, mark and rule violations
+    -> quality gate -> publish -> SQL transform -> one journal append with every state event
+
+The source is read and written once.  An append is published as a partition named by the run id
+and an overwrite by pointing the table at what was written, so nothing is copied and a run that is
+repeated with its id after a crash finds its rows published and only completes its state.  Every
+attempt writes to a folder of its own.  Only a ``unique`` rule reads the written files again,
+column-pruned, because an observation cannot hold DISTINCT.
+
+A drifted load writes nothing: its rules are measured by an aggregate, so that quality failures are
+still reported first, and then the drift is.  Rows with a NULL incremental key are never loaded; they
+are counted in the result and the run log.  Failures are caught, recorded as FAILED and returned,
+never raised.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,13 +33,21 @@ from flowtable.operators.incremental import incremental_filter, mark_text, requi
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
 from flowtable.operators.runlog import format_alert
 from flowtable.operators.schema import drift_error_text
-from flowtable.operators.sinks import Warehouse, align_by_name, nullable, observed
+from flowtable.operators.sinks import Warehouse, align_by_name, nullable, observed, observed_rows
 from flowtable.operators.transform import run_sql_transform
 from flowtable.plans.spec import LoadSpec
 from flowtable.plans.state import RunState
 from flowtable.sources.files import read_csv, read_source
 
 
+@dataclass(frozen=True)
+class PinnedMark:
+    """The mark that all micro-batches of one streaming call compare with; the stored mark stays
+    put until the call ends (each batch's mark is recorded as held)."""
+
+    value: str | None
+
+
 def _load_measures(df: DataFrame, key: str | None, mark: str | None) -> dict:
     """Row count and the new mark (``greatest(max(key), old mark)``: it never moves backwards)."""
     measures = {"_rows": F.count(F.lit(1))}
@@ -47,21 +59,39 @@ def _load_measures(df: DataFrame, key: str | None, mark: str | None) -> dict:
     return measures
 
 
-def stage_and_measure(
-    spark: SparkSession, df: DataFrame, spec: LoadSpec, stage: str, mark: str | None = None
+def _aggregate(df: DataFrame, measures: dict) -> dict:
+    return df.agg(*[e.alias(k) for k, e in measures.items()]).first().asDict()
+
+
+def _distinct_metrics(df: DataFrame, checks) -> dict:
+    _, distinct = check_metrics(df, checks)
+    return _aggregate(df, distinct) if distinct else {}
+
+
+def measure(df: DataFrame, spec: LoadSpec, mark: str | None) -> dict:
+    """The metrics of a load by aggregates over ``df``."""
+    checks = spec.quality.checks if spec.quality.enabled else []
+    plain, _ = check_metrics(df, checks)
+    return _aggregate(df, {**_load_measures(df, spec.source.incremental_key, mark), **plain}) | _distinct_metrics(df, checks)
+
+
+def write_and_measure(
+    spark: SparkSession, df: DataFrame, spec: LoadSpec, path: str, mark: str | None, write: Callable[[DataFrame, str], None]
 ) -> tuple[DataFrame, dict]:
-    """Write the increment to ``stage`` while measuring it; returns (staged frame, metrics)."""
+    """``write(df, path)`` while measuring the rows; returns (what was written, metrics).
+
+    Metrics that do not arrive are taken from the written files.
+    """
     checks = spec.quality.checks if spec.quality.enabled else []
     plain, _ = check_metrics(df, checks)
     measures = {**_load_measures(df, spec.source.incremental_key, mark), **plain}
     obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, *[e.alias(k) for k, e in measures.items()]).write.mode("errorifexists").parquet(stage)
-    metrics = {k: None for k in measures} | {"_rows": 0} | {k: 0 for k in plain} | observed(obs)
-    staged = spark.read.parquet(stage)
-    _, distinct = check_metrics(staged, checks)
-    if distinct:
-        metrics.update(staged.agg(*[e.alias(k) for k, e in distinct.items()]).first().asDict())
-    return staged, metrics
+    write(df.observe(obs, *[e.alias(k) for k, e in measures.items()]), path)
+    written = spark.read.schema(nullable(df.schema)).parquet(path)
+    metrics = observed(obs)
+    if metrics is None:
+        return written, measure(written, spec, mark)
+    return written, metrics | _distinct_metrics(written, checks)
 
 
 def _read_for_load(spark: SparkSession, spec: LoadSpec, state: RunState) -> tuple[DataFrame, bool]:
@@ -95,48 +125,85 @@ def _write_increment(
     warehouse: Warehouse,
     df: DataFrame,
     probe,
+    mark: str | None,
     force: bool,
-    write_id: str,
-    load_id: str,
+    run_id: str,
     counts: dict,
 ) -> dict:
     """Filter, gate and publish one increment; fills ``counts`` as it goes; returns metrics."""
     table = spec.destination.physical
     key = spec.source.incremental_key
     checks = spec.quality.checks if spec.quality.enabled else []
+    nulls = None
     if key:
-        df = incremental_filter(df, key, probe.mark, spec.source.partition_column)
-    drift_error = SchemaDriftError(drift_error_text(probe.drift)) if probe.drift and not force else None
+        nulls = Observation(f"nulls_{uuid.uuid4().hex[:8]}")
+        df = incremental_filter(df, key, mark, spec.source.partition_column, with_null_keys=True)
+        unkeyed = df.where(col(key).isNull())
+        df = df.observe(nulls, F.count_if(col(key).isNull()).alias("rows")).where(col(key).isNotNull())
 
-    if spec.destination.load_partitions:
-        # the increment is written once, to its own folder, and published as a partition
-        path = warehouse.load_path(table, write_id)
-        staged, metrics = stage_and_measure(spark, df, spec, path, probe.mark)
+    def gate(metrics: dict) -> dict:
         counts["extracted"] = int(metrics["_rows"])
-        raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
-        if drift_error:
-            raise drift_error
-        if counts["extracted"] > 0:
-            warehouse.publish_load(table, load_id, path, staged.schema)
+        if nulls is not None:
+            counts["null_keys"] = observed_rows(nulls, lambda: unkeyed)
+        raise_on_failures(failures_from_metrics(checks, metrics, df.columns))
+        return metrics
+
+    if probe.drift and not force:
+        if checks:
+            gate(measure(df, spec, mark))
+        raise SchemaDriftError(drift_error_text(probe.drift))
+
+    exists = warehouse.exists(table)
+    if spec.load_mode == "overwrite":
+        if exists and warehouse.is_load_table(table):
+            raise ValueError(f"{table} is load-partitioned: it takes appends only (each load is a partition)")
+        target = warehouse.schema(table) if exists else nullable(df.schema)
+        bucketing = warehouse.bucketing(table) if exists else None
+        aligned = align_by_name(df, target).columns  # fails before anything is written
+        path = warehouse.snapshot_path(table)
+        _, metrics = write_and_measure(
+            spark, df, spec, path, mark,
+            lambda rows, to: warehouse.write_snapshot(align_by_name(rows, target).select(*[col(c) for c in aligned]), to, bucketing))
+        gate(metrics)
+        if key and counts["extracted"] == 0:
+            warehouse.ensure_table(table, target)  # nothing new: keep the current snapshot
         else:
-            warehouse.ensure_load_table(table, staged.schema)
+            warehouse.adopt(table, path, target, bucketing)
         counts["loaded"] = counts["extracted"]
-    elif checks:
-        stage = warehouse.stage_path(table, write_id)
-        staged, metrics = stage_and_measure(spark, df, spec, stage, probe.mark)
-        counts["extracted"] = int(metrics["_rows"])
-        raise_on_failures(failures_from_metrics(checks, metrics, staged.columns))
-        if drift_error:
-            raise drift_error
-        counts["loaded"] = _publish(warehouse, table, spec, staged, stage, counts["extracted"])
+        return metrics
+
+    if not spec.destination.load_partitions or (exists and not warehouse.is_load_table(table)):
+        # a plain table: the stage is gated and then its files' rows are appended
+        stage = warehouse.stage_path(table, run_id)
+        staged, metrics = write_and_measure(spark, df, spec, stage, mark, _write_files)
+        gate(metrics)
+        if counts["extracted"] == 0:
+            warehouse.ensure_table(table, df.schema)
+        else:
+            warehouse.append(table, staged)
+        counts["loaded"] = counts["extracted"]
+        return metrics
+
+    if warehouse.has_load(table, run_id):  # published by an attempt that was lost before its state was written
+        metrics = measure(warehouse.read_load(table, run_id), spec, mark)
+        counts["extracted"], counts["null_keys"] = int(metrics["_rows"]), unkeyed.count() if key else 0
+        counts["loaded"] = counts["extracted"]
+        return metrics
+    path = warehouse.load_path(table, run_id)
+    written, metrics = write_and_measure(spark, df, spec, path, mark, _write_files)
+    gate(metrics)
+    if counts["extracted"] > 0:
+        warehouse.publish_load(table, run_id, path, written.schema)
     else:
-        if drift_error:  # schema-only gate: fails before any data is read
-            raise drift_error
-        counts["loaded"], metrics = _publish_direct(warehouse, table, spec, df, probe.mark)
-        counts["extracted"] = counts["loaded"]
+        warehouse.ensure_load_table(table, written.schema)
+    counts["loaded"] = counts["extracted"]
     return metrics
 
 
+def _write_files(df: DataFrame, path: str) -> None:
+    df.write.mode("errorifexists").parquet(path)
+
+
 def run_load(
     spark: SparkSession,
     spec: LoadSpec,
@@ -146,109 +213,81 @@ def run_load(
     state: RunState | None = None,
     on_failure: Callable[[str], None] | None = None,
     run_id: str | None = None,
+    pinned: PinnedMark | None = None,
 ) -> dict:
-    """Run one load.  ``source`` overrides reading ``spec.source`` (e.g. a frame from a stream).
+    """Run one load.  ``source`` overrides reading ``spec.source`` (e.g. a frame from a stream);
+    ``pinned`` overrides the stored mark and leaves it as it is.
 
     Never raises for a failed load: the failure is recorded and returned.  All state events of
-    the load are appended in one write at the end.
+    the load are appended in one write at the end; if that write fails, the load is reported as
+    failed and can be repeated with its ``run_id``.
     """
-    state = state or RunState(warehouse)
     run_id = run_id or str(uuid.uuid4())
     start = time.time()
-    counts = {"extracted": 0, "loaded": 0}
+    counts = {"extracted": 0, "loaded": 0, "null_keys": 0}
+    try:
+        state = state or RunState(warehouse)
+        with state.deferred():
+            return _run_load(spark, spec, warehouse, force, source, state, on_failure, run_id, pinned, start, counts)
+    except Exception as exc:  # noqa: BLE001 - the state could not be written
+        return _result("failed", counts, round(time.time() - start, 2), f"run state not recorded: {exc}", run_id)
+
+
+def _run_load(spark, spec, warehouse, force, source, state, on_failure, run_id, pinned, start, counts) -> dict:
     key = spec.source.incremental_key
     versioned = False
-    with state.deferred():
-        state.register(spec)
+    state.register(spec)
+    try:
+        df, typed = (source, False) if source is not None else _read_for_load(spark, spec, state)
+        if key:
+            require_key(df, key)
+        probe = state.probe(spec, df.schema)  # version, mark and schema comparison: one query
+        mark = pinned.value if pinned else probe.mark
+        state.record_version(spec, probe.version_hash)
+        versioned = True
         try:
-            df, pinned = (source, False) if source is not None else _read_for_load(spark, spec, state)
+            metrics = _write_increment(spark, spec, warehouse, df, probe, mark, force, run_id, counts)
+        except Exception as exc:  # noqa: BLE001
+            if not (typed and _malformed(exc)):
+                raise
+            # a value no longer fits its stored type: infer the types, then gate on drift as usual
+            df = read_source(spark, spec.source)
             if key:
                 require_key(df, key)
-            probe = state.probe(spec, df.schema)  # version, mark and schema comparison: one query
-            state.record_version(spec, probe.version_hash)
-            versioned = True
+            probe = state.probe(spec, df.schema)
+            metrics = _write_increment(spark, spec, warehouse, df, probe, mark, force, run_id, counts)
+
+        if probe.drift or not probe.stored_before:  # the snapshot changes only with the column set
+            state.store_schema(spec.name, df.schema)
+        if key and metrics.get("_mark") is not None:
+            (state.hold_mark if pinned else state.set_mark)(spec.name, key, metrics["_mark"], run_id)
+
+        if spec.transform and spec.transform.sql:
+            run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
+
+        duration = round(time.time() - start, 2)
+        state.log_run(run_id, spec.name, "SUCCESS", counts["extracted"], counts["loaded"], duration, None, counts["null_keys"])
+        return _result("success", counts, duration, None, run_id)
+    except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
+        duration = round(time.time() - start, 2)
+        if not versioned:  # the spec version is recorded even when the source could not be read
+            state.track_version(spec)
+        state.log_run(run_id, spec.name, "FAILED", counts["extracted"], counts["loaded"], duration, str(exc), counts["null_keys"])
+        if on_failure is not None and spec.notify_on_failure:
             try:
-                metrics = _write_increment(spark, spec, warehouse, df, probe, force, run_id, run_id, counts)
-            except Exception as exc:  # noqa: BLE001
-                if not (pinned and _malformed(exc)):
-                    raise
-                # a value no longer fits its stored type: infer the types, then gate on drift as usual
-                df = read_source(spark, spec.source)
-                if key:
-                    require_key(df, key)
-                probe = state.probe(spec, df.schema)
-                metrics = _write_increment(spark, spec, warehouse, df, probe, force, f"{run_id}-inferred", run_id, counts)
-
-            if probe.drift or not probe.stored_before:  # the snapshot changes only with the column set
-                state.store_schema(spec.name, df.schema)
-            if key and metrics.get("_mark") is not None:
-                state.set_mark(spec.name, key, metrics["_mark"], run_id)
-
-            if spec.transform and spec.transform.sql:
-                run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
-
-            duration = round(time.time() - start, 2)
-            state.log_run(run_id, spec.name, "SUCCESS", counts["extracted"], counts["loaded"], duration, None)
-            return _result("success", counts["extracted"], counts["loaded"], duration, None, run_id)
-        except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
-            duration = round(time.time() - start, 2)
-            if not versioned:  # the spec version is recorded even when the source could not be read
-                state.track_version(spec)
-            state.log_run(run_id, spec.name, "FAILED", counts["extracted"], counts["loaded"], duration, str(exc))
-            if on_failure is not None and spec.notify_on_failure:
-                try:
-                    on_failure(format_alert(spec.name, run_id, str(exc)))
-                except Exception:  # noqa: BLE001 - delivery problems never hide the load error
-                    pass
-            return _result("failed", counts["extracted"], counts["loaded"], duration, str(exc), run_id)
-
-
-def _publish(warehouse: Warehouse, table: str, spec: LoadSpec, staged: DataFrame, stage: str, rows: int) -> int:
-    """Publish a staged increment (zero-copy for an overwrite whose schema matches)."""
-    if spec.load_mode == "overwrite":
-        if spec.source.incremental_key and rows == 0:
-            warehouse.ensure_table(table, staged.schema)
-            return 0  # nothing new: keep the current snapshot instead of emptying the table
-        if not warehouse.exists(table) or (
-            warehouse.schema(table) == nullable(staged.schema) and warehouse.bucketing(table) is None
-        ):
-            warehouse.adopt(table, stage, staged.schema)  # the stage becomes the snapshot
-            return rows
-        return warehouse.overwrite(table, staged)
-    if rows == 0:
-        warehouse.ensure_table(table, staged.schema)
-        return 0
-    return warehouse.append(table, staged)
-
-
-def _publish_direct(warehouse: Warehouse, table: str, spec: LoadSpec, df: DataFrame, mark: str | None) -> tuple[int, dict]:
-    """No gate needs the data: write it straight to the table, measuring while writing."""
-    obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
-    measured = df.observe(obs, *[e.alias(k) for k, e in _load_measures(df, spec.source.incremental_key, mark).items()])
-    if spec.load_mode == "overwrite":
-        exists = warehouse.exists(table)
-        target = warehouse.schema(table) if exists else nullable(df.schema)
-        bucketing = warehouse.bucketing(table) if exists else None
-        path = warehouse.snapshot_path(table)
-        warehouse._write_snapshot(align_by_name(measured, target), path, bucketing)
-        metrics = {"_rows": 0, "_mark": None} | observed(obs)
-        if spec.source.incremental_key and int(metrics["_rows"]) == 0:
-            warehouse.ensure_table(table, target)
-            return 0, metrics  # keep the current snapshot
-        warehouse.adopt(table, path, target, bucketing)
-        return int(metrics["_rows"]), metrics
-    warehouse.ensure_table(table, df.schema)
-    align_by_name(measured, warehouse.schema(table)).write.mode("append").insertInto(warehouse.qualified(table))
-    metrics = {"_rows": 0, "_mark": None} | observed(obs)
-    return int(metrics["_rows"]), metrics
-
-
-def _result(status, extracted, loaded, duration, error, run_id) -> dict:
+                on_failure(format_alert(spec.name, run_id, str(exc)))
+            except Exception:  # noqa: BLE001 - delivery problems never hide the load error
+                pass
+        return _result("failed", counts, duration, str(exc), run_id)
+
+
+def _result(status: str, counts: dict, duration: float, error: str | None, run_id: str) -> dict:
     return {
         "status": status,
         "run_id": run_id,
-        "rows_extracted": extracted,
-        "rows_loaded": loaded,
+        "rows_extracted": counts["extracted"],
+        "rows_loaded": counts["loaded"],
+        "rows_without_key": counts["null_keys"],
         "execution_time_seconds": duration,
         "error_message": error,
     }

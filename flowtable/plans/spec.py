@@ -30,8 +30,8 @@ class SourceSpec:
 class DestinationSpec:
     schema: str
     table: str
-    # partition the table by load: each append is published as its own partition, no copy
-    load_partitions: bool = False
+    # an append load is published as a partition of its own: written once, and once for each run id
+    load_partitions: bool = True
 
     @property
     def physical(self) -> str:
@@ -66,8 +66,6 @@ class LoadSpec:
     def __post_init__(self) -> None:
         if self.load_mode not in LOAD_MODES:
             raise ValueError(f"load_mode must be one of {LOAD_MODES}, got {self.load_mode!r}")
-        if self.destination.load_partitions and self.load_mode != "append":
-            raise ValueError("load_partitions destinations only take append loads")
 
     def tracked_fields(self) -> dict[str, Any]:
         """Fields whose change makes a new recorded version of the spec.
@@ -89,7 +87,10 @@ class LoadSpec:
 
     @classmethod
     def from_dict(cls, d: dict[str, Any]) -> "LoadSpec":
-        """Build from an already-parsed mapping (e.g. a YAML document loaded by the caller)."""
+        """Build from an already-parsed mapping (e.g. a YAML document loaded by the caller).
+
+        Fixed values: the document's key names, so that existing documents keep working.
+        """
         src = d["source"]
         qc = d.get("quality_checks") or {}
         tr = d.get("transform") or {}
@@ -105,7 +106,7 @@ class LoadSpec:
                 options=src.get("options") or {},
             ),
             destination=DestinationSpec(
-                d["destination"]["schema"], d["destination"]["table"], bool(d["destination"].get("load_partitions", False))
+                d["destination"]["schema"], d["destination"]["table"], bool(d["destination"].get("load_partitions", True))
             ),
             load_mode=d.get("load_mode", "append"),
             schedule=(d.get("schedule") or {}).get("cron"),

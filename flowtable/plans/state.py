@@ -64,6 +64,7 @@ _FIELDS = [
     ("rows_loaded", L),
     ("execution_time_seconds", DoubleType()),
     ("error_message", S),
+    ("rows_without_key", L),
     # mark
     ("incremental_key", S),
     ("max_value", S),
@@ -79,8 +80,9 @@ _FIELDS = [
 JOURNAL = StructType([StructField(n, t) for n, t in _FIELDS])
 _INDEX = {n: i for i, (n, _) in enumerate(_FIELDS)}
 
+# Column names and order of the run log and the registry, which users' reports read.
 RUN_COLUMNS = ["run_id", "pipeline_name", "run_timestamp", "status", "rows_extracted", "rows_loaded",
-               "execution_time_seconds", "error_message"]
+               "execution_time_seconds", "error_message", "rows_without_key"]
 REGISTRY_FIELDS = ["owner", "source_type", "source_identifier", "destination_schema", "destination_table",
                    "schedule", "load_mode", "is_active"]
 
@@ -170,11 +172,12 @@ class RunState:
         return [JOURNAL_TABLE]
 
     # -- run log
-    def log_run(self, run_id, pipeline_name, status, rows_extracted, rows_loaded, execution_time_seconds, error_message) -> None:
+    def log_run(self, run_id, pipeline_name, status, rows_extracted, rows_loaded, execution_time_seconds, error_message,
+                rows_without_key=0) -> None:
         """Record one finished load; an absent error is stored as NULL."""
         self._add([_event("run", pipeline_name, run_id=run_id, status=status, rows_extracted=int(rows_extracted),
                           rows_loaded=int(rows_loaded), execution_time_seconds=float(execution_time_seconds),
-                          error_message=error_message)])
+                          error_message=error_message, rows_without_key=int(rows_without_key))])
 
     def runs(self) -> DataFrame:
         return self._kind("run").withColumnRenamed("at", "run_timestamp").select(*RUN_COLUMNS)
@@ -208,7 +211,8 @@ class RunState:
 
     def health(self) -> DataFrame:
         """Health summary: every registered name joined with its run statistics."""
-        report = run_health(self.runs(), registered=self.pipelines())
+        runs = self._kind("run").withColumnRenamed("at", "run_timestamp")
+        report = run_health(runs, registered=self.pipelines(), tie="seq")
         return (
             report.withColumn("status", F.coalesce(F.col("last_status"), F.lit(NEVER_RUN)))
             .withColumn("indicator", status_symbol("last_status"))
@@ -256,6 +260,19 @@ class RunState:
     def set_mark(self, pipeline_name: str, key: str, value: str, run_id: str | None = None) -> None:
         self._add([_event("mark", pipeline_name, incremental_key=key, max_value=value, run_id=run_id)])
 
+    def hold_mark(self, pipeline_name: str, key: str, value: str, run_id: str | None = None) -> None:
+        """Record the mark a micro-batch reached without making it the stored mark yet."""
+        self._add([_event("held_mark", pipeline_name, incremental_key=key, max_value=value, run_id=run_id)])
+
+    def release_marks(self, pipeline_name: str, key: str, dtype) -> None:
+        """Advance the stored mark to the greatest held one, also of earlier calls that were cut off."""
+        held = self.journal().where(F.col("kind").isin("held_mark", "mark") & (F.col("pipeline_name") == F.lit(pipeline_name))
+                                    & (F.col("incremental_key") == F.lit(key)))
+        top = held.agg(F.max_by(F.struct("max_value", "run_id", "kind"),
+                                F.struct(F.col("max_value").cast(dtype), F.col("kind") == "mark", "at", "seq")).alias("m")).first()["m"]
+        if top is not None and top["kind"] == "held_mark":
+            self.set_mark(pipeline_name, key, top["max_value"], top["run_id"])
+
     def marks(self) -> DataFrame:
         return self._kind("mark").select("pipeline_name", "incremental_key", "max_value", F.col("at").alias("recorded_at"), "run_id")
 

@@ -26,7 +26,7 @@ from flowtable.plans.spec import DestinationSpec, LoadSpec, QualitySpec, SourceS
 from flowtable.plans.state import RunState
 from flowtable.session import scratch_path
 from flowtable.sources.catalog import as_relation, run_query
-from flowtable.sources.files import read_csv, read_json, write_json_array
+from flowtable.sources.files import read_csv, read_json, write_json_lines
 from flowtable.streaming.available_now import stream_load
 
 SPLIT = "2024-01-15 00:00:00"
@@ -53,8 +53,18 @@ def q_clean_orders(spark, sf):
     return kept.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
 
 
+def _untidy_events(spark, sf):
+    """All events with times as text, types in mixed case and padded, and some users missing or zero."""
+    return _t(spark, sf, "events").withColumns({
+        "ts": F.col("ts").cast("string"),
+        "event_type": F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("  "), F.upper("event_type"), F.lit(" "))).otherwise(
+            F.initcap("event_type")),
+        "user_id": F.when(F.col("event_id") % 11 == 0, None).when(F.col("event_id") % 13 == 0, 0).otherwise(F.col("user_id")),
+    })
+
+
 def q_clean_events(spark, sf):
-    return clean_events_op(_t(spark, sf, "events"), ts="ts", audit=False)
+    return clean_events_op(_untidy_events(spark, sf), ts="ts", audit=False)
 
 
 def q_incremental_filter(spark, sf):
@@ -71,14 +81,27 @@ DQ_CHECKS = {
     "customer": [
         Check("acctbal_positive", "c_acctbal", "greater_than"),
         Check("custkey_present", "c_custkey", "not_null"),
+        Check("balance_text_positive", "balance_text", "greater_than"),
+        Check("column_gone", "no_such_column", "not_null"),
     ],
     "lineitem": [Check("orderkey_unique", "l_orderkey", "unique")],
     "events": [Check("event_type_is_time", "event_type", "timestamp_format")],
 }
 
+def _dq_faults() -> dict:
+    """Faults put into whole tables, so that every rule has something to find and something to pass."""
+    key, event = F.col("c_custkey"), F.col("event_id") % 3
+    return {
+        "customer": {"balance_text": F.when(key % 4 == 0, "n/a").otherwise(F.col("c_acctbal").cast("string")),
+                     "c_custkey": F.when(key % 9 != 0, key)},
+        "lineitem": {},
+        "events": {"event_type": F.when(event == 0, F.col("ts").cast("string")).when(event == 1, F.col("event_type"))},
+    }
+
 
 def q_dq_report(spark, sf):
-    parts = [quality_report(_t(spark, sf, t), checks) for t, checks in DQ_CHECKS.items()]
+    faults = _dq_faults()
+    parts = [quality_report(_t(spark, sf, t).withColumns(faults[t]), checks) for t, checks in DQ_CHECKS.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -122,9 +145,29 @@ def q_update_by_key(spark, sf):
     return wh.read("customer_status")
 
 
+def _versioned_orders(spark, sf):
+    """All orders; tracked values are missing in some and hold separators and quotes in others."""
+    return _t(spark, sf, "orders").withColumns({
+        "o_orderstatus": F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderstatus")),
+        "o_orderpriority": F.when(F.col("o_orderkey") % 5 == 0, 'a|b "c" \\ d').when(
+            F.col("o_orderkey") % 5 != 1, F.col("o_orderpriority")),
+    })
+
+
+def q_upsert_partial_columns(spark, sf):
+    """``customer``, then an upsert that carries the key and the segment alone, for known and new keys."""
+    wh = Warehouse.scratch(spark, "partial")
+    customer = _t(spark, sf, "customer")
+    wh.upsert("customer", customer, ["c_custkey"])
+    updates = customer.where("c_custkey % 2 = 0").select("c_custkey", F.lit("EVEN").alias("c_mktsegment")).union(
+        customer.select(F.col("c_custkey") + 1_000_000, F.lit("NEW")))
+    wh.upsert("customer", updates, ["c_custkey"])
+    return wh.read("customer")
+
+
 def q_version_changes(spark, sf):
     changed = version_changes(
-        _t(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderstatus", "o_orderpriority"], sep="|", keep=[]
+        _versioned_orders(spark, sf), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderstatus", "o_orderpriority"], keep=[]
     )
     return changed.select("o_custkey", "o_orderkey", "o_orderdate", "version_hash", "previous_hash")
 
@@ -141,31 +184,37 @@ def q_key_conflicts(spark, sf):
 
 
 def _events_as_runs(spark, sf):
-    return _t(spark, sf, "events")
+    """Events as a run log: long error texts, and times cut to the day, so that a user's runs tie."""
+    return _t(spark, sf, "events").withColumns({
+        "props": F.concat("props", F.lit(" "), F.repeat(F.lit("trace "), (F.col("event_id") % 120).cast("int"))),
+        "ts": F.date_trunc("day", "ts").cast("timestamp_ntz"),
+    })
+
+
+_RUN_COLUMNS = {"key": "user_id", "status": "event_type", "ts": "ts", "error": "props", "failed_value": "error", "tie": "event_id"}
 
 
 def q_run_health_summary(spark, sf):
-    return run_health(_events_as_runs(spark, sf), key="user_id", status="event_type", ts="ts", error="props", failed_value="error")
+    return run_health(_events_as_runs(spark, sf), **_RUN_COLUMNS)
 
 
 def q_latest_failure(spark, sf):
-    return latest_failure(_events_as_runs(spark, sf), key="user_id", status="event_type", ts="ts", error="props", failed_value="error")
+    return latest_failure(_events_as_runs(spark, sf), **_RUN_COLUMNS)
 
 
 def q_health_by_customer(spark, sf):
     """Every customer (the registered keys) with the run statistics of its events; zero if none."""
     registered = _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_name")
-    return run_health(_events_as_runs(spark, sf), key="user_id", status="event_type", ts="ts", error="props",
-                      failed_value="error", registered=registered)
+    return run_health(_events_as_runs(spark, sf), **_RUN_COLUMNS, registered=registered)
 
 
 def q_track_versions(spark, sf):
     """Latest order per customer since 1996 versus the customer's version history before it."""
-    orders = _t(spark, sf, "orders")
+    orders = _versioned_orders(spark, sf)
     cut = F.lit(VERSION_CUT).cast("timestamp_ntz")
     history = orders.where(F.col("o_orderdate") < cut).select(
         "o_custkey",
-        fingerprint("o_orderstatus", "o_orderpriority", sep="|").alias("version_hash"),
+        fingerprint("o_orderstatus", "o_orderpriority").alias("version_hash"),
         F.col("o_orderdate").alias("recorded_at"),
         F.col("o_orderkey").alias("seq"),
     )
@@ -174,7 +223,7 @@ def q_track_versions(spark, sf):
         ["o_custkey"], ["o_orderdate", "o_orderkey"],
     ).select("o_custkey", "o_orderstatus", "o_orderpriority")
     return track_versions(history, incoming, ["o_custkey"], ["o_orderstatus", "o_orderpriority"],
-                          order_by=["recorded_at", "seq"], sep="|")
+                          order_by=["recorded_at", "seq"])
 
 
 def q_failure_alerts(spark, sf):
@@ -187,19 +236,23 @@ def q_failure_alerts(spark, sf):
 
 
 def q_csv_roundtrip(spark, sf):
-    """Write ``orders`` as CSV, read it back with type inference, cast to the source types."""
+    """Write ``orders`` as CSV with line breaks, quotes, empty and missing values in a text column, and read
+    it back with type inference."""
     path = scratch_path(spark, "orders_csv")
-    orders = _t(spark, sf, "orders")
-    orders.write.option("header", "true").csv(path)
+    orders = _t(spark, sf, "orders").withColumn("o_orderpriority", F.when(
+        F.col("o_orderkey") % 5 == 0, F.concat(F.col("o_orderpriority"), F.lit('\nsaid "urgent", then left'))).when(
+        F.col("o_orderkey") % 5 == 1, "NA").when(F.col("o_orderkey") % 5 == 2, "null").otherwise(F.col("o_orderpriority")))
+    orders.write.option("header", "true").option("escape", '"').csv(path)
     back = read_csv(spark, path)
     return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema.fields])
 
 
 def q_json_records(spark, sf):
+    """Land ``customer`` as JSON lines with missing segments and read it back."""
     path = scratch_path(spark, "customer_json")
-    customer = _t(spark, sf, "customer")
-    write_json_array(customer, path)
-    back = read_json(spark, path, array=True)
+    customer = _t(spark, sf, "customer").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")))
+    write_json_lines(customer, path)
+    back = read_json(spark, path)
     return back.select(
         F.col("c_custkey").cast("bigint").alias("c_custkey"),
         "c_name",
@@ -255,25 +308,46 @@ def q_schema_report(spark, sf):
     return state.stored_schema("orders_feed")
 
 
+def _reshaped_orders(spark, sf):
+    """Orders with the customer key as text and the priority under another name."""
+    return (_t(spark, sf, "orders").withColumn("o_custkey", F.col("o_custkey").cast("string"))
+            .withColumnRenamed("o_orderpriority", "o_urgency"))
+
+
 def q_schema_drift(spark, sf):
-    """Load ``orders``, then compare a reshaped feed (priority dropped, region added, customer
-    key as text) with the stored snapshot."""
+    """Load ``orders``, then compare a reshaped feed with the stored snapshot."""
     wh = Warehouse.scratch(spark, "drift")
     state = RunState(wh)
     _require(run_load(spark, _orders_spec(sf), wh, state=state))
+    return state.schema_drift("orders_feed", _reshaped_orders(spark, sf).schema)
+
+
+def _run_log(state: RunState) -> DataFrame:
+    return state.runs().select("status", "rows_extracted", "rows_loaded", "rows_without_key",
+                               F.substring_index("error_message", "\n", 1).alias("error_message"))
+
+
+def q_drift_blocked_load(spark, sf):
+    """``orders``, then a reshaped feed of later orders: the run log of both."""
+    wh = Warehouse.scratch(spark, "blocked")
+    state = RunState(wh)
+    _require(run_load(spark, _orders_spec(sf), wh, state=state))
+    later = _reshaped_orders(spark, sf).withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000)
+    run_load(spark, _orders_spec(sf), wh, source=later, state=state)
+    return _run_log(state)
+
+
+def q_forced_load(spark, sf):
+    """``orders`` partly without a key, then forced without the priority: the table and what it lacks."""
+    wh = Warehouse.scratch(spark, "forced")
+    state = RunState(wh)
     orders = _t(spark, sf, "orders")
-    customer, nation, region = (_t(spark, sf, n) for n in ("customer", "nation", "region"))
-    regions = (
-        customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(F.col("c_custkey").alias("o_custkey"), F.col("r_name").alias("o_region"))
-    )
-    incoming = (
-        orders.join(regions, "o_custkey", "left")
-        .drop("o_orderpriority")
-        .withColumn("o_custkey", F.col("o_custkey").cast("string"))
-    )
-    return state.schema_drift("orders_feed", incoming.schema)
+    keyed = orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 8 != 0, F.col("o_orderkey")))
+    _require(run_load(spark, _orders_spec(sf), wh, source=keyed, state=state))
+    later = orders.drop("o_orderpriority").withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000)
+    _require(run_load(spark, _orders_spec(sf), wh, source=later, state=state, force=True))
+    counted = state.runs().select(F.sum("rows_without_key").alias("rows_without_key"))
+    return wh.read("raw_orders").crossJoin(F.broadcast(counted))
 
 
 # ----------------------------------------------------------------------------- SQL
@@ -307,33 +381,33 @@ def q_sql_passthrough(spark, sf):
     )
 
 
-CLEAN_ORDERS_SQL = (
-    "CREATE OR REPLACE TABLE clean_orders AS "
-    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CURRENT_TIMESTAMP AS processed_at "
-    "FROM raw_orders WHERE o_orderstatus = 'F' AND o_totalprice > 0"
-)
+SEGMENT_YEARS_SQL = """
+/* how each market segment orders over the years; semicolons in comments; do not end a statement */
+DROP TABLE IF EXISTS segment_years;
+CREATE TABLE segment_years AS
+SELECT c.c_mktsegment AS segment, year(o.o_orderdate) AS order_year, count(*) AS n_orders, max(o.o_totalprice) AS top_price
+FROM raw_orders o JOIN raw_customer c ON o.o_custkey = c.c_custkey  -- every customer has one segment
+GROUP BY c.c_mktsegment, year(o.o_orderdate);
+CREATE TABLE IF NOT EXISTS segment_years AS SELECT 'never; run' AS segment;
+"""
 
 
 def q_sql_transform(spark, sf):
     wh = Warehouse.scratch(spark, "transform")
-    wh.overwrite("raw_orders", _t(spark, sf, "orders"))
-    run_sql_transform(wh, CLEAN_ORDERS_SQL)
-    return wh.read("clean_orders").drop("processed_at")
+    for name in ("orders", "customer"):
+        wh.overwrite(f"raw_{name}", _t(spark, sf, name))
+    run_sql_transform(wh, SEGMENT_YEARS_SQL)
+    return wh.read("segment_years")
 
 
 # ----------------------------------------------------------------------------- whole loads
 
-EVENTS_CLEAN_SQL = """
--- rebuild the clean layer from everything loaded so far
-DROP TABLE IF EXISTS events_clean;
-CREATE TABLE events_clean AS
-SELECT event_id,
-       user_id,
-       CAST(ts AS TIMESTAMP_NTZ) AS ts,
-       LOWER(TRIM(event_type)) AS event_type,
-       CURRENT_TIMESTAMP AS processed_at
+USER_DAYS_SQL = """
+CREATE OR REPLACE TABLE user_days AS
+SELECT user_id, CAST(CAST(ts AS DATE) AS STRING) AS day, count(*) AS n_events, count(DISTINCT event_type) AS n_types,
+       max(value) AS top_value
 FROM raw_events
-WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND ts IS NOT NULL AND user_id > 0;
+GROUP BY user_id, CAST(ts AS DATE)
 """
 
 
@@ -353,7 +427,7 @@ def events_spec(sf: str, transform: bool = False, mode: str = "append") -> LoadS
                 Check("has_rows", None, "min_rows", 1),
             ],
         ),
-        transform=TransformSpec(sql=EVENTS_CLEAN_SQL) if transform else None,
+        transform=TransformSpec(sql=USER_DAYS_SQL) if transform else None,
     )
 
 
@@ -417,7 +491,7 @@ def q_load_partitions(spark, sf):
     events = _t(spark, sf, "events")
     _require(run_load(spark, spec, wh, source=events.where(F.col("ts") <= F.lit(SPLIT).cast("timestamp_ntz")), state=state))
     _require(run_load(spark, spec, wh, state=state))
-    return wh.read("raw_events").drop("_load_id")
+    return wh.read("raw_events")
 
 
 def q_stream_available_now(spark, sf):
@@ -434,6 +508,16 @@ def q_stream_available_now(spark, sf):
     return _runs_with_marks(state, spec.name)
 
 
+def q_stream_split_backlog(spark, sf):
+    """All events as a backlog of files, latest first, loaded one file a micro-batch."""
+    wh = Warehouse.scratch(spark, "backlog")
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream-checkpoint")
+    events = _t(spark, sf, "events")
+    events.repartitionByRange(4, F.desc("ts")).write.parquet(landing)
+    stream_load(spark, events_spec(sf), wh, landing, checkpoint, events.schema, max_files_per_batch=1)
+    return wh.read("raw_events")
+
+
 def _table_spec(sf: str, table: str, mode: str = "append", checks=None) -> LoadSpec:
     return LoadSpec(
         name=f"{table}_feed",
@@ -468,7 +552,7 @@ def q_run_all_loads(spark, sf):
 def q_end_to_end_load(spark, sf):
     wh = Warehouse.scratch(spark, "e2e")
     _require(run_load(spark, events_spec(sf, transform=True), wh))
-    return wh.read("events_clean").drop("processed_at")
+    return wh.read("user_days")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -503,6 +587,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_load": q_lineitem_load,
     "load_partitions": q_load_partitions,
     "stream_available_now": q_stream_available_now,
+    "stream_split_backlog": q_stream_split_backlog,
+    "drift_blocked_load": q_drift_blocked_load,
+    "forced_load": q_forced_load,
+    "upsert_partial_columns": q_upsert_partial_columns,
     "run_all_loads": q_run_all_loads,
     "end_to_end_load": q_end_to_end_load,
 }

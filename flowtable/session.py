@@ -2,8 +2,8 @@
 
 On a cluster the session is built by the caller; nothing here overrides it.  The only
 place we write scratch data is below ``spark.checkpoint.dir`` (a shared folder on a
-cluster).  A private temporary folder is used only when that setting is unset, as in
-unit tests.
+cluster, where it must be set).  A private temporary folder is used only when that setting
+is unset on a local master, as in unit tests.
 """
 
 from __future__ import annotations
@@ -56,6 +56,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if _fallback_root is None:
             _fallback_root = tempfile.mkdtemp(prefix="flowtable-")
         root = _fallback_root

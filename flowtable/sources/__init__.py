@@ -4,7 +4,7 @@ from flowtable.sources.files import (
     read_json,
     read_parquet,
     read_source,
-    write_json_array,
+    write_json_lines,
 )
 
 __all__ = [
@@ -15,5 +15,5 @@ __all__ = [
     "read_source",
     "run_query",
     "scan_table",
-    "write_json_array",
+    "write_json_lines",
 ]

@@ -1,4 +1,4 @@
-"""File sources: CSV, JSON (lines or arrays of objects) and Parquet, plus JSON-array landing.
+"""File sources: CSV, JSON (lines or arrays of objects) and Parquet, plus JSON-lines landing.
 
 Every reader returns a lazy DataFrame; filters and projections applied later are pushed
 into the scan by Catalyst.  A missing path is reported as ``FileNotFoundError`` naming it.
@@ -6,15 +6,12 @@ into the scan by Catalyst.  A missing path is reported as ``FileNotFoundError``
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
 
-import uuid
-
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from flowtable.errors import SourceError
 
@@ -33,25 +30,79 @@ def _load(reader: Callable[[], DataFrame], path: str, kind: str) -> DataFrame:
         raise
 
 
+BAD_VALUE = "MALFORMED_RECORD_IN_PARSING"  # how a FAILFAST read names a value that does not fit
+
+# Texts that stand for a missing value in CSV, as common data-frame readers take them.
+NULL_TOKENS = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+               "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: StructType | str | None = None,
     infer: bool = True,
+    null_tokens: Sequence[str] = NULL_TOKENS,
     **options: str,
 ) -> DataFrame:
     """CSV with a header row, any file extension, column names kept verbatim.
 
+    A quoted value may hold line breaks (``multiLine``).  Such a file can't be split, so one task
+    reads each file; for large files without line breaks in values pass ``multiLine="false"``.  Values
+    equal to one of ``null_tokens`` are NULL, before types are inferred.
+
     With ``schema`` nothing is inferred (the production choice: inference costs an extra
     pass over the data).  A header-only file gives an empty frame of string columns.
     """
-    opts = {"header": "true", "escape": '"', "mode": "PERMISSIVE", **options}
+    opts = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", **options}
     reader = spark.read.options(**opts)
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", str(bool(infer)).lower())
-    return _load(lambda: reader.csv(path), path, "CSV")
+    if not null_tokens:
+        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", str(bool(infer)).lower())
+        return _load(lambda: reader.csv(path), path, "CSV")
+    text = _load(lambda: reader.csv(path), path, "CSV")  # all columns as text
+    present = text.select(*[F.when(~c.isin(*null_tokens), c).alias(n) for n in text.columns for c in [_column(n)]])
+    if schema is None and not infer:
+        return present
+    wanted = _inferred(present) if schema is None else StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    strict = opts["mode"].upper() == "FAILFAST"
+    names = [*present.columns, *[None] * (len(wanted.fields) - len(present.columns))]  # absent columns are NULL
+    return present.select(*[_typed(_column(n) if n else F.lit(None).cast("string"), f, strict).alias(f.name)
+                            for n, f in zip(names, wanted.fields)])
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+_DAY = r"^\d{4}-\d{1,2}-\d{1,2}"
+# types that a text column is tried as, in order, and the shape its values must have
+_INFERRED = {"int": None, "bigint": None, "double": None, "date": _DAY + "$", "timestamp": _DAY, "boolean": "^(?i:true|false)$"}
+
+
+def _inferred(text: DataFrame) -> StructType:
+    """The narrowest type that every non-NULL value of each column has (one aggregate); text if none."""
+    tests = {}
+    for i, name in enumerate(text.columns):
+        c = _column(name)
+        tests[f"n{i}"] = F.count(c)
+        for kind, shape in _INFERRED.items():
+            fits = c.try_cast(kind).isNotNull() & (c == F.trim(c))
+            tests[f"{kind}{i}"] = F.bool_and(c.isNull() | (fits & c.rlike(shape) if shape else fits))
+    found = text.agg(*[e.alias(k) for k, e in tests.items()]).first() if text.columns else {}
+    out = StructType()
+    for i, name in enumerate(text.columns):
+        kinds = [k for k in _INFERRED if found[f"n{i}"] and found[f"{k}{i}"]]
+        out.add(StructField(name, StructType.fromDDL(f"c {kinds[0] if kinds else 'string'}")["c"].dataType))
+    return out
+
+
+def _typed(c: Column, field: StructField, strict: bool) -> Column:
+    """The value as the field's type; text that has none is NULL, or with ``strict`` stops the query."""
+    value = c.try_cast(field.dataType)
+    if not strict:
+        return value
+    message = F.concat(F.lit(f"{BAD_VALUE}: column {field.name} can't hold "), c)
+    return F.when(c.isNotNull() & value.isNull(), F.raise_error(message).cast(field.dataType)).otherwise(value)
 
 
 def read_json(
@@ -100,35 +151,6 @@ def read_source(spark: SparkSession, source) -> DataFrame:
     return _READERS[kind](spark, source.path, schema=schema, **options)
 
 
-def _json_array_frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    opened = False
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        lead = pd.Series(",", index=pdf.index)
-        if not opened:
-            lead.iloc[0] = "["
-            opened = True
-        yield pd.DataFrame({"value": lead + pdf["record"]})
-    if opened:
-        yield pd.DataFrame({"value": ["]"]})
-
-
-def write_json_array(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Write ``df`` as JSON files that each hold one array of objects (one file per partition).
-
-    Rows are rendered by ``to_json`` in the JVM; Python only adds the brackets and commas
-    while streaming each partition's batches, so no partition is held in memory.
-    """
-    if files is not None:
-        df = df.repartition(files)
-    records = df.select(F.to_json(F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])).alias("record"))
-    obs = Observation(f"json_rows_{uuid.uuid4().hex}")
-    framed = records.observe(obs, F.count(F.lit(1)).alias("rows")).mapInPandas(_json_array_frames, "value string")
-    framed.write.option("maxRecordsPerFile", 0).mode("errorifexists").text(path)
-    try:
-        rows = int(obs.get["rows"])
-    except Exception:  # noqa: BLE001 - no metrics: nothing was written
-        rows = 0
-    if rows == 0:  # an empty input still lands as one (empty) array
-        df.sparkSession.createDataFrame([("[]",)], "value string").coalesce(1).write.mode("append").text(path)
+def write_json_lines(df: DataFrame, path: str) -> None:
+    """Land ``df`` as JSON, one object on a line (splittable, rendered in the JVM, NULLs kept)."""
+    df.write.option("ignoreNullFields", "false").mode("errorifexists").json(path)

@@ -1,13 +1,15 @@
 """Incremental loads as a Structured Streaming job with ``trigger(availableNow=True)``.
 
-Each run processes every file that landed since the previous run (file progress lives in
-the checkpoint) and then stops.  Each micro-batch goes through the same load as a batch run
-(key > mark, staged write with quality metrics, gates, publish, run record), because new
-files may repeat rows that were loaded before.
+Each call processes every file that landed since the previous one (file progress lives in
+the checkpoint) and then stops.  Each micro-batch goes through the same load as a batch run.
+New files may repeat rows that *earlier calls* loaded, so every micro-batch of a call is compared
+with the mark as it was when the call began; the stored mark advances when the call ends.  How the
+backlog is cut into micro-batches, and in which order its files come, does not change the result.
 
-``foreachBatch`` is at-least-once: a batch replayed after a crash carries the same batch id,
-so the run id is derived from (checkpoint, batch id) and a batch whose run already
-succeeded is skipped.
+``foreachBatch`` is at-least-once: a batch replayed after a crash carries the same batch id.  Its
+run id is derived from (checkpoint, batch id); a batch whose run already succeeded is skipped,
+and one that published its rows but lost its state only completes the state.  A batch that a gate
+rejected is tried again by the next call, in a fresh folder.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from flowtable.operators.sinks import Warehouse
-from flowtable.plans.runner import run_load
+from flowtable.plans.runner import PinnedMark, run_load
 from flowtable.plans.spec import LoadSpec
 from flowtable.plans.state import RunState
 
@@ -29,7 +31,7 @@ def stream_load(
     warehouse: Warehouse,
     landing: str,
     checkpoint: str,
-    schema: StructType,
+    schema: StructType | str,
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
     state: RunState | None = None,
@@ -44,6 +46,8 @@ def stream_load(
     state = state or RunState(warehouse)
     tag = run_tag or hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
     results: list[dict] = []
+    key = spec.source.incremental_key
+    pinned = PinnedMark(state.get_mark(spec.name, key)) if key else None
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{tag}-{batch_id}"
@@ -51,7 +55,7 @@ def stream_load(
             return
         # publish through the caller's session: foreachBatch hands us a cloned session whose
         # relation cache the caller would not see refreshed
-        res = run_load(spark, spec, warehouse, source=batch, state=state, run_id=run_id)
+        res = run_load(spark, spec, warehouse, source=batch, state=state, run_id=run_id, pinned=pinned)
         results.append(res)
         if res["status"] != "success":
             raise RuntimeError(f"batch {batch_id} failed: {res['error_message']}")
@@ -67,6 +71,9 @@ def stream_load(
         .start()
     )
     query.awaitTermination()
+    if key:
+        dtype = (StructType.fromDDL(schema) if isinstance(schema, str) else schema)[key].dataType
+        state.release_marks(spec.name, key, dtype)
     for table in [spec.destination.physical, *state.tables()]:
         if warehouse.exists(table):
             spark.catalog.refreshTable(warehouse.qualified(table))

@@ -30,14 +30,20 @@ def test_version_changes_hash(spark):
     rows = version_changes(df, ["c"], ["t"], ["s", "p"]).orderBy("t").collect()
     assert [r.t for r in rows] == [1, 3]
     import hashlib
-    assert rows[0].version_hash == hashlib.sha256(b"F|1-URGENT").hexdigest()[:16]
+    assert rows[0].version_hash == hashlib.sha256(b'{"p":"1-URGENT","s":"F"}').hexdigest()[:16]
+
+
+def test_versions_that_differ_in_nulls_and_separators_are_told_apart(spark):
+    rows = [(1, 1, "x", None), (1, 2, None, "x"), (1, 3, "a|b", "c"), (1, 4, "a", "b|c"), (1, 5, "a", "b|c"), (1, 6, 'a"', ',"b'), (1, 7, 'a","', 'b')]
+    df = spark.createDataFrame(rows, "c int, t int, s string, p string")
+    assert sorted(r.t for r in version_changes(df, ["c"], ["t"], ["s", "p"]).collect()) == [1, 2, 3, 4, 6, 7]
 
 
 def test_track_versions_appends_changed_entities(spark):
     hist = spark.createDataFrame([("a", "x", 1), ("b", "y", 1)], "name string, snap string, recorded_at int")
-    hist = hist.withColumn("version_hash", fingerprint("snap", sep="")).select("name", "version_hash", "recorded_at")
+    hist = hist.withColumn("version_hash", fingerprint("snap")).select("name", "version_hash", "recorded_at")
     inc = spark.createDataFrame([("a", "x"), ("b", "z"), ("c", "w")], "name string, snap string")
-    out = sorted(r.name for r in track_versions(hist, inc, ["name"], ["snap"], sep="").collect())
+    out = sorted(r.name for r in track_versions(hist, inc, ["name"], ["snap"]).collect())
     assert out == ["b", "c"]
 
 

@@ -17,7 +17,7 @@ def test_contract_keys_match():
 
 def test_entry_smoke(spark):
     df = entry(spark)
-    assert df.columns == ["event_id", "user_id", "ts", "event_type"]
+    assert df.columns == ["user_id", "day", "n_events", "n_types", "top_value"]
     assert df.count() > 0
 
 

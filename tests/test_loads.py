@@ -8,20 +8,20 @@ from flowtable.plans.spec import DestinationSpec, LoadSpec, QualitySpec, SourceS
 from flowtable.plans.state import RunState
 
 
-def spec(path, name="orders_feed", mode="append", key=None, checks=None, transform=None):
+def spec(path, name="tickets", mode="append", key=None, checks=None, transform=None):
     return LoadSpec(
         name=name,
-        owner="data-team",
+        owner="harbour desk",
         source=SourceSpec(type="csv", path=path, incremental_key=key),
         destination=DestinationSpec("raw", name),
         load_mode=mode,
-        schedule="0 6 * * *",
+        schedule="30 2 * * 1",
         quality=QualitySpec(enabled=bool(checks), checks=checks or []),
         transform=transform,
     )
 
 
-ORDERS = "order_id,amount\n1,100\n2,200\n"
+ORDERS = "ticket,fee\n71,4\n72,9\n"
 
 
 def test_success_result_and_counts(spark, wh, write_csv):
@@ -29,7 +29,7 @@ def test_success_result_and_counts(spark, wh, write_csv):
     assert res["status"] == "success"
     assert res["rows_extracted"] == 2 and res["rows_loaded"] == 2
     assert res["execution_time_seconds"] >= 0
-    assert wh.read("raw_orders_feed").count() == 2
+    assert wh.read("raw_tickets").count() == 2
 
 
 def test_run_record_and_registry(spark, wh, write_csv):
@@ -39,7 +39,7 @@ def test_run_record_and_registry(spark, wh, write_csv):
     assert len(runs) == 1
     assert runs[0].status == "SUCCESS" and runs[0].rows_loaded == 2 and runs[0].error_message is None
     reg = state.pipelines().collect()
-    assert len(reg) == 1 and reg[0].last_status == "SUCCESS" and reg[0].owner == "data-team"
+    assert len(reg) == 1 and reg[0].last_status == "SUCCESS" and reg[0].owner == "harbour desk"
 
 
 def test_append_accumulates_and_overwrite_replaces(spark, wh, write_csv):
@@ -60,20 +60,20 @@ def test_missing_source_is_logged_failed_not_raised(spark, wh, tmp_path):
 
 
 def test_quality_failure_blocks_the_load(spark, wh, write_csv):
-    path = write_csv("c.csv", "customer_id,full_name\n,Ann\nC2,Bob\n")
-    checks = [Check("id_present", "customer_id", "not_null")]
+    path = write_csv("c.csv", "berth,vessel\n,Sula\nB7,Petrel\n")
+    checks = [Check("berth_known", "berth", "not_null")]
     state = RunState(wh)
     alerts = []
-    res = run_load(spark, spec(path, name="cust", checks=checks), wh, state=state, on_failure=alerts.append)
-    assert res["status"] == "failed" and "id_present" in res["error_message"]
-    assert not wh.exists("raw_cust")
+    res = run_load(spark, spec(path, name="berths", checks=checks), wh, state=state, on_failure=alerts.append)
+    assert res["status"] == "failed" and "berth_known" in res["error_message"]
+    assert not wh.exists("raw_berths")
     assert state.pipelines().first().last_status == "FAILED"
-    assert alerts and alerts[0].startswith("*Pipeline Failed* ✗\n*Pipeline:* `cust`")
+    assert alerts and alerts[0].startswith("*Pipeline Failed* ✗\n*Pipeline:* `berths`")
 
 
 def test_unique_check_runs_on_staged_rows(spark, wh, write_csv):
-    path = write_csv("d.csv", "order_id,amount\n1,1\n1,2\n2,3\n")
-    res = run_load(spark, spec(path, checks=[Check("u", "order_id", "unique")]), wh)
+    path = write_csv("d.csv", "ticket,fee\n5,1\n5,2\n6,3\n")
+    res = run_load(spark, spec(path, checks=[Check("u", "ticket", "unique")]), wh)
     assert res["status"] == "failed" and "1 duplicate" in res["error_message"]
 
 
@@ -82,96 +82,95 @@ def test_unique_check_runs_on_staged_rows(spark, wh, write_csv):
 
 def test_first_run_stores_mark(spark, wh, write_csv):
     state = RunState(wh)
-    path = write_csv("m.csv", "order_id,created_at\n1,2026-03-01\n2,2026-03-02\n3,2026-03-03\n")
-    run_load(spark, spec(path, key="created_at"), wh, state=state)
-    assert state.get_mark("orders_feed", "created_at") == "2026-03-03"
+    path = write_csv("m.csv", "call,arrived\n11,2031-07-04\n12,2031-07-09\n13,2031-07-16\n")
+    run_load(spark, spec(path, key="arrived"), wh, state=state)
+    assert state.get_mark("tickets", "arrived") == "2031-07-16"
 
 
 def test_mark_advances_and_only_new_rows_load(spark, wh, write_csv):
     state = RunState(wh)
-    path = write_csv("m.csv", "order_id,created_at\n1,2026-03-01\n2,2026-03-02\n")
-    assert run_load(spark, spec(path, key="created_at"), wh, state=state)["rows_loaded"] == 2
-    assert run_load(spark, spec(path, key="created_at"), wh, state=state)["rows_loaded"] == 0
-    path = write_csv("m.csv", "order_id,created_at\n1,2026-03-01\n2,2026-03-02\n3,2026-03-10\n")
-    assert run_load(spark, spec(path, key="created_at"), wh, state=state)["rows_loaded"] == 1
-    assert state.get_mark("orders_feed", "created_at") == "2026-03-10"
-    assert wh.read("raw_orders_feed").count() == 3
+    path = write_csv("m.csv", "call,arrived\n11,2031-07-04\n12,2031-07-09\n")
+    assert run_load(spark, spec(path, key="arrived"), wh, state=state)["rows_loaded"] == 2
+    assert run_load(spark, spec(path, key="arrived"), wh, state=state)["rows_loaded"] == 0
+    path = write_csv("m.csv", "call,arrived\n11,2031-07-04\n12,2031-07-09\n13,2031-08-02\n")
+    assert run_load(spark, spec(path, key="arrived"), wh, state=state)["rows_loaded"] == 1
+    assert state.get_mark("tickets", "arrived") == "2031-08-02"
+    assert wh.read("raw_tickets").count() == 3
 
 
 def test_no_key_loads_everything_each_run(spark, wh, write_csv):
-    path = write_csv("m.csv", "order_id,created_at\n1,2026-03-01\n2,2026-03-02\n")
+    path = write_csv("m.csv", "call,arrived\n11,2031-07-04\n12,2031-07-09\n")
     assert run_load(spark, spec(path), wh)["rows_loaded"] == 2
     assert run_load(spark, spec(path), wh)["rows_loaded"] == 2
 
 
 def test_missing_key_column_fails_naming_it(spark, wh, write_csv):
     path = write_csv("m.csv", ORDERS)
-    res = run_load(spark, spec(path, key="nonexistent_column"), wh)
-    assert res["status"] == "failed" and "nonexistent_column" in res["error_message"]
+    res = run_load(spark, spec(path, key="tide"), wh)
+    assert res["status"] == "failed" and "tide" in res["error_message"]
 
 
 def test_numeric_key_compares_as_number(spark, wh, write_csv):
     state = RunState(wh)
     run_load(spark, spec(write_csv("n.csv", "id,v\n9,a\n10,b\n"), key="id"), wh, state=state)
-    assert state.get_mark("orders_feed", "id") == "10"
+    assert state.get_mark("tickets", "id") == "10"
     res = run_load(spark, spec(write_csv("n.csv", "id,v\n9,a\n10,b\n11,c\n"), key="id"), wh, state=state)
     assert res["rows_loaded"] == 1
 
 
 def test_overwrite_with_nothing_new_keeps_table(spark, wh, write_csv):
-    path = write_csv("m.csv", "order_id,created_at\n1,2026-03-01\n")
-    run_load(spark, spec(path, mode="overwrite", key="created_at"), wh)
-    run_load(spark, spec(path, mode="overwrite", key="created_at"), wh)
-    assert wh.read("raw_orders_feed").count() == 1
+    path = write_csv("m.csv", "call,arrived\n11,2031-07-04\n")
+    run_load(spark, spec(path, mode="overwrite", key="arrived"), wh)
+    run_load(spark, spec(path, mode="overwrite", key="arrived"), wh)
+    assert wh.read("raw_tickets").count() == 1
 
 
 # --- schema drift ------------------------------------------------------------------------
 
-CUSTOMERS = "customer_id,full_name,country,created_at\nC1,Ann,NL,2026-03-01 10:00:00\nC2,Bob,DE,2026-03-02 11:00:00\n"
+CREW = "badge,sailor,port,joined\nK1,Ines,Vigo,2030-11-01 08:30:00\nK2,Olav,Bergen,2030-11-07 17:45:00\n"
 
 
 def test_removed_column_fails(spark, wh, write_csv):
-    run_load(spark, spec(write_csv("c.csv", CUSTOMERS), name="cust"), wh)
-    res = run_load(spark, spec(write_csv("c.csv", "customer_id,full_name,created_at\nC3,Cy,2026-03-03 00:00:00\n"), name="cust"), wh)
-    assert res["status"] == "failed" and "country" in res["error_message"]
+    run_load(spark, spec(write_csv("c.csv", CREW), name="crew"), wh)
+    res = run_load(spark, spec(write_csv("c.csv", "badge,sailor,joined\nK3,Ravi,2030-12-01 00:15:00\n"), name="crew"), wh)
+    assert res["status"] == "failed" and "port" in res["error_message"]
 
 
 def test_added_column_fails(spark, wh, write_csv):
-    run_load(spark, spec(write_csv("c.csv", CUSTOMERS), name="cust"), wh)
-    res = run_load(spark, spec(write_csv("c.csv", CUSTOMERS.replace("created_at\n", "created_at,email\n").replace(":00\n", ":00,x@y\n")), name="cust"), wh)
-    assert res["status"] == "failed" and "email" in res["error_message"]
+    run_load(spark, spec(write_csv("c.csv", CREW), name="crew"), wh)
+    res = run_load(spark, spec(write_csv("c.csv", CREW.replace("joined\n", "joined,radio\n").replace(":30:00\n", ":30:00,ch16\n").replace(":45:00\n", ":45:00,ch9\n")), name="crew"), wh)
+    assert res["status"] == "failed" and "radio" in res["error_message"]
 
 
 def test_retyped_column_fails(spark, wh, write_csv):
-    run_load(spark, spec(write_csv("a.csv", "id,amount\n1,5\n"), name="amt"), wh)
-    res = run_load(spark, spec(write_csv("a.csv", "id,amount\n2,abc\n"), name="amt"), wh)
-    assert res["status"] == "failed" and "amount" in res["error_message"] and "type changed" in res["error_message"]
+    run_load(spark, spec(write_csv("a.csv", "buoy,depth\n1,5\n"), name="depths"), wh)
+    res = run_load(spark, spec(write_csv("a.csv", "buoy,depth\n2,deep\n"), name="depths"), wh)
+    assert res["status"] == "failed" and "depth" in res["error_message"] and "type changed" in res["error_message"]
 
 
 def test_force_bypasses_drift_and_fills_nulls(spark, wh, write_csv):
     state = RunState(wh)
-    run_load(spark, spec(write_csv("c.csv", CUSTOMERS), name="cust"), wh, state=state)
-    res = run_load(spark, spec(write_csv("c.csv", "customer_id,full_name,created_at\nC3,Cy,2026-03-03 00:00:00\n"), name="cust"),
+    run_load(spark, spec(write_csv("c.csv", CREW), name="crew"), wh, state=state)
+    res = run_load(spark, spec(write_csv("c.csv", "badge,sailor,joined\nK3,Ravi,2030-12-01 00:15:00\n"), name="crew"),
                    wh, force=True, state=state)
     assert res["status"] == "success"
-    rows = wh.read("raw_cust").where("customer_id = 'C3'").collect()
-    assert rows[0].country is None
-    stored = {r.column_name for r in state.stored_schema("cust").collect()}
-    assert stored == {"customer_id", "full_name", "created_at"}
+    rows = wh.read("raw_crew").where("badge = 'K3'").collect()
+    assert rows[0].port is None
+    stored = {r.column_name for r in state.stored_schema("crew").collect()}
+    assert stored == {"badge", "sailor", "joined"}
 
 
 # --- transform ---------------------------------------------------------------------------
 
 
 def test_transform_rebuilds_derived_table(spark, wh, write_csv):
-    path = write_csv("s.csv", "order_id,amount,status\n1,10.5,completed\n2,0,completed\n3,7,cancelled\n")
-    sql = ("CREATE OR REPLACE TABLE clean_sales AS SELECT order_id, amount, CURRENT_TIMESTAMP AS processed_at "
-           "FROM raw_sales WHERE status = 'completed' AND amount > 0")
+    path = write_csv("s.csv", "haul,kilos,landed\n1,10.5,yes\n2,0,yes\n3,7,no\n")
+    sql = "CREATE OR REPLACE TABLE by_landing AS SELECT landed, sum(kilos) AS kilos, count(*) AS hauls FROM raw_hauls GROUP BY landed"
     t = TransformSpec(sql=sql)
     for _ in range(2):
-        assert run_load(spark, spec(path, name="sales", mode="overwrite", transform=t), wh)["status"] == "success"
-    rows = wh.read("clean_sales").collect()
-    assert [r.order_id for r in rows] == [1] and rows[0].processed_at is not None
+        assert run_load(spark, spec(path, name="hauls", mode="overwrite", transform=t), wh)["status"] == "success"
+    rows = wh.read("by_landing").collect()
+    assert {(r.landed, r.kilos, r.hauls) for r in rows} == {("yes", 10.5, 2), ("no", 7.0, 1)}
 
 
 def test_transform_missing_file_fails(spark, wh, write_csv, tmp_path):
@@ -196,10 +195,10 @@ def test_run_all_checks_conflicts_then_runs_in_name_order(spark, wh, write_csv):
     from flowtable.plans.runner import run_all
 
     path = write_csv("o.csv", ORDERS)
-    bad = write_csv("bad.csv", "order_id,amount\n1,-5\n")
+    bad = write_csv("bad.csv", "ticket,fee\n1,-5\n")
     with pytest.raises(ValueError, match="raw_dup"):
         run_all(spark, [spec(path, name="dup"), LoadSpec("dup2", "x", SourceSpec("csv", path=path), DestinationSpec("raw", "dup"))], wh)
-    specs = [spec(path, name="c_last"), spec(bad, name="b_bad", checks=[Check("pos", "amount", "greater_than")]), spec(path, name="a_first")]
+    specs = [spec(path, name="c_last"), spec(bad, name="b_bad", checks=[Check("pos", "fee", "greater_than")]), spec(path, name="a_first")]
     results = run_all(spark, specs, wh)
     assert [r["pipeline_name"] for r in results] == ["a_first", "b_bad"]
     assert results[-1]["status"] == "failed"
@@ -209,10 +208,10 @@ def test_run_all_checks_conflicts_then_runs_in_name_order(spark, wh, write_csv):
 
 
 def test_empty_increment_with_quality_rules(spark, wh, write_csv):
-    path = write_csv("m.csv", "order_id,created_at\n1,2026-03-01\n2,2026-03-02\n")
-    checks = [Check("id", "order_id", "not_null"), Check("u", "order_id", "unique")]
+    path = write_csv("m.csv", "call,arrived\n11,2031-07-04\n12,2031-07-09\n")
+    checks = [Check("id", "call", "not_null"), Check("u", "call", "unique")]
     for mode in ("append", "overwrite"):
-        s = spec(path, name=f"empty_{mode}", mode=mode, key="created_at", checks=checks)
+        s = spec(path, name=f"empty_{mode}", mode=mode, key="arrived", checks=checks)
         assert run_load(spark, s, wh)["rows_loaded"] == 2
         res = run_load(spark, s, wh)
         assert res["status"] == "success" and res["rows_loaded"] == 0
@@ -287,32 +286,28 @@ def test_api_source_reads_landed_json_arrays(spark, wh, tmp_path):
 
 
 def test_spec_from_parsed_document(spark, wh, write_csv):
-    path = write_csv("sales.csv", "order_id,customer_id,amount,created_at,status\n1,C1,10.5,2026-03-01,completed\n"
-                                  "2,C2,0,2026-03-02,completed\n3,C1,7,2026-03-03,cancelled\n")
+    path = write_csv("hauls.csv", "haul,species,kilos,day\n1,cod,12.5,2031-01-04\n2,hake,0,2031-01-05\n3,cod,7,2031-01-06\n")
     doc = {
-        "pipeline_name": "sales_orders", "owner": "operations_analytics",
-        "source": {"type": "csv", "path": path, "incremental_key": "created_at"},
-        "destination": {"schema": "raw", "table": "sales_orders"},
-        "schedule": {"cron": "@daily"}, "load_mode": "overwrite",
-        "runtime_parameters": {"batch_size": 5000},
-        "quality_checks": {"enabled": True, "checks": [{"name": "amount_ok", "column": "amount", "rule": "greater_than", "value": -1}]},
-        "transform": {"sql": "CREATE OR REPLACE TABLE clean_sales_orders AS SELECT order_id, amount FROM raw_sales_orders "
-                             "WHERE status = 'completed' AND amount > 0"},
+        "pipeline_name": "hauls", "owner": "fish market",
+        "source": {"type": "csv", "path": path, "incremental_key": "day"},
+        "destination": {"schema": "quay", "table": "hauls"},
+        "schedule": {"cron": "15 4 * * *"}, "load_mode": "overwrite",
+        "runtime_parameters": {"retries": 2},
+        "quality_checks": {"enabled": True, "checks": [{"name": "kilos_ok", "column": "kilos", "rule": "greater_than", "value": -1}]},
+        "transform": {"sql": "CREATE OR REPLACE TABLE species AS SELECT species, max(kilos) AS best FROM quay_hauls GROUP BY species"},
         "notify": {"on_failure": True},
     }
     s = LoadSpec.from_dict(doc)
-    assert s.destination.physical == "raw_sales_orders" and s.schedule == "@daily" and s.notify_on_failure
-    assert s.quality.checks[0].value == -1 and s.runtime_parameters == {"batch_size": 5000}
+    assert s.destination.physical == "quay_hauls" and s.schedule == "15 4 * * *" and s.notify_on_failure
+    assert s.quality.checks[0].value == -1 and s.runtime_parameters == {"retries": 2}
     assert run_load(spark, s, wh)["rows_loaded"] == 3
-    assert [r.order_id for r in wh.read("clean_sales_orders").collect()] == [1]
+    assert {(r.species, r.best) for r in wh.read("species").collect()} == {("cod", 12.5), ("hake", 0.0)}
     quiet = LoadSpec.from_dict({**doc, "notify": {}, "source": {"type": "csv", "path": path + ".missing"}})
     calls = []
     assert run_load(spark, quiet, wh, on_failure=calls.append)["status"] == "failed" and calls == []
 
 
 def test_load_partitions_publish_each_load_without_a_copy(spark, wh):
-    import pytest
-
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     split = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     state = RunState(wh)
@@ -322,7 +317,8 @@ def test_load_partitions_publish_each_load_without_a_copy(spark, wh):
     first = run_load(spark, s, wh, source=events.where(F.col("ts") <= split), state=state)
     second = run_load(spark, s, wh, state=state)
     assert first["status"] == second["status"] == "success"
-    table = wh.read("raw_events_by_load")
+    assert "_load_id" not in wh.read("raw_events_by_load").columns
+    table = wh.read("raw_events_by_load", load_id=True)
     assert table.count() == events.count()
     loads = {r["_load_id"]: r["n"] for r in table.groupBy("_load_id").agg(F.count("*").alias("n")).collect()}
     assert loads == {first["run_id"]: first["rows_loaded"], second["run_id"]: second["rows_loaded"]}
@@ -333,8 +329,6 @@ def test_load_partitions_publish_each_load_without_a_copy(spark, wh):
                    quality=QualitySpec(True, [Check("few", None, "min_rows", 10**9)]))
     assert run_load(spark, bad, wh, source=events, state=state)["status"] == "failed"
     assert not wh.exists("raw_bad_by_load")
-    with pytest.raises(ValueError, match="append"):
-        LoadSpec("x", "o", SourceSpec("csv", path="/x"), DestinationSpec("raw", "x", load_partitions=True), load_mode="overwrite")
 
 
 def test_csv_later_runs_read_with_the_stored_types(spark, wh, write_csv):
@@ -381,16 +375,67 @@ def test_zone_aware_mark_survives_a_session_time_zone_change(spark, wh):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_a_drifted_load_writes_no_file(spark, wh, write_csv):
+    import glob
+
+    checks = [Check("known", "badge", "not_null")]
+    run_load(spark, spec(write_csv("c.csv", CREW), name="crew", checks=checks), wh)
+    files = sorted(glob.glob(wh.root.replace("file:", "") + "/raw_crew/**", recursive=True))
+    path = write_csv("c.csv", "badge,sailor\n,Ravi\n")
+    res = run_load(spark, spec(path, name="crew", checks=checks), wh)
+    assert "known" in res["error_message"] and res["rows_extracted"] == 1  # the quality failure is reported first
+    path = write_csv("c.csv", "badge,sailor\nK4,Ravi\n")
+    assert "drift" in run_load(spark, spec(path, name="crew", checks=checks), wh)["error_message"].lower()
+    assert sorted(glob.glob(wh.root.replace("file:", "") + "/raw_crew/**", recursive=True)) == files
+
+
+def test_rows_without_a_key_are_counted_and_never_loaded(spark, wh):
+    state = RunState(wh)
+    s = LoadSpec("nulls", "o", SourceSpec("parquet", path="/unused", incremental_key="k"), DestinationSpec("raw", "nulls"))
+    for rows, loaded in (([(1, "a"), (None, "b"), (2, "c")], 2), ([(2, "c"), (3, "d"), (None, "e"), (None, "f")], 1)):
+        res = run_load(spark, s, wh, source=spark.createDataFrame(rows, "k int, v string"), state=state)
+        assert (res["rows_loaded"], res["rows_without_key"]) == (loaded, sum(k is None for k, _ in rows))
+    assert sorted(r.k for r in wh.read("raw_nulls").collect()) == [1, 2, 3]
+    assert sorted(r.rows_without_key for r in state.runs().collect()) == [1, 2]
+
+
+def test_a_run_repeated_after_its_state_was_lost_loads_nothing_twice(spark, wh, monkeypatch):
+    s = LoadSpec("lost", "o", SourceSpec("parquet", path="/unused", incremental_key="k"), DestinationSpec("raw", "lost"))
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    state = RunState(wh)
+    with monkeypatch.context() as m:
+        m.setattr(RunState, "_write", lambda self, rows: (_ for _ in ()).throw(OSError("disk gone")))
+        res = run_load(spark, s, wh, source=rows, state=state, run_id="r1")
+    assert res["status"] == "failed" and "disk gone" in res["error_message"]
+    res = run_load(spark, s, wh, source=rows, state=state, run_id="r1")
+    assert (res["status"], res["rows_loaded"]) == ("success", 2)
+    assert wh.read("raw_lost").count() == 2 and state.get_mark("lost", "k") == "2"
+
+
+def test_missing_metrics_are_counted_in_the_written_files(spark, wh, monkeypatch):
+    monkeypatch.setattr("flowtable.plans.runner.observed", lambda obs: None)
+    monkeypatch.setattr("flowtable.operators.sinks.observed", lambda obs: None)
+    state = RunState(wh)
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    for mode in ("append", "overwrite"):
+        s = LoadSpec(f"m_{mode}", "o", SourceSpec("parquet", path="/unused", incremental_key="k"), DestinationSpec("raw", f"m_{mode}"),
+                     load_mode=mode, quality=QualitySpec(True, [Check("v", "v", "not_null"), Check("few", None, "min_rows", 2)]))
+        res = run_load(spark, s, wh, source=rows, state=state)
+        assert (res["status"], res["rows_loaded"], res["rows_without_key"]) == ("success", 2, 1)
+        assert state.get_mark(f"m_{mode}", "k") == "2" and wh.read(f"raw_m_{mode}").count() == 2
+    assert wh.append("plain", rows) == 3 and wh.overwrite("plain", rows) == 3
+
+
 def test_drift_lines_follow_column_order(spark, wh, write_csv):
-    run_load(spark, spec(write_csv("c.csv", CUSTOMERS), name="order"), wh)
-    changed = "z_new,full_name,customer_id,a_new\nx,Ann,1,y\n"  # country + created_at removed, id retyped
+    run_load(spark, spec(write_csv("c.csv", CREW), name="order"), wh)
+    changed = "z_new,sailor,badge,a_new\nx,Ines,1,y\n"  # port + joined removed, badge retyped
     res = run_load(spark, spec(write_csv("c.csv", changed), name="order"), wh)
     lines = [l.strip() for l in res["error_message"].splitlines()[1:]]
     assert lines == [
-        "- Column 'country' was removed from source",
-        "- Column 'created_at' was removed from source",
+        "- Column 'port' was removed from source",
+        "- Column 'joined' was removed from source",
         "- New column 'z_new' not in stored schema",
-        "- Column 'customer_id' type changed: string → int",
+        "- Column 'badge' type changed: string → int",
         "- New column 'a_new' not in stored schema",
     ]
 
@@ -405,19 +450,19 @@ def test_version_is_recorded_even_when_the_source_is_missing(spark, wh, tmp_path
 
 
 def test_force_with_a_new_column_set_into_a_new_table(spark, wh, write_csv):
-    run_load(spark, spec(write_csv("c.csv", CUSTOMERS), name="forced"), wh)
-    other = "customer_id,email\nC9,x@y\n"
-    s = LoadSpec("forced", "data-team", SourceSpec("csv", path=write_csv("d.csv", other)), DestinationSpec("raw", "forced_v2"))
+    run_load(spark, spec(write_csv("c.csv", CREW), name="forced"), wh)
+    other = "badge,radio\nK9,ch16\n"
+    s = LoadSpec("forced", "harbour desk", SourceSpec("csv", path=write_csv("d.csv", other)), DestinationSpec("raw", "forced_v2"))
     assert run_load(spark, s, wh)["status"] == "failed"  # drift, not forced
     res = run_load(spark, s, wh, force=True)
-    assert res["status"] == "success" and wh.read("raw_forced_v2").columns == ["customer_id", "email"]
-    unforced = run_load(spark, spec(write_csv("e.csv", CUSTOMERS), name="forced"), wh)
+    assert res["status"] == "success" and wh.read("raw_forced_v2").columns == ["badge", "radio"]
+    unforced = run_load(spark, spec(write_csv("e.csv", CREW), name="forced"), wh)
     assert unforced["status"] == "failed" and "drift" in unforced["error_message"].lower()
 
 
 def test_overwrite_spec_into_a_load_partitioned_table_fails_cleanly(spark, wh, write_csv):
-    wh.ensure_load_table("raw_lp3", spark.createDataFrame([], "order_id int, amount int").schema)
-    wh.append("raw_lp3", spark.createDataFrame([(1, 5)], "order_id int, amount int"))
+    wh.ensure_load_table("raw_lp3", spark.createDataFrame([], "ticket int, fee int").schema)
+    wh.append("raw_lp3", spark.createDataFrame([(1, 5)], "ticket int, fee int"))
     res = run_load(spark, spec(write_csv("o.csv", ORDERS), name="lp3", mode="overwrite"), wh)
     assert res["status"] == "failed" and "appends only" in res["error_message"]
     assert wh.read("raw_lp3").count() == 1

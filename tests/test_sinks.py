@@ -81,24 +81,36 @@ def test_update_by_key(spark, wh):
 
 
 def test_sql_transform_drop_and_create(spark, wh):
-    wh.overwrite("raw_events", spark.createDataFrame(
-        [(1, 5, "2026-03-01 10:00:00", "  Click "), (2, 0, "2026-03-01 11:00:00", "view"), (3, None, None, "x")],
-        "event_id int, user_id int, event_timestamp string, event_type string"))
+    wh.overwrite("quay", spark.createDataFrame([(1, "cod", 2.5), (2, "cod", 4.0), (3, "hake", None)], "haul int, species string, kilos double"))
     sql = """
-    -- comment line
-    DROP TABLE IF EXISTS customer_events_clean;
-    CREATE TABLE customer_events_clean AS
-    SELECT event_id, user_id, CAST(event_timestamp AS TIMESTAMP) AS event_timestamp,
-           LOWER(TRIM(event_type)) AS event_type, CURRENT_TIMESTAMP AS processed_at
-    FROM raw_events
-    WHERE event_id IS NOT NULL AND user_id IS NOT NULL AND event_timestamp IS NOT NULL AND user_id > 0;
+    -- heaviest haul of each species
+    DROP TABLE IF EXISTS heaviest;
+    CREATE TABLE heaviest AS
+    SELECT species, max(kilos) AS kilos FROM quay GROUP BY species; /* one; row each */
     """
-    assert run_sql_transform(wh, sql) == {"customer_events_clean": 1}
-    row = wh.read("customer_events_clean").first()
-    assert row.event_type == "click"
+    assert run_sql_transform(wh, sql) == {"heaviest": 2}
+    assert {r.species: r.kilos for r in wh.read("heaviest").collect()} == {"cod": 4.0, "hake": None}
     # a rebuild with a different schema replaces the table
-    run_sql_transform(wh, "SELECT event_id FROM raw_events", target="customer_events_clean")
-    assert wh.read("customer_events_clean").columns == ["event_id"]
+    run_sql_transform(wh, "SELECT haul FROM quay", target="heaviest")
+    assert wh.read("heaviest").columns == ["haul"]
+
+
+def test_sql_transform_does_what_its_statements_say(spark, wh):
+    wh.overwrite("quay", spark.range(3))
+    wh.overwrite("kept", spark.range(5))
+    assert run_sql_transform(wh, "CREATE TABLE IF NOT EXISTS kept AS SELECT id FROM quay") == {}
+    assert wh.read("kept").count() == 5
+    with pytest.raises(ValueError, match="exists"):
+        run_sql_transform(wh, "CREATE TABLE kept AS SELECT id FROM quay")
+    run_sql_transform(wh, "DROP TABLE kept")  # no rebuild: the table goes
+    assert not wh.exists("kept")
+    with pytest.raises(ValueError, match="no table"):
+        run_sql_transform(wh, "DROP TABLE kept")
+    run_sql_transform(wh, "DROP TABLE IF EXISTS kept")
+    assert run_sql_transform(wh, f"CREATE TABLE {wh.database}.mine AS SELECT id FROM quay") == {"mine": 3}
+    with pytest.raises(ValueError, match="elsewhere"):
+        run_sql_transform(wh, "CREATE TABLE elsewhere.mine AS SELECT id FROM quay")
+    assert run_sql_transform(wh, "CREATE TABLE hinted AS SELECT /*+ COALESCE(1) */ id /* a; b */ FROM quay") == {"hinted": 3}
 
 
 def test_sql_transform_from_file(spark, wh, tmp_path):
@@ -118,21 +130,33 @@ def test_parameterised_statement_is_quote_safe(spark, wh):
     assert [r.owner for r in rows] == ["it's me"]
 
 
-def test_keyed_tables_are_bucketed_and_join_without_shuffling_the_table(spark, wh):
-    from flowtable.operators.sinks import upsert_rows
+def _files(wh, table):
+    """The files of each bucket of a keyed table."""
+    out = {}
+    for f in wh.spark.table(wh.qualified(table)).inputFiles():
+        out.setdefault(f.split("_bucket=")[1].split("/")[0], set()).add(f)
+    return out
 
+
+def test_a_keyed_write_leaves_the_files_of_other_buckets(spark, wh):
     ups = spark.range(0, 2000).select((F.col("id") % 500).alias("k"), F.col("id").alias("ts"), F.lit("x").alias("v"))
-    wh.upsert("keyed", ups, ["k"], order_by=["ts"], buckets=8)
+    assert wh.upsert("keyed", ups, ["k"], order_by=["ts"], buckets=8) == 500
     b = wh.bucketing("keyed")
-    assert b is not None and b.columns == ("k",) and b.buckets == 8
-    assert wh.read("keyed").count() == 500
-    plan = upsert_rows(wh.read("keyed"), ups, ["k"], order_by=["ts"])._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan
-    assert plan.count("Exchange hashpartitioning") == 1  # only the incoming side moves
-    # a second upsert keeps the bucketing and the values
-    wh.upsert("keyed", ups.withColumn("v", F.lit("y")), ["k"], order_by=["ts"])
-    assert wh.bucketing("keyed") == b
-    assert {r.v for r in wh.read("keyed").collect()} == {"y"}
+    assert b.columns == ("k",) and b.buckets == 8 and wh.read("keyed").columns == ["k", "ts", "v"]
+    before = _files(wh, "keyed")
+    assert len(before) == 8
+    one = spark.createDataFrame([(17, 5000, "y")], "k long, ts long, v string")
+    for write in (lambda: wh.upsert("keyed", one, ["k"]), lambda: wh.update_by_key("keyed", one.withColumn("v", F.lit("z")), ["k"], {"v": "v"})):
+        assert write() < 150
+        after = _files(wh, "keyed")
+        assert sum(before[k] != after[k] for k in before) == 1
+        before = after
+    assert {r.v: r.n for r in wh.read("keyed").groupBy("v").agg(F.count("*").alias("n")).collect()} == {"x": 499, "z": 1}
+    more = spark.createDataFrame([(17, 1, "no"), (9000, 1, "new")], "k int, ts long, v string")
+    assert wh.insert_if_absent("keyed", more, ["k"], ["ts"]) == 1 and wh.read("keyed").count() == 501
+    # a rewrite with fewer keys drops the buckets it has no rows for
+    assert wh.overwrite("keyed", wh.read("keyed").where("k = 17")) == 1
+    assert [r.v for r in wh.read("keyed").collect()] == ["z"] and wh.bucketing("keyed") == b
 
 
 def test_compact_rewrites_into_fewer_files(spark, wh):
@@ -147,13 +171,33 @@ def test_compact_rewrites_into_fewer_files(spark, wh):
     assert wh.read("small").count() == 50
 
 
-def test_bucketed_overwrite_writes_one_file_per_bucket(spark, wh):
-    import glob
-
+def test_keyed_overwrite_writes_few_files(spark, wh):
     df = spark.range(0, 1000, numPartitions=6).withColumn("k", F.col("id") % 37)
     wh.overwrite("b", df, bucket_by=["k"], buckets=4)
-    files = glob.glob(wh.location("b").replace("file:", "") + "/*.parquet")
-    assert len(files) == 4
+    assert {k: len(v) for k, v in _files(wh, "b").items()} == {str(i): 1 for i in range(4)}
+    assert wh.append("b", df.limit(10)) == 10 and wh.compact("b") == 1010 and wh.read("b").count() == 1010
+
+
+def test_keys_must_be_present_and_unique(spark, wh):
+    rows = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(ValueError, match="repeated"):
+        wh.upsert("keys", rows, ["k"])
+    wh.upsert("keys", rows.limit(1), ["k"])
+    unkeyed = spark.createDataFrame([(None, "x", 1)], "k int, v string, o int")
+    for write in (lambda: wh.upsert("keys", unkeyed.drop("o"), ["k"]), lambda: wh.insert_if_absent("keys", unkeyed, ["k"], ["o"]),
+                  lambda: wh.update_by_key("keys", unkeyed, ["k"], {"v": "v"}, order_by=["o"])):
+        with pytest.raises(ValueError, match="NULL"):
+            write()
+    assert wh.read("keys").count() == 1
+
+
+def test_locations_with_quotes(spark, tmp_path):
+    from flowtable.operators.sinks import Warehouse
+
+    wh = Warehouse(spark, "ft_quoted", root=str(tmp_path / "o'brien's"))
+    assert wh.overwrite("t", spark.range(3)) == 3 and wh.overwrite("t", spark.range(2)) == 2
+    wh.ensure_load_table("l", spark.range(1).schema)
+    assert wh.append("l", spark.range(4)) == 4 and wh.read("l").count() == 4
 
 
 def test_upsert_rejects_unknown_columns(spark):
@@ -173,7 +217,7 @@ def test_append_into_a_load_partitioned_table_adds_a_load(spark, wh):
     wh.ensure_load_table("lp", spark.createDataFrame([], "k int, v string").schema)
     assert wh.append("lp", spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")) == 2
     assert wh.append("lp", spark.createDataFrame([(3,)], "k int")) == 1
-    rows = wh.read("lp").collect()
+    rows = wh.read("lp", load_id=True).collect()
     assert sorted(r.k for r in rows) == [1, 2, 3] and len({r._load_id for r in rows}) == 2
 
 

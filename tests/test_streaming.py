@@ -76,3 +76,70 @@ def test_backlog_is_split_into_micro_batches(spark, wh, tmp_path):
                           options={"header": "true"}, state=state, max_files_per_batch=1)
     assert len(results) == 3 and sum(r["rows_loaded"] for r in results) == 3
     assert state.runs().where("pipeline_name = 'backlog'").count() == 3
+
+
+def test_a_backlog_out_of_key_order_loads_the_same_however_it_is_cut(spark, tmp_path):
+    import os
+
+    from flowtable.operators.sinks import Warehouse
+
+    tables = []
+    for cap in (1, 2, None):
+        landing = tmp_path / f"landing{cap}"
+        landing.mkdir()
+        wh = Warehouse.scratch(spark, f"cap{cap}")
+        state = RunState(wh)
+        spec = LoadSpec("cut", "team", SourceSpec("csv", path=str(landing), incremental_key="id"), DestinationSpec("raw", "cut"))
+        run = lambda: stream_load(spark, spec, wh, str(landing), str(tmp_path / f"ckpt{cap}"), "id int, v int", fmt="csv",
+                                  options={"header": "true"}, state=state, max_files_per_batch=cap)
+        for i, lo in enumerate((100, 0, 50)):
+            (landing / f"f{i}.csv").write_text("id,v\n" + "".join(f"{k},{i}\n" for k in range(lo, lo + 10)))
+            os.utime(landing / f"f{i}.csv", (1_000_000 + i, 1_000_000 + i))
+        run()
+        assert state.get_mark("cut", "id") == "109"
+        (landing / "late.csv").write_text("id,v\n5,9\n109,9\n110,9\n")  # only 110 is above the stored mark
+        run()
+        assert state.get_mark("cut", "id") == "110"
+        tables.append(sorted(tuple(r) for r in wh.read("raw_cut").collect()))
+    assert tables[0] == tables[1] == tables[2] and len(tables[0]) == 31
+
+
+def test_a_rejected_batch_is_tried_again_and_marks_wait_for_the_call(spark, wh, tmp_path):
+    import os
+
+    import pytest
+
+    landing = tmp_path / "gate"
+    landing.mkdir()
+    for i, text in enumerate(("id,v\n100,1\n", "id,v\n7,\n")):
+        (landing / f"f{i}.csv").write_text(text)
+        os.utime(landing / f"f{i}.csv", (1_000_000 + i, 1_000_000 + i))
+    state = RunState(wh)
+
+    def run(checks):
+        spec = LoadSpec("gate", "team", SourceSpec("csv", path=str(landing), incremental_key="id"), DestinationSpec("raw", "gate"),
+                        quality=QualitySpec(bool(checks), checks))
+        return stream_load(spark, spec, wh, str(landing), str(tmp_path / "ckpt_gate"), "id int, v int", fmt="csv",
+                           options={"header": "true"}, state=state, max_files_per_batch=1)
+
+    with pytest.raises(Exception, match="v_known"):
+        run([Check("v_known", "v", "not_null")])
+    assert state.get_mark("gate", "id") is None  # the call did not end
+    assert sum(r["rows_loaded"] for r in run([])) == 1  # the rule was corrected: the rejected batch loads
+    assert sorted(r.id for r in wh.read("raw_gate").collect()) == [7, 100] and state.get_mark("gate", "id") == "100"
+
+
+def test_a_batch_published_before_the_crash_is_not_loaded_again(spark, wh, tmp_path, monkeypatch):
+    import pytest
+
+    events = spark.read.parquet(EVENTS)
+    landing, ckpt = str(tmp_path / "landing"), str(tmp_path / "ckpt")
+    state = RunState(wh)
+    events.write.parquet(landing)
+    with monkeypatch.context() as m:
+        m.setattr(RunState, "_write", lambda self, rows: (_ for _ in ()).throw(OSError("driver lost")))
+        with pytest.raises(Exception, match="driver lost"):
+            stream_load(spark, _spec(), wh, landing, ckpt, events.schema, state=state)
+    assert wh.read("raw_ev").count() == events.count()
+    stream_load(spark, _spec(), wh, landing, ckpt, events.schema, state=state)
+    assert wh.read("raw_ev").count() == events.count() and state.runs().where("status = 'SUCCESS'").count() == 1
