@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-TABLE_WORDS = 400_000  # words of a generation of the table; a worker keeps the last two, the ids stay the same
+TABLE_WORDS = 250_000  # words of a generation of the table; a worker keeps the last two, the ids stay the same
 SPECIAL = b"<|"  # special tokens begin so and are matched before lower-casing
 CHUNK_WORDS = 1 << 20  # words whose ids are laid out at once
 LINE_WORDS = 250  # words encoded at once
