@@ -121,9 +121,9 @@ class Probe:
 class RunState:
     """Registry, run log, schema snapshots, high-water marks and spec versions."""
 
-    def __init__(self, warehouse: Warehouse, compact_at_files: int = 512, check_every: int = 64) -> None:
-        """``compact_at_files``: rewrite the journal once it holds that many files (checked
-        every ``check_every`` appends of this object; 0 turns it off)."""
+    def __init__(self, warehouse: Warehouse, compact_at_files: int = 512, check_every: int = 1) -> None:
+        """``compact_at_files``: rewrite the journal once it holds that many files (0 turns it off),
+        whichever processes wrote them; checked after every ``check_every`` appends of this object."""
         self.wh = warehouse
         self.spark = warehouse.spark
         warehouse.ensure_table(JOURNAL_TABLE, JOURNAL)
@@ -142,7 +142,7 @@ class RunState:
     def _write(self, rows: list[tuple]) -> None:
         if not rows:
             return
-        self.wh.append(JOURNAL_TABLE, self.spark.createDataFrame(rows, JOURNAL))
+        self.wh.append(JOURNAL_TABLE, self.spark.createDataFrame(rows, JOURNAL).coalesce(1))  # a load's few events: one file
         self._appends += 1
         if self._compact_at and self._appends % self._check_every == 0:
             if len(self.journal().inputFiles()) >= self._compact_at:  # a listing, no data read

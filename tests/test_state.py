@@ -128,3 +128,10 @@ def test_journal_compacts_itself_when_files_pile_up(spark, wh):
         st.log_run(f"r{i}", "p", "SUCCESS", 1, 1, 0.1, None)
     assert len(st.journal().inputFiles()) < 6
     assert st.runs().count() == 6
+
+
+def test_the_journal_stays_small_over_many_processes(spark, wh):
+    for i in range(9):  # a fresh object for every load, as in one process a load
+        RunState(wh, compact_at_files=4).log_run(f"r{i}", f"p{i}", "SUCCESS", 1, 1, 0.1, None)
+    st = RunState(wh)
+    assert len(st.journal().inputFiles()) < 4 and st.runs().count() == 9
