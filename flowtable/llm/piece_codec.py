@@ -146,20 +146,27 @@ def decode_ids(docs: DataFrame, model_path: str) -> DataFrame:
     return docs.mapInArrow(_decode(model_path), _schema(docs, "ids", "text string"))
 
 
+ROWS = 2_000  # documents encoded and decoded at a time
+
+
 def _round_trip(path: str):
+    """Ids, their digests and whether they decode to the text, in one pass: one worker for a task."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_ids", pa.int64()), ("ids_crc32", pa.int64()), ("text_crc32", pa.int64()),
+                        ("round_trip", pa.bool_()), ("ids", pa.list_(pa.int32()))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(path)
         for batch in batches:
-            cols: list[list] = [[], [], []]
-            for ids, crc in zip(batch.column("ids"), batch.column("text_crc32").to_pylist()):
-                values = ids.values.to_numpy()
-                back = zlib.crc32(codec.decode(values.tolist()).encode())
-                for c, x in zip(cols, (len(values), zlib.crc32(values.astype("<u4").tobytes()), back == crc)):
-                    c.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), batch.column("text_crc32"),
-                 pa.array(cols[2], pa.bool_()), batch.column("ids")],
-                ["doc_id", "n_ids", "ids_crc32", "text_crc32", "round_trip", "ids"])
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                texts = [t.replace(MARK, " ") for t in text_list(part.column("text"))]
+                ids = codec.encode(texts)
+                same = [codec.decode(np.frombuffer(x, "<i4").tolist()) == t for x, t in zip(ids, texts)]
+                ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                     pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()), pa.array(same, pa.bool_()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))], schema=schema)
     return run
 
 
@@ -167,9 +174,6 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether decoding them gives the text back (marks taken for spaces)."""
     import public_tokenizers
 
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.crc32(F.translate(F.coalesce("text", F.lit("")), MARK, " ")).alias("text_crc32"), "text")
-    return encode_texts(docs, path).mapInArrow(
-        _round_trip(path), "doc_id long, n_ids long, ids_crc32 long, text_crc32 long, round_trip boolean, ids array<int>")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return docs.mapInArrow(_round_trip(public_tokenizers.path("piece_bpe_32k.model")),
+                           "doc_id long, n_ids long, ids_crc32 long, text_crc32 long, round_trip boolean, ids array<int>")
