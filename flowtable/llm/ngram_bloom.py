@@ -7,7 +7,8 @@ rate; an n-gram is also never taken for more frequent than its parts, which rule
 The filter is made of groups of ``GROUP_SEGMENTS`` segments of ``SEGMENT_BITS`` bits; an n-gram's hash names
 its segment, so counting n-grams and filling segments share one shuffle.  Its size follows the training
 tokens; no more than ``ROUND_BYTES`` of it are ever broadcast: a larger filter is sent in rounds, and each
-round adds the counts of its own segments to the blocks of text.
+round adds the counts of its own segments to the blocks of text.  The n-grams of each length are counted in
+a pass of their own, whose shuffle is given back before the next one; the passes' bits are united.
 
 Exact word counts come without a dictionary of the corpus on any machine: texts are coded in blocks, each
 with its own dictionary of word hashes, sorted.  Slices of these dictionaries, cut at the same hashes for all
@@ -17,6 +18,7 @@ compressed, and not a word; words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +30,9 @@ from pyspark.sql import functions as F
 from flowtable.llm.common import materialize, table, utf8_list
 from flowtable.llm.wordhash import hash_words, mix, words_of
 
-ORDER = 2  # longest n-gram; each order costs the disk for one more hash of every distinct n-gram of a block
+ORDER = 3  # longest n-gram; each order costs one more pass over the blocks
 BASE = 1.3  # of the logarithm that counts are rounded down to
-BITS_A_TOKEN = 8  # filter bits for each training token
+BITS_A_TOKEN = 12  # filter bits for each training token
 HASHES = 3  # bits of a member
 SEGMENT_BITS = 1 << 18
 GROUP_SEGMENTS = 32  # segments filled together: 1 MB
@@ -243,14 +245,14 @@ def _total_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["block", "part", "totals", "tokens", "words", "texts"])
 
 
-def _count_ngrams(groups: int, order: int):
-    """(group, n-gram hashes, counts) of the training texts, added up within blocks."""
+def _count_ngrams(groups: int, n: int):
+    """(group, hashes, counts) of the training texts' n-grams of ``n`` words, added up within blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             b = _Block(row)
             learn = np.repeat(b.training, b.lengths)
-            h, n = np.unique(np.concatenate([g[learn] for g in b.ngrams(order)]), return_counts=True)
-            cut = [(group, squeeze_sorted(h[s]), squeeze(n[s])) for group, s in _slices(h, groups)]
+            h, count = np.unique(b.ngrams(n)[-1][learn], return_counts=True)
+            cut = [(group, squeeze_sorted(h[s]), squeeze(count[s])) for group, s in _slices(h, groups)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([c[0] for c in cut], pa.int32()), pa.array([c[1] for c in cut], pa.binary()),
                  pa.array([c[2] for c in cut], pa.binary())], ["group", "h", "n"])
@@ -274,7 +276,7 @@ def _fill(groups: int):
 class FilterPart:
     """A run of whole groups of the filter."""
 
-    def __init__(self, bits: bytes, first_segment: int, segments: int):
+    def __init__(self, bits: bytearray, first_segment: int, segments: int):
         self.bits, self.first, self.segments = bits, first_segment, segments
 
     def levels(self, block: _Block, order: int, before: bytes | None) -> np.ndarray:
@@ -342,9 +344,19 @@ def _score(part, texts: int, tokens: int, distinct: int, order: int):
     return run
 
 
-def score_documents(docs: DataFrame, training: Column, order: int = ORDER, bits_a_token: int = BITS_A_TOKEN,
+def _release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    The scheduler holds on to its last job, so a job without a shuffle comes first.
+    """
+    spark.range(0, 1, 1, 1).collect()
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def score_documents(docs: DataFrame, training: Column, order: int = 2, bits_a_token: int = BITS_A_TOKEN,
                     round_bytes: int = ROUND_BYTES) -> DataFrame:
-    """Scores of all texts by a model of those where ``training`` is true.
+    """Scores of all texts by a model of those where ``training`` is true, with n-grams of 2 to ``order`` words.
 
     Null and empty texts are one end token.  Rows with equal or null ids are scored each for itself.
     With nothing to learn from every token has a count of 0.  No rows give no rows.
@@ -365,10 +377,15 @@ def score_documents(docs: DataFrame, training: Column, order: int = ORDER, bits_
                .agg(F.sort_array(F.collect_list(F.struct("part", "totals"))).alias("parts")))
 
     groups = max(1, -(-learned * bits_a_token // (SEGMENT_BITS * GROUP_SEGMENTS)))
-    filled = materialize(
-        blocks.mapInArrow(_count_ngrams(groups, order), "`group` int, h binary, n binary")
-        .repartition("group").sortWithinPartitions("group")
-        .mapInArrow(_fill(groups), "`group` int, bits binary, ngrams long"), "filter")
+    filled = None
+    for n in range(order, 1, -1):  # the largest shuffle while the disk holds no other part of the filter
+        _release_shuffles(spark)
+        one = materialize(
+            blocks.mapInArrow(_count_ngrams(groups, n), "`group` int, h binary, n binary")
+            .repartition("group").sortWithinPartitions("group")
+            .mapInArrow(_fill(groups), "`group` int, bits binary, ngrams long"), "filter")
+        filled = one if filled is None else filled.unionByName(one)
+    _release_shuffles(spark)
 
     group_bytes = SEGMENT_BITS * GROUP_SEGMENTS // 8
     step = max(1, round_bytes // group_bytes)
@@ -378,16 +395,17 @@ def score_documents(docs: DataFrame, training: Column, order: int = ORDER, bits_
         part = bytearray(size * group_bytes)  # at most round_bytes
         for r in filled.where((F.col("group") >= first) & (F.col("group") < first + size)).toLocalIterator():
             at = (r["group"] - first) * group_bytes
-            part[at:at + group_bytes] = r["bits"]
-        sent = spark.sparkContext.broadcast(FilterPart(bytes(part), first * GROUP_SEGMENTS, groups * GROUP_SEGMENTS))
+            np.frombuffer(part, np.uint8)[at:at + group_bytes] |= np.frombuffer(r["bits"], np.uint8)
+        sent = spark.sparkContext.broadcast(FilterPart(part, first * GROUP_SEGMENTS, groups * GROUP_SEGMENTS))
+        del part
         if first + size < groups:
             levelled = materialize(levelled.mapInArrow(_probe_round(sent, order), levelled.schema), "levels")
-    return levelled.join(counted, "block").mapInArrow(
+    return levelled.drop("entries", "learned", "seen").join(counted, "block").mapInArrow(
         _score(sent, texts, tokens, distinct, order),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op4_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all documents; those whose crc32 of the id as text mod 7 is 2 are held out."""
+    """Scores of all documents by n-grams of up to ``ORDER`` words; those whose crc32 of the id as text mod 7 is 2 are held out."""
     remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7
-    return score_documents(table(spark, sf_dir, "documents"), remainder != 2)
+    return score_documents(table(spark, sf_dir, "documents"), remainder != 2, ORDER)

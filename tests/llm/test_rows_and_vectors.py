@@ -189,6 +189,17 @@ def test_scores_equal_exact_counts_with_a_large_filter(spark, rounds, monkeypatc
         assert r["base_score"] == pytest.approx(want[3]) and r["score"] == pytest.approx(want[4])
 
 
+def test_the_query_learns_trigrams(spark, tmp_path):
+    texts = ["a b c", "x b d"] * 400 + ["a b c", "x b c"]  # both end in "b c"; only "a b c" is known
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["score"] for r in ngram_bloom.op4_bloom_lm(spark, str(tmp_path)).collect()}
+    by_pairs = {r["doc_id"]: r["score"] for r in ngram_bloom.score_documents(
+        spark.read.parquet(str(tmp_path / "documents.parquet")), F.crc32(F.col("doc_id").cast("string")) % 7 != 2, 2).collect()}
+    assert by_pairs[800] == pytest.approx(by_pairs[801], abs=0.1)
+    assert got[800] > got[801] + 0.5
+
+
 def test_scores_without_training_or_rows(spark):
     none = ngram_bloom.score_documents(docs_of(spark, ["a b"]), F.lit(False)).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in none] == [(3, 0, 0, 0.0)]
