@@ -14,9 +14,12 @@ import xxhash
 
 # fixed values: element names and words of the HTML standard and of common page layouts
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|textarea|title|noscript|iframe|template|svg|math|object|select|xmp|noembed|noframes"
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-                   "span strike strong sub sup time tt u var wbr br".split())
+RAW = "script|style|textarea|title|noscript|iframe|template|svg|object|select|xmp|noembed|noframes"
+MATH = frozenset("math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
+                 "msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml none".split())
+FOREIGN = MATH | {"svg", "path"}  # elements that "/>" ends
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
+                          "span strike strong sub sup time tt u var wbr br".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figcaption caption".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
                      "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd".split())
@@ -36,7 +39,8 @@ CONTENT_WORDS = frozenset("article post entry content story main".split())
 
 _TOKEN = re.compile(
     r"<!--(?s:.*?)(?:-->|\Z)"
-    rf"|<({RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>(?s:.*?)(?:</\1\s*+>|\Z)"
+    r"|<(?!svg[\s/](?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>)"  # an svg that ends itself is a tag like others
+    rf"({RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>(?s:.*?)(?:</\1\s*+>|\Z)"
     r"|<[!?][^>]*+>?"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"  # a tag with an odd quote
@@ -153,9 +157,9 @@ def parse(source: str) -> Page:
         attributes = _attributes(rest) if rest else {}
         words = frozenset(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())) if attributes else frozenset()
         in_article = any(elements[i].tag in ("article", "main") for i in stack)
-        elements.append(Element(tag, stack[-1], tag not in INLINE and _is_chrome(tag, attributes, words, in_article)
-                                or bool(words & CHROME_WORDS), words))
-        if not rest or not rest.endswith("/") or tag not in ("svg", "path"):
+        elements.append(Element(tag, stack[-1], bool(words & CHROME_WORDS) if tag in INLINE
+                                else _is_chrome(tag, attributes, words, in_article), words))
+        if not rest or not rest.endswith("/") or tag not in FOREIGN:
             stack.append(len(elements) - 1)
     flush()
     close(1)

@@ -263,6 +263,42 @@ def test_main_text_of_pages(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+def blocks_of(source):
+    return [b["text"] for b in htmltext.read_page(source)[-1]]
+
+
+@pytest.mark.parametrize("source", [
+    "<html class='no-js hidden-nav'><body><p>text</p></body></html>",
+    "<html><body class='has-sidebar'><p>text</p></body></html>",
+    "<html><body class='has-sidebar' id=menu><div class='content'><p>text</p></div></body></html>",
+    "<html><body><main class='content with-sidebar'><p>text</p></main></body></html>",
+    "<html class='cookie'><body class='footer'><main id='widget'><article><p>text</p></article></main></body></html>",
+])
+def test_body_html_and_main_are_content_whatever_their_classes(source):
+    assert blocks_of(source) == ["text"]
+
+
+def test_inline_chrome_words_still_count():
+    assert blocks_of("<article><p>a <span class='ad'>b</span></p></article>") == ["a b"]
+    assert blocks_of("<article><div class='ad'><p>b</p></div><p>a</p></article>") == ["a"]
+
+
+@pytest.mark.parametrize("head", ["<title-bar>t</title-bar>", "<object-view>t</object-view>", "<select-box>t</select-box>", "<svg-icon>t</svg-icon>"])
+def test_text_of_and_behind_names_that_begin_like_raw_ones(head):
+    assert blocks_of(f"<body><article><p>a</p>{head}<p>b</p></article></body>") == ["a", "t", "b"]
+
+
+@pytest.mark.parametrize("empty", ["<svg/>", "<svg />", "<svg class='i' data-x='>'/>", "<SVG width='1' />", "<math/>", "<math display='block' />",
+                                   "<svg>x</svg>", "<svg a='/'>x</svg>", "<svg viewBox='0'><path d='M0'/><text>x</text></svg>"])
+def test_text_behind_svg_and_math(empty):
+    assert " ".join(blocks_of(f"<body><article><p>a {empty} b</p><p>c</p></article></body>")) == "a b c"
+
+
+def test_formulas_are_text_of_their_paragraph():
+    formula = "<math><mrow><mi>x</mi><mo>=</mo><mspace width='1em'/><mn>2</mn></mrow></math>"
+    assert blocks_of(f"<body><article><p>let {formula} hold</p><p>c</p></article></body>") == ["let x=2 hold", "c"]
+
+
 def test_site_templates_go_and_copies_do_not_count(spark):
     rows = []
     for i in range(8):
