@@ -2,9 +2,10 @@
 
 Every page is read into its blocks of text and the hashes of its element subtrees.  Spark counts for
 each host in how many different pages (pages with different article regions; copies count once) a
-subtree occurs, and subtrees that recur in many of them are deleted, together with what markup itself names
-as no part of an article (menus, forms, adverts, comments and the like).  Inside a declared article only
-containers can be template: a paragraph that many articles quote stays.
+subtree occurs, and subtrees that recur are deleted, together with what markup itself names as no part of an
+article (menus, forms, adverts, comments and the like).  A container is template from ``MIN_PAGES`` pages on,
+however large its host; prose only if it also recurs in ``MIN_SHARE`` of the host's pages.  Inside a declared
+article only containers can be template: a paragraph that many articles quote stays.
 """
 
 from __future__ import annotations
@@ -13,16 +14,16 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtable.llm.common import materialize, table, text_list
 from flowtable.llm.pagetree import INLINE, PROSE, parse, region_of
 
 MIN_PAGES = 3  # different pages of a host that share a subtree
-MIN_SHARE = 0.05  # of the host's different pages
+MIN_SHARE = 0.05  # of the host's different pages; for prose
 
-_PARSED = "host string, region long, subtrees array<bigint>, blocks array<struct<text:string,path:array<bigint>>>"
+_PARSED = "host string, region long, subtrees array<bigint>, prose array<bigint>, blocks array<struct<text:string,path:array<bigint>>>"
 
 
 def host_of(url: str | None) -> str:
@@ -32,8 +33,8 @@ def host_of(url: str | None) -> str:
     return rest.rsplit("@", 1)[-1].lower()
 
 
-def read_page(source: str) -> tuple[int, list[int], list[dict]]:
-    """Region hash, hashes of subtrees that may be template, kept blocks with those above them."""
+def read_page(source: str) -> tuple[int, list[int], list[int], list[dict]]:
+    """Region hash, hashes of containers and of prose that may be template, kept blocks with those above them."""
     page = parse(source)
     region = region_of(page)
     declared = region != {0}
@@ -60,25 +61,29 @@ def read_page(source: str) -> tuple[int, list[int], list[dict]]:
         if kept:
             blocks.append({"text": text, "path": path})
     mark = xxhash.xxh64_intdigest("\n".join(b["text"] for b in blocks)) - (1 << 63)
-    return mark, sorted({page.elements[i].digest for i in candidates}), blocks
+    prose = {page.elements[i].digest for i in candidates if page.elements[i].tag in PROSE}
+    return mark, sorted({page.elements[i].digest for i in candidates} - prose), sorted(prose), blocks
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))]))]
+    kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))]))]
     for batch in batches:
         hosts, found = [host_of(u) for u in batch.column("url").to_pylist()], [read_page(t) for t in text_list(batch.column("html"))]
-        cols = [hosts, *([f[k] for f in found] for k in range(3))]
+        cols = [hosts, *([f[k] for f in found] for k in range(4))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
-            ["page_id", "url", "host", "region", "subtrees", "blocks"])
+            ["page_id", "url", "host", "region", "subtrees", "prose", "blocks"])
 
 
 def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """``host, subtree`` of the subtrees that recur across a host's different pages."""
-    pages = parsed.groupBy("host").agg(F.approx_count_distinct("region", 0.02).alias("pages"))
-    return (parsed.select("host", "region", F.explode("subtrees").alias("subtree")).distinct()
-            .groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-            .join(pages, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree"))
+    def marked(kind: str) -> Column:
+        return F.transform(kind, lambda digest: F.struct(digest.alias("subtree"), F.lit(kind == "prose").alias("prose")))
+
+    pages = parsed.select("host", "region").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    return (parsed.select("host", "region", F.inline(F.concat(marked("subtrees"), marked("prose")))).distinct()
+            .groupBy("host", "subtree", "prose").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+            .join(pages, "host").where(~F.col("prose") | (F.col("n") >= min_share * F.col("pages"))).select("host", "subtree"))
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -93,7 +98,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
     # pages whose text lies under no subtree that could be template are done; the others ask which of theirs are
     plain = parsed.where(F.size(above) == 0).select("page_id", "url", text.alias("text"))
-    asked = parsed.where(F.size(above) > 0).withColumn("row", F.xxhash64("page_id", "url", "region", "subtrees"))
+    asked = parsed.where(F.size(above) > 0).withColumn("row", F.xxhash64("page_id", "url", "region", "subtrees", "prose"))
     removed = (asked.select("row", "host", F.explode(above).alias("subtree")).distinct()
                .join(templates, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("removed")))
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], F.coalesce("removed", F.array().cast("array<bigint>"))))

@@ -317,5 +317,23 @@ def test_site_templates_go_and_copies_do_not_count(spark):
     assert htmltext.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("n", [20, 400])
+def test_containers_go_at_every_host_size_and_prose_by_share(spark, n):
+    rows = [(i, "http://site.example/", page(f"<div><p>own {i}</p></div>" + ("<div><p>sidebar</p></div><p>quoted</p>" if i < 10 else "")))
+            for i in range(n)]
+    got = htmltext.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()
+    text = {r["page_id"]: r["text"] for r in got}
+    assert len(got) == n and text[n - 1] == f"own {n - 1}"
+    assert text[3] == ("own 3" if n == 20 else "own 3\nquoted")
+
+
+@pytest.mark.parametrize("n, share", [(1000, 0.05), (2000, 0.025)])
+def test_pages_are_counted_exactly(spark, n, share):
+    blocks = "array<struct<text:string,path:array<bigint>>>"
+    rows = [("h", i, [], [1] * (i < 50) + [2] * (i < 49), []) for i in range(n)]
+    parsed = spark.createDataFrame(rows + rows[:100], f"host string, region long, subtrees array<bigint>, prose array<bigint>, blocks {blocks}")
+    assert [tuple(r) for r in htmltext.site_templates(parsed, 3, share).collect()] == [("h", 1)]
+
+
 def test_hosts():
     assert [htmltext.host_of(u) for u in (None, "", "HTTP://A.b/c", "https://u:p@x.y?z", "x.y/z", "//x#a")] == ["", "", "a.b", "x.y", "x.y", ""]
