@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from flowtable.llm import langid, minhash, packing, rules
 from flowtable.llm.common import materialize, ship_code, table
@@ -36,18 +35,22 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near duplicates.
+    """Keeps one row of each group of near duplicates: that with the smallest id, a row without an id last.
 
-    Of rows that share an id, which are one document, one stays.  Rows without an id can't be named and
-    all stay.
+    Rows are told apart by a number of their own, so rows that share an id are copies only if their texts
+    are.  Texts without a word are copies of nothing; of those that share an id one stays.
     """
     ship_code(spark)
-    kept = minhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                      F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    one = row.join(kept, "doc_id", "left_semi").withColumn(
-        "n", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("n = 1")
-    return one.select("row.*").unionByName(row.where("doc_id IS NULL").select("row.*"))
+    rows = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+                       .withColumn("n", F.monotonically_increasing_id()), "rows")
+    found = minhash.near_duplicates(rows.select(F.col("n").alias("doc_id"), F.col("row.text").alias("text"))).select(
+        F.col("doc_id").alias("n"), "component_id", (F.col("n_shingles") == 0).alias("blank"))
+    ids = rows.select("n", F.col("row.doc_id").cast("long").alias("id"), F.xxhash64("row.text").alias("text"))
+    group = [F.when(F.col("blank"), F.coalesce("id", "n")).otherwise(F.col("component_id")).alias("group"),
+             "blank", (F.col("blank") & F.col("id").isNull()).alias("alone")]
+    first = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "text", "n")).alias("first")
+    kept = found.join(ids, "n").groupBy(*group).agg(first).select(F.col("first.n").alias("n"))
+    return rows.join(kept, "n", "left_semi").select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

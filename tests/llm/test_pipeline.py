@@ -45,6 +45,17 @@ def test_each_stage_takes_effect_and_keeps_columns(spark, planted):
     assert seen["packing"].count(10_004) >= 1
 
 
+def test_one_row_of_each_text_stays_whatever_its_id(spark):
+    a, b, c = "a passage that three rows have in common", "before all others but only once", "copies without any id at all here"
+    rows = [(7, a), (3, a), (7, b), (None, a.upper()), (None, c), (None, c), (5, c + " and more words"), (None, "said only here and by nobody"),
+            (9, ""), (9, None), (None, ""), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.remove_near_duplicates(spark, docs, SMALL).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got if (r["text"] or "").strip()) == [
+        (0, c), (0, "said only here and by nobody"), (3, a), (5, c + " and more words"), (7, b)]
+    assert sorted(r["doc_id"] or 0 for r in got if not (r["text"] or "").strip()) == [0, 0, 9]
+
+
 def test_clean_documents_stay(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     good = spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1").select("doc_id")
