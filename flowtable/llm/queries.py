@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from flowtable.llm.chat import OP13_SQL, op13_chat_format
+from flowtable.llm.clustering import OP12_SQL, op12_orchard_clusters
 from flowtable.llm.common import shipped
 from flowtable.llm.htmltext import op10_site_templates
 from flowtable.llm.langid import op8_language_id
@@ -13,6 +15,7 @@ from flowtable.llm.rules import op9_decision_list
 from flowtable.llm.sharding import op6_ring_shards
 from flowtable.llm.token_counts import op1_token_counts
 from flowtable.llm.topk import OP2_SQL, op2_va_topk
+from flowtable.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
@@ -25,10 +28,15 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_decision_list": op9_decision_list,
     "op10_site_templates": op10_site_templates,
+    "op11_whitening": op11_whitening,
+    "op12_orchard_clusters": op12_orchard_clusters,
+    "op13_chat_format": op13_chat_format,
 }
 
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
 ORACLE = {
     "op2_va_topk": OP2_SQL,
+    "op12_orchard_clusters": OP12_SQL,
+    "op13_chat_format": OP13_SQL,
 }

@@ -1,0 +1,307 @@
+"""Whitening, centroid clustering and chat formatting against brute force."""
+
+import hashlib
+import math
+import re
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from flowtable.llm import chat, clustering, spectrum, whitening
+
+VECTORS = "vec_id long, embedding array<float>, component int, cluster int, n long, label int"
+RNG = np.random.default_rng(5)
+
+
+def vectors_of(spark, vectors, ids=None):
+    ids = range(len(vectors)) if ids is None else ids
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 7, 8, 9, 1)
+                                  for i, v in zip(ids, vectors)], VECTORS)
+
+
+# -- spectrum slicing
+
+def matrices():
+    q = np.linalg.qr(RNG.standard_normal((30, 30)))[0]
+    x = RNG.standard_normal((80, 20))
+    yield "covariance", 16, x.T @ x
+    yield "rank 7", 7, (y := RNG.standard_normal((7, 24))).T @ y
+    yield "equal eigenvalues", 15, q @ np.diag([5.0] * 7 + [3 + 1e-12, 3, 3 - 1e-12] + [0.25] * 5 + [0.0] * 15) @ q.T
+    yield "close eigenvalues", 16, q @ np.diag(1 + 1e-9 * np.arange(30)) @ q.T
+    yield "fast decay", 12, q @ np.diag(10.0 ** -np.arange(30)) @ q.T
+    yield "identity", 6, np.eye(6)
+    yield "one entry", 1, np.array([[2.5]])
+
+
+@pytest.mark.parametrize("name,rank,a", list(matrices()))
+def test_leading_eigenpairs_match_a_library(name, rank, a):
+    values, vectors = spectrum.leading_eigenpairs(a, 16)
+    scale = np.abs(a).max()
+    want = np.sort(np.linalg.eigvalsh(a))[::-1]
+    assert len(values) == rank
+    assert np.abs(values - want[:len(values)]).max() < 1e-13 * scale
+    assert np.abs(vectors.T @ vectors - np.eye(len(values))).max() < 1e-13
+    assert np.abs(a @ vectors - vectors * values).max() < 1e-13 * scale
+
+
+def test_no_component_without_variance():
+    assert len(spectrum.leading_eigenpairs(np.zeros((4, 4)), 3)[0]) == 0
+    assert len(spectrum.leading_eigenpairs(np.zeros((0, 0)), 3)[0]) == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 9), st.integers(0, 10 ** 6), st.floats(-4, 4).map(lambda s: s + 0.0137))
+def test_inertia_counts_eigenvalues_above(d, seed, shift):
+    a = np.random.default_rng(seed).integers(-2, 3, (d, d)).astype(float)
+    a += a.T  # many zero pivots
+    values = np.linalg.eigvalsh(a)
+    if np.abs(values - shift).min() > 1e-9:
+        assert spectrum.count_above(a, shift) == (values > shift).sum()
+
+
+# -- whitening
+
+def brute_whitening(vectors, k):
+    x = [[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for v in vectors]
+    n, s = len(x), [sum(c) for c in zip(*x)]
+    deviation = [sum((n * c - t) ** 2 for c, t in zip(v, s)) for v in x]
+    centred = np.array([[(n * c - t) / n for c, t in zip(v, s)] for v in x])
+    cov = centred.T @ centred / n
+    e, q = np.linalg.eigh(cov)
+    e, q = e[::-1][:k], q[:, ::-1][:, :k]
+    return n, deviation, centred @ q / np.sqrt(e), e / np.trace(cov)
+
+
+def test_whitening_matches_brute_force(spark):
+    vectors = (RNG.standard_normal((300, 12)) * np.linspace(0.2, 3, 12)).tolist()
+    rows = whitening.whiten(vectors_of(spark, vectors).repartition(5), "vec_id", "embedding", components=8).collect()
+    n, deviation, white, explained = brute_whitening(vectors, 8)
+    assert len(rows) == 300 * 8
+    got = np.zeros((300, 8))
+    for r in rows:
+        got[r["vec_id"], r["component"] - 1] = r["whitened"]
+        assert r["n"] == n and r["deviation"] == deviation[r["vec_id"]]
+        assert r["identity_error"] < 1e-10
+        assert abs(r["explained"] / explained[r["component"] - 1] - 1) < 1e-10
+    sign = np.sign((got * white).sum(axis=0))
+    assert np.abs(got * sign - white).max() < 1e-9
+
+
+def test_whitening_leaves_broken_vectors_out_and_keeps_repeats(spark):
+    good = [[0.5, 1.0], [-0.25, 2.0], [0.5, 1.0], [3.0, -1.0]]
+    broken = [None, [None, 1.0], [float("nan"), 1.0], [float("inf"), 0.0]]
+    df = vectors_of(spark, good + broken, [1, None, 1, 4, 5, 6, 7, 8])
+    rows = whitening.whiten(df, "vec_id", "embedding").collect()
+    assert sorted((r["vec_id"] or 0, r["component"]) for r in rows) == [(0, 1), (0, 2), (1, 1), (1, 1), (1, 2), (1, 2), (4, 1), (4, 2)]
+    _, deviation, _, _ = brute_whitening(good, 2)
+    assert {r["deviation"] for r in rows if r["vec_id"] == 4} == {deviation[3]}
+    assert whitening.whiten(df, "vec_id", "embedding").columns == [
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+
+
+@pytest.mark.parametrize("vectors", [[], [None], [[1.0, 2.0]], [[1.0, 2.0]] * 3, [[]], [[], []]])
+def test_whitening_without_variance_has_no_rows(spark, vectors):
+    assert whitening.whiten(vectors_of(spark, vectors), "vec_id", "embedding").collect() == []
+
+
+def test_whitening_of_ragged_and_huge_vectors(spark):
+    rows = whitening.whiten(vectors_of(spark, [[1.0], [2.0, 3.0], [-1.0, 0.5, 2.0]]), "vec_id", "embedding").collect()
+    _, deviation, _, _ = brute_whitening([[1.0, 0, 0], [2.0, 3.0, 0], [-1.0, 0.5, 2.0]], 2)
+    assert {(r["vec_id"], r["deviation"]) for r in rows} == set(enumerate(deviation))
+    rows = whitening.whiten(vectors_of(spark, [[1e30, 1.0], [-1e30, 2.0], [0.0, 3.0]]), "vec_id", "embedding").collect()
+    assert rows and {r["vec_id"]: r["deviation"] for r in rows}[0] is None
+    assert all(math.isfinite(r["whitened"]) for r in rows)
+
+
+# -- clustering
+
+def brute_clusters(rows, k, rounds, width):
+    """Rows of (id, vector): cluster and distance of each."""
+    x = [(i, [math.floor(1024 * float(np.float32(c))) for c in v]) for i, v in rows]
+    first = sorted((hashlib.sha256(f"3:{i}".encode()).hexdigest(), v) for i, v in x if i is not None)[:k]
+    centroids = [v for _, v in first]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        groups = {}
+        for _, v in x:
+            groups.setdefault(nearest(v)[1], []).append(v)
+        for j, members in groups.items():
+            centroids[j] = [sum(c) // len(members) for c in zip(*members)]
+    out = [(i, *nearest(v)[::-1]) for i, v in x]
+    return out, centroids
+
+
+@pytest.mark.parametrize("n,k", [(200, 8), (60, 25), (3, 8), (1, 8)])
+def test_clusters_match_brute_force(spark, n, k):
+    rows = [(i * 7, (RNG.standard_normal(5) * 0.2 + RNG.integers(0, 4)).tolist()) for i in range(n)]
+    df = vectors_of(spark, [v for _, v in rows], [i for i, _ in rows]).repartition(4)
+    got = clustering.cluster(df, "vec_id", "embedding", width=5, k=k, rounds=4).collect()
+    want, centroids = brute_clusters(rows, k, 4, 5)
+    assert sorted((r["vec_id"], r["cluster"], r["distance"]) for r in got) == sorted(want)
+    total = sum(d for *_, d in want)
+    for r in got:
+        assert r["inertia"] == total
+        assert r["cluster_inertia"] == sum(d for _, c, d in want if c == r["cluster"])
+        assert r["centroid_sha256"] == hashlib.sha256(",".join(map(str, centroids[r["cluster"]])).encode()).hexdigest()
+
+
+def test_clusters_with_repeats_ties_and_broken_vectors(spark):
+    rows = [(1, [0.0, 0.0]), (1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [-1.0, 0.0]), (None, [0.5, 0.0]), (4, [1.0, 0.0])]
+    broken = [(5, None), (6, [1.0]), (7, [None, 1.0]), (8, [float("nan"), 0.0]), (9, [1.0, 2.0, 3.0])]
+    df = vectors_of(spark, [v for _, v in rows + broken], [i for i, _ in rows + broken])
+    got = clustering.cluster(df, "vec_id", "embedding", width=2, k=4, rounds=3).collect()
+    want, _ = brute_clusters(rows, 4, 3, 2)
+    key = lambda r: tuple(-1 if x is None else x for x in r)
+    assert sorted(((r["vec_id"], r["cluster"], r["distance"]) for r in got), key=key) == sorted(want, key=key)
+
+
+@pytest.mark.parametrize("vectors,ids", [([], []), ([None], [1]), ([[1.0, 2.0]], [None])])
+def test_clusters_of_nothing(spark, vectors, ids):
+    df = clustering.cluster(vectors_of(spark, vectors, ids), "vec_id", "embedding", width=2)
+    assert df.collect() == [] and "centroid_sha256" in df.columns
+
+
+def test_clusters_of_huge_components(spark):
+    rows = [(1, [1e30, 0.0]), (2, [-1e30, 0.0]), (3, [3e12, 1.0])]
+    got = clustering.cluster(vectors_of(spark, [v for _, v in rows], [1, 2, 3]), "vec_id", "embedding", width=2, k=2, rounds=2)
+    assert {r["vec_id"] for r in got.collect()} == {1, 2, 3}
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 30), st.integers(1, 12), st.integers(1, 3), st.integers(0, 10 ** 6), st.sampled_from([3, 1 << 40]))
+def test_orchard_search_finds_the_nearest_centroid(n, k, width, seed, spread):
+    rng = np.random.default_rng(seed)
+    centroids, points = rng.integers(-spread, spread, (k, width)), rng.integers(-spread, spread, (n, width))
+    of, distance = clustering.Orchard(centroids).nearest(points)
+    for p, j, d in zip(points.astype(object), of, distance):
+        assert (d, j) == min((int(((p - c) ** 2).sum()), i) for i, c in enumerate(centroids.astype(object)))
+
+
+# -- chat formatting
+
+CHATS = "conv_id long, turn long, role string, text string, piece long, conv string"
+
+
+def chats_of(spark, rows):
+    return spark.createDataFrame([(*r, 5, "x") for r in rows], CHATS)
+
+
+def escape(text):
+    return re.sub(r"(</?turn>)", r"\\\1", text)
+
+
+def formatted(turns):
+    return "".join(f"<turn>{r}\n{escape(t)}\n</turn>\n" for r, t in turns)
+
+
+def want_digest(turns):
+    said = [t for r, t in turns if r == "assistant"]
+    return (len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(),
+            len("".join(said)), hashlib.sha256("".join(said).encode()).hexdigest(), len(formatted(turns)))
+
+
+PIECES = st.lists(st.sampled_from(["\\", "<turn>", "</turn>", "\n", "<", "turn>", "</", "a", "é😀", " "]), max_size=8).map("".join)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a\\n<b", "", "x\ny"]), PIECES, st.booleans()), min_size=1, max_size=6))
+def test_assembly_is_read_back_exactly(rows):
+    new = np.array([True] + [b for *_, b in rows[1:]])
+    made = chat.assemble(new, pa.array([r for r, *_ in rows]), pa.array([t for _, t, _ in rows]), "assistant")
+    groups = []
+    for (role, text, _), first in zip(rows, new):
+        if first:
+            groups.append([])
+        groups[-1].append((role, text))
+    for i, turns in enumerate(groups):
+        text = made["text"][i].as_py()
+        assert [(r.decode(), t.decode()) for r, t in chat.parse_turns(text.encode())] == turns
+        assert made["n_chars"][i].as_py() == len(text) and made["n_turns"][i].as_py() == len(turns)
+        spans = zip(made["loss_start"][i].as_py(), made["loss_length"][i].as_py())
+        assert [chat.unescape_text(text.encode()[a:a + n]).decode() for a, n in spans] == [t for r, t in turns if r == "assistant"]
+
+
+def test_assembly_in_small_steps_and_of_slices(monkeypatch):
+    monkeypatch.setattr(chat, "SCATTER", 7)
+    texts = ["</turn><turn>" * 5, "", "long " * 40, "\\</turn>\\"]
+    roles = ["user", "assistant", "assistant", "user"]
+    whole = pa.array(["zzz", *texts, "yyy"])
+    made = chat.assemble(np.array([True, False, True, False]), pa.array(["q", *roles, "q"]).slice(1, 4), whole.slice(1, 4), "assistant")
+    assert made["text"].to_pylist() == [formatted(list(zip(roles, texts))[:2]), formatted(list(zip(roles, texts))[2:])]
+
+
+def test_a_malformed_text_is_an_error():
+    with pytest.raises(ValueError):
+        chat.parse_turns(b"<turn>user\nhello")
+
+
+@pytest.mark.parametrize("partitions,keep", [(1, 32 << 20), (7, 32 << 20), (7, 50)])
+def test_digests_of_conversations_over_many_tasks(spark, monkeypatch, partitions, keep):
+    monkeypatch.setattr(chat, "KEEP_BYTES", keep)
+    chats = {0: [("user", "hi"), ("assistant", "</turn> \\<turn>")], 1: [("system", "")], 2: [("assistant", "é😀" * 3000)]}
+    chats[5] = [("user" if i % 2 else "assistant", f"turn {i} \\</turn>" * (i % 5)) for i in range(600)]  # most of all rows
+    chats |= {i: [("user", f"q{i}"), ("assistant", f"a{i}")] for i in range(10, 60)}
+    rows = [(c, t, r, x) for c, turns in chats.items() for t, (r, x) in enumerate(turns)]
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pieces = chat.format_conversations(chats_of(spark, rows).repartition(4))
+        got = {r[0]: tuple(r)[1:] for r in chat.digest_conversations(pieces).collect()}
+        joined = {}
+        for r in sorted(pieces.collect(), key=lambda r: r["piece"]):
+            joined[r["conv"]] = joined.get(r["conv"], "") + r["text"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == {c: want_digest(turns) for c, turns in chats.items()}
+    assert joined == {c: formatted(turns) for c, turns in chats.items()}
+
+
+def test_chats_with_nulls_ties_and_repeats(spark):
+    rows = [(1, 1, "user", "b"), (1, 1, "assistant", None), (1, None, "user", "first"), (None, 0, None, "x"), (None, 0, None, "x"),
+            (2, 0, "assistant", ""), (2, 0, "assistant", "")]
+    got = {r[0]: tuple(r)[1:] for r in chat.digest_conversations(chat.format_conversations(chats_of(spark, rows))).collect()}
+    assert got == {1: want_digest([("user", "first"), ("assistant", ""), ("user", "b")]),
+                   None: want_digest([("", "x"), ("", "x")]), 2: want_digest([("assistant", "")] * 2)}
+
+
+def test_chats_of_nothing(spark):
+    df = chat.digest_conversations(chat.format_conversations(chats_of(spark, [])))
+    assert df.collect() == [] and df.columns[0] == "conv"
+
+
+@pytest.mark.parametrize("name", ["op12_orchard_clusters", "op13_chat_format"])
+def test_queries_match_their_sql(spark, name):
+    from flowtable.llm.queries import ORACLE, QUERIES
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    want = con.execute(ORACLE[name])
+    columns = [c[0] for c in want.description]
+    got = QUERIES[name](spark, sf)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(want.fetchall())
+
+
+def test_whitening_query_matches_brute_force(spark):
+    from flowtable.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    vectors = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()}
+    ids = sorted(vectors)
+    n, deviation, white, explained = brute_whitening([vectors[i] for i in ids], 32)
+    rows = QUERIES["op11_whitening"](spark, sf).collect()
+    assert len(rows) == 32 * n and max(r["identity_error"] for r in rows) < 1e-10
+    got, at = np.zeros((n, 32)), {i: j for j, i in enumerate(ids)}
+    for r in rows:
+        got[at[r["vec_id"]], r["component"] - 1] = r["whitened"]
+        assert r["deviation"] == deviation[at[r["vec_id"]]]
+        assert abs(r["explained"] / explained[r["component"] - 1] - 1) < 1e-9
+    assert np.abs(got * np.sign((got * white).sum(axis=0)) - white).max() < 1e-6
