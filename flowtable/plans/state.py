@@ -2,15 +2,14 @@
 
 Every state change is an event row: ``register`` (a spec's fields), ``run`` (one finished
 load), ``mark`` (a high-water mark), ``schema`` (one column of a schema snapshot) and
-``version`` (a changed spec fingerprint).  Nothing is ever rewritten, so concurrent loads of
-different tables never contend for a snapshot, and the usual tables -- registry, run log,
-marks, schemas, versions -- are views that take the latest event per key (``max_by`` over
-event time and a sequence number).
+``version`` (a changed spec fingerprint).  No event is ever changed, and the usual tables --
+registry, run log, marks, schemas, versions -- are views that take the latest event per key
+(``max_by`` over event time and a sequence number).
 
 A load buffers its events and appends them in one write when it finishes (success or
 failure), and reads everything it needs about its past (last version, mark, stored
-schema compared with the incoming one) in one small query.  ``compact`` rewrites the
-journal into few files when many small appends have piled up.
+schema compared with the incoming one) in one small query of its name's partition.  Writers
+never share a folder, and compaction never hides an event written beside it (``journal``).
 """
 
 from __future__ import annotations
@@ -38,6 +37,7 @@ from flowtable.functions.columns import status_symbol, utc_now
 from flowtable.operators.runlog import run_health
 from flowtable.operators.schema import drift_lines, schema_compare, schema_drift, schema_rows
 from flowtable.operators.sinks import Warehouse
+from flowtable.plans.journal import Journal
 
 S, L, TS = StringType(), LongType(), TimestampNTZType()
 
@@ -122,11 +122,11 @@ class RunState:
     """Registry, run log, schema snapshots, high-water marks and spec versions."""
 
     def __init__(self, warehouse: Warehouse, compact_at_files: int = 512, check_every: int = 1) -> None:
-        """``compact_at_files``: rewrite the journal once it holds that many files (0 turns it off),
-        whichever processes wrote them; checked after every ``check_every`` appends of this object."""
+        """``compact_at_files``: compact the segments of a name's partition once that many have piled up
+        (0 turns it off), whichever processes wrote them; checked after every ``check_every`` appends."""
         self.wh = warehouse
         self.spark = warehouse.spark
-        warehouse.ensure_table(JOURNAL_TABLE, JOURNAL)
+        self._journal = Journal(warehouse, JOURNAL_TABLE, JOURNAL, "pipeline_name")
         self._pending: list[tuple] | None = None
         self._compact_at = compact_at_files
         self._check_every = max(1, check_every)
@@ -142,11 +142,11 @@ class RunState:
     def _write(self, rows: list[tuple]) -> None:
         if not rows:
             return
-        self.wh.append(JOURNAL_TABLE, self.spark.createDataFrame(rows, JOURNAL).coalesce(1))  # a load's few events: one file
+        buckets = self._journal.append(rows)
         self._appends += 1
         if self._compact_at and self._appends % self._check_every == 0:
-            if len(self.journal().inputFiles()) >= self._compact_at:  # a listing, no data read
-                self.compact()
+            for bucket in buckets:
+                self._journal.compact_full_levels(bucket, max(2, self._compact_at))
 
     @contextmanager
     def deferred(self):
@@ -161,11 +161,17 @@ class RunState:
                 self._write(rows)
 
     # -- reading
-    def journal(self) -> DataFrame:
-        return self.wh.read(JOURNAL_TABLE)
+    def journal(self, pipeline_name: str | None = None) -> DataFrame:
+        """All events, or those of one name, each once."""
+        return self._journal.once(self._journal.scan(pipeline_name))
 
-    def _kind(self, kind: str) -> DataFrame:
-        return self.journal().where(F.col("kind") == F.lit(kind))
+    def _kind(self, kind: str, pipeline_name: str | None = None) -> DataFrame:
+        """Events of a kind, for uses that need each event once."""
+        return self._journal.once(self._latest(kind, pipeline_name))
+
+    def _latest(self, kind: str, pipeline_name: str | None = None) -> DataFrame:
+        """Events of a kind, for uses that take the latest or least: an event may come twice."""
+        return self._journal.scan(pipeline_name).where(F.col("kind") == F.lit(kind))
 
     @staticmethod
     def tables() -> list[str]:
@@ -194,12 +200,12 @@ class RunState:
         """One row per registered name: latest registration fields, creation time, and the last
         run's time and status from the run log (NULL if it never ran)."""
         order = F.struct("at", "seq")
-        latest = self._kind("register").groupBy("pipeline_name").agg(
+        latest = self._latest("register").groupBy("pipeline_name").agg(
             *[F.max_by(F.col(c), order).alias(c) for c in REGISTRY_FIELDS],
             F.min("at").alias("created_at"),
             F.max("at").alias("_registered_at"),
         )
-        last_run = self._kind("run").groupBy("pipeline_name").agg(
+        last_run = self._latest("run").groupBy("pipeline_name").agg(
             F.max("at").alias("last_run_at"),
             F.max_by("status", order).alias("last_status"),
         )
@@ -231,17 +237,17 @@ class RunState:
 
     def stored_schema(self, pipeline_name: str) -> DataFrame:
         """Column rows of the latest snapshot; empty before the first load."""
-        mine = self._kind("schema").where(F.col("pipeline_name") == F.lit(pipeline_name))
-        latest = mine.agg(F.max("snapshot_seq").alias("snapshot_seq"))
+        mine = self._kind("schema", pipeline_name)
+        latest = self._latest("schema", pipeline_name).agg(F.max("snapshot_seq").alias("snapshot_seq"))
         return mine.join(latest, "snapshot_seq", "left_semi").select("column_name", "column_type", "ordinal")
 
-    def is_empty(self) -> bool:
-        """True when the journal has no files yet (a driver-side listing, no Spark job)."""
-        return not self.journal().inputFiles()
+    def is_empty(self, pipeline_name: str) -> bool:
+        """True when nothing is recorded in the name's partition (a catalog listing, no Spark job)."""
+        return self._journal.is_empty(pipeline_name)
 
     def stored_columns(self, pipeline_name: str) -> list[tuple[str, str]]:
         """(name, type) of the latest snapshot in column order (one row per column)."""
-        if self.is_empty():
+        if self.is_empty(pipeline_name):
             return []
         rows = self.stored_schema(pipeline_name).orderBy("ordinal").collect()
         return [(r["column_name"], r["column_type"]) for r in rows]
@@ -251,7 +257,7 @@ class RunState:
 
     # -- high-water marks
     def _mark_of(self, pipeline_name: str, key: str) -> DataFrame:
-        mine = self._kind("mark").where((F.col("pipeline_name") == F.lit(pipeline_name)) & (F.col("incremental_key") == F.lit(key)))
+        mine = self._latest("mark", pipeline_name).where(F.col("incremental_key") == F.lit(key))
         return mine.agg(F.max_by("max_value", F.struct("at", "seq")).alias("value"))
 
     def get_mark(self, pipeline_name: str, key: str) -> str | None:
@@ -266,8 +272,7 @@ class RunState:
 
     def release_marks(self, pipeline_name: str, key: str, dtype) -> None:
         """Advance the stored mark to the greatest held one, also of earlier calls that were cut off."""
-        held = self.journal().where(F.col("kind").isin("held_mark", "mark") & (F.col("pipeline_name") == F.lit(pipeline_name))
-                                    & (F.col("incremental_key") == F.lit(key)))
+        held = self._journal.scan(pipeline_name).where(F.col("kind").isin("held_mark", "mark") & (F.col("incremental_key") == F.lit(key)))
         top = held.agg(F.max_by(F.struct("max_value", "run_id", "kind"),
                                 F.struct(F.col("max_value").cast(dtype), F.col("kind") == "mark", "at", "seq")).alias("m")).first()["m"]
         if top is not None and top["kind"] == "held_mark":
@@ -278,7 +283,7 @@ class RunState:
 
     # -- spec versions
     def _last_version(self, pipeline_name: str) -> DataFrame:
-        mine = self._kind("version").where(F.col("pipeline_name") == F.lit(pipeline_name))
+        mine = self._latest("version", pipeline_name)
         return mine.agg(F.max_by("version_hash", F.struct("at", "seq")).alias("value"))
 
     def record_version(self, spec, last_hash: str | None) -> bool:
@@ -299,9 +304,9 @@ class RunState:
     # -- one-query probe for a load
     def probe(self, spec, incoming: StructType) -> Probe:
         """Last version hash, current mark and the schema comparison, in one small job."""
-        if self.is_empty():  # nothing recorded yet: no version, no mark, no stored schema
-            return Probe(None, None, [], False)
         name = spec.name
+        if self.is_empty(name):  # nothing recorded yet: no version, no mark, no stored schema
+            return Probe(None, None, [], False)
         key = spec.source.incremental_key
         none_s, none_i = F.lit(None).cast("string"), F.lit(None).cast("int")
         parts = [self._last_version(name).select(F.lit("version").alias("part"), F.col("value").alias("a"),
@@ -325,16 +330,16 @@ class RunState:
         drift = drift_lines([c for c in cols if c["change"] is not None]) if stored_before else []
         return Probe(version, mark, drift, stored_before)
 
-    def has_succeeded(self, run_id: str) -> bool:
+    def has_succeeded(self, run_id: str, pipeline_name: str) -> bool:
         """Whether a run with this id already completed (replay guard for streaming batches)."""
-        if self.is_empty():
+        if self.is_empty(pipeline_name):
             return False
-        done = self._kind("run").where((F.col("run_id") == F.lit(run_id)) & (F.col("status") == "SUCCESS"))
+        done = self._latest("run", pipeline_name).where((F.col("run_id") == F.lit(run_id)) & (F.col("status") == "SUCCESS"))
         return not done.isEmpty()
 
     # -- maintenance
-    def compact(self, files: int = 1) -> None:
-        """Rewrite the journal into ``files`` files sorted by name, kind and time, so the
-        parquet statistics let a load's probe skip row groups of other names."""
-        ordered = self.journal().repartition(files).sortWithinPartitions("pipeline_name", "kind", "at", "seq")
-        self.wh.overwrite(JOURNAL_TABLE, ordered)
+    def compact(self) -> None:
+        """Make one segment of each name partition, sorted by name, kind and time, so that parquet
+        statistics let a load's probe skip row groups of other names."""
+        for bucket in range(self._journal.buckets):
+            self._journal.compact(bucket)

@@ -51,7 +51,7 @@ def stream_load(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{tag}-{batch_id}"
-        if state.has_succeeded(run_id):
+        if state.has_succeeded(run_id, spec.name):
             return
         # publish through the caller's session: foreachBatch hands us a cloned session whose
         # relation cache the caller would not see refreshed

@@ -1,4 +1,7 @@
+import pytest
+
 from flowtable.operators.runlog import failure_alerts, format_alert, latest_failure, run_health
+from flowtable.plans.journal import Journal
 from flowtable.plans.runner import destination_conflicts
 from flowtable.plans.spec import DestinationSpec, LoadSpec, SourceSpec
 from flowtable.plans.state import RunState
@@ -122,16 +125,90 @@ def test_compact_keeps_events_and_probe_pushes_name_filter(spark, wh):
     assert "EqualTo(pipeline_name,b)" in plan
 
 
-def test_journal_compacts_itself_when_files_pile_up(spark, wh):
+def test_journal_compacts_itself_when_segments_pile_up(spark, wh):
     st = RunState(wh, compact_at_files=6, check_every=3)
     for i in range(6):
         st.log_run(f"r{i}", "p", "SUCCESS", 1, 1, 0.1, None)
-    assert len(st.journal().inputFiles()) < 6
+    assert len(st._journal.segments(st._journal.bucket_of("p"))) == 1
     assert st.runs().count() == 6
 
 
 def test_the_journal_stays_small_over_many_processes(spark, wh):
-    for i in range(9):  # a fresh object for every load, as in one process a load
-        RunState(wh, compact_at_files=4).log_run(f"r{i}", f"p{i}", "SUCCESS", 1, 1, 0.1, None)
+    for i in range(11):  # a fresh object for every load, as in one process a load
+        RunState(wh, compact_at_files=3).log_run(f"r{i}", "p", "SUCCESS", 1, 1, 0.1, None)
+    st = RunState(wh)
+    # tiers: nine runs are one segment of the second level, two are on their own
+    assert [s[:2] for s in st._journal.segments(st._journal.bucket_of("p"))] == ["l0", "l0", "l2"]
+    assert sorted(r.run_id for r in st.runs().collect()) == sorted(f"r{i}" for i in range(11))
+
+
+def test_compaction_keeps_events_written_beside_it(spark, wh, monkeypatch):
+    st, other = RunState(wh), RunState(wh)
+    st.set_mark("p", "k", "1")
+    st.set_mark("p", "k", "2")
+    register, unregister = Journal._register, Journal._unregister
+
+    def between_write_and_switch(self, bucket, segment, path):
+        if segment.startswith("l1"):
+            other.set_mark("p", "k", "3")
+        register(self, bucket, segment, path)
+
+    def between_switch_and_cleaning(self, bucket, segments):
+        other.set_mark("p", "late", "4")
+        assert st.marks().count() == 4  # old and new segments are both there: each event once
+        unregister(self, bucket, segments)
+
+    with monkeypatch.context() as m:
+        m.setattr(Journal, "_register", between_write_and_switch)
+        m.setattr(Journal, "_unregister", between_switch_and_cleaning)
+        st.compact()
+    assert st.get_mark("p", "k") == "3" and st.get_mark("p", "late") == "4"
+    assert sorted(r.max_value for r in st.marks().collect()) == ["1", "2", "3", "4"]
+
+
+def test_a_compaction_that_is_lost_half_way_counts_nothing_twice(spark, wh, monkeypatch):
+    st = RunState(wh)
+    for i in range(3):
+        st.log_run(f"r{i}", "p", "SUCCESS", 1, 1, 0.1, None)
+    with monkeypatch.context() as m:
+        m.setattr(Journal, "_unregister", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            st.compact()
+    assert st.runs().count() == 3 and st.health().count() == 0
+    st.register(spec("p"))
+    assert st.health().first().total_runs == 3
+    st.compact()
+    assert len(st._journal.segments(st._journal.bucket_of("p"))) == 1 and st.runs().count() == 3
+
+
+def test_two_compactions_at_once_lose_and_double_nothing(spark, wh, monkeypatch):
+    st, other = RunState(wh), RunState(wh)
+    for i in range(4):
+        st.log_run(f"r{i}", "p", "SUCCESS", 1, 1, 0.1, None)
+    bucket = st._journal.bucket_of("p")
+    listed = st._journal.segments(bucket)
+    add = Journal._add
+
+    def other_first(self, *args):
+        if self is st._journal:
+            other._journal.compact(bucket, listed)
+        add(self, *args)
+
+    monkeypatch.setattr(Journal, "_add", other_first)
+    st._journal.compact(bucket, listed)
+    monkeypatch.undo()
+    assert len(st._journal.segments(bucket)) == 2 and st.runs().count() == 4
+    st.compact()
+    assert len(st._journal.segments(bucket)) == 1 and st.runs().count() == 4
+
+
+def test_a_probe_reads_the_partition_of_its_name(spark, wh):
     st = RunState(wh)
-    assert len(st.journal().inputFiles()) < 4 and st.runs().count() == 9
+    names = [f"n{i}" for i in range(8)]
+    for n in names:
+        st.set_mark(n, "k", n)
+    assert all(st.get_mark(n, "k") == n for n in names[:3])
+    read = st._mark_of("n7", "k")
+    mine = st._journal.bucket_of("n7")
+    assert len(read.inputFiles()) == len(st._journal.segments(mine)) < 8
+    assert f"_name_bucket#" in (plan := read._jdf.queryExecution().executedPlan().toString()) and "PartitionFilters: [isnotnull(_name_bucket" in plan
