@@ -20,6 +20,7 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -260,7 +261,7 @@ class Warehouse:
         return f"{_q(self.database)}.{_q(table)}"
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(f"{self.database}.{table}")
+        return self.spark.catalog.tableExists(self.qualified(table))
 
     def read(self, table: str, load_id: bool = False) -> DataFrame:
         """Whole-table scan of the current snapshot (lazy); the load id only when asked for."""
@@ -301,7 +302,7 @@ class Warehouse:
     def _create(self, table: str, schema: StructType, path: str, bucketing: Bucketing | None) -> None:
         schema = nullable(schema)
         if bucketing is None:
-            self.spark.catalog.createTable(f"{self.database}.{table}", path=path, source="parquet", schema=schema)
+            self.spark.catalog.createTable(self.qualified(table), path=path, source="parquet", schema=schema)
         else:
             self.spark.sql(
                 f"CREATE TABLE {self.qualified(table)} ({ddl_columns(schema)}, {_q(BUCKET)} INT) USING parquet "
@@ -339,7 +340,7 @@ class Warehouse:
             self.spark.sql(f"{alter} {part(b)} SET {to(b)}")
         if whole and there - written:
             self.spark.sql(f"{alter} DROP " + ", ".join(part(b) for b in sorted(there - written)))
-        self.spark.catalog.refreshTable(f"{self.database}.{table}")
+        self.spark.catalog.refreshTable(self.qualified(table))
 
     def _touched(self, table: str, rows: DataFrame) -> tuple[DataFrame, list[int]]:
         """The rows of the buckets that the keys of ``rows`` fall into, and those buckets."""
@@ -421,7 +422,7 @@ class Warehouse:
         if b is None:
             # add files to the current snapshot folder, then drop cached listings of the table
             aligned.write.mode("append").parquet(self.location(table))
-            self.spark.catalog.refreshTable(f"{self.database}.{table}")
+            self.spark.catalog.refreshTable(self.qualified(table))
         else:
             self._bucketed(aligned, b).hint("rebalance", BUCKET).write.mode("append").insertInto(self.qualified(table))
         return observed_rows(obs, lambda: df)
@@ -541,6 +542,14 @@ class Warehouse:
         wanted = f"SHOW PARTITIONS {self.qualified(table)} PARTITION ({_q(LOAD_ID)} = {_text(load_id)})"
         return bool(self.spark.sql(wanted).take(1))
 
+    def loads(self, table: str, prefix: str = "") -> list[str]:
+        """Ids of the published loads that begin with ``prefix`` (catalog entries), sorted."""
+        if not self.exists(table) or not self.is_load_table(table):
+            return []
+        rows = self.spark.sql(f"SHOW PARTITIONS {self.qualified(table)}").collect()
+        ids = (unquote(r[0].split("=", 1)[1]) for r in rows)
+        return sorted(i for i in ids if i.startswith(prefix))
+
     def read_load(self, table: str, load_id: str) -> DataFrame:
         """The rows of one published load."""
         return self.read(table, load_id=True).where(F.col(LOAD_ID) == F.lit(load_id)).drop(LOAD_ID)
@@ -572,7 +581,7 @@ class Warehouse:
             raise ValueError(f"columns not in target table: {extra}; target has {sorted(known)}")
         self.spark.sql(f"ALTER TABLE {self.qualified(table)} ADD IF NOT EXISTS PARTITION ({_q(LOAD_ID)} = {_text(load_id)}) "
                        f"LOCATION {_text(path)}")
-        self.spark.catalog.refreshTable(f"{self.database}.{table}")
+        self.spark.catalog.refreshTable(self.qualified(table))
 
     def execute(self, sql: str, params=None) -> DataFrame:
         """Run one statement with bound parameters in this database (values never enter the text)."""

@@ -178,6 +178,13 @@ SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority || chr(10) |
                        WHEN o_orderkey % 5 > 2 THEN o_orderpriority END AS o_orderpriority) FROM orders""",
     "json_records": "SELECT * REPLACE (CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS c_mktsegment) FROM customer",
     "stream_split_backlog": "SELECT * FROM events",
+    "stream_restart": "SELECT * FROM events",
+    "stream_unique_key": "SELECT * FROM events",
+    "derived_rows": _CLEAN_EVENTS,
+    "derived_groups": """
+SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_events, count(DISTINCT event_type) AS n_types,
+       max(value) AS top_value, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM events GROUP BY user_id, CAST(ts AS DATE)""",
     "drift_blocked_load": """
 SELECT 'SUCCESS' AS status, count(*) AS rows_extracted, count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_without_key,
        CAST(NULL AS VARCHAR) AS error_message FROM orders

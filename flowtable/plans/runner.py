@@ -2,7 +2,7 @@
 
     probe (last version, mark, stored schema vs incoming: one query)
     -> drift gate -> key > mark -> one write that measures rows, mark and rule violations
-    -> quality gate -> publish -> SQL transform -> one journal append with every state event
+    -> quality gate -> publish -> derived tables, SQL transform -> one journal append with every state event
 
 The source is read and written once.  An append is published as a partition named by the run id
 and an overwrite by pointing the table at what was written, so nothing is copied and a run that is
@@ -31,6 +31,7 @@ from flowtable.functions.columns import col
 from flowtable.operators.changes import duplicate_keys, key_conflicts
 from flowtable.operators.incremental import incremental_filter, mark_text, require_key, typed_mark
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
+from flowtable.operators.refresh import refresh
 from flowtable.operators.runlog import format_alert
 from flowtable.operators.schema import drift_error_text
 from flowtable.operators.sinks import Warehouse, align_by_name, nullable, observed, observed_rows
@@ -264,8 +265,11 @@ def _run_load(spark, spec, warehouse, force, source, state, on_failure, run_id,
         if key and metrics.get("_mark") is not None:
             (state.hold_mark if pinned else state.set_mark)(spec.name, key, metrics["_mark"], run_id)
 
-        if spec.transform and spec.transform.sql:
-            run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
+        if spec.transform:
+            for table in spec.transform.derived:
+                refresh(warehouse, spec.destination.physical, table)
+            if spec.transform.sql:
+                run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
 
         duration = round(time.time() - start, 2)
         state.log_run(run_id, spec.name, "SUCCESS", counts["extracted"], counts["loaded"], duration, None, counts["null_keys"])

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from flowtable.operators.quality import Check
+from flowtable.operators.refresh import GroupTable, Measure, RowTable
 
 LOAD_MODES = ("append", "overwrite")
 
@@ -48,6 +49,16 @@ class QualitySpec:
 class TransformSpec:
     sql: str | None = None  # SQL text or a .sql path
     target: str | None = None  # table for a bare SELECT
+    # tables that follow the destination load by load, instead of a rebuild after each
+    derived: list[RowTable | GroupTable] = field(default_factory=list)
+
+
+def _derived(d: dict[str, Any]) -> RowTable | GroupTable:
+    """``columns`` make a row table; ``keys`` and ``measures`` (``kind`` and ``expr`` each) a group table."""
+    if "columns" in d:
+        return RowTable(d["target"], d["columns"], d.get("where"))
+    measures = {n: Measure(m["kind"], m.get("expr")) for n, m in (d.get("measures") or {}).items()}
+    return GroupTable(d["target"], d.get("keys") or {}, measures, d.get("where"))
 
 
 @dataclass
@@ -66,6 +77,8 @@ class LoadSpec:
     def __post_init__(self) -> None:
         if self.load_mode not in LOAD_MODES:
             raise ValueError(f"load_mode must be one of {LOAD_MODES}, got {self.load_mode!r}")
+        if self.transform and self.transform.derived and (self.load_mode != "append" or not self.destination.load_partitions):
+            raise ValueError("derived tables follow the loads of a load-partitioned append destination")
 
     def tracked_fields(self) -> dict[str, Any]:
         """Fields whose change makes a new recorded version of the spec.
@@ -117,7 +130,8 @@ class LoadSpec:
                     for c in qc.get("checks") or []
                 ],
             ),
-            transform=TransformSpec(sql=tr.get("sql"), target=tr.get("target")) if tr else None,
+            transform=TransformSpec(sql=tr.get("sql"), target=tr.get("target"),
+                                    derived=[_derived(x) for x in tr.get("derived") or []]) if tr else None,
             notify_on_failure=bool((d.get("notify") or {}).get("on_failure", False)),
             runtime_parameters=dict(d.get("runtime_parameters") or {}),
         )

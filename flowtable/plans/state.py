@@ -278,6 +278,16 @@ class RunState:
         if top is not None and top["kind"] == "held_mark":
             self.set_mark(pipeline_name, key, top["max_value"], top["run_id"])
 
+    def end_call(self, pipeline_name: str, tag: str, batch_id: int) -> None:
+        """Record that a streaming call ended: its mark covers all batches of the checkpoint up to this one."""
+        self._add([_event("call_end", pipeline_name, run_id=tag, snapshot_seq=batch_id)])
+
+    def last_ended_batch(self, pipeline_name: str, tag: str) -> int:
+        """The last batch of a checkpoint's calls that ended; -1 before the first."""
+        ends = self._latest("call_end", pipeline_name).where(F.col("run_id") == F.lit(tag))
+        found = ends.agg(F.max("snapshot_seq")).first()[0]
+        return -1 if found is None else found
+
     def marks(self) -> DataFrame:
         return self._kind("mark").select("pipeline_name", "incremental_key", "max_value", F.col("at").alias("recorded_at"), "run_id")
 

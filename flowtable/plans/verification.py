@@ -17,6 +17,7 @@ from flowtable.functions.columns import fingerprint
 from flowtable.operators.changes import duplicate_keys, key_conflicts, latest_by_key, track_versions, version_changes
 from flowtable.operators.incremental import incremental_filter, marks_by
 from flowtable.operators.quality import Check, quality_report
+from flowtable.operators.refresh import GroupTable, Measure, RowTable, fold
 from flowtable.operators.runlog import failure_alerts, latest_failure, run_health
 from flowtable.operators.sinks import Warehouse
 from flowtable.operators.transform import clean_events as clean_events_op
@@ -518,6 +519,46 @@ def q_stream_split_backlog(spark, sf):
     return wh.read("raw_events")
 
 
+class _Rejected(Exception):
+    """A load that was meant to fail did not."""
+
+
+def _cut_off_stream(spark, sf, wh, unique_key=None):
+    """A call that loads the larger part of ``events`` and is ended by a rule on the rest; then rows land again
+    (without a unique key those that were loaded, with one all events) and a call without the rule finishes."""
+    state = RunState(wh)
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream-checkpoint")
+    events = _t(spark, sf, "events")
+    late = F.col("ts") > F.lit(SPLIT).cast("timestamp_ntz")
+    parts = sorted(((events.where(c).count(), i, events.where(c)) for i, c in enumerate((late, ~late))), reverse=True)
+    parts[0][2].write.parquet(landing)
+    files = len(spark.read.schema(events.schema).parquet(landing).inputFiles())  # the first micro-batch: these files
+    parts[1][2].write.mode("append").parquet(landing)
+    spec = events_spec(sf)
+    spec.quality = QualitySpec(True, [Check("as_many_as_before", None, "min_rows", parts[0][0])])
+    try:
+        stream_load(spark, spec, wh, landing, checkpoint, events.schema, state=state, max_files_per_batch=files, unique_key=unique_key)
+    except Exception as exc:  # noqa: BLE001 - Spark wraps the error of a micro-batch
+        if "as_many_as_before" not in str(exc):
+            raise
+    else:
+        raise _Rejected("the rule did not end the call")
+    (events if unique_key else parts[0][2]).write.mode("append").parquet(landing)
+    spec.quality = QualitySpec(False)
+    stream_load(spark, spec, wh, landing, checkpoint, events.schema, state=state, max_files_per_batch=files, unique_key=unique_key)
+    return wh.read("raw_events")
+
+
+def q_stream_restart(spark, sf):
+    """``events`` over a call that was cut off, then what had been loaded lands again: every event once."""
+    return _cut_off_stream(spark, sf, Warehouse.scratch(spark, "restart"))
+
+
+def q_stream_unique_key(spark, sf):
+    """As ``stream_restart``, with all events landing again and streaming state that holds the keys seen."""
+    return _cut_off_stream(spark, sf, Warehouse.scratch(spark, "unique"), unique_key=["event_id"])
+
+
 def _table_spec(sf: str, table: str, mode: str = "append", checks=None) -> LoadSpec:
     return LoadSpec(
         name=f"{table}_feed",
@@ -555,6 +596,40 @@ def q_end_to_end_load(spark, sf):
     return wh.read("user_days")
 
 
+TIDY_EVENTS = RowTable("tidy_events", {
+    "event_id": "event_id", "user_id": "user_id", "ts": "CAST(ts AS TIMESTAMP_NTZ)", "event_type": "lower(trim(event_type))",
+}, where="event_id IS NOT NULL AND ts IS NOT NULL AND user_id > 0")
+USER_DAYS = GroupTable("user_days", {"user_id": "user_id", "day": "CAST(CAST(ts AS DATE) AS STRING)"}, {
+    "n_events": Measure("count"), "n_types": Measure("count_distinct", "event_type"), "top_value": Measure("max", "value"),
+    "cents": Measure("sum", "CAST(round(value * 100) AS BIGINT)"),
+})
+
+
+def _three_loads(spark, sf, wh, events, table, between=None):
+    """``events`` in three incremental loads, each followed by a refresh of the derived table."""
+    spec = events_spec(sf)
+    spec.transform = TransformSpec(derived=[table])
+    state = RunState(wh)
+    for upto in ("2024-01-10", "2024-01-29", None):
+        rows = events if upto is None else events.where(F.col("ts") < F.lit(upto).cast(events.schema["ts"].dataType))
+        _require(run_load(spark, spec, wh, source=rows, state=state))
+        if between is not None and upto is not None:
+            between()
+    return wh.read(table.target)
+
+
+def q_derived_rows(spark, sf):
+    """A tidy projection of untidy events that follows three loads, reading each of them once."""
+    wh = Warehouse.scratch(spark, "derivedrows")
+    return _three_loads(spark, sf, wh, _untidy_events(spark, sf), TIDY_EVENTS)
+
+
+def q_derived_groups(spark, sf):
+    """Users' days from partial aggregates of three loads, folded after each of the first two."""
+    wh = Warehouse.scratch(spark, "derivedgroups")
+    return _three_loads(spark, sf, wh, _t(spark, sf, "events"), USER_DAYS, between=lambda: fold(wh, USER_DAYS))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_orders": q_clean_orders,
     "clean_events": q_clean_events,
@@ -588,6 +663,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_partitions": q_load_partitions,
     "stream_available_now": q_stream_available_now,
     "stream_split_backlog": q_stream_split_backlog,
+    "stream_restart": q_stream_restart,
+    "stream_unique_key": q_stream_unique_key,
+    "derived_rows": q_derived_rows,
+    "derived_groups": q_derived_groups,
     "drift_blocked_load": q_drift_blocked_load,
     "forced_load": q_forced_load,
     "upsert_partial_columns": q_upsert_partial_columns,
