@@ -111,7 +111,7 @@ def _read_for_load(spark: SparkSession, spec: LoadSpec, state: RunState) -> tupl
     stored = state.stored_columns(spec.name)
     if not stored:
         return read_source(spark, src), False
-    header = read_csv(spark, src.path, infer=False, **src.options).columns  # first line only
+    header = read_csv(spark, src.path, infer=False, check_quotes=False, **src.options).columns  # first line only
     if header != [name for name, _ in stored]:
         return read_source(spark, src), False
     ddl = ", ".join(f"`{name.replace('`', '``')}` {dtype}" for name, dtype in stored)

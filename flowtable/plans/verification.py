@@ -244,7 +244,7 @@ def q_csv_roundtrip(spark, sf):
         F.col("o_orderkey") % 5 == 0, F.concat(F.col("o_orderpriority"), F.lit('\nsaid "urgent", then left'))).when(
         F.col("o_orderkey") % 5 == 1, "NA").when(F.col("o_orderkey") % 5 == 2, "null").otherwise(F.col("o_orderpriority")))
     orders.write.option("header", "true").option("escape", '"').csv(path)
-    back = read_csv(spark, path)
+    back = read_csv(spark, path, multiLine="true")
     return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in orders.schema.fields])
 
 

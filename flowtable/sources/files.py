@@ -11,9 +11,10 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 from flowtable.errors import SourceError
+from flowtable.session import scratch_path
 
 
 def _not_found(exc: AnalysisException) -> bool:
@@ -43,66 +44,107 @@ def read_csv(
     schema: StructType | str | None = None,
     infer: bool = True,
     null_tokens: Sequence[str] = NULL_TOKENS,
+    check_quotes: bool = True,
     **options: str,
 ) -> DataFrame:
     """CSV with a header row, any file extension, column names kept verbatim.
 
-    A quoted value may hold line breaks (``multiLine``).  Such a file can't be split, so one task
-    reads each file; for large files without line breaks in values pass ``multiLine="false"``.  Values
-    equal to one of ``null_tokens`` are NULL, before types are inferred.
+    Files are split between tasks, a record being a line.  A source whose quoted values hold line breaks says
+    so with ``multiLine="true"``; then one task reads each file.  Without it a pass over the lines stops the
+    read with a ``SourceError`` if a quote stays open at the end of a line (``check_quotes=False`` leaves the pass
+    out).  Values equal to one of ``null_tokens`` are NULL, before types are inferred.
 
     With ``schema`` nothing is inferred (the production choice: inference costs an extra
     pass over the data).  A header-only file gives an empty frame of string columns.
     """
-    opts = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "multiLine": "true", **options}
-    reader = spark.read.options(**opts)
-    if not null_tokens:
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", str(bool(infer)).lower())
-        return _load(lambda: reader.csv(path), path, "CSV")
-    text = _load(lambda: reader.csv(path), path, "CSV")  # all columns as text
-    present = text.select(*[F.when(~c.isin(*null_tokens), c).alias(n) for n in text.columns for c in [_column(n)]])
-    if schema is None and not infer:
-        return present
-    wanted = _inferred(present) if schema is None else StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    strict = opts["mode"].upper() == "FAILFAST"
-    names = [*present.columns, *[None] * (len(wanted.fields) - len(present.columns))]  # absent columns are NULL
-    return present.select(*[_typed(_column(n) if n else F.lit(None).cast("string"), f, strict).alias(f.name)
-                            for n, f in zip(names, wanted.fields)])
+    opts = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "multiLine": "false", **options}
+
+    def load(**more) -> DataFrame:
+        reader = spark.read.options(**opts, **more)
+        return _load(lambda: (reader if wanted is None else reader.schema(wanted)).csv(path), path, "CSV")
+
+    wanted = None
+    text = load()  # all columns as text
+    if check_quotes and opts["multiLine"].lower() == "false":
+        _require_closed_quotes(spark, path, opts)
+    if schema is not None:
+        wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    elif infer:
+        wanted = _inferred(spark, text, load(inferSchema="true").schema, null_tokens)
+    if null_tokens and wanted is not None and opts["mode"].upper() == "FAILFAST":
+        return _strictly_typed(_without_tokens(text, null_tokens), wanted)
+    return _without_tokens(load(), null_tokens)
+
+
+def _require_closed_quotes(spark: SparkSession, path: str, opts: dict[str, str]) -> None:
+    """Stop if a line ends inside a quoted value: it holds an odd number of quotes, these being doubled inside values."""
+    if opts.get("quote", '"') != '"' or opts["escape"] != '"' or "encoding" in opts or "charset" in opts:
+        return  # other rules: the reader alone knows them
+    lines = spark.read.options(**{k: v for k, v in opts.items() if k in ("lineSep", "recursiveFileLookup", "pathGlobFilter")}).text(path)
+    open_quote = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+    if opts.get("comment"):
+        open_quote = open_quote & ~F.col("value").startswith(opts["comment"])
+    found = lines.where(open_quote).take(1)
+    if found:
+        raise SourceError(f"CSV source {path}: a quote stays open at the end of a line, as in {found[0][0][:80]!r}; "
+                          'if values hold line breaks, set the option multiLine="true"')
 
 
 def _column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-_DAY = r"^\d{4}-\d{1,2}-\d{1,2}"
-# types that a text column is tried as, in order, and the shape its values must have
-_INFERRED = {"int": None, "bigint": None, "double": None, "date": _DAY + "$", "timestamp": _DAY, "boolean": "^(?i:true|false)$"}
-
-
-def _inferred(text: DataFrame) -> StructType:
-    """The narrowest type that every non-NULL value of each column has (one aggregate); text if none."""
-    tests = {}
-    for i, name in enumerate(text.columns):
-        c = _column(name)
-        tests[f"n{i}"] = F.count(c)
-        for kind, shape in _INFERRED.items():
-            fits = c.try_cast(kind).isNotNull() & (c == F.trim(c))
-            tests[f"{kind}{i}"] = F.bool_and(c.isNull() | (fits & c.rlike(shape) if shape else fits))
-    found = text.agg(*[e.alias(k) for k, e in tests.items()]).first() if text.columns else {}
-    out = StructType()
-    for i, name in enumerate(text.columns):
-        kinds = [k for k in _INFERRED if found[f"n{i}"] and found[f"{k}{i}"]]
-        out.add(StructField(name, StructType.fromDDL(f"c {kinds[0] if kinds else 'string'}")["c"].dataType))
-    return out
-
-
-def _typed(c: Column, field: StructField, strict: bool) -> Column:
-    """The value as the field's type; text that has none is NULL, or with ``strict`` stops the query."""
-    value = c.try_cast(field.dataType)
-    if not strict:
-        return value
-    message = F.concat(F.lit(f"{BAD_VALUE}: column {field.name} can't hold "), c)
-    return F.when(c.isNotNull() & value.isNull(), F.raise_error(message).cast(field.dataType)).otherwise(value)
+def _without_tokens(df: DataFrame, null_tokens: Sequence[str]) -> DataFrame:
+    """Texts that stand for a missing value (and a number that is not one) become NULL."""
+    if not null_tokens:
+        return df
+    out = []
+    for field in df.schema.fields:
+        c = _column(field.name)
+        if isinstance(field.dataType, StringType):
+            c = F.when(~c.isin(*null_tokens), c)
+        elif isinstance(field.dataType, (FloatType, DoubleType)):
+            c = F.when(~F.isnan(c), c)
+        out.append(c.alias(field.name))
+    return df.select(*out)
+
+
+_PLAIN = r"^[-+0-9.,:/ TZeE]+$|^(?i:true|false)$"  # what a number, date, time or boolean can be written with
+
+
+def _inferred(spark: SparkSession, text: DataFrame, found: StructType, null_tokens: Sequence[str]) -> StructType:
+    """Spark's own inference.  Columns that came out as text, hold null tokens and nothing else that must be text are
+    inferred again without the tokens; only these columns are written for that."""
+    texts = [f.name for f in found.fields if isinstance(f.dataType, StringType)]
+    if not null_tokens or not texts:
+        return found
+    marks = {}
+    for i, name in enumerate(texts):
+        token = _column(name).isin(*null_tokens)
+        marks[f"t{i}"] = F.bool_or(token)
+        marks[f"p{i}"] = F.bool_and(token | _column(name).rlike(_PLAIN))
+    seen = text.agg(*[e.alias(k) for k, e in marks.items()]).first()
+    again = [name for i, name in enumerate(texts) if seen[f"t{i}"] and seen[f"p{i}"]]
+    if not again:
+        return found
+    masked = scratch_path(spark, "csv-columns")
+    _without_tokens(text.select(*[_column(n) for n in again]), null_tokens).write.option("header", "false").option("escape", '"').csv(masked)
+    types = [f.dataType for f in spark.read.option("inferSchema", "true").option("escape", '"').csv(masked).schema.fields]
+    better = dict(zip(again, types)) if len(types) == len(again) else {}
+    return StructType([StructField(f.name, better.get(f.name, f.dataType)) for f in found.fields])
+
+
+def _strictly_typed(text: DataFrame, wanted: StructType) -> DataFrame:
+    """Text as the wanted types by position; a value that does not fit stops the query."""
+    names = [*text.columns, *[None] * (len(wanted.fields) - len(text.columns))]  # absent columns are NULL
+    out = []
+    for name, field in zip(names, wanted.fields):
+        c = _column(name) if name else F.lit(None).cast("string")
+        value = c.try_cast(field.dataType)
+        message = F.concat(F.lit(f"{BAD_VALUE}: column {field.name} can't hold "), c)
+        value = F.when(c.isNotNull() & value.isNull(), F.raise_error(message).cast(field.dataType)).otherwise(value)
+        out.append(value.alias(field.name))
+    return text.select(*out)
 
 
 def read_json(

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import duckdb
 import pandas as pd
 import pytest
@@ -15,6 +19,13 @@ def test_contract_keys_match():
     assert set(oracle_sql()) <= set(queries())
 
 
+@pytest.mark.parametrize("gone", ["xxhash", "flowtable.llm", "corpus_pipeline"])
+def test_the_rest_is_registered_without_the_optional_part(gone):
+    code = (f"import sys; sys.modules[{gone!r}] = None; import __spark_entry__ as e; from flowtable.plans.verification import QUERIES; "
+            "assert set(QUERIES) <= set(e.queries()) and 'pipeline' not in e.queries() and set(QUERIES) <= set(e.oracle_sql())")
+    subprocess.run([sys.executable, "-W", "ignore", "-c", code], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns == ["user_id", "day", "n_events", "n_types", "top_value"]
