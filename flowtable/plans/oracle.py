@@ -185,6 +185,35 @@ SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority || chr(10) |
 SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_events, count(DISTINCT event_type) AS n_types,
        max(value) AS top_value, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
 FROM events GROUP BY user_id, CAST(ts AS DATE)""",
+    "keyed_small_updates": """
+SELECT c.* REPLACE (CASE WHEN c_custkey % 2 = 0 THEN 'EVEN' ELSE c_mktsegment END AS c_mktsegment),
+       coalesce(l.o_orderstatus, 'NONE') AS last_order_status
+FROM customer c LEFT JOIN (
+  SELECT o_custkey, o_orderstatus FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders
+  ) WHERE rn = 1
+) l ON c.c_custkey = l.o_custkey
+UNION ALL
+SELECT c_custkey + 1000000, NULL, NULL, NULL, 'NEW', NULL FROM customer
+UNION ALL
+SELECT * REPLACE (c_custkey + 2000000 AS c_custkey), 'ABSENT' FROM customer""",
+    "run_log_of_failures": """
+SELECT pipeline_name, status, rows_loaded, error, TRUE AS has_run_id, TRUE AS rounded, TRUE AS in_utc, owner, status AS last_status,
+       TRUE AS created_before, CASE WHEN status = 'SUCCESS' THEN '✓' ELSE '✗' END AS indicator
+FROM (SELECT 'a_missing' AS pipeline_name, 'FAILED' AS status, CAST(0 AS BIGINT) AS rows_loaded, 'CSV source not found' AS error,
+             'finance' AS owner
+      UNION ALL
+      SELECT 'b_keyless', 'FAILED', 0, 'incremental_key ''no_such_key'' not found in columns: ['
+             || (SELECT string_agg(chr(39) || column_name || chr(39), ', ' ORDER BY column_index) FROM duckdb_columns() WHERE table_name = 'customer')
+             || ']', 'finance'
+      UNION ALL SELECT 'customer_feed', 'SUCCESS', (SELECT count(*) FROM customer), NULL, 'warehouse-team')""",
+    "conflicting_loads": """
+SELECT 'raw_orders' AS destination, CAST(2 AS BIGINT) AS n_owners, 'orders_feed' AS first_claimant, count(*) AS rows_loaded,
+       FALSE AS loaded_before FROM orders""",
+    "param_write": r"""
+SELECT o_orderkey, 'it''s "fine"; DROP TABLE notes -- \' AS note FROM orders WHERE o_orderstatus = 'F'""",
+    "latest_event": "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 1",
+    "audited_events": f"SELECT *, TRUE AS stamped FROM ({_CLEAN_EVENTS})",
     "drift_blocked_load": """
 SELECT 'SUCCESS' AS status, count(*) AS rows_extracted, count(*) AS rows_loaded, CAST(0 AS BIGINT) AS rows_without_key,
        CAST(NULL AS VARCHAR) AS error_message FROM orders

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from flowtable.functions.columns import fingerprint
 from flowtable.operators.changes import duplicate_keys, key_conflicts, latest_by_key, track_versions, version_changes
 from flowtable.operators.incremental import incremental_filter, marks_by
+from flowtable.operators.keyed import KeyedTable
 from flowtable.operators.quality import Check, quality_report
 from flowtable.operators.refresh import GroupTable, Measure, RowTable, fold
 from flowtable.operators.runlog import failure_alerts, latest_failure, run_health
 from flowtable.operators.sinks import Warehouse
 from flowtable.operators.transform import clean_events as clean_events_op
 from flowtable.operators.transform import keep_rows, run_sql_transform
-from flowtable.plans.runner import run_all, run_load
+from flowtable.plans.runner import destination_conflicts, run_all, run_load
 from flowtable.plans.spec import DestinationSpec, LoadSpec, QualitySpec, SourceSpec, TransformSpec
 from flowtable.plans.state import RunState
 from flowtable.session import scratch_path
@@ -630,6 +631,89 @@ def q_derived_groups(spark, sf):
     return _three_loads(spark, sf, wh, _t(spark, sf, "events"), USER_DAYS, between=lambda: fold(wh, USER_DAYS))
 
 
+def q_keyed_small_updates(spark, sf):
+    """``customer`` as a keyed table with deltas: the latest order status by update, a segment by partial upsert for
+    known and new keys, absent customers by insert, then one delta of all."""
+    wh = Warehouse.scratch(spark, "keyed")
+    customer = _t(spark, sf, "customer")
+    whole = customer.withColumn("last_order_status", F.lit("NONE"))
+    table = KeyedTable(wh, "customer_status", ["c_custkey"], whole.schema)
+    table.upsert(whole)
+    orders = _t(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderstatus", "o_orderdate", "o_orderkey")
+    table.update_by_key(orders, {"last_order_status": "o_orderstatus"}, order_by=["o_orderdate", "o_orderkey"])
+    table.upsert(customer.where("c_custkey % 2 = 0").select("c_custkey", F.lit("EVEN").alias("c_mktsegment")).union(
+        customer.select(F.col("c_custkey") + 1_000_000, F.lit("NEW"))))
+    absent = customer.withColumns({"c_custkey": F.col("c_custkey") + 2_000_000, "last_order_status": F.lit("ABSENT")})
+    table.insert_if_absent(whole.unionByName(absent), ["c_name"])
+    table.merge_deltas()
+    return table.read()
+
+
+def q_run_log_of_failures(spark, sf):
+    """A load of ``customer``, one of a missing file and one by a column that is not there: what the log, the registry
+    and the health report say of them."""
+    wh = Warehouse.scratch(spark, "failures")
+    state = RunState(wh)
+    specs = [
+        LoadSpec("a_missing", "finance", SourceSpec("csv", path=scratch_path(spark, "nothing.csv")), DestinationSpec("raw", "missing")),
+        LoadSpec("b_keyless", "finance", SourceSpec("parquet", path=f"{sf.rstrip('/')}/customer.parquet", incremental_key="no_such_key"),
+                 DestinationSpec("raw", "keyless")),
+        _table_spec(sf, "customer"),
+    ]
+    for spec in specs:
+        run_load(spark, spec, wh, state=state)
+    runs = state.runs().select(
+        "pipeline_name", "status", "rows_loaded",
+        F.when(F.col("error_message").startswith("CSV"), F.substring_index("error_message", ":", 1)).otherwise(F.col("error_message")).alias("error"),
+        F.col("run_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("has_run_id"),
+        (F.round("execution_time_seconds", 2) == F.col("execution_time_seconds")).alias("rounded"),
+        (F.abs(F.unix_timestamp(F.col("run_timestamp").cast("timestamp")) - F.unix_timestamp(F.to_utc_timestamp(F.now(), F.current_timezone())))
+         < 86_400).alias("in_utc"))
+    registered = state.pipelines().select("pipeline_name", "owner", "last_status", (F.col("created_at") < F.col("last_run_at")).alias("created_before"))
+    return runs.join(registered, "pipeline_name").join(state.health().select("pipeline_name", "indicator"), "pipeline_name")
+
+
+def q_conflicting_loads(spark, sf):
+    """Two loads that name one destination are refused; then the first claimant and another load run."""
+    wh = Warehouse.scratch(spark, "conflicts")
+    orders, customer = _table_spec(sf, "orders"), _table_spec(sf, "customer")
+    second = LoadSpec("z_orders", "finance", orders.source, orders.destination)
+    specs = [second, orders, customer]
+    try:
+        run_all(spark, specs, wh)
+    except ValueError:
+        refused = wh.exists("raw_orders")  # false: nothing ran
+    run_all(spark, [orders, customer], wh)
+    loaded = RunState(wh).runs().select("pipeline_name", "rows_loaded")
+    conflicts = destination_conflicts(spark, specs)
+    return conflicts.join(loaded, conflicts["first_claimant"] == loaded["pipeline_name"]).select(
+        "destination", "n_owners", "first_claimant", "rows_loaded", F.lit(refused).alias("loaded_before"))
+
+
+QUOTED = "it's \"fine\"; DROP TABLE notes -- \\"
+
+
+def q_param_write(spark, sf):
+    """Rows written by SQL with bound parameters: quotes in a value are harmless."""
+    wh = Warehouse.scratch(spark, "params")
+    wh.append("orders_in", _t(spark, sf, "orders"))
+    wh.ensure_table("notes", _t(spark, sf, "orders").select("o_orderkey", F.lit("").alias("note")).schema)
+    wh.execute("INSERT INTO notes SELECT o_orderkey, :note FROM orders_in WHERE o_orderstatus = :status", {"note": QUOTED, "status": "F"})
+    return wh.read("notes")
+
+
+def q_latest_event(spark, sf):
+    """The last row of a log by time: one ``TakeOrderedAndProject``."""
+    return run_query(spark, f"SELECT event_id, ts, user_id, event_type, value, props FROM {_view(spark, sf, 'events')} "
+                            "ORDER BY ts DESC, event_id DESC LIMIT 1")
+
+
+def q_audited_events(spark, sf):
+    """Clean events with the audit column: one time for all rows, that of the query."""
+    clean = clean_events_op(_untidy_events(spark, sf), ts="ts", audit=True)
+    return clean.withColumn("stamped", F.abs(F.unix_timestamp(F.col("processed_at").cast("timestamp")) - F.unix_timestamp(F.now())) < 86_400).drop("processed_at")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_orders": q_clean_orders,
     "clean_events": q_clean_events,
@@ -667,6 +751,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_unique_key": q_stream_unique_key,
     "derived_rows": q_derived_rows,
     "derived_groups": q_derived_groups,
+    "keyed_small_updates": q_keyed_small_updates,
+    "run_log_of_failures": q_run_log_of_failures,
+    "conflicting_loads": q_conflicting_loads,
+    "param_write": q_param_write,
+    "latest_event": q_latest_event,
+    "audited_events": q_audited_events,
     "drift_blocked_load": q_drift_blocked_load,
     "forced_load": q_forced_load,
     "upsert_partial_columns": q_upsert_partial_columns,
