@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampType
+from pyspark.sql.types import DataType, DateType, NumericType, TimestampNTZType, TimestampType
 
 from flowtable.errors import SourceError
 from flowtable.functions.columns import col
@@ -34,6 +34,39 @@ def mark_text(value: Column, dtype: DataType) -> Column:
     return value.cast("string")
 
 
+def look_back_from(df: DataFrame, key: str, mark: str, look_back: str) -> Column:
+    """The mark minus an interval (``"36 hours"``) for a time or date key, or minus a number for a numeric one."""
+    dtype, typed = df.schema[key].dataType, typed_mark(df, key, mark)
+    if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        return (typed.cast("timestamp_ntz" if isinstance(dtype, DateType) else dtype) - F.expr(f"INTERVAL {look_back}")).cast(dtype)
+    if isinstance(dtype, NumericType):
+        return typed - F.lit(look_back).cast(dtype)
+    raise SourceError(f"incremental_key '{key}' is {dtype.simpleString()}: a look-back needs a time, a date or a number")
+
+
+def with_late_rows(
+    df: DataFrame, key: str, mark: str, look_back: str, loaded: DataFrame, unique_key: Sequence[str], with_null_keys: bool = False
+) -> DataFrame:
+    """Rows above the mark, and rows at or below it, back to ``look_back``, that equal no row of ``loaded`` in ``unique_key``.
+
+    One scan of each side: the source above the lower bound, the loaded rows between the bounds with their
+    unique key alone.  NULLs in a unique key equal each other.
+    """
+    require_key(df, key)
+    missing = [c for c in unique_key if c not in df.columns]
+    if missing:
+        raise SourceError(f"unique_key {missing} not found in columns: {list(df.columns)}")
+    lower, upper = look_back_from(df, key, mark, look_back), typed_mark(df, key, mark)
+    above = col(key) > lower
+    rows = df.where(above | col(key).isNull() if with_null_keys else above)
+    there = loaded.where((col(key) > lower) & (col(key) <= upper)).select(
+        *[col(c).cast(df.schema[c].dataType).alias(f"_there{i}") for i, c in enumerate(unique_key)]).distinct()
+    same = col(key) <= upper  # newer rows match nothing
+    for i, c in enumerate(unique_key):
+        same = same & col(c).eqNullSafe(F.col(f"_there{i}"))
+    return rows.join(there, same, "left_anti")
+
+
 def incremental_filter(
     df: DataFrame, key: str, mark: str | None, partition_column: str | None = None, with_null_keys: bool = False
 ) -> DataFrame:

@@ -185,6 +185,9 @@ SELECT * REPLACE (CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority || chr(10) |
 SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n_events, count(DISTINCT event_type) AS n_types,
        max(value) AS top_value, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
 FROM events GROUP BY user_id, CAST(ts AS DATE)""",
+    "late_rows_load": f"""
+SELECT *, (SELECT count(*) FROM events WHERE event_id % 7 = 0 AND ts <= (
+  SELECT max(ts) FROM events WHERE ts <= {_SPLIT} AND event_id % 7 <> 0)) AS rows_late FROM events""",
     "keyed_small_updates": """
 SELECT c.* REPLACE (CASE WHEN c_custkey % 2 = 0 THEN 'EVEN' ELSE c_mktsegment END AS c_mktsegment),
        coalesce(l.o_orderstatus, 'NONE') AS last_order_status

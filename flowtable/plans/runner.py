@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from flowtable.errors import SchemaDriftError
 from flowtable.functions.columns import col
 from flowtable.operators.changes import duplicate_keys, key_conflicts
-from flowtable.operators.incremental import incremental_filter, mark_text, require_key, typed_mark
+from flowtable.operators.incremental import incremental_filter, look_back_from, mark_text, require_key, typed_mark, with_late_rows
 from flowtable.operators.quality import check_metrics, failures_from_metrics, raise_on_failures
 from flowtable.operators.refresh import refresh
 from flowtable.operators.runlog import format_alert
 from flowtable.operators.schema import drift_error_text
-from flowtable.operators.sinks import Warehouse, align_by_name, nullable, observed, observed_rows
+from flowtable.operators.sinks import LOAD_ID, Warehouse, align_by_name, nullable, observed, observed_rows
 from flowtable.operators.transform import run_sql_transform
 from flowtable.plans.spec import LoadSpec
 from flowtable.plans.state import RunState
@@ -50,12 +50,13 @@ class PinnedMark:
 
 
 def _load_measures(df: DataFrame, key: str | None, mark: str | None) -> dict:
-    """Row count and the new mark (``greatest(max(key), old mark)``: it never moves backwards)."""
+    """Row count, rows at or below the old mark, and the new mark (``greatest(max(key), old mark)``: it never moves backwards)."""
     measures = {"_rows": F.count(F.lit(1))}
     if key:
         new = F.max(col(key))
         if mark is not None:
             new = F.greatest(new, typed_mark(df, key, mark))
+            measures["_late"] = F.count_if(col(key) <= typed_mark(df, key, mark))
         measures["_mark"] = mark_text(new, df.schema[key].dataType)
     return measures
 
@@ -132,6 +133,7 @@ def _write_increment(
     force: bool,
     run_id: str,
     counts: dict,
+    state: RunState,
 ) -> dict:
     """Filter, gate and publish one increment; fills ``counts`` as it goes; returns metrics."""
     table = spec.destination.physical
@@ -140,12 +142,16 @@ def _write_increment(
     nulls = None
     if key:
         nulls = Observation(f"nulls_{uuid.uuid4().hex[:8]}")
-        df = incremental_filter(df, key, mark, spec.source.partition_column, with_null_keys=True)
+        if spec.source.look_back and mark is not None and warehouse.exists(table):
+            loaded = _loaded_rows(df, spec, warehouse, state, mark)
+            df = with_late_rows(df, key, mark, spec.source.look_back, loaded, spec.source.unique_key or df.columns, with_null_keys=True)
+        else:
+            df = incremental_filter(df, key, mark, spec.source.partition_column, with_null_keys=True)
         unkeyed = df.where(col(key).isNull())
         df = df.observe(nulls, F.count_if(col(key).isNull()).alias("rows")).where(col(key).isNotNull())
 
     def gate(metrics: dict) -> dict:
-        counts["extracted"] = int(metrics["_rows"])
+        counts["extracted"], counts["late"] = int(metrics["_rows"]), int(metrics.get("_late") or 0)
         if nulls is not None:
             counts["null_keys"] = observed_rows(nulls, lambda: unkeyed)
         raise_on_failures(failures_from_metrics(checks, metrics, df.columns))
@@ -190,6 +196,7 @@ def _write_increment(
     if warehouse.has_load(table, run_id):  # published by an attempt that was lost before its state was written
         metrics = measure(warehouse.read_load(table, run_id), spec, mark)
         counts["extracted"], counts["null_keys"] = int(metrics["_rows"]), unkeyed.count() if key else 0
+        counts["late"] = int(metrics.get("_late") or 0)
         counts["loaded"] = counts["extracted"]
         return metrics
     path = warehouse.load_path(table, run_id)
@@ -203,6 +210,19 @@ def _write_increment(
     return metrics
 
 
+def _loaded_rows(df: DataFrame, spec: LoadSpec, warehouse: Warehouse, state: RunState, mark: str) -> DataFrame:
+    """What the destination holds; of a load-partitioned table only the loads that reach into the look-back."""
+    table, key = spec.destination.physical, spec.source.incremental_key
+    if not warehouse.is_load_table(table):
+        return warehouse.read(table)
+    dtype = df.schema[key].dataType
+    lower = df.sparkSession.range(1).select(
+        mark_text(look_back_from(df, key, mark, spec.source.look_back), dtype)).first()[0]
+    recent = state.loads_above(spec.name, key, dtype, lower)
+    rows = warehouse.read(table, load_id=True)
+    return (rows.where(F.col(LOAD_ID).isin(recent)) if recent else rows).drop(LOAD_ID)
+
+
 def _write_files(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
@@ -227,7 +247,7 @@ def run_load(
     """
     run_id = run_id or str(uuid.uuid4())
     start = time.time()
-    counts = {"extracted": 0, "loaded": 0, "null_keys": 0}
+    counts = {"extracted": 0, "loaded": 0, "null_keys": 0, "late": 0}
     try:
         state = state or RunState(warehouse)
         with state.deferred():
@@ -249,7 +269,7 @@ def _run_load(spark, spec, warehouse, force, source, state, on_failure, run_id,
         state.record_version(spec, probe.version_hash)
         versioned = True
         try:
-            metrics = _write_increment(spark, spec, warehouse, df, probe, mark, force, run_id, counts)
+            metrics = _write_increment(spark, spec, warehouse, df, probe, mark, force, run_id, counts, state)
         except Exception as exc:  # noqa: BLE001
             if not (typed and _malformed(exc)):
                 raise
@@ -258,7 +278,7 @@ def _run_load(spark, spec, warehouse, force, source, state, on_failure, run_id,
             if key:
                 require_key(df, key)
             probe = state.probe(spec, df.schema)
-            metrics = _write_increment(spark, spec, warehouse, df, probe, mark, force, run_id, counts)
+            metrics = _write_increment(spark, spec, warehouse, df, probe, mark, force, run_id, counts, state)
 
         if probe.drift or not probe.stored_before:  # the snapshot changes only with the column set
             state.store_schema(spec.name, df.schema)
@@ -272,13 +292,13 @@ def _run_load(spark, spec, warehouse, force, source, state, on_failure, run_id,
                 run_sql_transform(warehouse, spec.transform.sql, spec.transform.target)
 
         duration = round(time.time() - start, 2)
-        state.log_run(run_id, spec.name, "SUCCESS", counts["extracted"], counts["loaded"], duration, None, counts["null_keys"])
+        state.log_run(run_id, spec.name, "SUCCESS", counts["extracted"], counts["loaded"], duration, None, counts["null_keys"], counts["late"])
         return _result("success", counts, duration, None, run_id)
     except Exception as exc:  # noqa: BLE001 - every failure is recorded and returned
         duration = round(time.time() - start, 2)
         if not versioned:  # the spec version is recorded even when the source could not be read
             state.track_version(spec)
-        state.log_run(run_id, spec.name, "FAILED", counts["extracted"], counts["loaded"], duration, str(exc), counts["null_keys"])
+        state.log_run(run_id, spec.name, "FAILED", counts["extracted"], counts["loaded"], duration, str(exc), counts["null_keys"], counts["late"])
         if on_failure is not None and spec.notify_on_failure:
             try:
                 on_failure(format_alert(spec.name, run_id, str(exc)))
@@ -294,6 +314,7 @@ def _result(status: str, counts: dict, duration: float, error: str | None, run_i
         "rows_extracted": counts["extracted"],
         "rows_loaded": counts["loaded"],
         "rows_without_key": counts["null_keys"],
+        "rows_late": counts["late"],
         "execution_time_seconds": duration,
         "error_message": error,
     }

@@ -18,6 +18,10 @@ class SourceSpec:
     endpoint: str | None = None
     incremental_key: str | None = None
     partition_column: str | None = None  # partition column holding CAST(incremental_key AS its type)
+    # rows that come late: an interval ("36 hours") or a number below the mark that is looked at again, and the
+    # columns that tell rows apart there (default: all)
+    look_back: str | None = None
+    unique_key: list[str] = field(default_factory=list)
     options: dict[str, str] = field(default_factory=dict)
     schema: Any = None  # StructType or DDL string; None infers
     pin_schema: bool = True  # CSV without a schema: later runs read with the stored types
@@ -77,6 +81,8 @@ class LoadSpec:
     def __post_init__(self) -> None:
         if self.load_mode not in LOAD_MODES:
             raise ValueError(f"load_mode must be one of {LOAD_MODES}, got {self.load_mode!r}")
+        if self.source.look_back and (self.load_mode != "append" or not self.source.incremental_key or self.source.partition_column):
+            raise ValueError("a look-back needs an append load with an incremental key and no partition column")
         if self.transform and self.transform.derived and (self.load_mode != "append" or not self.destination.load_partitions):
             raise ValueError("derived tables follow the loads of a load-partitioned append destination")
 
@@ -116,6 +122,8 @@ class LoadSpec:
                 endpoint=src.get("endpoint"),
                 incremental_key=src.get("incremental_key"),
                 partition_column=src.get("partition_column"),
+                look_back=None if src.get("look_back") is None else str(src["look_back"]),
+                unique_key=list(src.get("unique_key") or []),
                 options=src.get("options") or {},
             ),
             destination=DestinationSpec(

@@ -65,6 +65,7 @@ _FIELDS = [
     ("execution_time_seconds", DoubleType()),
     ("error_message", S),
     ("rows_without_key", L),
+    ("rows_late", L),
     # mark
     ("incremental_key", S),
     ("max_value", S),
@@ -82,7 +83,7 @@ _INDEX = {n: i for i, (n, _) in enumerate(_FIELDS)}
 
 # Column names and order of the run log and the registry, which users' reports read.
 RUN_COLUMNS = ["run_id", "pipeline_name", "run_timestamp", "status", "rows_extracted", "rows_loaded",
-               "execution_time_seconds", "error_message", "rows_without_key"]
+               "execution_time_seconds", "error_message", "rows_without_key", "rows_late"]
 REGISTRY_FIELDS = ["owner", "source_type", "source_identifier", "destination_schema", "destination_table",
                    "schedule", "load_mode", "is_active"]
 
@@ -179,11 +180,11 @@ class RunState:
 
     # -- run log
     def log_run(self, run_id, pipeline_name, status, rows_extracted, rows_loaded, execution_time_seconds, error_message,
-                rows_without_key=0) -> None:
+                rows_without_key=0, rows_late=0) -> None:
         """Record one finished load; an absent error is stored as NULL."""
         self._add([_event("run", pipeline_name, run_id=run_id, status=status, rows_extracted=int(rows_extracted),
                           rows_loaded=int(rows_loaded), execution_time_seconds=float(execution_time_seconds),
-                          error_message=error_message, rows_without_key=int(rows_without_key))])
+                          error_message=error_message, rows_without_key=int(rows_without_key), rows_late=int(rows_late))])
 
     def runs(self) -> DataFrame:
         return self._kind("run").withColumnRenamed("at", "run_timestamp").select(*RUN_COLUMNS)
@@ -266,6 +267,12 @@ class RunState:
     def set_mark(self, pipeline_name: str, key: str, value: str, run_id: str | None = None) -> None:
         self._add([_event("mark", pipeline_name, incremental_key=key, max_value=value, run_id=run_id)])
 
+    def loads_above(self, pipeline_name: str, key: str, dtype, lower: str) -> list[str]:
+        """Run ids whose mark is above ``lower``: the loads that can hold rows above it."""
+        marks = self._journal.scan(pipeline_name).where(F.col("kind").isin("held_mark", "mark") & (F.col("incremental_key") == F.lit(key)))
+        above = marks.where(F.col("max_value").cast(dtype) > F.lit(lower).cast(dtype)).select("run_id").distinct()
+        return [r[0] for r in above.collect() if r[0] is not None]
+
     def hold_mark(self, pipeline_name: str, key: str, value: str, run_id: str | None = None) -> None:
         """Record the mark a micro-batch reached without making it the stored mark yet."""
         self._add([_event("held_mark", pipeline_name, incremental_key=key, max_value=value, run_id=run_id)])

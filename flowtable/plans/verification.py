@@ -631,6 +631,21 @@ def q_derived_groups(spark, sf):
     return _three_loads(spark, sf, wh, _t(spark, sf, "events"), USER_DAYS, between=lambda: fold(wh, USER_DAYS))
 
 
+def q_late_rows_load(spark, sf):
+    """Every seventh event of the first half comes late, with the second half; all events land again after that.  The
+    table, which holds every event once, and how many rows the run log counts as late."""
+    wh = Warehouse.scratch(spark, "late")
+    state = RunState(wh)
+    spec = events_spec(sf)
+    spec.source.look_back, spec.source.unique_key, spec.quality = "31 days", ["event_id"], QualitySpec(False)
+    events = _t(spark, sf, "events")
+    in_time = (F.col("ts") <= F.lit(SPLIT).cast("timestamp_ntz")) & (F.col("event_id") % 7 != 0)
+    for rows in (events.where(in_time), events, events):
+        _require(run_load(spark, spec, wh, source=rows, state=state))
+    late = state.runs().select(F.sum("rows_late").alias("rows_late"))
+    return wh.read("raw_events").crossJoin(F.broadcast(late))
+
+
 def q_keyed_small_updates(spark, sf):
     """``customer`` as a keyed table with deltas: the latest order status by update, a segment by partial upsert for
     known and new keys, absent customers by insert, then one delta of all."""
@@ -751,6 +766,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_unique_key": q_stream_unique_key,
     "derived_rows": q_derived_rows,
     "derived_groups": q_derived_groups,
+    "late_rows_load": q_late_rows_load,
     "keyed_small_updates": q_keyed_small_updates,
     "run_log_of_failures": q_run_log_of_failures,
     "conflicting_loads": q_conflicting_loads,

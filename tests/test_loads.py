@@ -1,5 +1,6 @@
 """Whole loads: append/overwrite, high-water marks, drift gates, failure handling."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowtable.operators.quality import Check
@@ -466,3 +467,34 @@ def test_overwrite_spec_into_a_load_partitioned_table_fails_cleanly(spark, wh, w
     res = run_load(spark, spec(write_csv("o.csv", ORDERS), name="lp3", mode="overwrite"), wh)
     assert res["status"] == "failed" and "appends only" in res["error_message"]
     assert wh.read("raw_lp3").count() == 1
+
+
+@pytest.mark.parametrize("unique", [["id"], []])
+def test_late_rows_load_once_and_repeats_do_not(spark, wh, unique):
+    state = RunState(wh)
+    spec = LoadSpec("late", "team", SourceSpec("parquet", path="/none", incremental_key="k", look_back="5", unique_key=unique),
+                    DestinationSpec("raw", "late"))
+    load = lambda rows: run_load(spark, spec, wh, source=spark.createDataFrame(rows, "k int, id string"), state=state)
+    assert load([(k, f"a{k}") for k in range(1, 11)])["rows_late"] == 0
+    res = load([(3, "too late"), (6, "late"), (6, "a6"), (8, None), (9, "a9"), (11, "new"), (None, "unkeyed")])
+    assert (res["status"], res["rows_extracted"], res["rows_late"], res["rows_without_key"]) == ("success", 3, 2, 1)
+    res = load([(6, "late"), (8, None), (11, "new"), (7, "late too"), (12, "newer")])
+    assert (res["rows_extracted"], res["rows_late"]) == (2, 1)
+    got = sorted((r.k, str(r.id)) for r in wh.read("raw_late").collect())
+    assert got == sorted([(k, f"a{k}") for k in range(1, 11)] + [(6, "late"), (8, "None"), (11, "new"), (7, "late too"), (12, "newer")])
+    assert state.get_mark("late", "k") == "12"
+    assert [r.rows_late for r in state.runs().orderBy("run_timestamp").collect()] == [0, 2, 1]
+
+
+def test_a_look_back_reads_the_loads_that_reach_into_it(spark, wh):
+    from flowtable.plans.runner import _loaded_rows
+
+    state = RunState(wh)
+    spec = LoadSpec("days", "team", SourceSpec("parquet", path="/none", incremental_key="d", look_back="2 days"), DestinationSpec("raw", "days"))
+    for day in range(1, 7):
+        df = spark.sql(f"SELECT DATE'2031-01-0{day}' AS d, {day} AS v")
+        assert run_load(spark, spec, wh, source=df, state=state)["status"] == "success"
+    assert sorted(r.v for r in _loaded_rows(df, spec, wh, state, "2031-01-06").collect()) == [5, 6]
+    for bad in ({"load_mode": "overwrite"}, {"source": SourceSpec("parquet", path="/x", look_back="1")}):
+        with pytest.raises(ValueError, match="look-back"):
+            LoadSpec(**{"name": "p", "owner": "o", "source": spec.source, "destination": spec.destination} | bad)
