@@ -1,11 +1,11 @@
 """Main text of web pages by removal of a site's templates.
 
-Every page is read into its blocks of text and the hashes of its element subtrees.  Spark counts for
-each host in how many different pages (pages with different article regions; copies count once) a
-subtree occurs, and subtrees that recur are deleted, together with what markup itself names as no part of an
-article (menus, forms, adverts, comments and the like).  A container is template from ``MIN_PAGES`` pages on,
-however large its host; prose only if it also recurs in ``MIN_SHARE`` of the host's pages.  Inside a declared
-article only containers can be template: a paragraph that many articles quote stays.
+Every page is read into its blocks of text and the hashes of its element subtrees.  Spark counts for each
+host in how many different pages (pages with different texts; copies count once) a subtree occurs, and
+subtrees that recur are deleted wherever they stand.  What markup says is a prior on what is left: elements it
+names as no part of an article (menus, forms, adverts, comments and the like) go, and a declared article is
+the text.  A container is template from ``MIN_PAGES`` pages on and prose from ``PROSE_PAGES`` on, however large the
+host; prose inside a declared article never is: a paragraph that many articles quote stays.
 """
 
 from __future__ import annotations
@@ -14,16 +14,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtable.llm.common import materialize, table, text_list
-from flowtable.llm.pagetree import INLINE, PROSE, parse, region_of
+from flowtable.llm.pagetree import INLINE, PROSE, flags_of, kept_blocks, parse
 
-MIN_PAGES = 3  # different pages of a host that share a subtree
-MIN_SHARE = 0.05  # of the host's different pages; for prose
+MIN_PAGES = 3  # different pages of a host that share a container
+PROSE_PAGES = 10  # or a paragraph, heading, item or cell outside declared articles
 
-_PARSED = "host string, region long, subtrees array<bigint>, prose array<bigint>, blocks array<struct<text:string,path:array<bigint>>>"
+_PARSED = ("row long, host string, page long, ups array<int>, flags array<int>, digests array<bigint>, prose array<int>, "
+           "at array<int>, texts array<string>")
 
 
 def host_of(url: str | None) -> str:
@@ -33,77 +34,72 @@ def host_of(url: str | None) -> str:
     return rest.rsplit("@", 1)[-1].lower()
 
 
-def read_page(source: str) -> tuple[int, list[int], list[int], list[dict]]:
-    """Region hash, hashes of containers and of prose that may be template, kept blocks with those above them."""
+def read_page(source: str) -> dict:
+    """A page as arrays: of its elements those above, flags, hashes of subtrees that may be template (else null) and
+    which of these are prose; of its blocks the element and the text; and a hash of the text that markup alone leaves."""
     page = parse(source)
-    region = region_of(page)
-    declared = region != {0}
-    inside = [bool(region.intersection(page.above(i))) for i in range(len(page.elements))]
-
-    def may_be_template(i: int) -> bool:
-        e = page.elements[i]
-        if i == 0 or i in region or e.tag in INLINE or e.tag in ("html", "body"):
-            return False
-        return not (declared and inside[i] and e.tag in PROSE)
-
-    candidates = {i for i in range(len(page.elements)) if may_be_template(i)}
-    blocks = []
-    for at, text in page.blocks:
-        path, kept = [], False
-        for i in page.above(at):
-            if i in region:
-                kept = True
-                break
-            if page.elements[i].chrome:
-                break
-            if i in candidates:
-                path.append(page.elements[i].digest)
-        if kept:
-            blocks.append({"text": text, "path": path})
-    mark = xxhash.xxh64_intdigest("\n".join(b["text"] for b in blocks)) - (1 << 63)
-    prose = {page.elements[i].digest for i in candidates if page.elements[i].tag in PROSE}
-    return mark, sorted({page.elements[i].digest for i in candidates} - prose), sorted(prose), blocks
+    digests: list[int | None] = []
+    prose = []
+    for i, e in enumerate(page.elements):
+        may_be = i > 0 and e.tag not in INLINE and e.tag not in ("html", "body") and not (e.in_article and e.tag in PROSE)
+        digests.append(e.digest if may_be else None)
+        if may_be and e.tag in PROSE:
+            prose.append(i)
+    found = {"ups": [e.up for e in page.elements], "flags": [flags_of(e) for e in page.elements], "digests": digests, "prose": prose,
+             "at": [i for i, _ in page.blocks], "texts": [t for _, t in page.blocks]}
+    found["page"] = xxhash.xxh64_intdigest(text_without(found, set())) - (1 << 63)
+    return found
+
+
+def text_without(page: dict, templates: set[int]) -> str:
+    """The page's main text without the subtrees whose hash is in ``templates``."""
+    removed = [d is not None and d in templates for d in page["digests"]] if templates else [False] * len(page["ups"])
+    kept = kept_blocks(page["ups"], page["flags"], removed, page["at"], [len(t) for t in page["texts"]])
+    return "\n".join(t for t, keep in zip(page["texts"], kept) if keep)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.struct([("text", pa.string()), ("path", pa.list_(pa.int64()))]))]
+    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+    kinds = {"page": pa.int64(), "ups": ints, "flags": ints, "digests": longs, "prose": ints, "at": ints, "texts": pa.list_(pa.string())}
     for batch in batches:
         hosts, found = [host_of(u) for u in batch.column("url").to_pylist()], [read_page(t) for t in text_list(batch.column("html"))]
-        cols = [hosts, *([f[k] for f in found] for k in range(4))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
-            ["page_id", "url", "host", "region", "subtrees", "prose", "blocks"])
+            [*(batch.column(c) for c in ("page_id", "url", "row")), pa.array(hosts, pa.string()),
+             *(pa.array([f[k] for f in found], kind) for k, kind in kinds.items())], ["page_id", "url", "row", "host", *kinds])
 
 
-def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def site_templates(parsed: DataFrame, min_pages: int = MIN_PAGES, prose_pages: int = PROSE_PAGES) -> DataFrame:
     """``host, subtree`` of the subtrees that recur across a host's different pages."""
-    def marked(kind: str) -> Column:
-        return F.transform(kind, lambda digest: F.struct(digest.alias("subtree"), F.lit(kind == "prose").alias("prose")))
+    each = parsed.select("host", "page", "prose", F.posexplode("digests").alias("i", "subtree")).where("subtree IS NOT NULL")
+    return (each.select("host", "page", "subtree", F.array_contains("prose", F.col("i")).alias("is_prose")).distinct()
+            .groupBy("host", "subtree", "is_prose").agg(F.count("*").alias("n"))
+            .where(F.col("n") >= F.when(F.col("is_prose"), prose_pages).otherwise(min_pages)).select("host", "subtree"))
 
-    pages = parsed.select("host", "region").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    return (parsed.select("host", "region", F.inline(F.concat(marked("subtrees"), marked("prose")))).distinct()
-            .groupBy("host", "subtree", "prose").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-            .join(pages, "host").where(~F.col("prose") | (F.col("n") >= min_share * F.col("pages"))).select("host", "subtree"))
 
-
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, prose_pages: int = PROSE_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (``page_id``, ``url``, ``html``).
 
-    Null or empty html has an empty text; a null url is a host of its own.  Repeated rows stay repeated.
+    Null or empty html has an empty text; a null url is a host of its own.  Repeated rows stay repeated.  Time and
+    memory of a page are linear in its length, however deep or broken its markup is; other columns are not read.
     """
-    parsed = materialize(pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
-                         .mapInArrow(_read, "page_id long, url string, " + _PARSED), "parsed")
-    templates = materialize(site_templates(parsed, min_pages, min_share), "templates")
-    above = F.array_distinct(F.flatten(F.transform("blocks", lambda b: b["path"])))
-    text = F.array_join(F.transform("blocks", lambda b: b["text"]), "\n")
-    # pages whose text lies under no subtree that could be template are done; the others ask which of theirs are
-    plain = parsed.where(F.size(above) == 0).select("page_id", "url", text.alias("text"))
-    asked = parsed.where(F.size(above) > 0).withColumn("row", F.xxhash64("page_id", "url", "region", "subtrees", "prose"))
-    removed = (asked.select("row", "host", F.explode(above).alias("subtree")).distinct()
-               .join(templates, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("removed")))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["path"], F.coalesce("removed", F.array().cast("array<bigint>"))))
-    cleaned = asked.join(removed, "row", "left").withColumn("blocks", kept).select("page_id", "url", text.alias("text"))
-    return plain.unionByName(cleaned).withColumn("n_chars", F.length("text").cast("long"))
+    source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+                          F.col("html").cast("string").alias("html"), F.monotonically_increasing_id().alias("row"))
+    parsed = materialize(source.mapInArrow(_read, "page_id long, url string, " + _PARSED), "parsed")
+    templates = materialize(site_templates(parsed, min_pages, prose_pages), "templates")
+    removed = (parsed.select("row", "host", F.explode(F.array_distinct(F.array_compact("digests"))).alias("subtree"))
+               .join(templates.distinct(), ["host", "subtree"]).groupBy("row").agg(F.collect_list("subtree").alias("removed")))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = ("ups", "flags", "digests", "at", "texts")
+        for batch in batches:
+            columns = {f: batch.column(f) for f in (*fields, "removed")}
+            texts = [text_without({f: columns[f][i].as_py() for f in fields}, set(columns["removed"][i].as_py() or ()))
+                     for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
+                                             ["page_id", "url", "text"])
+
+    asked = parsed.join(removed, "row", "left").select("page_id", "url", "ups", "flags", "digests", "at", "texts", "removed")
+    return asked.mapInArrow(clean, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

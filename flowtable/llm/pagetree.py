@@ -8,25 +8,26 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import xxhash
 
 # fixed values: element names and words of the HTML standard and of common page layouts
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|textarea|title|noscript|iframe|template|svg|object|select|xmp|noembed|noframes"
+RAW = "script|style|textarea|title|noscript|iframe|template|svg|xmp|noembed|noframes"
 MATH = frozenset("math maction merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle "
                  "msub msubsup msup mtable mtd mtext mtr munder munderover semantics annotation annotation-xml none".split())
 FOREIGN = MATH | {"svg", "path"}  # elements that "/>" ends
 INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-                          "span strike strong sub sup time tt u var wbr br".split())
+                          "object span strike strong sub sup time tt u var wbr br".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figcaption caption".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 "
                      "h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd".split())
 CLOSES_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                "th": {"td", "th"}, "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
 BARRIER = frozenset("html body table ul ol dl article section aside nav div form main header footer td th".split())
-CHROME_TAGS = frozenset("nav footer aside form dialog menu button head fieldset audio video canvas".split())
+CHROME_TAGS = frozenset("nav footer aside form dialog menu button select head fieldset audio video canvas".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 CHROME_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies "
                          "consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup sidebar sidenav menu "
@@ -34,6 +35,9 @@ CHROME_WORDS = frozenset("ad ads adv advert adverts advertisement advertising ad
                          "respond share sharing social related recommended recommendations widget widgets toolbar pagination pager "
                          "copyright hidden".split())
 HEADER_WORDS = frozenset("header headers".split())
+LAYOUT_WORDS = frozenset("site page main top bottom left right upper lower box slot container wrapper wrap inner outer list item items area "
+                         "section block bar panel primary secondary global header head body link links post posts article articles button "
+                         "btn icon icons form text content col column row unit zone 1 2 3 4 5".split())
 NEVER_CHROME = frozenset("html body article main".split())
 CONTENT_WORDS = frozenset("article post entry content story main".split())
 
@@ -46,51 +50,57 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"  # a tag with an odd quote
     r"|[^<]++|<", re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][^\s=/>]*+)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
-_WORD = re.compile(r"[a-z0-9]+")
+_NAME = re.compile(r"[^\s]+")
+_PART = re.compile(r"[a-z]+|[0-9]+")
 
 
 @dataclass
 class Element:
     tag: str
     up: int
-    chrome: bool = False
+    chrome: bool = False  # markup says that it is no part of an article
+    named: bool = False  # only its class or id says so
     words: frozenset = frozenset()
+    in_article: bool = False  # itself or an element above is article or main
+    block: int = 0  # itself, or for inline elements the nearest element above that is not
     parts: list = field(default_factory=list)
     digest: int = 0
 
 
 @dataclass
 class Page:
-    elements: list[Element]
+    elements: list[Element]  # an element comes after those above it
     blocks: list[tuple[int, str]]  # (innermost element, text)
 
-    def above(self, at: int) -> list[int]:
-        out = []
-        while at >= 0:
-            out.append(at)
-            at = self.elements[at].up
-        return out
-
 
 def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(source)}
 
 
-def _is_chrome(tag: str, attributes: dict[str, str], words: frozenset, in_article: bool) -> bool:
-    if tag in NEVER_CHROME:
-        return tag == "article" and bool(words & CHROME_WORDS)
-    if tag in CHROME_TAGS or attributes.get("role", "").lower() in CHROME_ROLES:
-        return True
+def _names_chrome(name: str, also: frozenset) -> bool:
+    """A class or id that names chrome and besides only places or kinds of a layout: ``ad-slot`` but not ``ad-free``."""
+    parts = _PART.findall(name)
+    return any(p in CHROME_WORDS or p in also for p in parts) and all(p in CHROME_WORDS or p in LAYOUT_WORDS or p in also for p in parts)
+
+
+def _chrome(tag: str, attributes: dict[str, str], in_article: bool) -> tuple[bool, bool]:
+    """(chrome by tag, role or style; chrome by a name alone).  Names say nothing of paragraphs inside an article."""
+    if tag in INLINE or (tag in NEVER_CHROME and not (tag == "article" and in_article)):
+        return False, False
+    if tag in CHROME_TAGS or attributes.get("role", "").lower() in CHROME_ROLES or (tag == "header" and not in_article):
+        return True, False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in attributes.get("style", "").replace(" ", ""):
-        return True
-    if words & CHROME_WORDS:
-        return True
-    return not in_article and (tag == "header" or bool(words & HEADER_WORDS))
+        return True, False
+    if in_article and tag in PROSE:
+        return False, False
+    names = _NAME.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
+    return False, any(_names_chrome(name, frozenset() if in_article else HEADER_WORDS) for name in names)
 
 
 def parse(source: str) -> Page:
     elements = [Element("", -1)]
     stack = [0]
+    is_open: Counter[str] = Counter()  # of the tags on the stack
     blocks: list[tuple[int, str]] = []
     pending: list[str] = []
 
@@ -99,9 +109,7 @@ def parse(source: str) -> Page:
             text = " ".join(html.unescape("".join(pending)).split())
             pending.clear()
             if text:
-                at = stack[-1]
-                while elements[at].tag in INLINE and elements[at].up >= 0:
-                    at = elements[at].up
+                at = elements[stack[-1]].block
                 blocks.append((at, text))
                 elements[at].parts.append(text)
 
@@ -111,6 +119,7 @@ def parse(source: str) -> Page:
             flush()
         while len(stack) > depth:
             e = elements[stack.pop()]
+            is_open[e.tag] -= 1
             e.digest = xxhash.xxh64_intdigest("\0".join([e.tag, *e.parts])) - (1 << 63)
             e.parts = []
             if e.tag not in INLINE:
@@ -128,6 +137,8 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if end:
+            if not is_open[tag]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = elements[stack[depth]].tag
                 if open_tag == tag:
@@ -143,7 +154,13 @@ def parse(source: str) -> Page:
                 flush()
             continue
         like = CLOSES_LIKE.get(tag, ())
-        if tag in CLOSES_P or like:
+        if is_open["select"] and tag in CLOSES_P:  # a form's list holds no blocks: it was not closed
+            depth, lists = len(stack), is_open["select"]
+            while lists:
+                depth -= 1
+                lists -= elements[stack[depth]].tag == "select"
+            close(depth)
+        if (is_open["p"] and tag in CLOSES_P) or any(is_open[t] for t in like):
             for depth in range(len(stack) - 1, 0, -1):
                 open_tag = elements[stack[depth]].tag
                 if open_tag in like or (open_tag == "p" and tag in CLOSES_P):
@@ -155,34 +172,71 @@ def parse(source: str) -> Page:
         if tag not in INLINE:
             flush()
         attributes = _attributes(rest) if rest else {}
-        words = frozenset(_WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())) if attributes else frozenset()
-        in_article = any(elements[i].tag in ("article", "main") for i in stack)
-        elements.append(Element(tag, stack[-1], bool(words & CHROME_WORDS) if tag in INLINE
-                                else _is_chrome(tag, attributes, words, in_article), words))
+        up = elements[stack[-1]]
+        chrome, named = _chrome(tag, attributes, up.in_article)
+        words = frozenset(_PART.findall(attributes.get("class", "").lower() + " " + attributes.get("id", "").lower())) if attributes else frozenset()
+        elements.append(Element(tag, stack[-1], chrome or named, named, words & CONTENT_WORDS, up.in_article or tag in ("article", "main"),
+                                up.block if tag in INLINE else len(elements)))
         if not rest or not rest.endswith("/") or tag not in FOREIGN:
             stack.append(len(elements) - 1)
+            is_open[tag] += 1
     flush()
     close(1)
     flush()
     return Page(elements, blocks)
 
 
-def region_of(page: Page) -> set[int]:
-    """The elements that hold the article: ``article``, else ``main``, else the best named one, else the page."""
-    free = [i for i, e in enumerate(page.elements)
-            if not e.chrome and not any(page.elements[j].chrome and page.elements[j].tag not in ("form", "fieldset")
-                                        for j in page.above(e.up))]
-    size: dict[int, int] = {}
-    for at, text in page.blocks:
-        for i in page.above(at):
-            size[i] = size.get(i, 0) + len(text)
-    for tag in ("article", "main"):
-        found = {i for i in free if page.elements[i].tag == tag and size.get(i)}
+# what the last step needs to know of an element, as bits
+CHROME, NAMED, FORM, ARTICLE, MAIN, CONTENT = (1 << i for i in range(6))
+
+
+def flags_of(e: Element) -> int:
+    content = bool(e.words) and e.tag in ("div", "section", "td")
+    return (CHROME * e.chrome | NAMED * e.named | FORM * (e.tag in ("form", "fieldset")) | ARTICLE * (e.tag == "article")
+            | MAIN * (e.tag == "main") | CONTENT * content)
+
+
+def kept_blocks(ups: list[int], flags: list[int], removed: list[bool], at: list[int], sizes: list[int]) -> list[bool]:
+    """Which blocks (their elements and text sizes) are main text once the elements ``removed`` are gone.
+
+    Markup is a prior on what is left: chrome goes, and the text is that of ``article``, else of ``main``, else
+    of an element named as content that holds half of the page, else the page.  A name alone does not make chrome of
+    what holds most of a page that declares no article.
+    """
+    n = len(ups)
+    total = [0] * n  # text below, without what was removed
+    gone = [False] * n
+    for i in range(n):
+        gone[i] = removed[i] or (i > 0 and gone[ups[i]])
+    for i, size in zip(at, sizes):
+        if not gone[i]:
+            total[i] += size
+    for i in range(n - 1, 0, -1):
+        total[ups[i]] += total[i]
+    declared = any(f & (ARTICLE | MAIN) and total[i] for i, f in enumerate(flags))
+    chrome = [bool(f & CHROME) and (declared or not f & NAMED or 2 * total[i] <= total[0]) for i, f in enumerate(flags)]
+    barred = [False] * n  # below chrome other than a form that wraps the page
+    dead = [False] * n
+    for i in range(1, n):
+        barred[i] = barred[ups[i]] or (chrome[i] and not flags[i] & FORM)
+        dead[i] = dead[ups[i]] or chrome[i] or gone[i]
+    free = [i for i in range(n) if total[i] and not chrome[i] and not gone[i] and not (i and barred[ups[i]])]
+    region = None
+    for kind in (ARTICLE, MAIN):
+        found = {i for i in free if flags[i] & kind}
         if found:
-            return {i for i in found if not any(j in found for j in page.above(page.elements[i].up))}
-    named = [i for i in free if page.elements[i].words & CONTENT_WORDS and page.elements[i].tag in ("div", "section", "td") and size.get(i)]
-    if named:
-        best = max(named, key=lambda i: (size[i], -i))
-        if 2 * size[best] >= size.get(0, 0):
-            return {best}
-    return {0}
+            region = found
+            break
+    if region is None:
+        named = [i for i in free if flags[i] & CONTENT]
+        best = max(named, key=lambda i: (total[i], -i), default=None)
+        region = {best} if best is not None and 2 * total[best] >= total[0] else {0}
+    inside = [False] * n
+    for i in range(n):
+        up = i > 0 and inside[ups[i]]
+        inside[i] = i in region or up
+        if i in region and not up:
+            dead[i] = gone[i]  # a form around the article does not make chrome of it
+        elif i:
+            dead[i] = dead[ups[i]] or chrome[i] or gone[i]
+    return [inside[i] and not dead[i] for i in at]
