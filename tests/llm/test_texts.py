@@ -125,6 +125,29 @@ def test_components_of_a_chain_a_star_and_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark, monkeypatch):
+    import flowtable.llm.components as module
+
+    rounds, materialize = [], module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: rounds.append(name) or materialize(df, name))
+    chain = spark.range(1000).selectExpr("id AS a", "id + 1 AS b")  # ascending
+    assert {tuple(r)[1] for r in components(chain).collect()} == {0}
+    assert rounds.count("small") <= 12
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(8)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)] + [(7, 400 + i) for i in range(60)] + [(None, 3)]
+    label = {n: n for e in edges for n in e if n is not None}
+    for _ in label:
+        for a, b in edges:
+            if a is not None:
+                label[a] = label[b] = min(label[a], label[b])
+    linked = {n for a, b in edges if a is not None and a != b for n in (a, b)}
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {n: c for n, c in label.items() if n in linked}
+
+
 def test_signatures_agree_as_often_as_sets_do():
     rng = np.random.default_rng(0)
     same = []
