@@ -24,7 +24,7 @@ MIN_PAGES = 3  # different pages of a host that share a container
 PROSE_PAGES = 10  # or a paragraph, heading, item or cell outside declared articles
 
 _PARSED = ("row long, host string, page long, ups array<int>, flags array<int>, digests array<bigint>, prose array<int>, "
-           "at array<int>, texts array<string>")
+           "at array<int>, texts array<string>, asked array<bigint>")
 
 
 def host_of(url: str | None) -> str:
@@ -36,7 +36,8 @@ def host_of(url: str | None) -> str:
 
 def read_page(source: str) -> dict:
     """A page as arrays: of its elements those above, flags, hashes of subtrees that may be template (else null) and
-    which of these are prose; of its blocks the element and the text; and a hash of the text that markup alone leaves."""
+    which of these are prose; of its blocks the element and the text; a hash of the text that markup alone leaves; and the
+    hashes whose removal could change that text: those above it, or of a page that declares no article all."""
     page = parse(source)
     digests: list[int | None] = []
     prose = []
@@ -47,20 +48,37 @@ def read_page(source: str) -> dict:
             prose.append(i)
     found = {"ups": [e.up for e in page.elements], "flags": [flags_of(e) for e in page.elements], "digests": digests, "prose": prose,
              "at": [i for i, _ in page.blocks], "texts": [t for _, t in page.blocks]}
-    found["page"] = xxhash.xxh64_intdigest(text_without(found, set())) - (1 << 63)
+    kept = _kept(found, set())
+    found["page"] = xxhash.xxh64_intdigest(_joined(found, kept)) - (1 << 63)
+    above = [False] * len(page.elements)
+    for (i, _), keep in zip(page.blocks, kept):
+        above[i] = above[i] or keep
+    if not any(kept) or not all(page.elements[i].in_article for i, _ in enumerate(above) if above[i]):
+        above = [True] * len(above)
+    for i in range(len(above) - 1, 0, -1):
+        above[found["ups"][i]] = above[found["ups"][i]] or above[i]
+    found["asked"] = list({d for d, a in zip(digests, above) if a and d is not None})
     return found
 
 
-def text_without(page: dict, templates: set[int]) -> str:
-    """The page's main text without the subtrees whose hash is in ``templates``."""
+def _kept(page: dict, templates: set[int]) -> list[bool]:
     removed = [d is not None and d in templates for d in page["digests"]] if templates else [False] * len(page["ups"])
-    kept = kept_blocks(page["ups"], page["flags"], removed, page["at"], [len(t) for t in page["texts"]])
+    return kept_blocks(page["ups"], page["flags"], removed, page["at"], [len(t) for t in page["texts"]])
+
+
+def _joined(page: dict, kept: list[bool]) -> str:
     return "\n".join(t for t, keep in zip(page["texts"], kept) if keep)
 
 
+def text_without(page: dict, templates: set[int]) -> str:
+    """The page's main text without the subtrees whose hash is in ``templates``."""
+    return _joined(page, _kept(page, templates))
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    kinds = {"page": pa.int64(), "ups": ints, "flags": ints, "digests": longs, "prose": ints, "at": ints, "texts": pa.list_(pa.string())}
+    kinds = {"page": pa.int64(), "ups": ints, "flags": ints, "digests": longs, "prose": ints, "at": ints, "texts": pa.list_(pa.string()),
+             "asked": longs}
     for batch in batches:
         hosts, found = [host_of(u) for u in batch.column("url").to_pylist()], [read_page(t) for t in text_list(batch.column("html"))]
         yield pa.RecordBatch.from_arrays(
@@ -86,7 +104,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, prose_pages: int = P
                           F.col("html").cast("string").alias("html"), F.monotonically_increasing_id().alias("row"))
     parsed = materialize(source.mapInArrow(_read, "page_id long, url string, " + _PARSED), "parsed")
     templates = materialize(site_templates(parsed, min_pages, prose_pages), "templates")
-    removed = (parsed.select("row", "host", F.explode(F.array_distinct(F.array_compact("digests"))).alias("subtree"))
+    removed = (parsed.select("row", "host", F.explode("asked").alias("subtree"))
                .join(templates.distinct(), ["host", "subtree"]).groupBy("row").agg(F.collect_list("subtree").alias("removed")))
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +116,11 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, prose_pages: int = P
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                              ["page_id", "url", "text"])
 
-    asked = parsed.join(removed, "row", "left").select("page_id", "url", "ups", "flags", "digests", "at", "texts", "removed")
-    return asked.mapInArrow(clean, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    columns = ["page_id", "url", "ups", "flags", "digests", "at", "texts", "removed"]
+    # pages that no removal could change are not shuffled
+    same = parsed.where(F.size("asked") == 0).withColumn("removed", F.lit(None).cast("array<bigint>")).select(*columns)
+    other = parsed.where(F.size("asked") > 0).join(removed, "row", "left").select(*columns)
+    return same.unionByName(other).mapInArrow(clean, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
