@@ -37,7 +37,7 @@ def host_of(url: str | None) -> str:
 def read_page(source: str) -> dict:
     """A page as arrays: of its elements those above, flags, hashes of subtrees that may be template (else null) and
     which of these are prose; of its blocks the element and the text; a hash of the text that markup alone leaves; and the
-    hashes whose removal could change that text: those above it, or of a page that declares no article all."""
+    hashes whose removal could change that text: those above a part of it, or of a page that declares no article all."""
     page = parse(source)
     digests: list[int | None] = []
     prose = []
@@ -50,14 +50,14 @@ def read_page(source: str) -> dict:
              "at": [i for i, _ in page.blocks], "texts": [t for _, t in page.blocks]}
     kept = _kept(found, set())
     found["page"] = xxhash.xxh64_intdigest(_joined(found, kept)) - (1 << 63)
-    above = [False] * len(page.elements)
+    below = [0] * len(page.elements)  # kept blocks of a subtree
     for (i, _), keep in zip(page.blocks, kept):
-        above[i] = above[i] or keep
-    if not any(kept) or not all(page.elements[i].in_article for i, _ in enumerate(above) if above[i]):
-        above = [True] * len(above)
-    for i in range(len(above) - 1, 0, -1):
-        above[found["ups"][i]] = above[found["ups"][i]] or above[i]
-    found["asked"] = list({d for d, a in zip(digests, above) if a and d is not None})
+        below[i] += keep
+    declared = any(below) and all(e.in_article for e, n in zip(page.elements, below) if n)
+    for i in range(len(below) - 1, 0, -1):
+        below[found["ups"][i]] += below[i]
+    # a subtree with all of the text recurs only in pages of the same text, which count once
+    found["asked"] = list({d for d, n in zip(digests, below) if d is not None and (not below[0] or (n < below[0] and (n or not declared)))})
     return found
 
 
