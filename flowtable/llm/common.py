@@ -9,6 +9,7 @@ import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField
 
 from flowtable.session import scratch_path
 
@@ -66,3 +67,13 @@ def text_list(column: pa.Array) -> list[str]:
     """Strings of a column; null is empty."""
     return [x or "" for x in column.to_pylist()]
 
+
+
+def other_columns(df: DataFrame, *names: str) -> list[StructField]:
+    """The fields of ``df`` but those of these names, in any case: what an operator passes through beside its results."""
+    gone = {n.lower() for n in names}
+    return [f for f in df.schema.fields if f.name.lower() not in gone]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"

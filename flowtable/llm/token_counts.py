@@ -13,8 +13,9 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from flowtable.llm.common import table, text_list
+from flowtable.llm.common import other_columns, quoted, table, text_list
 from flowtable.llm.unigram import MARK, UnigramVocabulary, vocabulary
 
 TABLE_WORDS = 400_000  # words kept by a worker; beyond it the table starts anew, the counts stay the same
@@ -87,13 +88,13 @@ def _count(path: str):
 
 
 def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
-    """All columns of ``docs`` but ``text``, with ``n_tokens``.
+    """All columns of ``docs`` but ``text``, with ``n_tokens``; a column of that name is replaced.
 
     Null and empty texts have none; equal rows are counted each; no rows give no rows.
     """
-    cols = [c for c in docs.columns if c != "text"]
-    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in cols) + "n_tokens long"
-    return docs.mapInArrow(_count(model_path), schema)
+    others = other_columns(docs, "text", "n_tokens")
+    schema = StructType([*others, StructField("n_tokens", LongType())])
+    return docs.select(*[F.col(quoted(f.name)) for f in others], "text").mapInArrow(_count(model_path), schema)
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,18 @@ def test_marks_in_a_text_are_spaces_and_no_rows_give_none(spark):
 
 # -- near duplicates
 
+def test_clashing_and_odd_columns_pass_through_counts_and_codec(spark):
+    df = spark.createDataFrame([("a b", 7, [1], {"x y": 2}, "t"), (None, None, None, None, None)],
+                               "text string, N_Tokens long, ids array<int>, `a.b` struct<`x y`:int>, `q``t` string")
+    counted = count_tokens(df, MODEL)
+    assert counted.columns == ["ids", "a.b", "q`t", "n_tokens"]
+    assert [r["n_tokens"] for r in counted.collect()] == [len(r["ids"]) for r in encode_texts(df, MODEL).collect()]
+    coded = encode_texts(df, MODEL)
+    assert coded.columns == ["N_Tokens", "a.b", "q`t", "ids"] and coded.first()["a.b"]["x y"] == 2
+    back = decode_ids(coded.withColumn("text", F.lit("old")), MODEL)
+    assert [r["text"] for r in back.collect()] == ["a b", ""] and back.columns == ["N_Tokens", "a.b", "q`t", "text"]
+
+
 def brute_components(texts):
     sets = {}
     for i, t in texts:
