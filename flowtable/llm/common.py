@@ -9,7 +9,8 @@ import zipfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructField
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from flowtable.session import scratch_path
 
@@ -69,11 +70,13 @@ def text_list(column: pa.Array) -> list[str]:
 
 
 
-def other_columns(df: DataFrame, *names: str) -> list[StructField]:
-    """The fields of ``df`` but those of these names, in any case: what an operator passes through beside its results."""
-    gone = {n.lower() for n in names}
-    return [f for f in df.schema.fields if f.name.lower() not in gone]
+def mapped(df: DataFrame, source: str, result: StructField, run) -> DataFrame:
+    """``df`` with column ``source`` mapped to ``result`` by ``run`` over Arrow batches.
 
-
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+    A column of the result's name, in any case, is replaced.  The others pass through under plain names, since
+    a map over batches can't take names with dots or quotes.
+    """
+    others = [f for f in df.schema.fields if f.name.lower() not in (source.lower(), result.name.lower())]
+    plain = [StructField(f"_{i}", f.dataType) for i, f in enumerate(others)]
+    given = [F.col("`" + f.name.replace("`", "``") + "`").alias(p.name) for f, p in zip(others, plain)]
+    return df.select(*given, source).mapInArrow(run, StructType([*plain, result])).toDF(*[f.name for f in others], result.name)

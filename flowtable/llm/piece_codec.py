@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField
 
-from flowtable.llm.common import other_columns, quoted, table, text_list
+from flowtable.llm.common import mapped, table, text_list
 from flowtable.llm.unigram import MARK, UnigramVocabulary, vocabulary
 
 TABLE_WORDS = 200_000  # words kept by a worker; beyond it the table starts anew, the ids stay the same
@@ -108,12 +108,6 @@ def piece_codec(path: str) -> PieceCodec:
     return _CODECS[path]
 
 
-def _mapped(df: DataFrame, source: str, result: StructField, run) -> DataFrame:
-    """``df`` with column ``source`` mapped to ``result``; a column of the result's name is replaced."""
-    others = other_columns(df, source, result.name)
-    return df.select(*[F.col(quoted(f.name)) for f in others], source).mapInArrow(run, StructType([*others, result]))
-
-
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(path)
@@ -138,7 +132,7 @@ def _decode(path: str):
 
 def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
     """All columns of ``docs`` but ``text``, with ``ids`` (replaced if there); null and empty texts have none."""
-    return _mapped(docs, "text", StructField("ids", ArrayType(IntegerType())), _encode(model_path))
+    return mapped(docs, "text", StructField("ids", ArrayType(IntegerType())), _encode(model_path))
 
 
 def decode_ids(docs: DataFrame, model_path: str) -> DataFrame:
@@ -146,7 +140,7 @@ def decode_ids(docs: DataFrame, model_path: str) -> DataFrame:
 
     A text comes back as it was, but for marks in it, which the file format can't tell from spaces.
     """
-    return _mapped(docs, "ids", StructField("text", StringType()), _decode(model_path))
+    return mapped(docs, "ids", StructField("text", StringType()), _decode(model_path))
 
 
 ROWS = 2_000  # documents encoded and decoded at a time

@@ -13,9 +13,9 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField
 
-from flowtable.llm.common import other_columns, quoted, table, text_list
+from flowtable.llm.common import mapped, table, text_list
 from flowtable.llm.unigram import MARK, UnigramVocabulary, vocabulary
 
 TABLE_WORDS = 400_000  # words kept by a worker; beyond it the table starts anew, the counts stay the same
@@ -92,9 +92,7 @@ def count_tokens(docs: DataFrame, model_path: str) -> DataFrame:
 
     Null and empty texts have none; equal rows are counted each; no rows give no rows.
     """
-    others = other_columns(docs, "text", "n_tokens")
-    schema = StructType([*others, StructField("n_tokens", LongType())])
-    return docs.select(*[F.col(quoted(f.name)) for f in others], "text").mapInArrow(_count(model_path), schema)
+    return mapped(docs, "text", StructField("n_tokens", LongType()), _count(model_path))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
