@@ -13,7 +13,7 @@ def test_stages_are_in_order_and_registered():
     from __spark_entry__ import queries
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_rules", "near_duplicates", "packing"]
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE) <= set(QUERIES)
 
 
