@@ -100,9 +100,10 @@ def _share(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-def _bits(h: np.ndarray, level: np.ndarray, k: int) -> np.ndarray:
-    """Bit of each (n-gram, level) inside its segment for the k-th hash."""
-    return mix(h + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k << 56)) % np.uint64(SEGMENT_BITS)
+def _bits(h: np.ndarray, level: int) -> list[np.ndarray]:
+    """The ``HASHES`` bits of each (n-gram, level) inside its segment: fields of one mixed hash."""
+    mixed = mix(h + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
+    return [((mixed >> np.uint64(k * SEGMENT_BITS.bit_length())) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64) for k in range(HASHES)]
 
 
 def fill_segment(h: np.ndarray, count: np.ndarray) -> bytes:
@@ -110,9 +111,8 @@ def fill_segment(h: np.ndarray, count: np.ndarray) -> bytes:
     bits = np.zeros(SEGMENT_BITS, dtype=np.uint8)
     level = _levels(count)
     for at in range(1, int(level.max(initial=0)) + 1):
-        inside = h[level >= at]
-        for k in range(HASHES):
-            bits[_bits(inside, np.full(len(inside), at), k)] = 1
+        for place in _bits(h[level >= at], at):
+            bits[place] = 1
     return np.packbits(bits).tobytes()
 
 
@@ -121,13 +121,14 @@ def probe(filter_bytes: np.ndarray, first: int, segments: int, h: np.ndarray) ->
     level = np.zeros(len(h), dtype=np.uint8)
     segment = _share(h, segments).astype(np.int64) - first
     left = np.flatnonzero((segment >= 0) & (segment < len(filter_bytes) * 8 // SEGMENT_BITS))
+    h, start = h[left], segment[left] * SEGMENT_BITS
     at = 1
     while len(left) and at <= MAX_LEVEL:
         hit = np.ones(len(left), dtype=bool)
-        for k in range(HASHES):
-            place = segment[left] * SEGMENT_BITS + _bits(h[left], np.full(len(left), at), k).astype(np.int64)
+        for bit in _bits(h, at):
+            place = start + bit
             hit &= (filter_bytes[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
-        left = left[hit]
+        left, h, start = left[hit], h[hit], start[hit]
         level[left] = at
         at += 1
     return level
