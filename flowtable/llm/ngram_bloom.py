@@ -23,12 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowtable.llm.common import materialize, table, utf8_list
-from flowtable.llm.wordhash import hash_words, mix, words_of
+from flowtable.llm.wordhash import hash_words, mix
 
 ORDER = 3  # longest n-gram; each order costs one more pass over the blocks
 BASE = 1.3  # of the logarithm that counts are rounded down to
@@ -38,11 +39,18 @@ SEGMENT_BITS = 1 << 18
 GROUP_SEGMENTS = 32  # segments filled together: 1 MB
 ROUND_BYTES = 256 << 20  # of the filter broadcast at once
 BLOCK_TOKENS = 250_000  # of texts coded together
+SPLIT_BYTES = 1 << 20  # expected bytes of texts that are split into words together
+SPLIT_WORDS = 1 << 17  # words hashed together
+LONG_WORD = 64  # bytes; longer words are hashed one by one
 PART_WORDS = 1 << 20  # expected dictionary entries that are added up together
 PRIORS = (1000.0, 16.0)  # weight of the shorter context against the counts of one and of two or more words
 MAX_LEVEL = 120  # levels cover counts up to BASE**119
 END = b""  # no word is empty
 
+_END = hash_words([END])
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 _START = np.uint64(0x5EED5EED5EED5EED)
 _NGRAM_BITS = np.uint64(0xFFFFFFFFFFFF0000)  # n-grams are told apart by 48 bits
 
@@ -141,6 +149,40 @@ _BLOCK_SQL = ("block long, doc_ids array<bigint>, training array<boolean>, lengt
               "hashes binary, uses binary, seen binary, codes binary")
 
 
+def _word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of words in ``data``, which ends with 8 spare bytes: 8 bytes of all words are mixed in at a time."""
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))  # the 8 bytes from each place on
+    h = mix(lengths.astype(np.uint64))
+    for at in range(0, min(int(lengths.max(initial=0)), LONG_WORD), 8):
+        some = np.flatnonzero(lengths > at)
+        part = eight[starts[some] + at] & _FIRST_BYTES[np.minimum(lengths[some] - at, 8)]
+        h[some] = mix(h[some] ^ part)
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        h[i] = xxhash.xxh64_intdigest(data[starts[i]:starts[i] + lengths[i]].tobytes())
+    return h
+
+
+def text_tokens(column: pa.Array) -> Iterator[np.ndarray]:
+    """Hashes of each text's lower-cased words and of its end; a null text is empty."""
+    texts = utf8_list(column)
+    at = 0
+    while at < len(texts):
+        upto, size = at, 0
+        while upto < len(texts) and (upto == at or size + len(texts[upto]) < SPLIT_BYTES):
+            size += len(texts[upto]) + 1
+            upto += 1
+        data = _LOWER[np.frombuffer(b" ".join([*texts[at:upto], bytes(8)]), np.uint8)]
+        inside = np.concatenate([[False], ~_SPACE[data[:-8]], [False]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, lengths = edges[::2], edges[1::2] - edges[::2]
+        hashes = np.concatenate([_word_hashes(data, starts[lo:lo + SPLIT_WORDS], lengths[lo:lo + SPLIT_WORDS])
+                                 for lo in range(0, max(len(starts), 1), SPLIT_WORDS)])
+        text_ends = np.cumsum([len(t) + 1 for t in texts[at:upto]])
+        for words in np.split(hashes, np.searchsorted(starts, text_ends))[:-1]:
+            yield np.concatenate([words, _END])
+        at = upto
+
+
 def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of texts: the words' hashes in order, how often the block and its training texts use them,
     and the texts as codes - the place of each word in the dictionary by descending use."""
@@ -160,12 +202,10 @@ def _code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     docs, tokens = [], 0
     for batch in batches:
-        for doc_id, training, text in zip(batch.column("doc_id").to_pylist(), batch.column("training").to_pylist(),
-                                          utf8_list(batch.column("text"))):
-            words = words_of(text)
-            words.append(END)
-            docs.append((doc_id, training, hash_words(words)))
-            tokens += len(words)
+        for doc_id, training, hashes in zip(batch.column("doc_id").to_pylist(), batch.column("training").to_pylist(),
+                                            text_tokens(batch.column("text"))):
+            docs.append((doc_id, training, hashes))
+            tokens += len(hashes)
             if tokens >= BLOCK_TOKENS:
                 yield block(docs)
                 docs, tokens, number = [], 0, number + 1
@@ -232,13 +272,12 @@ def _groups_of(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[in
 
 def _total_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each block its words' corpus counts, and a row without a block with the part's sums."""
-    end = hash_words([END])[0]
     for part, rows in _groups_of(batches, "part"):
         slices = [unsqueeze_sorted(r["hashes"]) for r in rows]
         hashes, at = np.unique(np.concatenate(slices), return_inverse=True)
         total = np.bincount(at, np.concatenate([unsqueeze(r["seen"]) for r in rows])).astype(np.uint64)
         back = np.split(total[at], np.cumsum([len(x) for x in slices])[:-1])
-        texts = int(total[hashes == end].sum())
+        texts = int(total[hashes == _END[0]].sum())
         yield pa.RecordBatch.from_arrays(
             [pa.array([*(r["block"] for r in rows), None], pa.int64()), pa.array([part] * (len(rows) + 1), pa.int32()),
              pa.array([*(squeeze(x) for x in back), None], pa.binary()),

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -153,36 +154,51 @@ def test_power_cuts_lose_nothing():
 LM_TEXTS = ["the cat sat on the mat", "The CAT sat", "", None, "the\tcat\nran \x0b on", "dog " * 300, "unknown words only here", "the cat sat on the mat"] * 3
 
 
-def exact_scores(texts, training):
+def exact_scores(texts, training, order):
     words = [(t or "").encode().lower().split() + [b""] for t in texts]
-    count = Counter(w for ws, learn in zip(words, training) if learn for w in ws)
-    pairs = Counter(p for ws, learn in zip(words, training) if learn for p in zip([None, *ws], ws))
-    n, v, learned = sum(count.values()), len(count), sum(training)
+
+    def grams(ws, n):
+        padded = [None] * (n - 1) + ws
+        return [tuple(padded[i:i + n]) for i in range(len(ws))]
+
+    count = Counter(g for ws, learn in zip(words, training) if learn for n in range(1, order + 1) for g in grams(ws, n))
+    n_tokens = sum(c for g, c in count.items() if len(g) == 1)
+    v = sum(1 for g in count if len(g) == 1)
+    for n in range(1, order):
+        count[(None,) * n] = sum(training)  # texts begin with start marks
+
+    def level(c):
+        return 1 + math.floor(math.log(c) / math.log(ngram_bloom.BASE) + 1e-9) if c else 0
 
     def low(c):
-        return math.ceil(ngram_bloom.BASE ** math.floor(math.log(c) / math.log(ngram_bloom.BASE) + 1e-9) - 1e-9) if c else 0
+        return math.ceil(ngram_bloom.BASE ** (level(c) - 1) - 1e-9) if c else 0
+
+    def high(c):
+        return max(math.ceil(ngram_bloom.BASE ** level(c) - 1e-9) - 1, 1) if c else 0
     out = []
     for ws in words:
-        base = [math.log10((count[w] + 1) / (n + v + 1)) for w in ws]
-        score = 0.0
-        for b, p in zip(base, zip([None, *ws], ws)):
-            context = learned if p[0] is None else count[p[0]]
-            e = low(pairs[p])
-            score += math.log10((e + ngram_bloom.PRIORS[0] * 10 ** b) / (max(context, e) + ngram_bloom.PRIORS[0]))
-        out.append((len(ws), sum(count[w] > 0 for w in ws), n, sum(base), score))
+        base = [math.log10((count[(w,)] + 1) / (n_tokens + v + 1)) for w in ws]
+        p = [10 ** b for b in base]
+        for n in range(2, order + 1):
+            prior = ngram_bloom.PRIORS[min(n - 2, 1)]
+            for i, g in enumerate(grams(ws, n)):
+                evidence, context = low(count[g]), count[g[:-1]] if n == 2 else high(count[g[:-1]])
+                p[i] = (evidence + prior * p[i]) / (max(context, evidence) + prior)
+        out.append((len(ws), sum(count[(w,)] > 0 for w in ws), n_tokens, sum(base), sum(map(math.log10, p))))
     return out
 
 
+@pytest.mark.parametrize("order", [2, 3])
 @pytest.mark.parametrize("rounds", [1, 3])
-def test_scores_equal_exact_counts_with_a_large_filter(spark, rounds, monkeypatch):
+def test_scores_equal_exact_counts_with_a_large_filter(spark, rounds, order, monkeypatch):
     monkeypatch.setattr(ngram_bloom, "BLOCK_TOKENS", 100)
     training = [i % 4 != 1 for i in range(len(LM_TEXTS))]
     bits = 200_000 if rounds == 1 else 3 * 32 * (1 << 18) // 600
     df = docs_of(spark, LM_TEXTS).repartition(2)
-    got = ngram_bloom.score_documents(df, F.col("doc_id") % 4 != 1, bits_a_token=bits, round_bytes=1 << 20 if rounds > 1 else 1 << 28)
+    got = ngram_bloom.score_documents(df, F.col("doc_id") % 4 != 1, order, bits_a_token=bits, round_bytes=1 << 20 if rounds > 1 else 1 << 28)
     rows = {r["doc_id"]: r for r in got.collect()}
     assert len(rows) == len(LM_TEXTS)
-    for i, want in enumerate(exact_scores(LM_TEXTS, training)):
+    for i, want in enumerate(exact_scores(LM_TEXTS, training, order)):
         r = rows[i]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == want[:3]
         assert r["held_out"] == (not training[i])
@@ -206,6 +222,20 @@ def test_scores_without_training_or_rows(spark):
     assert ngram_bloom.score_documents(docs_of(spark, []), F.lit(True)).collect() == []
 
 
+@pytest.mark.parametrize("together", [(1, 1), (40, 3), (1 << 20, 1 << 17)])
+def test_tokens_are_the_words_between_white_space(together, monkeypatch):
+    monkeypatch.setattr(ngram_bloom, "SPLIT_BYTES", together[0])
+    monkeypatch.setattr(ngram_bloom, "SPLIT_WORDS", together[1])
+    edges = ["q" * n for n in (1, 7, 8, 9, 63, 64, 65, 100, 101)]  # around the bytes mixed in at a time
+    texts = [None, "", " \t", "  A b\tC\x0bd\x0c e\r\n", "\u00dcn\u00ef \u00c9c\x1cole\u00a0z", " ".join(edges).upper(), "a b " * 500, *edges, "z"]
+    want = [(t or "").encode().lower().split() + [b""] for t in texts]
+    got = [x.tolist() for x in ngram_bloom.text_tokens(pa.array(texts, pa.string()))]
+    assert [len(x) for x in got] == [len(x) for x in want]
+    pairs = {(w, h) for ws, hs in zip(want, got) for w, h in zip(ws, hs)}
+    assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+    assert list(ngram_bloom.text_tokens(pa.array([], pa.string()))) == []
+
+
 def test_filter_never_underestimates_and_seldom_overestimates():
     rng = np.random.default_rng(3)
     h = np.unique(rng.integers(0, 1 << 32, 20_000, dtype=np.uint64))
