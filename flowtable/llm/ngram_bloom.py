@@ -19,6 +19,7 @@ compressed, and not a word; words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -387,10 +388,12 @@ def _score(part, texts: int, tokens: int, distinct: int, order: int):
 def _release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more.
 
-    The scheduler holds on to its last job, so a job without a shuffle comes first.
+    The scheduler holds on to its last job, so a job without a shuffle comes first.  Python tells the driver's
+    JVM about a second late what it no longer refers to.
     """
     spark.range(0, 1, 1, 1).collect()
     gc.collect()
+    time.sleep(1.5)
     spark.sparkContext._jvm.System.gc()
 
 
