@@ -12,7 +12,7 @@ not once for each coordinate.  Inside a group
 
 * the text that shares most coordinates is compared with all others first, then those that are not in
   the largest component are; pairs of one component are skipped;
-* pairs with too few matching coordinates are skipped, the others are confirmed on the full sets;
+* pairs with too few matching coordinates are skipped, in groups of every size, the others are confirmed on the full sets;
 * only links that join two components leave the task.
 
 A group is worked off as pairs of blocks of bounded size.  At similarity 0.75 a pair misses the match
@@ -40,7 +40,6 @@ ROWS = 4
 MATCHES = 2
 BLOCK = 1024  # expected members of a block of a large group
 BLOCK_SHINGLES = 1 << 21  # expected shingles of a block
-COMPARE_ALL = 48  # in smaller groups all sets are compared, without a look at signatures
 
 _RANDOM = np.random.default_rng(20240229)
 _FACTORS = (_RANDOM.integers(0, 1 << 32, COORDINATES * ROWS, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -108,9 +107,9 @@ def link_group(sets: list[np.ndarray], block: np.ndarray, percent: int, matches:
     sizes = np.array([len(x) for x in sets])
     every = np.concatenate(sets)
     owner = np.repeat(np.arange(n), sizes)
-    marks = center = None
-    if n > COMPARE_ALL:
-        marks = np.stack([signature(x) for x in sets])
+    marks = np.stack([signature(x) for x in sets])
+    center = None
+    if n > 2:
         shared = np.zeros(n)
         for column in marks.T:
             _, at, count = np.unique(column, return_inverse=True, return_counts=True)
@@ -123,7 +122,7 @@ def link_group(sets: list[np.ndarray], block: np.ndarray, percent: int, matches:
             return
         others = others & (forest.label != forest.label[x])
         others &= 100 * np.minimum(sizes, sizes[x]) >= percent * np.maximum(sizes, sizes[x])
-        if marks is not None and others.any():
+        if others.any():
             others &= (marks == marks[x]).sum(axis=1) >= matches
         pick = np.flatnonzero(others)
         if not len(pick):
