@@ -4,8 +4,8 @@ A text is the mean over its character 1- to 3-grams (letters, one mark for every
 ``FEATURES`` weights.  First one machine for each family against the rest decides the family; then one
 machine for each pair of languages of that family decides the language by their summed margins.
 
-The machines learn from at most ``SAMPLE_ROWS`` labelled documents of each language, chosen by hash;
-every text is predicted as a whole.
+The machines learn from at most ``SAMPLE_ROWS`` different labelled texts of each language, chosen by
+hash; every language is learned and every text is predicted as a whole.
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ from pyspark.sql.window import Window
 from flowtable.llm.common import table, text_list
 
 FEATURES = 1 << 13
-SAMPLE_ROWS = 300  # labelled documents of a language that the machines learn from
-MAX_LANGUAGES = 512  # languages that can be learned, most frequent first
+SAMPLE_ROWS = 300  # different labelled texts of a language that the machines learn from
 CHUNK = 1 << 20  # characters worked on at a time
 UNKNOWN = "und"
 
@@ -223,18 +222,23 @@ def _predict(model):
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel | None:
-    """Machines from ``docs`` (``lang``, ``text``); null languages and texts without letters teach nothing."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    counts = {r[0]: r[1] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    """Machines from ``docs`` (``lang``, ``text``); null languages and texts without letters teach nothing.
+
+    What reaches the driver is one count and at most ``sample_rows`` texts' features for each language: it
+    grows with the number of languages, not with the rows.  Copies of a text are one text of the sample.
+    """
+    spark = docs.sparkSession
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("_order"))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("_order").alias("n")).collect()
     if not counts:
         return None
-    # about four times the sample by hash, then exactly the sample: no language is sorted as a whole
-    share: Column = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, min(1.0, 4 * sample_rows / n)).otherwise(share)
-    order = F.xxhash64("text")
-    drawn = known.where(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20))
-    ranked = drawn.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(order, "text"))).where(F.col("_n") <= sample_rows)
+    # about four times the sample by hash, its copies folded before the shuffle, then exactly the sample: no
+    # language is sorted as a whole
+    shares = spark.createDataFrame([(r[0], min(1.0, 4 * sample_rows / max(r[1], 1))) for r in counts], "lang string, _share double")
+    drawn = (known.join(shares, "lang").where(F.pmod("_order", F.lit(1 << 20)) < F.col("_share") * (1 << 20))
+             .groupBy("lang", "text").agg(F.first("_order").alias("_order")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "text"))
+    ranked = drawn.withColumn("_n", place).where(F.col("_n") <= sample_rows)
     rows = ranked.select("lang", "text").mapInArrow(_describe, "lang string, at array<int>, share array<double>").collect()
     rows = [(r[0], np.array(r[1], dtype=int), np.array(r[2])) for r in rows]
     rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tolist(), r[2].tolist()))

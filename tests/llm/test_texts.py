@@ -102,7 +102,7 @@ def test_groups_equal_brute_force(spark, seed):
         base = [rng.choice(vocabulary) for _ in range(rng.choice([6, 40, 120]))]
         texts += [edited(rng, base, rng.randrange(0, 8)) for _ in range(14)]
     base = [rng.choice(vocabulary) for _ in range(150)]
-    texts += [edited(rng, base, rng.randrange(0, 7)) for _ in range(70)]  # a group beyond COMPARE_ALL
+    texts += [edited(rng, base, rng.randrange(0, 7)) for _ in range(70)]  # a larger group
     texts += [" ".join([rng.choice(vocabulary) for _ in range(20)] + passage) for _ in range(20)]
     texts += ["", None, "  \n", "one", "ONE", "one two", "One\tTwo"] + [texts[3]] * 5 + [texts[3].upper()]
     rows = list(enumerate(texts))
@@ -112,6 +112,16 @@ def test_groups_equal_brute_force(spark, seed):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("n", [2, 5, 60])
+def test_the_match_threshold_holds_in_groups_of_every_size(n):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
+    sets = [np.sort(np.append(base, x)) for x in rng.integers(0, 1 << 63, n, dtype=np.uint64)]
+    one = np.zeros(n, dtype=int)
+    assert len(minhash.link_group(sets, one, 75)) == n - 1
+    assert minhash.link_group(sets, one, 75, matches=minhash.COORDINATES + 1) == []
+
+
 def test_blocks_of_a_large_group_meet(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 16)
     rng = random.Random(5)
@@ -208,6 +218,23 @@ def test_nothing_to_learn_from(spark):
     assert langid.identify(df, one).first()["lang_pred"] == "xx"
 
 
+def test_copies_are_one_text_of_the_sample(spark, monkeypatch):
+    rows = [(lang, f"{word} {'xyz'[i % 3]}{chr(97 + i // 3)}") for lang, word in (("aa", "uno"), ("bb", "dos")) for i in range(40)]
+    rows += [("aa", rows[i][1]) for i in range(40) for _ in range(50)]
+    learned = []
+    monkeypatch.setattr(langid, "fit", lambda found: learned.extend(found))
+    langid.train(spark.createDataFrame(rows, "lang string, text string"), sample_rows=30)
+    assert [sum(r[0] == lang for r in learned) for lang in ("aa", "bb")] == [30, 30]
+    assert len({(r[0], r[1].tobytes(), r[2].tobytes()) for r in learned}) == 60
+
+
+def test_no_language_is_left_out(spark, monkeypatch):
+    learned = []
+    monkeypatch.setattr(langid, "fit", lambda found: learned.extend(found))
+    langid.train(spark.range(700).selectExpr("concat('l', id) AS lang", "concat('text ', id) AS text"))
+    assert len({r[0] for r in learned}) == 700
+
+
 def test_families_are_told_apart_first():
     assert langid.family("de") == langid.family("en-GB") != langid.family("fr") == langid.family("es")
     assert langid.family("tlh") == "tlh"
