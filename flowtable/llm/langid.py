@@ -235,7 +235,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel | No
     # about four times the sample by hash, its copies folded before the shuffle, then exactly the sample: no
     # language is sorted as a whole
     shares = spark.createDataFrame([(r[0], min(1.0, 4 * sample_rows / max(r[1], 1))) for r in counts], "lang string, _share double")
-    drawn = (known.join(shares, "lang").where(F.pmod("_order", F.lit(1 << 20)) < F.col("_share") * (1 << 20))
+    drawn = (known.join(F.broadcast(shares), "lang")  # one short row a language, which the driver holds already
+             .where(F.pmod("_order", F.lit(1 << 20)) < F.col("_share") * (1 << 20))
              .groupBy("lang", "text").agg(F.first("_order").alias("_order")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "text"))
     ranked = drawn.withColumn("_n", place).where(F.col("_n") <= sample_rows)
