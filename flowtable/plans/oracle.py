@@ -188,6 +188,7 @@ FROM events GROUP BY user_id, CAST(ts AS DATE)""",
     "late_rows_load": f"""
 SELECT *, (SELECT count(*) FROM events WHERE event_id % 7 = 0 AND ts <= (
   SELECT max(ts) FROM events WHERE ts <= {_SPLIT} AND event_id % 7 <> 0)) AS rows_late FROM events""",
+    "zone_map_loads": "SELECT *, CAST(0 AS INTEGER) AS files_left_to_open FROM events",
     "keyed_small_updates": """
 SELECT c.* REPLACE (CASE WHEN c_custkey % 2 = 0 THEN 'EVEN' ELSE c_mktsegment END AS c_mktsegment),
        coalesce(l.o_orderstatus, 'NONE') AS last_order_status

@@ -36,6 +36,7 @@ from flowtable.operators.runlog import format_alert
 from flowtable.operators.schema import drift_error_text
 from flowtable.operators.sinks import LOAD_ID, Warehouse, align_by_name, nullable, observed, observed_rows
 from flowtable.operators.transform import run_sql_transform
+from flowtable.operators.zones import LandedFiles, landed_files, record_zones
 from flowtable.plans.spec import LoadSpec
 from flowtable.plans.state import RunState
 from flowtable.sources.files import read_csv, read_source
@@ -261,7 +262,13 @@ def _run_load(spark, spec, warehouse, force, source, state, on_failure, run_id,
     versioned = False
     state.register(spec)
     try:
-        df, typed = (source, False) if source is not None else _read_for_load(spark, spec, state)
+        landed: LandedFiles | None = None
+        if source is None and spec.source.zone_map:
+            known = pinned.value if pinned else (None if state.is_empty(spec.name) else state.get_mark(spec.name, key))
+            landed = landed_files(warehouse, spec.name, spec.source, known)
+            df, typed = landed.rows, False
+        else:
+            df, typed = (source, False) if source is not None else _read_for_load(spark, spec, state)
         if key:
             require_key(df, key)
         probe = state.probe(spec, df.schema)  # version, mark and schema comparison: one query
@@ -284,6 +291,8 @@ def _run_load(spark, spec, warehouse, force, source, state, on_failure, run_id,
             state.store_schema(spec.name, df.schema)
         if key and metrics.get("_mark") is not None:
             (state.hold_mark if pinned else state.set_mark)(spec.name, key, metrics["_mark"], run_id)
+        if landed is not None:
+            record_zones(warehouse, spec.name, spec.source, landed)
 
         if spec.transform:
             for table in spec.transform.derived:

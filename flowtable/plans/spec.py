@@ -22,6 +22,8 @@ class SourceSpec:
     # columns that tell rows apart there (default: all)
     look_back: str | None = None
     unique_key: list[str] = field(default_factory=list)
+    # a folder of landed files: keep the ends of each file's keys and open only files that reach above the mark
+    zone_map: bool = False
     options: dict[str, str] = field(default_factory=dict)
     schema: Any = None  # StructType or DDL string; None infers
     pin_schema: bool = True  # CSV without a schema: later runs read with the stored types
@@ -83,6 +85,11 @@ class LoadSpec:
             raise ValueError(f"load_mode must be one of {LOAD_MODES}, got {self.load_mode!r}")
         if self.source.look_back and (self.load_mode != "append" or not self.source.incremental_key or self.source.partition_column):
             raise ValueError("a look-back needs an append load with an incremental key and no partition column")
+        if self.source.zone_map:
+            if not self.source.incremental_key or not self.source.path or self.source.look_back or self.source.partition_column:
+                raise ValueError("a zone map needs a path and an incremental key, and no look-back or partition column")
+            if self.source.type not in ("csv", "json", "parquet") or (self.source.type != "parquet" and self.source.schema is None):
+                raise ValueError("a zone map needs parquet files, or csv or json files with a schema: types can't hang on the files read")
         if self.transform and self.transform.derived and (self.load_mode != "append" or not self.destination.load_partitions):
             raise ValueError("derived tables follow the loads of a load-partitioned append destination")
 
@@ -124,7 +131,9 @@ class LoadSpec:
                 partition_column=src.get("partition_column"),
                 look_back=None if src.get("look_back") is None else str(src["look_back"]),
                 unique_key=list(src.get("unique_key") or []),
+                zone_map=bool(src.get("zone_map", False)),
                 options=src.get("options") or {},
+                schema=src.get("schema"),
             ),
             destination=DestinationSpec(
                 d["destination"]["schema"], d["destination"]["table"], bool(d["destination"].get("load_partitions", True))

@@ -23,6 +23,7 @@ from flowtable.operators.runlog import failure_alerts, latest_failure, run_healt
 from flowtable.operators.sinks import Warehouse
 from flowtable.operators.transform import clean_events as clean_events_op
 from flowtable.operators.transform import keep_rows, run_sql_transform
+from flowtable.operators.zones import landed_files
 from flowtable.plans.runner import destination_conflicts, run_all, run_load
 from flowtable.plans.spec import DestinationSpec, LoadSpec, QualitySpec, SourceSpec, TransformSpec
 from flowtable.plans.state import RunState
@@ -646,6 +647,24 @@ def q_late_rows_load(spark, sf):
     return wh.read("raw_events").crossJoin(F.broadcast(late))
 
 
+def q_zone_map_loads(spark, sf):
+    """Events landed as files of consecutive times, the second half after a load of the first; a third load finds nothing
+    new.  The table, and how many files a fourth load would open."""
+    wh = Warehouse.scratch(spark, "zones")
+    state = RunState(wh)
+    folder = scratch_path(spark, "landing")
+    spec = events_spec(sf)
+    spec.source = SourceSpec("parquet", folder, incremental_key="ts", zone_map=True)
+    spec.quality = QualitySpec(False)
+    events = _t(spark, sf, "events")
+    for rows in (F.col("ts") <= F.lit(SPLIT).cast("timestamp_ntz"), F.col("ts") > F.lit(SPLIT).cast("timestamp_ntz")):
+        events.where(rows).repartitionByRange(8, "ts").write.mode("append").parquet(folder)
+        _require(run_load(spark, spec, wh, state=state))
+    _require(run_load(spark, spec, wh, state=state))
+    last = landed_files(wh, spec.name, spec.source, state.get_mark(spec.name, "ts"))
+    return wh.read("raw_events").withColumn("files_left_to_open", F.lit(len(last.opened)))
+
+
 def q_keyed_small_updates(spark, sf):
     """``customer`` as a keyed table with deltas: the latest order status by update, a segment by partial upsert for
     known and new keys, absent customers by insert, then one delta of all."""
@@ -767,6 +786,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "derived_rows": q_derived_rows,
     "derived_groups": q_derived_groups,
     "late_rows_load": q_late_rows_load,
+    "zone_map_loads": q_zone_map_loads,
     "keyed_small_updates": q_keyed_small_updates,
     "run_log_of_failures": q_run_log_of_failures,
     "conflicting_loads": q_conflicting_loads,

@@ -22,7 +22,8 @@ def _not_found(exc: AnalysisException) -> bool:
     return (cond() if cond else "") == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(exc)
 
 
-def _load(reader: Callable[[], DataFrame], path: str, kind: str) -> DataFrame:
+def missing_path(reader: Callable[[], DataFrame], path: str | list[str], kind: str) -> DataFrame:
+    """``reader()``; a path that does not exist is a ``FileNotFoundError`` naming it."""
     try:
         return reader()
     except AnalysisException as exc:
@@ -40,7 +41,7 @@ NULL_TOKENS = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType | str | None = None,
     infer: bool = True,
     null_tokens: Sequence[str] = NULL_TOKENS,
@@ -61,7 +62,7 @@ def read_csv(
 
     def load(**more) -> DataFrame:
         reader = spark.read.options(**opts, **more)
-        return _load(lambda: (reader if wanted is None else reader.schema(wanted)).csv(path), path, "CSV")
+        return missing_path(lambda: (reader if wanted is None else reader.schema(wanted)).csv(path), path, "CSV")
 
     wanted = None
     text = load()  # all columns as text
@@ -149,7 +150,7 @@ def _strictly_typed(text: DataFrame, wanted: StructType) -> DataFrame:
 
 def read_json(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType | str | None = None,
     array: bool = False,
     **options: str,
@@ -162,11 +163,12 @@ def read_json(
     reader = spark.read.options(**{"multiLine": str(bool(array)).lower(), **options})
     if schema is not None:
         reader = reader.schema(schema)
-    return _load(lambda: reader.json(path), path, "JSON")
+    return missing_path(lambda: reader.json(path), path, "JSON")
 
 
-def read_parquet(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    return _load(lambda: spark.read.options(**options).parquet(path), path, "Parquet")
+def read_parquet(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
+    paths = [path] if isinstance(path, str) else path
+    return missing_path(lambda: spark.read.options(**options).parquet(*paths), path, "Parquet")
 
 
 _READERS: dict[str, Callable[..., DataFrame]] = {
