@@ -6,6 +6,7 @@ import functools
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +59,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def gives_back(run):
+    """``run`` over Arrow batches; at a task's end its worker returns the memory that Arrow keeps for later.
+
+    A worker outlives its tasks, so what Arrow keeps would stay beside all later stages of the executor.
+    """
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+    return task
+
+
 def utf8_list(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

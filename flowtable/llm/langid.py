@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from flowtable.llm.common import table, text_list
+from flowtable.llm.common import gives_back, table, text_list
 
 FEATURES = 1 << 13
 SAMPLE_ROWS = 300  # different labelled texts of a language that the machines learn from
@@ -165,6 +165,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel | None:
     return LanguageModel(weights.astype(np.float32), families, pairs)
 
 
+@gives_back
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [features(t) for t in text_list(batch.column("text"))]
@@ -206,6 +207,7 @@ def margins_of(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _predict(model):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: LanguageModel | None = model.value
         for batch in batches:

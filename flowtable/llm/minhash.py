@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtable.llm.common import materialize, table, utf8_list
+from flowtable.llm.common import gives_back, materialize, table, utf8_list
 from flowtable.llm.components import components
 from flowtable.llm.wordhash import hash_words, mix, shingles, words_of
 
@@ -61,6 +61,7 @@ def _sign(words: int):
     schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n_shingles", pa.int64()),
                         ("signature", pa.list_(pa.int64()))])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes, marks = [], [], []
@@ -163,6 +164,7 @@ def _link_groups(words: int, percent: int):
         return pa.RecordBatch.from_arrays([pa.array([rep[x] for x, _ in found], pa.int64()),
                                            pa.array([rep[y] for _, y in found], pa.int64())], schema=schema)
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, texts = None, []  # the rows of the last group, which may go on in the next batch
         for batch in batches:

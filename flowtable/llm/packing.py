@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowtable.llm.common import materialize, table
+from flowtable.llm.common import gives_back, materialize, table
 from flowtable.llm.wordcodes import word_codes
 
 WINDOW = 4096
@@ -46,6 +46,7 @@ def _tokenize(path: str, window: int):
                         ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("key", pa.int32()), ("term", pa.int32()), ("df", pa.int64())])
     end = np.array([END_ID], dtype="<u2")
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = word_codes(path)
         seen = np.zeros(1 << 16, dtype=np.int64)
@@ -160,6 +161,7 @@ def _pack(idf, mean_length: float, window: int):
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     schema = pa.schema([(n, pa.int64()) for n in names])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = list(batches)  # one shard
         if not found:

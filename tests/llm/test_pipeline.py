@@ -1,5 +1,9 @@
 """The pipeline's stages on documents with known faults, and every registered query on a small table."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +73,41 @@ def test_pipeline_on_no_documents(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+#: Runs a stage's map over texts of 16 MB as a task of a worker of its own; prints the MB that Arrow still keeps for later.
+WORKER = """
+import random, re, sys
+import pyarrow as pa
+import public_tokenizers
+from flowtable.llm import langid, packing
+
+def resident():
+    return int(re.search(r"Pss_Anon: *([0-9]+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+runs = {"tokenize": packing._tokenize(public_tokenizers.path("word_bpe_49k.json"), 4096), "describe": langid._describe}
+draw = random.Random(0)
+words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(2000)]
+texts = [" ".join(draw.choices(words, k=230)) for _ in range(10_000)]
+table = pa.table({"doc_id": list(range(10_000)), "text": texts, "lang": ["en"] * 10_000})
+sink = pa.BufferOutputStream()
+with pa.ipc.new_stream(sink, table.schema) as out:
+    out.write_table(table)
+data = sink.getvalue().to_pybytes()
+del sink, out, table, texts
+pa.default_memory_pool().release_unused()
+for batch in runs[sys.argv[1]](pa.ipc.open_stream(data)):
+    pass
+del batch
+before = resident()
+pa.default_memory_pool().release_unused()
+print(before - resident())
+"""
+
+
+@pytest.mark.parametrize("stage", ["tokenize", "describe"])
+def test_workers_keep_no_unused_memory_after_a_task(stage):
+    top = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    env = {**os.environ, "PYTHONPATH": top + os.pathsep + os.environ.get("PYTHONPATH", "")}
+    out = subprocess.run([sys.executable, "-c", WORKER, stage], env=env, capture_output=True, text=True, check=True, timeout=300)
+    assert float(out.stdout) < 16
