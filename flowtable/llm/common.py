@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import tempfile
@@ -59,17 +60,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def return_memory() -> None:
+    """Return to the system what Arrow and the C library keep for later; nothing in use is touched."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def gives_back(run):
-    """``run`` over Arrow batches; at a task's end its worker returns the memory that Arrow keeps for later.
+    """``run`` over Arrow batches; at a task's end its worker returns the memory that it keeps for later.
 
-    A worker outlives its tasks, so what Arrow keeps would stay beside all later stages of the executor.
+    A worker outlives its tasks, so what it keeps would stay beside all later stages of the executor.
     """
     @functools.wraps(run)
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
+            return_memory()
     return task
 
 

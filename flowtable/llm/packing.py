@@ -46,7 +46,7 @@ def _tokenize(path: str, window: int):
                         ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("key", pa.int32()), ("term", pa.int32()), ("df", pa.int64())])
     end = np.array([END_ID], dtype="<u2")
 
-    @gives_back
+    # what these tasks leave is returned by _pack's, which follow in the same workers
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = word_codes(path)
         seen = np.zeros(1 << 16, dtype=np.int64)

@@ -75,7 +75,8 @@ def test_pipeline_on_no_documents(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
-#: Runs a stage's map over texts of 16 MB as a task of a worker of its own; prints the MB that Arrow still keeps for later.
+#: Runs a stage's map over texts of 16 MB as a task of a worker of its own, and what follows it there without rows; prints
+#: the MB that Arrow still keeps for later.
 WORKER = """
 import random, re, sys
 import pyarrow as pa
@@ -86,6 +87,7 @@ def resident():
     return int(re.search(r"Pss_Anon: *([0-9]+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
 
 runs = {"tokenize": packing._tokenize(public_tokenizers.path("word_bpe_49k.json"), 4096), "describe": langid._describe}
+behind = {"tokenize": packing._pack(None, 1.0, 4096)}  # a later stage in the same worker
 draw = random.Random(0)
 words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(2000)]
 texts = [" ".join(draw.choices(words, k=230)) for _ in range(10_000)]
@@ -99,6 +101,8 @@ pa.default_memory_pool().release_unused()
 for batch in runs[sys.argv[1]](pa.ipc.open_stream(data)):
     pass
 del batch
+for batch in behind.get(sys.argv[1], iter)(iter([])):
+    pass
 before = resident()
 pa.default_memory_pool().release_unused()
 print(before - resident())
