@@ -5,10 +5,10 @@ The filter holds, for every n-gram of 2 to ``ORDER`` words of the training texts
 probing 1, 2, ... until a probe fails, so it is never underestimated, and overestimated with the filter's error
 rate; an n-gram is also never taken for more frequent than its parts, which rules out many errors.
 The filter is made of groups of ``GROUP_SEGMENTS`` segments of ``SEGMENT_BITS`` bits; an n-gram's hash names
-its segment, so counting n-grams and filling segments share one shuffle.  Its size follows the training
-tokens; no more than ``ROUND_BYTES`` of it are ever broadcast: a larger filter is sent in rounds, and each
-round adds the counts of its own segments to the blocks of text.  The n-grams of each length are counted in
-a pass of their own, whose shuffle is given back before the next one; the passes' bits are united.
+its segment.  No machine holds the filter: the n-grams of all texts are routed to the group they belong to,
+which is filled with those of the training texts, probed for all and dropped; what was read of it goes
+back to the blocks of text.  ``round_bytes`` names how much of the filter one pass fills and probes: with less the
+disk holds fewer n-grams at a time, and each pass goes over the blocks again.
 
 Exact word counts come without a dictionary of the corpus on any machine: texts are coded in blocks, each
 with its own dictionary of word hashes, sorted.  Slices of these dictionaries, cut at the same hashes for all
@@ -31,13 +31,12 @@ from pyspark.sql import functions as F
 from flowtable.llm.common import materialize, table, utf8_list
 from flowtable.llm.wordhash import hash_words, mix
 
-ORDER = 3  # longest n-gram; each order costs one more pass over the blocks
+ORDER = 3  # longest n-gram; the n-grams of each order are routed to the filter
 BASE = 1.3  # of the logarithm that counts are rounded down to
 BITS_A_TOKEN = 12  # filter bits for each training token
 HASHES = 3  # bits of a member
 SEGMENT_BITS = 1 << 18
 GROUP_SEGMENTS = 32  # segments filled together: 1 MB
-ROUND_BYTES = 256 << 20  # of the filter broadcast at once
 BLOCK_TOKENS = 250_000  # of texts coded together
 SPLIT_BYTES = 1 << 20  # expected bytes of texts that are split into words together
 SPLIT_WORDS = 1 << 17  # words hashed together
@@ -285,58 +284,49 @@ def _total_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["block", "part", "totals", "tokens", "words", "texts"])
 
 
-def _count_ngrams(groups: int, n: int):
-    """(group, hashes, counts) of the training texts' n-grams of ``n`` words, added up within blocks."""
+def _route_ngrams(groups: int, first: int, last: int, order: int):
+    """(group, size, block, hashes, counts): a block's distinct n-grams of ``size`` words that belong to the groups from
+    ``first`` to before ``last``, and how often its training texts use them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             b = _Block(row)
             learn = np.repeat(b.training, b.lengths)
-            h, count = np.unique(b.ngrams(n)[-1][learn], return_counts=True)
-            cut = [(group, squeeze_sorted(h[s]), squeeze(count[s])) for group, s in _slices(h, groups)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c[0] for c in cut], pa.int32()), pa.array([c[1] for c in cut], pa.binary()),
-                 pa.array([c[2] for c in cut], pa.binary())], ["group", "h", "n"])
+            for size, grams in enumerate(b.ngrams(order), 2):
+                h, at = np.unique(grams, return_inverse=True)
+                count = np.bincount(at[learn], minlength=len(h))
+                cut = [(group, squeeze_sorted(h[s]), squeeze(count[s])) for group, s in _slices(h, groups) if first <= group < last]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c[0] for c in cut], pa.int32()), pa.array([size] * len(cut), pa.int32()),
+                     pa.array([row["block"]] * len(cut), pa.int64()), pa.array([c[1] for c in cut], pa.binary()),
+                     pa.array([c[2] for c in cut], pa.binary())], ["group", "size", "block", "h", "n"])
     return run
 
 
-def _fill(groups: int):
+def _fill_and_probe(groups: int):
+    """(block, size, part, found): the levels that the filter holds for the n-grams routed to each group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The segments of each group."""
         for group, rows in _groups_of(batches, "group"):
-            h, at = np.unique(np.concatenate([unsqueeze_sorted(r["h"]) for r in rows]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([unsqueeze(r["n"]) for r in rows]))
-            segment = _share(h, groups * GROUP_SEGMENTS).astype(np.int64) - group * GROUP_SEGMENTS
-            cuts = np.searchsorted(segment, np.arange(GROUP_SEGMENTS + 1))
-            bits = b"".join(fill_segment(h[lo:hi], n[lo:hi]) for lo, hi in zip(cuts, cuts[1:]))
-            yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([bits], pa.binary()), pa.array([len(h)], pa.int64())],
-                                             ["group", "bits", "ngrams"])
-    return run
-
-
-class FilterPart:
-    """A run of whole groups of the filter."""
-
-    def __init__(self, bits: bytearray, first_segment: int, segments: int):
-        self.bits, self.first, self.segments = bits, first_segment, segments
-
-    def levels(self, block: _Block, order: int, before: bytes | None) -> np.ndarray:
-        """Levels of the block's n-grams, n by n, with those of earlier rounds."""
-        filter_bytes = np.frombuffer(self.bits, np.uint8)
-        out = []
-        for grams in block.ngrams(order):
-            h, at = np.unique(grams, return_inverse=True)
-            out.append(probe(filter_bytes, self.first, self.segments, h)[at])
-        level = np.stack(out)
-        return level if before is None else np.maximum(level, unsqueeze(before).astype(np.uint8).reshape(level.shape))
-
-
-def _probe_round(part, order: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [squeeze(part.value.levels(_Block(row), order, row["levels"]).reshape(-1))
-                     for row in _rows(iter([batch]))]
-            names = batch.schema.names
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()) if n == "levels" else batch.column(n) for n in names], names)
+            first, members, asked = group * GROUP_SEGMENTS, [], []
+            for size in sorted({r["size"] for r in rows}):
+                own = [r for r in rows if r["size"] == size]
+                slices = [unsqueeze_sorted(r.pop("h")) for r in own]
+                h, at = np.unique(np.concatenate(slices), return_inverse=True)
+                count = np.bincount(at, np.concatenate([unsqueeze(r.pop("n")) for r in own]))
+                learned = count > 0
+                members.append((h[learned], count[learned]))
+                asked.append((own, h, at, np.cumsum([len(x) for x in slices])[:-1]))
+                del slices
+            cuts = [np.searchsorted(_share(h, groups * GROUP_SEGMENTS).astype(np.int64) - first, np.arange(GROUP_SEGMENTS + 1))
+                    for h, _ in members]
+            bits = np.frombuffer(b"".join(
+                fill_segment(*(np.concatenate([x[k][c[i]:c[i + 1]] for x, c in zip(members, cuts)]) for k in (0, 1)))
+                for i in range(GROUP_SEGMENTS)), np.uint8)
+            for own, h, at, ends in asked:
+                found = np.split(probe(bits, first, groups * GROUP_SEGMENTS, h)[at], ends)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["block"] for r in own], pa.int64()), pa.array([r["size"] for r in own], pa.int32()),
+                     pa.array([group] * len(own), pa.int32()), pa.array([squeeze(x) for x in found], pa.binary())],
+                    ["block", "size", "part", "found"])
     return run
 
 
@@ -365,17 +355,19 @@ def smoothed(count: np.ndarray, levels: np.ndarray, starts: np.ndarray, texts: i
     return np.log10(p)
 
 
-def _score(part, texts: int, tokens: int, distinct: int, order: int):
-    """Scores of all texts; ``part`` is the last part of the filter."""
+def _score(texts: int, tokens: int, distinct: int, order: int):
+    """Scores of all texts, from the words' counts (size 1) and the levels of longer n-grams in ``parts``."""
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
                         ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             b = _Block(row)
-            count = np.concatenate([unsqueeze(t["totals"]) for t in row["parts"]]).astype(np.int64)[b.at]
+            found = [np.concatenate([unsqueeze(t["found"]) for t in row["parts"] if t["size"] == size]) for size in range(1, order + 1)]
+            count = found[0].astype(np.int64)[b.at]
+            level = np.stack([x.astype(np.uint8)[np.unique(h, return_inverse=True)[1]] for x, h in zip(found[1:], b.ngrams(order))])
             base = np.log10((count + 1) / (tokens + distinct + 1))
-            score = smoothed(count, part.value.levels(b, order, row["levels"]), b.starts, texts, tokens, distinct)
+            score = smoothed(count, level, b.starts, texts, tokens, distinct)
             # no text is empty: each has its end
             known, base, score = (np.add.reduceat(x, b.starts) for x in ((count > 0).astype(np.int64), base, score))
             yield pa.RecordBatch.from_arrays(
@@ -395,11 +387,12 @@ def _release_shuffles(spark: SparkSession) -> None:
 
 
 def score_documents(docs: DataFrame, training: Column, order: int = 2, bits_a_token: int = BITS_A_TOKEN,
-                    round_bytes: int = ROUND_BYTES) -> DataFrame:
+                    round_bytes: int | None = None) -> DataFrame:
     """Scores of all texts by a model of those where ``training`` is true, with n-grams of 2 to ``order`` words.
 
     Null and empty texts are one end token.  Rows with equal or null ids are scored each for itself.
-    With nothing to learn from every token has a count of 0.  No rows give no rows.
+    With nothing to learn from every token has a count of 0.  No rows give no rows.  ``round_bytes`` of the
+    filter are filled and probed in one pass over the blocks; without it one pass does the whole filter.
     """
     spark = docs.sparkSession
     blocks = materialize(
@@ -413,35 +406,22 @@ def score_documents(docs: DataFrame, training: Column, order: int = 2, bits_a_to
         .repartition("part").sortWithinPartitions("part", "block")
         .mapInArrow(_total_words, "block long, part int, totals binary, tokens long, words long, texts long"), "totals")
     tokens, distinct, texts = (int(x or 0) for x in totals.agg(F.sum("tokens"), F.sum("words"), F.sum("texts")).first())
-    counted = (totals.where("block IS NOT NULL").groupBy("block")
-               .agg(F.sort_array(F.collect_list(F.struct("part", "totals"))).alias("parts")))
-
-    groups = max(1, -(-learned * bits_a_token // (SEGMENT_BITS * GROUP_SEGMENTS)))
-    filled = None
-    for n in range(order, 1, -1):  # the largest shuffle while the disk holds no other part of the filter
-        _release_shuffles(spark)
-        one = materialize(
-            blocks.mapInArrow(_count_ngrams(groups, n), "`group` int, h binary, n binary")
-            .repartition("group").sortWithinPartitions("group")
-            .mapInArrow(_fill(groups), "`group` int, bits binary, ngrams long"), "filter")
-        filled = one if filled is None else filled.unionByName(one)
-    _release_shuffles(spark)
+    found = totals.where("block IS NOT NULL").select("block", F.lit(1).alias("size"), "part", F.col("totals").alias("found"))
 
     group_bytes = SEGMENT_BITS * GROUP_SEGMENTS // 8
-    step = max(1, round_bytes // group_bytes)
-    levelled = blocks.withColumn("levels", F.lit(None).cast("binary"))
+    groups = max(1, -(-learned * bits_a_token // (8 * group_bytes)))
+    step = max(1, round_bytes // group_bytes) if round_bytes else groups
     for first in range(0, groups, step):
-        size = min(step, groups - first)
-        part = bytearray(size * group_bytes)  # at most round_bytes
-        for r in filled.where((F.col("group") >= first) & (F.col("group") < first + size)).toLocalIterator():
-            at = (r["group"] - first) * group_bytes
-            np.frombuffer(part, np.uint8)[at:at + group_bytes] |= np.frombuffer(r["bits"], np.uint8)
-        sent = spark.sparkContext.broadcast(FilterPart(part, first * GROUP_SEGMENTS, groups * GROUP_SEGMENTS))
-        del part
-        if first + size < groups:
-            levelled = materialize(levelled.mapInArrow(_probe_round(sent, order), levelled.schema), "levels")
-    return levelled.drop("entries", "learned", "seen").join(counted, "block").mapInArrow(
-        _score(sent, texts, tokens, distinct, order),
+        _release_shuffles(spark)  # the disk holds the n-grams of one pass at a time
+        found = found.unionByName(materialize(
+            blocks.mapInArrow(_route_ngrams(groups, first, first + step, order), "`group` int, size int, block long, h binary, n binary")
+            .repartition("group").sortWithinPartitions("group")
+            .mapInArrow(_fill_and_probe(groups), "block long, size int, part int, found binary"), "levels"))
+    _release_shuffles(spark)
+
+    parts = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("size", "part", "found"))).alias("parts"))
+    return blocks.drop("entries", "learned", "seen").join(parts, "block").mapInArrow(
+        _score(texts, tokens, distinct, order),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

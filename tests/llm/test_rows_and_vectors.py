@@ -216,6 +216,41 @@ def test_the_query_learns_trigrams(spark, tmp_path):
     assert got[800] > got[801] + 0.5
 
 
+def test_no_machine_holds_the_filter(spark, monkeypatch):
+    def whole(self, value):
+        raise AssertionError("the filter is sent whole to every worker")
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", whole)
+    training = [i % 4 != 1 for i in range(len(LM_TEXTS))]
+    got = ngram_bloom.score_documents(docs_of(spark, LM_TEXTS), F.col("doc_id") % 4 != 1, 3, bits_a_token=200_000)
+    rows = {r["doc_id"]: r["score"] for r in got.collect()}
+    assert [rows[i] for i in range(len(LM_TEXTS))] == pytest.approx([x[4] for x in exact_scores(LM_TEXTS, training, 3)])
+
+
+def test_a_group_is_probed_for_all_ngrams_routed_to_it():
+    rng = np.random.default_rng(5)
+    groups, rows, counts = 2, [], Counter()
+    for block in range(3):
+        for size in (2, 3):
+            h = np.unique(rng.integers(0, 40_000, 3000, dtype=np.uint64) << np.uint64(49) | np.uint64(size << 20))
+            n = rng.integers(0, 3, len(h))  # 0: in held-out texts alone
+            counts.update(dict(zip(h.tolist(), n.tolist())))
+            rows += [(g, size, block, h[s], n[s]) for g, s in ngram_bloom._slices(h, groups)]
+    rows.sort(key=lambda r: r[0])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.int64()))]
+        + [pa.array([ngram_bloom.squeeze_sorted(r[3]) for r in rows]), pa.array([ngram_bloom.squeeze(r[4]) for r in rows])],
+        ["group", "size", "block", "h", "n"])
+    got = {}
+    for b in ngram_bloom._fill_and_probe(groups)(iter([batch])):
+        got.update({(r["part"], r["size"], r["block"]): ngram_bloom.unsqueeze(r["found"]) for r in b.to_pylist()})
+    assert len(got) == len(rows) == 12
+    held = np.concatenate([got[r[:3]] for r in rows])
+    count = np.array([counts[x] for r in rows for x in r[3].tolist()])
+    want = ngram_bloom._levels(count)
+    assert (held >= want).all() and (held > want).mean() < 0.01 and (want == 0).any()
+
+
 def test_scores_without_training_or_rows(spark):
     none = ngram_bloom.score_documents(docs_of(spark, ["a b"]), F.lit(False)).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in none] == [(3, 0, 0, 0.0)]
