@@ -49,7 +49,7 @@ def _tokenize(path: str, window: int):
     # what these tasks leave is returned by _pack's, which follow in the same workers
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = word_codes(path)
-        seen = np.zeros(1 << 16, dtype=np.int64)
+        seen, place, order = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64), np.arange(window)
         for batch in batches:
             rows = []
             for doc_id, found in zip(batch.column("doc_id").to_pylist(), codes.encode(batch.column("text"))):
@@ -60,7 +60,9 @@ def _tokenize(path: str, window: int):
                     rows.append((doc_id, start, window, _crc(ids[start:start + window]), n, None, None))
                 if whole < n:
                     tail = ids[whole:]
-                    seen[np.unique(tail)] += 1
+                    at = order[:len(tail)]
+                    place[tail] = at
+                    seen[tail[place[tail] == at]] += 1  # each id once: where it was put last
                     rows.append((doc_id, whole, n - whole, _crc(tail), n, tail.tobytes(), int(tail.max())))
             cols = list(zip(*rows)) or [()] * 7
             none = [None] * len(rows)

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from flowtable.llm import ngram_bloom, packing, sharding, topk
+from flowtable.llm import ngram_bloom, packing, sharding, topk, wordcodes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard int, score double"
 
@@ -91,6 +91,19 @@ def test_top_k_of_nothing(spark):
 
 # -- packing
 
+def test_words_before_punctuation_are_coded_once():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    codes, tokenizer = wordcodes.WordCodes(path), Tokenizer.from_file(path)
+    letters = wordcodes.LETTERS
+    texts = ["word word, word. Word!? (word) word's, x1, é, née née, \u00c9t\u00e9. ...", None, "a,b,c,, <|endoftext|>, word<|, WORD<|> A,",
+             "\u0130, ﬁne, n\u0303o, \u0958a a\u0958 \u212b\u212b, ªº µm σας ΣΑΣ. 漢字, 漢字", letters + "! " + " ".join(letters), "",
+             " ".join(x + y + z for x in letters for y in letters[::7] for z in ("", ".", "$$$"))]
+    got = list(codes.encode(pa.array(texts)))
+    assert [x.tolist() for x in got] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert {b"word", b",", b"."} <= codes.words.keys() and not {b"word,", b"word."} & codes.words.keys()
+    assert codes.bare is not codes.tokenizer
+
+
 TEXTS = ["", None, "  ", "One fine day, it's 12:30!", "<|endoftext|> <|STARTOFTEXT|> x", "İstanbul ﬁne ét x y\x1cz 漢字",
          "Wörter, die: wiederkehren.", "a " * 9000, "tail piece here " * 900, "'s 'T re've"]
 
