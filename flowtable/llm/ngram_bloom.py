@@ -5,10 +5,10 @@ The filter holds, for every n-gram of 2 to ``ORDER`` words of the training texts
 probing 1, 2, ... until a probe fails, so it is never underestimated, and overestimated with the filter's error
 rate; an n-gram is also never taken for more frequent than its parts, which rules out many errors.
 The filter is made of groups of ``GROUP_SEGMENTS`` segments of ``SEGMENT_BITS`` bits; an n-gram's hash names
-its segment.  No machine holds the filter: the n-grams of all texts are routed to the group they belong to,
-which is filled with those of the training texts, probed for all and dropped; what was read of it goes
-back to the blocks of text.  ``round_bytes`` names how much of the filter one pass fills and probes: with less the
-disk holds fewer n-grams at a time, and each pass goes over the blocks again.
+its segment.  No machine holds the filter: the n-grams of all texts are routed to the part of it they belong
+to, which is filled with those of the training texts, probed for all and dropped; what was read of it goes
+back to the blocks of text.  A large filter is done in up to ``PASSES`` passes over the blocks, so that the disk
+holds the n-grams of one pass at a time.
 
 Exact word counts come without a dictionary of the corpus on any machine: texts are coded in blocks, each
 with its own dictionary of word hashes, sorted.  Slices of these dictionaries, cut at the same hashes for all
@@ -36,7 +36,10 @@ BASE = 1.3  # of the logarithm that counts are rounded down to
 BITS_A_TOKEN = 12  # filter bits for each training token
 HASHES = 3  # bits of a member
 SEGMENT_BITS = 1 << 18
-GROUP_SEGMENTS = 32  # segments filled together: 1 MB
+GROUP_SEGMENTS = 32  # the filter is made of whole groups: 1 MB
+PART_SEGMENTS = 64  # segments filled and probed by one task: 2 MB
+PASS_BYTES = 1 << 30  # of the filter filled and probed in one pass over the blocks, unless that takes more than
+PASSES = 4  # passes
 BLOCK_TOKENS = 250_000  # of texts coded together
 SPLIT_BYTES = 1 << 20  # expected bytes of texts that are split into words together
 SPLIT_WORDS = 1 << 17  # words hashed together
@@ -234,9 +237,9 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {n: batch.column(n)[i].as_py() for n in batch.schema.names}
 
 
-def _slices(h: np.ndarray, n: int) -> Iterator[tuple[int, slice]]:
-    """The filled ranges of sorted hashes."""
-    share = _share(h, n).astype(np.int64)
+def _slices(h: np.ndarray, n: int, together: int = 1) -> Iterator[tuple[int, slice]]:
+    """The filled ranges of sorted hashes, of ``n`` equal ones of which so many are taken together."""
+    share = _share(h, n).astype(np.int64) // together
     bounds = [0, *(np.flatnonzero(np.diff(share)) + 1).tolist(), len(h)]
     for lo, hi in zip(bounds, bounds[1:]):
         if lo < hi:
@@ -284,9 +287,9 @@ def _total_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["block", "part", "totals", "tokens", "words", "texts"])
 
 
-def _route_ngrams(groups: int, first: int, last: int, order: int):
-    """(group, size, block, hashes, counts): a block's distinct n-grams of ``size`` words that belong to the groups from
-    ``first`` to before ``last``, and how often its training texts use them."""
+def _route_ngrams(segments: int, first: int, last: int, order: int):
+    """(part, size, block, hashes, counts): a block's distinct n-grams of ``size`` words that belong to the filter's parts
+    from ``first`` to before ``last``, and how often its training texts use them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             b = _Block(row)
@@ -294,19 +297,20 @@ def _route_ngrams(groups: int, first: int, last: int, order: int):
             for size, grams in enumerate(b.ngrams(order), 2):
                 h, at = np.unique(grams, return_inverse=True)
                 count = np.bincount(at[learn], minlength=len(h))
-                cut = [(group, squeeze_sorted(h[s]), squeeze(count[s])) for group, s in _slices(h, groups) if first <= group < last]
+                cut = [(part, squeeze_sorted(h[s]), squeeze(count[s]))
+                       for part, s in _slices(h, segments, PART_SEGMENTS) if first <= part < last]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([c[0] for c in cut], pa.int32()), pa.array([size] * len(cut), pa.int32()),
                      pa.array([row["block"]] * len(cut), pa.int64()), pa.array([c[1] for c in cut], pa.binary()),
-                     pa.array([c[2] for c in cut], pa.binary())], ["group", "size", "block", "h", "n"])
+                     pa.array([c[2] for c in cut], pa.binary())], ["part", "size", "block", "h", "n"])
     return run
 
 
-def _fill_and_probe(groups: int):
-    """(block, size, part, found): the levels that the filter holds for the n-grams routed to each group."""
+def _fill_and_probe(segments: int):
+    """(block, size, part, found): the levels that the filter holds for the n-grams routed to each part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group, rows in _groups_of(batches, "group"):
-            first, members, asked = group * GROUP_SEGMENTS, [], []
+        for part, rows in _groups_of(batches, "part"):
+            first, members, asked = part * PART_SEGMENTS, [], []
             for size in sorted({r["size"] for r in rows}):
                 own = [r for r in rows if r["size"] == size]
                 slices = [unsqueeze_sorted(r.pop("h")) for r in own]
@@ -316,16 +320,16 @@ def _fill_and_probe(groups: int):
                 members.append((h[learned], count[learned]))
                 asked.append((own, h, at, np.cumsum([len(x) for x in slices])[:-1]))
                 del slices
-            cuts = [np.searchsorted(_share(h, groups * GROUP_SEGMENTS).astype(np.int64) - first, np.arange(GROUP_SEGMENTS + 1))
+            cuts = [np.searchsorted(_share(h, segments).astype(np.int64) - first, np.arange(PART_SEGMENTS + 1))
                     for h, _ in members]
             bits = np.frombuffer(b"".join(
                 fill_segment(*(np.concatenate([x[k][c[i]:c[i + 1]] for x, c in zip(members, cuts)]) for k in (0, 1)))
-                for i in range(GROUP_SEGMENTS)), np.uint8)
+                for i in range(PART_SEGMENTS)), np.uint8)
             for own, h, at, ends in asked:
-                found = np.split(probe(bits, first, groups * GROUP_SEGMENTS, h)[at], ends)
+                found = np.split(probe(bits, first, segments, h)[at], ends)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r["block"] for r in own], pa.int64()), pa.array([r["size"] for r in own], pa.int32()),
-                     pa.array([group] * len(own), pa.int32()), pa.array([squeeze(x) for x in found], pa.binary())],
+                     pa.array([part] * len(own), pa.int32()), pa.array([squeeze(x) for x in found], pa.binary())],
                     ["block", "size", "part", "found"])
     return run
 
@@ -391,8 +395,8 @@ def score_documents(docs: DataFrame, training: Column, order: int = 2, bits_a_to
     """Scores of all texts by a model of those where ``training`` is true, with n-grams of 2 to ``order`` words.
 
     Null and empty texts are one end token.  Rows with equal or null ids are scored each for itself.
-    With nothing to learn from every token has a count of 0.  No rows give no rows.  ``round_bytes`` of the
-    filter are filled and probed in one pass over the blocks; without it one pass does the whole filter.
+    With nothing to learn from every token has a count of 0.  No rows give no rows.  About ``round_bytes`` of
+    the filter are filled and probed in one pass over the blocks; without it ``PASS_BYTES``, or more in ``PASSES`` passes.
     """
     spark = docs.sparkSession
     blocks = materialize(
@@ -408,15 +412,16 @@ def score_documents(docs: DataFrame, training: Column, order: int = 2, bits_a_to
     tokens, distinct, texts = (int(x or 0) for x in totals.agg(F.sum("tokens"), F.sum("words"), F.sum("texts")).first())
     found = totals.where("block IS NOT NULL").select("block", F.lit(1).alias("size"), "part", F.col("totals").alias("found"))
 
-    group_bytes = SEGMENT_BITS * GROUP_SEGMENTS // 8
-    groups = max(1, -(-learned * bits_a_token // (8 * group_bytes)))
-    step = max(1, round_bytes // group_bytes) if round_bytes else groups
-    for first in range(0, groups, step):
+    segments = max(1, -(-learned * bits_a_token // (SEGMENT_BITS * GROUP_SEGMENTS))) * GROUP_SEGMENTS
+    filter_parts = -(-segments // PART_SEGMENTS)
+    part_bytes = PART_SEGMENTS * SEGMENT_BITS // 8
+    step = max(1, round_bytes // part_bytes) if round_bytes else max(PASS_BYTES // part_bytes, -(-filter_parts // PASSES))
+    for first in range(0, filter_parts, step):
         _release_shuffles(spark)  # the disk holds the n-grams of one pass at a time
         found = found.unionByName(materialize(
-            blocks.mapInArrow(_route_ngrams(groups, first, first + step, order), "`group` int, size int, block long, h binary, n binary")
-            .repartition("group").sortWithinPartitions("group")
-            .mapInArrow(_fill_and_probe(groups), "block long, size int, part int, found binary"), "levels"))
+            blocks.mapInArrow(_route_ngrams(segments, first, first + step, order), "part int, size int, block long, h binary, n binary")
+            .repartition("part").sortWithinPartitions("part")
+            .mapInArrow(_fill_and_probe(segments), "block long, size int, part int, found binary"), "levels"))
     _release_shuffles(spark)
 
     parts = found.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("size", "part", "found"))).alias("parts"))

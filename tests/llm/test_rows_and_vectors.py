@@ -240,22 +240,22 @@ def test_no_machine_holds_the_filter(spark, monkeypatch):
     assert [rows[i] for i in range(len(LM_TEXTS))] == pytest.approx([x[4] for x in exact_scores(LM_TEXTS, training, 3)])
 
 
-def test_a_group_is_probed_for_all_ngrams_routed_to_it():
+def test_a_part_is_probed_for_all_ngrams_routed_to_it():
     rng = np.random.default_rng(5)
-    groups, rows, counts = 2, [], Counter()
+    segments, rows, counts = 2 * ngram_bloom.PART_SEGMENTS, [], Counter()
     for block in range(3):
         for size in (2, 3):
             h = np.unique(rng.integers(0, 40_000, 3000, dtype=np.uint64) << np.uint64(49) | np.uint64(size << 20))
             n = rng.integers(0, 3, len(h))  # 0: in held-out texts alone
             counts.update(dict(zip(h.tolist(), n.tolist())))
-            rows += [(g, size, block, h[s], n[s]) for g, s in ngram_bloom._slices(h, groups)]
+            rows += [(p, size, block, h[s], n[s]) for p, s in ngram_bloom._slices(h, segments, ngram_bloom.PART_SEGMENTS)]
     rows.sort(key=lambda r: r[0])
     batch = pa.RecordBatch.from_arrays(
         [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int32(), pa.int32(), pa.int64()))]
         + [pa.array([ngram_bloom.squeeze_sorted(r[3]) for r in rows]), pa.array([ngram_bloom.squeeze(r[4]) for r in rows])],
-        ["group", "size", "block", "h", "n"])
+        ["part", "size", "block", "h", "n"])
     got = {}
-    for b in ngram_bloom._fill_and_probe(groups)(iter([batch])):
+    for b in ngram_bloom._fill_and_probe(segments)(iter([batch])):
         got.update({(r["part"], r["size"], r["block"]): ngram_bloom.unsqueeze(r["found"]) for r in b.to_pylist()})
     assert len(got) == len(rows) == 12
     held = np.concatenate([got[r[:3]] for r in rows])
