@@ -420,7 +420,7 @@ def score_documents(docs: DataFrame, training: Column, order: int = 2, bits_a_to
         _release_shuffles(spark)  # the disk holds the n-grams of one pass at a time
         found = found.unionByName(materialize(
             blocks.mapInArrow(_route_ngrams(segments, first, first + step, order), "part int, size int, block long, h binary, n binary")
-            .repartition("part").sortWithinPartitions("part")
+            .repartition(min(step, filter_parts - first), "part").sortWithinPartitions("part")
             .mapInArrow(_fill_and_probe(segments), "block long, size int, part int, found binary"), "levels"))
     _release_shuffles(spark)
 
